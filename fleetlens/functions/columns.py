@@ -85,8 +85,8 @@ def as_double(c: str | Column) -> Column:
 
 
 def percent(part: str | Column, whole: str | Column) -> Column:
-    """100 * part / whole in double arithmetic."""
-    return F.lit(100) * as_double(part) / as_double(whole)
+    """100 * part / whole in double arithmetic; null when whole is 0 or null."""
+    return F.try_divide(F.lit(100) * as_double(part), as_double(whole))
 
 
 def round_half_up(x: str | Column, digits: int = 1) -> Column:

@@ -52,13 +52,20 @@ class UsageModel:
         """Distinct names with ``_Total`` rows (one 'all' row per name)."""
         return self.buckets.where(F.col("profile") == agg.ALL).select(SERVER)
 
+    @cached_property
+    def client_key_stats(self) -> tuple[int, list[int]]:
+        """(number of client keys, distinct key lengths) in one small action."""
+        rows = self.clients.groupBy(F.length("client").alias("n")).count().collect()
+        return sum(r["count"] for r in rows), sorted(r["n"] for r in rows)
+
     @cached_property
     def client_members(self) -> DataFrame:
         if self.membership == "positional":
             cm = membership.positional_client_members(self.names)
         else:
-            lengths = [r[0] for r in self.clients.select(F.length("client")).distinct().collect()]
-            cm = membership.client_members(self.names, self._small(self.clients), lengths or [3])
+            n, lengths = self.client_key_stats
+            small = F.broadcast(self.clients) if n <= self.max_broadcast_rows else self.clients
+            cm = membership.client_members(self.names, small, lengths or [3])
         return materialize(cm, "client-members")
 
     @cached_property
@@ -68,37 +75,44 @@ class UsageModel:
     @cached_property
     def host_members(self) -> DataFrame:
         if self.membership == "positional":
-            return membership.positional_host_members(self.client_members)
-        return membership.host_members(self.client_members, self._small(self.host_keys))
+            hm = membership.positional_host_members(self.client_members)
+        else:
+            hm = membership.host_members(self.client_members, bounded_broadcast(self.host_keys, self.max_broadcast_rows))
+        return materialize(hm, "host-members")
 
-    def _small(self, df: DataFrame) -> DataFrame:
-        return bounded_broadcast(df, self.max_broadcast_rows)
+    @cached_property
+    def _cm_small(self) -> DataFrame:
+        return bounded_broadcast(self.client_members, self.max_broadcast_rows)
+
+    @cached_property
+    def _hm_small(self) -> DataFrame:
+        return bounded_broadcast(self.host_members, self.max_broadcast_rows)
 
     # -- row-level splits ------------------------------------------------
     def client_rows(self) -> DataFrame:
         """Every ``_Total`` row once per client whose key its name contains."""
         rows = filters.filter_total(self.samples)
-        return membership.attach(rows, self._small(self.client_members)).select("client", *self.samples.columns)
+        return membership.attach(rows, self._cm_small).select("client", *self.samples.columns)
 
     def host_rows(self) -> DataFrame:
         """Every ``_Total`` row once per (client, host) it belongs to."""
         rows = filters.filter_total(self.samples)
-        return membership.attach(rows, self._small(self.host_members)).select("client", "host", *self.samples.columns)
+        return membership.attach(rows, self._hm_small).select("client", "host", *self.samples.columns)
 
     # -- profiles ----------------------------------------------------------
     def profile(self, part: str, level: str = "host", divisor: float | None = None) -> DataFrame:
         if level == "host":
-            return agg.profile(self.buckets, self._small(self.host_members), ["client", "host"], part, divisor)
+            return agg.profile(self.buckets, self._hm_small, ["client", "host"], part, divisor)
         if level == "client":
-            return agg.profile(self.buckets, self._small(self.client_members), ["client"], part, divisor)
+            return agg.profile(self.buckets, self._cm_small, ["client"], part, divisor)
         raise ValueError("level must be 'host' or 'client'")
 
     # -- totals and shares -------------------------------------------------
     def host_totals_raw(self) -> DataFrame:
-        return shares.host_totals(self.buckets, self._small(self.host_members))
+        return shares.host_totals(self.buckets, self._hm_small)
 
     def client_totals_raw(self) -> DataFrame:
-        return shares.client_totals(self.buckets, self._small(self.client_members), self.clients)
+        return shares.client_totals(self.buckets, self._cm_small, self.clients)
 
     def host_totals(self) -> DataFrame:
         t = self.host_totals_raw()
@@ -121,7 +135,7 @@ class UsageModel:
     def host_rollup(self) -> DataFrame:
         """One join + one aggregation for all three profiles and the host
         totals: ``(client, host, profile, bucket, total)``."""
-        return agg.profile_rollup(self.buckets, self._small(self.host_members), ["client", "host"], (*PROFILES, agg.ALL))
+        return agg.profile_rollup(self.buckets, self._hm_small, ["client", "host"], (*PROFILES, agg.ALL))
 
     def client_report(self) -> DataFrame:
         """Tidy chart data for every client and host:

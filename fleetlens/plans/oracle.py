@@ -36,9 +36,9 @@ HOST_TOTALS = "ht AS (SELECT client, host, sum(avg_processor_time) AS total FROM
 CLIENT_TOTALS = """ct AS (SELECT c.client, s.total FROM clients c LEFT JOIN
   (SELECT client, sum(avg_processor_time) AS total FROM cm GROUP BY client) s ON c.client = s.client)"""
 HOST_SHARE = """hs AS (SELECT client, host, CAST(total AS DOUBLE) AS total,
-  100 * CAST(total AS DOUBLE) / CAST(sum(total) OVER (PARTITION BY client) AS DOUBLE) AS pct FROM ht)"""
+  100 * CAST(total AS DOUBLE) / NULLIF(CAST(sum(total) OVER (PARTITION BY client) AS DOUBLE), 0) AS pct FROM ht)"""
 CLIENT_SHARE = """cs AS (SELECT client, CAST(total AS DOUBLE) AS total,
-  100 * CAST(total AS DOUBLE) / CAST((SELECT sum(total) FROM ct) AS DOUBLE) AS pct FROM ct)"""
+  100 * CAST(total AS DOUBLE) / NULLIF(CAST((SELECT sum(total) FROM ct) AS DOUBLE), 0) AS pct FROM ct)"""
 
 
 def _with(ctes, body: str) -> str:
