@@ -12,8 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.functions.columns import METRIC, PROFILE_DIVISORS, PROFILES, SERVER, TIME, as_double, date_part
-from fleetlens.operators.filters import filter_total
+from fleetlens.functions.columns import METRIC, PROCESSOR, PROFILE_DIVISORS, PROFILES, SERVER, TIME, as_double, date_part, is_total
 
 ALL = "all"  # profile name of the per-server grand total rows
 
@@ -33,35 +32,31 @@ def total_usage_projected(df: DataFrame, metric: str = METRIC) -> DataFrame:
 def server_buckets(samples: DataFrame) -> DataFrame:
     """Per-server partial sums for every profile, in ONE pass over the rows.
 
-    Output ``(server_name, profile, bucket, total)`` with ``profile`` one of
-    ``hour``, ``weekday``, ``monthday`` (bucket = date part) or ``all`` (bucket
-    null, the server's grand total, null-time rows included).
-
-    Physical plan: scan (4 columns, ``_Total`` filter pushed) -> Expand (the
-    grouping sets) -> partial HashAggregate -> shuffle of at most
-    (servers x 63) groups per task -> final HashAggregate. A server holding a
-    third of all rows is collapsed inside each map task, so the shuffle is
-    never skewed by it. Buckets of rows without a time are dropped from the
-    profiles (they stay in ``all``).
+    Output ``(server_name, profile, bucket, total, has_total)``:
+
+    * ``profile`` in ``hour`` / ``weekday`` / ``monthday``: bucket = date part,
+      total = sum over the server's ``_Total`` rows in that bucket;
+    * ``profile = 'all'``, bucket null: one row for EVERY server name (also
+      names without ``_Total`` rows, which client keys are taken from), with
+      total = sum over its ``_Total`` rows (null-time rows included) and
+      ``has_total`` telling whether it has any.
+
+    Each ``_Total`` row is expanded (``inline``) into its 'all' row and its
+    three bucket rows; any other row into its 'all' row only. Physical plan:
+    scan -> Generate -> partial HashAggregate -> shuffle of at most one row per
+    (server, profile, bucket) per task -> final HashAggregate. A server holding
+    a third of all rows is collapsed inside every map task, so that shuffle is
+    never skewed by it. Rows without a time give no bucket (they stay in 'all').
     """
-    rows = filter_total(samples).where(F.col(SERVER).isNotNull())
-    parts = rows.select(
-        SERVER,
-        date_part("hour", TIME).alias("hour"),
-        date_part("weekday", TIME).alias("weekday"),
-        date_part("monthday", TIME).alias("monthday"),
-        METRIC,
-    )
-    sets = [[SERVER]] + [[SERVER, p] for p in PROFILES]
-    g = parts.groupingSets(sets, SERVER, *PROFILES).agg(
-        F.sum(METRIC).alias("total"), *[F.grouping(p).alias(f"g_{p}") for p in PROFILES]
+    t = F.coalesce(is_total(PROCESSOR), F.lit(False))
+    whole = F.struct(F.lit(ALL).alias("profile"), F.lit(None).cast("int").alias("bucket"))
+    parts = [F.struct(F.lit(p).alias("profile"), date_part(p, TIME).alias("bucket")) for p in PROFILES]
+    sets = F.when(t, F.array(whole, *parts)).otherwise(F.array(whole))
+    rows = samples.where(F.col(SERVER).isNotNull()).select(
+        SERVER, F.when(t, F.col(METRIC)).alias("m"), t.alias("t"), F.inline(sets)
     )
-    profile = F.lit(ALL)
-    for p in reversed(PROFILES):
-        profile = F.when(F.col(f"g_{p}") == 0, F.lit(p)).otherwise(profile)
-    bucket = F.coalesce(*[F.col(p) for p in PROFILES])
-    out = g.select(SERVER, profile.alias("profile"), bucket.cast("int").alias("bucket"), "total")
-    return out.where((F.col("profile") == ALL) | F.col("bucket").isNotNull())
+    g = rows.groupBy(SERVER, "profile", "bucket").agg(F.sum("m").alias("total"), F.bool_or("t").alias("has_total"))
+    return g.where((F.col("profile") == ALL) | F.col("bucket").isNotNull())
 
 
 def divisor_of(profile_col: str = "profile"):

@@ -1,16 +1,13 @@
 """UsageModel: the reduced, durable tables every report reads.
 
-The raw sample table is read by exactly two jobs:
-
-* ``buckets`` - per-server bucket sums for all profiles (one grouping-sets
-  aggregation over the ``_Total`` rows), and
-* ``clients`` - distinct client keys over all rows (one column).
-
-Both are written as Parquet under the session's checkpoint directory, which
-cuts their lineage (a lost executor re-reads the written table, not the raw
-data) and gives the planner their true size. Everything after that works on
-``#servers x 63`` rows at most: membership (an equi-join per distinct name),
-profiles, totals, shares and reports are lazy DataFrames over these tables.
+The raw sample table is read by exactly one job: ``buckets``, the per-server
+bucket sums for all profiles plus one row per server name (one partially
+aggregated pass, see ``server_buckets``). It is written as Parquet under the
+session's checkpoint directory, which cuts its lineage (a lost executor
+re-reads the written table, not the raw data) and gives the planner its true
+size. Everything after that works on at most ``#servers x 63`` rows: client
+keys, membership (an equi-join per distinct name), profiles, totals, shares
+and reports are DataFrames over this table.
 """
 
 from __future__ import annotations
@@ -45,12 +42,13 @@ class UsageModel:
 
     @cached_property
     def clients(self) -> DataFrame:
-        return materialize(keys.distinct_clients(self.samples), "clients")
+        """Client keys of ALL rows, from the per-name rows of ``buckets``."""
+        return keys.distinct_clients(self.buckets.where(F.col("profile") == agg.ALL))
 
     @cached_property
     def names(self) -> DataFrame:
-        """Distinct names with ``_Total`` rows (one 'all' row per name)."""
-        return self.buckets.where(F.col("profile") == agg.ALL).select(SERVER)
+        """Distinct names that have ``_Total`` rows."""
+        return self.buckets.where((F.col("profile") == agg.ALL) & F.col("has_total")).select(SERVER)
 
     @cached_property
     def client_key_stats(self) -> tuple[int, list[int]]:
