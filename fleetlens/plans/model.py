@@ -17,10 +17,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.functions.columns import PROFILE_DIVISORS, PROFILES, SERVER, as_double
+from fleetlens.functions.columns import PROFILE_DIVISORS, PROFILES, SERVER, as_double, client_key
 from fleetlens.operators import aggregates as agg
 from fleetlens.operators import filters, keys, membership, shares
-from fleetlens.runtime import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, materialize
+from fleetlens.runtime import DEFAULT_MAX_BROADCAST_ROWS, Table, broadcast_within, materialize
 
 REPORT_COLUMNS = ("client", "host", "profile", "bucket", "total", "value")
 
@@ -35,10 +35,23 @@ class UsageModel:
         self.membership = membership
         self.max_broadcast_rows = max_broadcast_rows
 
-    # -- reduced tables (materialized) -------------------------------------
+    # -- reduced tables ----------------------------------------------------
     @cached_property
+    def _buckets(self) -> Table:
+        is_name = F.col("profile") == agg.ALL
+        return materialize(
+            agg.server_buckets(self.samples),
+            "buckets",
+            {
+                # observed by the same write job: sizes the client-key table
+                "names": F.sum(F.when(is_name, 1)),
+                "key_lengths": F.collect_set(F.when(is_name, F.length(client_key(SERVER)))),
+            },
+        )
+
+    @property
     def buckets(self) -> DataFrame:
-        return materialize(agg.server_buckets(self.samples), "buckets")
+        return self._buckets.df
 
     @cached_property
     def clients(self) -> DataFrame:
@@ -51,40 +64,45 @@ class UsageModel:
         return self.buckets.where((F.col("profile") == agg.ALL) & F.col("has_total")).select(SERVER)
 
     @cached_property
-    def client_key_stats(self) -> tuple[int, list[int]]:
-        """(number of client keys, distinct key lengths) in one small action."""
-        rows = self.clients.groupBy(F.length("client").alias("n")).count().collect()
-        return sum(r["count"] for r in rows), sorted(r["n"] for r in rows)
-
-    @cached_property
-    def client_members(self) -> DataFrame:
+    def _client_members(self) -> Table:
         if self.membership == "positional":
             cm = membership.positional_client_members(self.names)
         else:
-            n, lengths = self.client_key_stats
-            small = F.broadcast(self.clients) if n <= self.max_broadcast_rows else self.clients
+            # client keys are a distinct over the names: at most that many rows
+            small = broadcast_within(self.clients, self.max_broadcast_rows, bound=self._buckets.metrics["names"] or 0)
+            lengths = sorted(n for n in self._buckets.metrics["key_lengths"] if n and n > 0)
             cm = membership.client_members(self.names, small, lengths or [3])
         return materialize(cm, "client-members")
 
+    @property
+    def client_members(self) -> DataFrame:
+        return self._client_members.df
+
     @cached_property
     def host_keys(self) -> DataFrame:
         return keys.host_keys(self.client_members)
 
     @cached_property
-    def host_members(self) -> DataFrame:
+    def _host_members(self) -> Table:
         if self.membership == "positional":
             hm = membership.positional_host_members(self.client_members)
         else:
-            hm = membership.host_members(self.client_members, bounded_broadcast(self.host_keys, self.max_broadcast_rows))
+            # host keys are a distinct over client-member rows: at most that many
+            small = broadcast_within(self.host_keys, self.max_broadcast_rows, bound=self._client_members.rows)
+            hm = membership.host_members(self.client_members, small)
         return materialize(hm, "host-members")
 
+    @property
+    def host_members(self) -> DataFrame:
+        return self._host_members.df
+
     @cached_property
     def _cm_small(self) -> DataFrame:
-        return bounded_broadcast(self.client_members, self.max_broadcast_rows)
+        return broadcast_within(self.client_members, self.max_broadcast_rows, bound=self._client_members.rows)
 
     @cached_property
     def _hm_small(self) -> DataFrame:
-        return bounded_broadcast(self.host_members, self.max_broadcast_rows)
+        return broadcast_within(self.host_members, self.max_broadcast_rows, bound=self._host_members.rows)
 
     # -- row-level splits ------------------------------------------------
     def client_rows(self) -> DataFrame:

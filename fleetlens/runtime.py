@@ -10,8 +10,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Mapping
+from dataclasses import dataclass, field
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # A key or membership table is broadcast only when a row count proves it is at
@@ -65,19 +68,46 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/fleetlens/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+@dataclass(frozen=True)
+class Table:
+    """A written table: the DataFrame reading it back, its exact row count and
+    any other metrics observed while it was written."""
+
+    df: DataFrame
+    rows: int
+    metrics: dict[str, Any] = field(default_factory=dict)
+
+
+def materialize(df: DataFrame, label: str, metrics: Mapping[str, Column] | None = None) -> Table:
     """Write ``df`` as Parquet under the checkpoint root and read it back.
 
-    Cuts the lineage (a lost executor does not force recomputation from the
-    raw scan) and gives the planner the real file size of the table.
+    Cuts the lineage (a lost executor re-reads the written table instead of
+    recomputing from the raw scan) and gives the planner the real file size.
+    The row count and the extra ``metrics`` are observed by the write job
+    itself (``DataFrame.observe``), so no second job is needed to size it.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.mode("error").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    obs = Observation(f"fleetlens-{label}")
+    exprs = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in (metrics or {}).items()]
+    df.observe(obs, *exprs).write.mode("error").parquet(path)
+    got = dict(obs.get)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    return Table(back, int(got.pop("rows")), got)
+
+
+def broadcast_within(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, bound: int | None = None) -> DataFrame:
+    """Broadcast hint only when the row count is proven to be <= ``max_rows``.
+
+    ``bound`` is a known upper bound on the rows (an observed count, or the
+    size of the table the frame was derived from by a distinct). Without one,
+    or when it is too loose, the frame is counted. Over the limit the frame is
+    returned unhinted and the join stays a shuffle join (AQE may split skew).
+    """
+    if bound is None or bound > max_rows:
+        bound = df.count()
+    return F.broadcast(df) if bound <= max_rows else df
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after counting; meant for already materialized
-    (cheap to count) tables. Over the bound, the frame is returned unhinted."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    """Count, then broadcast if small (for frames with no known bound)."""
+    return broadcast_within(df, max_rows)
