@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.columns import METRIC, PROCESSOR, PROFILE_DIVISORS, PROFILES, SERVER, TIME, as_double, date_part, is_total
 
 ALL = "all"  # profile name of the per-server grand total rows
+BUCKET_COLUMNS = ("server_name", "profile", "bucket", "total", "has_total")
 
 
 def total_usage(df: DataFrame, metric: str = METRIC) -> DataFrame:

@@ -28,13 +28,27 @@ REPORT_COLUMNS = ("client", "host", "profile", "bucket", "total", "value")
 class UsageModel:
     """Lazily built; each reduced table is computed and written once, on first use."""
 
-    def __init__(self, samples: DataFrame, membership: str = "contains", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
+    def __init__(self, samples: DataFrame | None, membership: str = "contains", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
         if membership not in ("contains", "positional"):
             raise ValueError("membership must be 'contains' or 'positional'")
         self.samples = samples
         self.membership = membership
         self.max_broadcast_rows = max_broadcast_rows
 
+    @classmethod
+    def from_buckets(cls, buckets: DataFrame, **kwargs) -> UsageModel:
+        """Reports over an existing bucket table (e.g. one kept up to date by
+        ``fleetlens.streaming``). It is written once more so that its size
+        is known; row-level splits need the samples and are not available."""
+        model = cls(None, **kwargs)
+        is_name = F.col("profile") == agg.ALL
+        model.__dict__["_buckets"] = materialize(
+            buckets.select(*agg.BUCKET_COLUMNS),
+            "buckets",
+            {"names": F.sum(F.when(is_name, 1)), "key_lengths": F.collect_set(F.when(is_name, F.length(client_key(SERVER))))},
+        )
+        return model
+
     # -- reduced tables ----------------------------------------------------
     @cached_property
     def _buckets(self) -> Table:

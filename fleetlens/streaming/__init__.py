@@ -1,0 +1 @@
+from fleetlens.streaming.buckets import read_sample_stream, start_bucket_table, stream_buckets  # noqa: F401
