@@ -89,3 +89,15 @@ def test_timestamps_are_zone_free(spark):
         assert filters.project_dateparts(df).first().hour == 23
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_chart_edge_helpers(edge_model):
+    from fleetlens.plans.charts import chart_series, pie_slices, schema_text
+
+    rep = edge_model.client_report()
+    s = chart_series(rep, "aig", "A", "hour")
+    assert s["x"] == [0, 1] and abs(s["y"][0] - 40 / 31) < 1e-12
+    p = pie_slices(rep, "aig")
+    assert p["labels"] == ["A", "B"] and p["sizes"] == [45.0, 5.0] and abs(p["pct"][0] - 90.0) < 1e-9
+    text = schema_text(edge_model.samples)
+    assert "server_name: string" in text and "hr_time: timestamp_ntz" in text
