@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.columns import PROFILE_DIVISORS, PROFILES, SERVER, as_double, client_key
 from fleetlens.operators import aggregates as agg
 from fleetlens.operators import filters, keys, membership, shares
-from fleetlens.runtime import DEFAULT_MAX_BROADCAST_ROWS, Table, broadcast_within, materialize
+from fleetlens.runtime import Table, broadcast_within, materialize
 
 REPORT_COLUMNS = ("client", "host", "profile", "bucket", "total", "value")
 
@@ -28,12 +28,12 @@ REPORT_COLUMNS = ("client", "host", "profile", "bucket", "total", "value")
 class UsageModel:
     """Lazily built; each reduced table is computed and written once, on first use."""
 
-    def __init__(self, samples: DataFrame | None, membership: str = "contains", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
+    def __init__(self, samples: DataFrame | None, membership: str = "contains", max_broadcast_bytes: int | None = None):
         if membership not in ("contains", "positional"):
             raise ValueError("membership must be 'contains' or 'positional'")
         self.samples = samples
         self.membership = membership
-        self.max_broadcast_rows = max_broadcast_rows
+        self.max_broadcast_bytes = max_broadcast_bytes  # None: the session's broadcast threshold
 
     @classmethod
     def from_buckets(cls, buckets: DataFrame, **kwargs) -> UsageModel:
@@ -45,7 +45,11 @@ class UsageModel:
         model.__dict__["_buckets"] = materialize(
             buckets.select(*agg.BUCKET_COLUMNS),
             "buckets",
-            {"names": F.sum(F.when(is_name, 1)), "key_lengths": F.collect_set(F.when(is_name, F.length(client_key(SERVER))))},
+            {
+                "names": F.sum(F.when(is_name, 1)),
+                "name_bytes": F.sum(F.when(is_name, F.octet_length(SERVER) + 24)),
+                "key_lengths": F.collect_set(F.when(is_name, F.length(client_key(SERVER)))),
+            },
         )
         return model
 
@@ -59,6 +63,7 @@ class UsageModel:
             {
                 # observed by the same write job: sizes the client-key table
                 "names": F.sum(F.when(is_name, 1)),
+                "name_bytes": F.sum(F.when(is_name, F.octet_length(SERVER) + 24)),
                 "key_lengths": F.collect_set(F.when(is_name, F.length(client_key(SERVER)))),
             },
         )
@@ -82,8 +87,9 @@ class UsageModel:
         if self.membership == "positional":
             cm = membership.positional_client_members(self.names)
         else:
-            # client keys are a distinct over the names: at most that many rows
-            small = broadcast_within(self.clients, self.max_broadcast_rows, bound=self._buckets.metrics["names"] or 0)
+            # client keys are a distinct over a prefix of the names: no larger
+            # than the per-name rows of the bucket table
+            small = broadcast_within(self.clients, self.max_broadcast_bytes, bound=self._buckets.metrics["name_bytes"] or 0)
             lengths = sorted(n for n in self._buckets.metrics["key_lengths"] if n and n > 0)
             cm = membership.client_members(self.names, small, lengths or [3])
         return materialize(cm, "client-members")
@@ -101,8 +107,9 @@ class UsageModel:
         if self.membership == "positional":
             hm = membership.positional_host_members(self.client_members)
         else:
-            # host keys are a distinct over client-member rows: at most that many
-            small = broadcast_within(self.host_keys, self.max_broadcast_rows, bound=self._client_members.rows)
+            # host keys are a distinct over a projection of the client-member
+            # rows: no larger than that table
+            small = broadcast_within(self.host_keys, self.max_broadcast_bytes, bound=self._client_members.bytes)
             hm = membership.host_members(self.client_members, small)
         return materialize(hm, "host-members")
 
@@ -112,11 +119,11 @@ class UsageModel:
 
     @cached_property
     def _cm_small(self) -> DataFrame:
-        return broadcast_within(self.client_members, self.max_broadcast_rows, bound=self._client_members.rows)
+        return broadcast_within(self.client_members, self.max_broadcast_bytes, bound=self._client_members.bytes)
 
     @cached_property
     def _hm_small(self) -> DataFrame:
-        return broadcast_within(self.host_members, self.max_broadcast_rows, bound=self._host_members.rows)
+        return broadcast_within(self.host_members, self.max_broadcast_bytes, bound=self._host_members.bytes)
 
     # -- row-level splits ------------------------------------------------
     def client_rows(self) -> DataFrame:

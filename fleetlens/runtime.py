@@ -16,11 +16,11 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A key or membership table is broadcast only when a row count proves it is at
-# most this many rows; above it the join stays a shuffle join (AQE may still
-# split skewed partitions).
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+# Used when the session has no usable spark.sql.autoBroadcastJoinThreshold.
+DEFAULT_MAX_BROADCAST_BYTES = 10 * 1024 * 1024
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "fleetlens") -> SparkSession:
@@ -68,13 +68,44 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/fleetlens/{label}-{uuid.uuid4().hex}"
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """Largest table (estimated bytes) to broadcast: the session's
+    ``spark.sql.autoBroadcastJoinThreshold``; <= 0 there means never."""
+    raw = (spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None) or "").strip().lower()
+    if not raw:
+        return DEFAULT_MAX_BROADCAST_BYTES
+    num = raw.rstrip("bkmgt")
+    unit = raw[len(num):] or "b"
+    try:
+        return int(float(num) * _UNITS[unit])
+    except (KeyError, ValueError):
+        return DEFAULT_MAX_BROADCAST_BYTES
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Per-row size estimate of ``df`` in memory: byte length of every string,
+    8 bytes for any other field, 16 bytes of row overhead."""
+    parts = [F.lit(16)]
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            parts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + F.lit(8))
+        else:
+            parts.append(F.lit(8))
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return total.cast("long")
+
+
 @dataclass(frozen=True)
 class Table:
-    """A written table: the DataFrame reading it back, its exact row count and
-    any other metrics observed while it was written."""
+    """A written table: the DataFrame reading it back, its exact row count,
+    its estimated in-memory size and any other metrics observed while it was
+    written."""
 
     df: DataFrame
     rows: int
+    bytes: int
     metrics: dict[str, Any] = field(default_factory=dict)
 
 
@@ -83,31 +114,37 @@ def materialize(df: DataFrame, label: str, metrics: Mapping[str, Column] | None
 
     Cuts the lineage (a lost executor re-reads the written table instead of
     recomputing from the raw scan) and gives the planner the real file size.
-    The row count and the extra ``metrics`` are observed by the write job
-    itself (``DataFrame.observe``), so no second job is needed to size it.
+    The row count, size estimate and extra ``metrics`` are observed by the
+    write job itself (``DataFrame.observe``), so no second job sizes it.
     """
     path = scratch_path(df.sparkSession, label)
     obs = Observation(f"fleetlens-{label}")
-    exprs = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in (metrics or {}).items()]
+    exprs = [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")]
+    exprs += [c.alias(k) for k, c in (metrics or {}).items()]
     df.observe(obs, *exprs).write.mode("error").parquet(path)
     got = dict(obs.get)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
-    return Table(back, int(got.pop("rows")), got)
+    return Table(back, int(got.pop("rows")), int(got.pop("bytes")), got)
 
 
-def broadcast_within(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, bound: int | None = None) -> DataFrame:
-    """Broadcast hint only when the row count is proven to be <= ``max_rows``.
+def broadcast_within(df: DataFrame, max_bytes: int | None = None, bound: int | None = None) -> DataFrame:
+    """Broadcast hint only when the estimated size is proven <= ``max_bytes``
+    (default: the session's broadcast threshold).
 
-    ``bound`` is a known upper bound on the rows (an observed count, or the
-    size of the table the frame was derived from by a distinct). Without one,
-    or when it is too loose, the frame is counted. Over the limit the frame is
-    returned unhinted and the join stays a shuffle join (AQE may split skew).
+    ``bound`` is a known upper bound on the size (observed while the table was
+    written, or the size of the table the frame was derived from by a
+    projection + distinct). Without one, or when it is too loose, the frame is
+    measured. Over the limit the frame is returned unhinted and the join stays
+    a shuffle join (AQE may still split skewed partitions).
     """
-    if bound is None or bound > max_rows:
-        bound = df.count()
-    return F.broadcast(df) if bound <= max_rows else df
+    limit = broadcast_limit(df.sparkSession) if max_bytes is None else max_bytes
+    if limit <= 0:
+        return df
+    if bound is None or bound > limit:
+        bound = df.select(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()["b"]
+    return F.broadcast(df) if bound <= limit else df
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Count, then broadcast if small (for frames with no known bound)."""
-    return broadcast_within(df, max_rows)
+def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Measure, then broadcast if small (for frames with no known bound)."""
+    return broadcast_within(df, max_bytes)

@@ -35,3 +35,43 @@ def test_profiles_read_only_reduced_tables(spark):
     plan = _plan(df)
     assert "events.parquet" not in plan  # raw data was reduced and written before
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan or "AdaptiveSparkPlan" in plan
+
+
+def _key(r):
+    return tuple((x is None, str(x)) for x in r)
+
+
+@pytest.mark.parametrize("limit", [0, 1])
+def test_over_broadcast_limit_same_results(spark, edge, edge_model, limit):
+    from fleetlens.plans.model import UsageModel
+
+    m = UsageModel(edge, max_broadcast_bytes=limit)
+    assert "broadcast" not in m._hm_small._jdf.queryExecution().logical().toString().lower()
+    assert sorted(map(tuple, m.fleet_report().collect()), key=_key) == sorted(
+        map(tuple, edge_model.fleet_report().collect()), key=_key
+    )
+    assert sorted(map(tuple, m.host_rows().collect()), key=_key) == sorted(map(tuple, edge_model.host_rows().collect()), key=_key)
+
+
+def test_broadcast_limit_from_session(spark):
+    from fleetlens.runtime import broadcast_limit
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20MB")
+        assert broadcast_limit(spark) == 20 * 1024 * 1024
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert broadcast_limit(spark) == -1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_hourly_profile_plan_shape(spark):
+    df = QUERIES["hourly_profile_host"](spark, SF_SMALL)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    # one shuffle for the final aggregation; the membership map is broadcast
+    shuffles = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln or "ShuffleQueryStage" in ln]
+    assert 1 <= len(shuffles) <= 2, plan
+    assert "BroadcastHashJoin" in plan
