@@ -41,37 +41,21 @@ class UsageModel:
         ``fleetlens.streaming``). It is written once more so that its size
         is known; row-level splits need the samples and are not available."""
         model = cls(None, **kwargs)
-        is_name = F.col("profile") == agg.ALL
-        model.__dict__["_buckets"] = materialize(
-            buckets.select(*agg.BUCKET_COLUMNS),
-            "buckets",
-            {
-                "names": F.sum(F.when(is_name, 1)),
-                "name_bytes": F.sum(F.when(is_name, F.octet_length(SERVER) + 24)),
-                "key_lengths": F.collect_set(F.when(is_name, F.length(client_key(SERVER)))),
-            },
-        )
+        model.__dict__["_buckets"] = materialize(buckets.select(*agg.BUCKET_COLUMNS), "buckets", _bucket_metrics())
         return model
 
     # -- reduced tables ----------------------------------------------------
     @cached_property
     def _buckets(self) -> Table:
-        is_name = F.col("profile") == agg.ALL
-        return materialize(
-            agg.server_buckets(self.samples),
-            "buckets",
-            {
-                # observed by the same write job: sizes the client-key table
-                "names": F.sum(F.when(is_name, 1)),
-                "name_bytes": F.sum(F.when(is_name, F.octet_length(SERVER) + 24)),
-                "key_lengths": F.collect_set(F.when(is_name, F.length(client_key(SERVER)))),
-            },
-        )
+        return materialize(agg.server_buckets(self.samples), "buckets", _bucket_metrics())
 
     @property
     def buckets(self) -> DataFrame:
         return self._buckets.df
 
+    def _bound(self, name: str) -> int:
+        return int(self._buckets.metrics[name] or 0)
+
     @cached_property
     def clients(self) -> DataFrame:
         """Client keys of ALL rows, from the per-name rows of ``buckets``."""
@@ -83,47 +67,35 @@ class UsageModel:
         return self.buckets.where((F.col("profile") == agg.ALL) & F.col("has_total")).select(SERVER)
 
     @cached_property
-    def _client_members(self) -> Table:
-        if self.membership == "positional":
-            cm = membership.positional_client_members(self.names)
-        else:
-            # client keys are a distinct over a prefix of the names: no larger
-            # than the per-name rows of the bucket table
-            small = broadcast_within(self.clients, self.max_broadcast_bytes, bound=self._buckets.metrics["name_bytes"] or 0)
-            lengths = sorted(n for n in self._buckets.metrics["key_lengths"] if n and n > 0)
-            cm = membership.client_members(self.names, small, lengths or [3])
-        return materialize(cm, "client-members")
-
-    @property
     def client_members(self) -> DataFrame:
-        return self._client_members.df
+        """(server_name, client); a names-level join over the written bucket
+        table, cheap to recompute, so it is not written itself."""
+        if self.membership == "positional":
+            return membership.positional_client_members(self.names)
+        small = broadcast_within(self.clients, self.max_broadcast_bytes, bound=self._bound("client_key_bytes"))
+        lengths = sorted(n for n in self._buckets.metrics["key_lengths"] if n and n > 0)
+        return membership.client_members(self.names, small, lengths or [3])
 
     @cached_property
     def host_keys(self) -> DataFrame:
         return keys.host_keys(self.client_members)
 
     @cached_property
-    def _host_members(self) -> Table:
-        if self.membership == "positional":
-            hm = membership.positional_host_members(self.client_members)
-        else:
-            # host keys are a distinct over a projection of the client-member
-            # rows: no larger than that table
-            small = broadcast_within(self.host_keys, self.max_broadcast_bytes, bound=self._client_members.bytes)
-            hm = membership.host_members(self.client_members, small)
-        return materialize(hm, "host-members")
-
-    @property
     def host_members(self) -> DataFrame:
-        return self._host_members.df
+        """(server_name, client, host)."""
+        if self.membership == "positional":
+            return membership.positional_host_members(self.client_members)
+        # host keys are a distinct over a projection of the client members
+        small = broadcast_within(self.host_keys, self.max_broadcast_bytes, bound=self._bound("client_member_bytes"))
+        return membership.host_members(self.client_members, small)
 
     @cached_property
     def _cm_small(self) -> DataFrame:
-        return broadcast_within(self.client_members, self.max_broadcast_bytes, bound=self._client_members.bytes)
+        return broadcast_within(self.client_members, self.max_broadcast_bytes, bound=self._bound("client_member_bytes"))
 
     @cached_property
     def _hm_small(self) -> DataFrame:
-        return broadcast_within(self.host_members, self.max_broadcast_bytes, bound=self._host_members.bytes)
+        return broadcast_within(self.host_members, self.max_broadcast_bytes, bound=self._bound("host_member_bytes"))
 
     # -- row-level splits ------------------------------------------------
     def client_rows(self) -> DataFrame:
@@ -214,3 +186,29 @@ class UsageModel:
 
 def divisors() -> dict[str, int]:
     return dict(PROFILE_DIVISORS)
+
+
+def _bucket_metrics() -> dict:
+    """Observed while the bucket table is written; upper bounds (estimated
+    bytes, as ``runtime.row_bytes`` counts them) for the tables derived from
+    it, so none of them needs a sizing job:
+
+    * client keys: one short string per name at most;
+    * client members: a name of L characters contains at most 3L distinct keys
+      (substrings of length 1-3), each row the name, a key of <= 12 bytes and
+      the row overhead;
+    * host members: each client-member row matches at most L distinct
+      characters, each row one more string of <= 4 bytes.
+    """
+    is_name = F.col("profile") == agg.ALL
+    with_total = is_name & F.col("has_total")
+    n = F.length(SERVER).cast("long")
+    b = F.octet_length(SERVER).cast("long")
+    cm_row = b + F.lit(16 + 8 + 12 + 8)
+    return {
+        "names": F.sum(F.when(is_name, 1)),
+        "client_key_bytes": F.sum(F.when(is_name, F.lit(16 + 8 + 12))),
+        "client_member_bytes": F.sum(F.when(with_total, F.lit(3) * n * cm_row)),
+        "host_member_bytes": F.sum(F.when(with_total, F.lit(3) * n * n * (cm_row + F.lit(12)))),
+        "key_lengths": F.collect_set(F.when(is_name, F.length(client_key(SERVER)))),
+    }
