@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,12 +29,42 @@ REPORT_COLUMNS = ("client", "host", "profile", "bucket", "total", "value")
 class UsageModel:
     """Lazily built; each reduced table is computed and written once, on first use."""
 
-    def __init__(self, samples: DataFrame | None, membership: str = "contains", max_broadcast_bytes: int | None = None):
+    def __init__(
+        self,
+        samples: DataFrame | None,
+        membership: str = "contains",
+        max_broadcast_bytes: int | None = None,
+        reuse_members: bool = False,
+    ):
+        """``reuse_members``: keep the (names-level) membership maps cached
+        for many reports from one model; the first report's job fills the
+        cache, ``close()`` releases it. Off by default: each report then
+        re-derives them from the written bucket table (cheap, nothing held)."""
         if membership not in ("contains", "positional"):
             raise ValueError("membership must be 'contains' or 'positional'")
         self.samples = samples
         self.membership = membership
         self.max_broadcast_bytes = max_broadcast_bytes  # None: the session's broadcast threshold
+        self.reuse_members = reuse_members
+        self._held: list[DataFrame] = []
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        if not self.reuse_members:
+            return df
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        self._held.append(df)
+        return df
+
+    def close(self) -> None:
+        for df in self._held:
+            df.unpersist()
+        self._held.clear()
+
+    def __enter__(self) -> UsageModel:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
 
     @classmethod
     def from_buckets(cls, buckets: DataFrame, **kwargs) -> UsageModel:
@@ -71,10 +102,10 @@ class UsageModel:
         """(server_name, client); a names-level join over the written bucket
         table, cheap to recompute, so it is not written itself."""
         if self.membership == "positional":
-            return membership.positional_client_members(self.names)
+            return self._keep(membership.positional_client_members(self.names))
         small = broadcast_within(self.clients, self.max_broadcast_bytes, bound=self._bound("client_key_bytes"))
         lengths = sorted(n for n in self._buckets.metrics["key_lengths"] if n and n > 0)
-        return membership.client_members(self.names, small, lengths or [3])
+        return self._keep(membership.client_members(self.names, small, lengths or [3]))
 
     @cached_property
     def host_keys(self) -> DataFrame:
@@ -84,10 +115,10 @@ class UsageModel:
     def host_members(self) -> DataFrame:
         """(server_name, client, host)."""
         if self.membership == "positional":
-            return membership.positional_host_members(self.client_members)
+            return self._keep(membership.positional_host_members(self.client_members))
         # host keys are a distinct over a projection of the client members
         small = broadcast_within(self.host_keys, self.max_broadcast_bytes, bound=self._bound("client_member_bytes"))
-        return membership.host_members(self.client_members, small)
+        return self._keep(membership.host_members(self.client_members, small))
 
     @cached_property
     def _cm_small(self) -> DataFrame:

@@ -116,3 +116,14 @@ def test_zero_denominator_share_is_null(spark):
     m = UsageModel(spark.createDataFrame(data, CANONICAL_SCHEMA))
     assert {r.pct for r in m.host_share().collect()} == {None}
     assert {r.pct for r in m.client_share().collect()} == {None}
+
+
+def test_reuse_members_same_results_and_released(spark, edge, edge_model):
+    from fleetlens.plans.model import UsageModel
+
+    with UsageModel(edge, reuse_members=True) as m:
+        assert rows(m.fleet_report()) == rows(edge_model.fleet_report())
+        assert rows(m.host_rows()) == rows(edge_model.host_rows())
+        held = list(m._held)
+        assert held and all(df.is_cached for df in held)
+    assert not any(df.is_cached for df in held)
