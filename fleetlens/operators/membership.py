@@ -49,6 +49,22 @@ def positional_host_members(client_members: DataFrame) -> DataFrame:
     return client_members.select(SERVER, "client", host_key(SERVER).alias("host")).where(F.col("host") != "")
 
 
-def attach(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """Row-level split: every row once per group its name belongs to."""
-    return rows.join(members, SERVER)
+DEFAULT_SALTS = 64
+
+
+def attach(rows: DataFrame, members: DataFrame, broadcast: bool = True, salts: int = DEFAULT_SALTS) -> DataFrame:
+    """Row-level split: every row once per group its name belongs to.
+
+    With ``broadcast`` (the caller proved ``members`` small) this is a
+    broadcast hash join: no shuffle of the rows at all. Otherwise it is a
+    salted shuffle join, so that a server holding a large share of all rows is
+    spread over ``salts`` partitions: each row gets a deterministic salt (a
+    hash of its own values, stable under task retries) and every membership
+    row is replicated once per salt (``explode``, not a cross join).
+    """
+    if broadcast:
+        return rows.join(F.broadcast(members), SERVER)
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts)).cast("int")
+    salted_rows = rows.withColumn("_salt", salt)
+    salted_members = members.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted_rows.join(salted_members, [SERVER, "_salt"]).drop("_salt")

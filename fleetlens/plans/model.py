@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.columns import PROFILE_DIVISORS, PROFILES, SERVER, as_double, client_key
 from fleetlens.operators import aggregates as agg
 from fleetlens.operators import filters, keys, membership, shares
-from fleetlens.runtime import Table, broadcast_within, materialize
+from fleetlens.runtime import Table, broadcast_within, fits_broadcast, materialize
 
 REPORT_COLUMNS = ("client", "host", "profile", "bucket", "total", "value")
 
@@ -121,23 +121,31 @@ class UsageModel:
         return self._keep(membership.host_members(self.client_members, small))
 
     @cached_property
-    def _cm_small(self) -> DataFrame:
-        return broadcast_within(self.client_members, self.max_broadcast_bytes, bound=self._bound("client_member_bytes"))
+    def _cm_fits(self) -> bool:
+        return fits_broadcast(self.client_members, self.max_broadcast_bytes, bound=self._bound("client_member_bytes"))
 
     @cached_property
+    def _hm_fits(self) -> bool:
+        return fits_broadcast(self.host_members, self.max_broadcast_bytes, bound=self._bound("host_member_bytes"))
+
+    @property
+    def _cm_small(self) -> DataFrame:
+        return F.broadcast(self.client_members) if self._cm_fits else self.client_members
+
+    @property
     def _hm_small(self) -> DataFrame:
-        return broadcast_within(self.host_members, self.max_broadcast_bytes, bound=self._bound("host_member_bytes"))
+        return F.broadcast(self.host_members) if self._hm_fits else self.host_members
 
     # -- row-level splits ------------------------------------------------
     def client_rows(self) -> DataFrame:
         """Every ``_Total`` row once per client whose key its name contains."""
         rows = filters.filter_total(self.samples)
-        return membership.attach(rows, self._cm_small).select("client", *self.samples.columns)
+        return membership.attach(rows, self.client_members, broadcast=self._cm_fits).select("client", *self.samples.columns)
 
     def host_rows(self) -> DataFrame:
         """Every ``_Total`` row once per (client, host) it belongs to."""
         rows = filters.filter_total(self.samples)
-        return membership.attach(rows, self._hm_small).select("client", "host", *self.samples.columns)
+        return membership.attach(rows, self.host_members, broadcast=self._hm_fits).select("client", "host", *self.samples.columns)
 
     # -- profiles ----------------------------------------------------------
     def profile(self, part: str, level: str = "host", divisor: float | None = None) -> DataFrame:

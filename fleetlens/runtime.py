@@ -127,6 +127,18 @@ def materialize(df: DataFrame, label: str, metrics: Mapping[str, Column] | None
     return Table(back, int(got.pop("rows")), int(got.pop("bytes")), got)
 
 
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None, bound: int | None = None) -> bool:
+    """Whether ``df``'s estimated size is proven <= ``max_bytes`` (default: the
+    session's broadcast threshold), using ``bound`` when it is tight enough
+    and measuring the frame otherwise."""
+    limit = broadcast_limit(df.sparkSession) if max_bytes is None else max_bytes
+    if limit <= 0:
+        return False
+    if bound is None or bound > limit:
+        bound = df.select(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()["b"]
+    return bound <= limit
+
+
 def broadcast_within(df: DataFrame, max_bytes: int | None = None, bound: int | None = None) -> DataFrame:
     """Broadcast hint only when the estimated size is proven <= ``max_bytes``
     (default: the session's broadcast threshold).
@@ -137,12 +149,7 @@ def broadcast_within(df: DataFrame, max_bytes: int | None = None, bound: int | N
     measured. Over the limit the frame is returned unhinted and the join stays
     a shuffle join (AQE may still split skewed partitions).
     """
-    limit = broadcast_limit(df.sparkSession) if max_bytes is None else max_bytes
-    if limit <= 0:
-        return df
-    if bound is None or bound > limit:
-        bound = df.select(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()["b"]
-    return F.broadcast(df) if bound <= limit else df
+    return F.broadcast(df) if fits_broadcast(df, max_bytes, bound) else df
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:

@@ -50,7 +50,12 @@ def test_over_broadcast_limit_same_results(spark, edge, edge_model, limit):
     assert sorted(map(tuple, m.fleet_report().collect()), key=_key) == sorted(
         map(tuple, edge_model.fleet_report().collect()), key=_key
     )
-    assert sorted(map(tuple, m.host_rows().collect()), key=_key) == sorted(map(tuple, edge_model.host_rows().collect()), key=_key)
+    hr = m.host_rows()
+    assert "xxhash64" in hr._jdf.queryExecution().executedPlan().toString()  # salted shuffle join
+    assert sorted(map(tuple, hr.collect()), key=_key) == sorted(map(tuple, edge_model.host_rows().collect()), key=_key)
+    assert sorted(map(tuple, m.client_rows().collect()), key=_key) == sorted(
+        map(tuple, edge_model.client_rows().collect()), key=_key
+    )
 
 
 def test_broadcast_limit_from_session(spark):

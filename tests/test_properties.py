@@ -73,3 +73,28 @@ def test_partitioning_does_not_change_results(spark):
     b = UsageModel(s.repartition(7)).fleet_report()
     key = lambda r: tuple((x is None, str(x)) for x in r)
     assert sorted(map(tuple, a.collect()), key=key) == sorted(map(tuple, b.collect()), key=key)
+
+
+def test_salted_split_spreads_a_hot_server(spark):
+    """One server with most of the rows: the salted join spreads it over many
+    partitions and still returns every row once per group."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from fleetlens.operators.membership import attach
+
+    hot = [("aig-A0", "_Total", dt.datetime(2021, 8, 1, i % 24, i % 60), float(i)) for i in range(2000)]
+    cold = [("eti-B0", "_Total", dt.datetime(2021, 8, 1, 1), 1.0)]
+    rows_df = spark.createDataFrame(hot + cold, CANONICAL_SCHEMA)
+    members = spark.createDataFrame([("aig-A0", "aig", "A"), ("eti-B0", "eti", "B")], "server_name string, client string, host string")
+    out = attach(rows_df, members, broadcast=False, salts=16)
+    assert out.count() == 2001
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "false")  # keep the shuffle's partitions visible
+        per_part = out.where(F.col("server_name") == "aig-A0").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set(key, old)
+    assert len(per_part) >= 4 and max(r["count"] for r in per_part) < 2000 * 0.6
