@@ -83,12 +83,15 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 
 def row_bytes(df: DataFrame) -> Column:
-    """Per-row size estimate of ``df`` in memory: byte length of every string,
-    8 bytes for any other field, 16 bytes of row overhead."""
+    """Per-row size estimate of ``df`` in memory (Spark's row format): byte
+    length + 8 for every string, 24 for a decimal wider than 18 digits, 8 for
+    any other flat field, 16 bytes of row overhead."""
     parts = [F.lit(16)]
     for f in df.schema.fields:
         if isinstance(f.dataType, T.StringType):
             parts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + F.lit(8))
+        elif isinstance(f.dataType, T.DecimalType) and f.dataType.precision > 18:
+            parts.append(F.lit(24))
         else:
             parts.append(F.lit(8))
     total = parts[0]

@@ -9,7 +9,7 @@ from fleetlens.plans.model import UsageModel
 from fleetlens.sources.scan import CANONICAL_SCHEMA
 from loop_model import fleet
 
-ALPHA = "abAB-0"
+ALPHA = "abAB-0é字"
 name_st = st.one_of(st.none(), st.text(alphabet=ALPHA, min_size=0, max_size=8))
 row_st = st.tuples(
     name_st,
