@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions.columns import MONTH_HOURS, SERVER, WEEK_HOURS, as_double, percent, round_half_up
@@ -30,11 +30,11 @@ def host_share(host_totals: DataFrame, digits: int = 1) -> DataFrame:
     """Each host's percent of the SUM OF ITS CLIENT'S HOST TOTALS (with
     overlapping names this exceeds the client total, as in the original).
 
-    The per-client denominator is a grouped sum joined back on the client, so
-    no client's hosts have to meet in one task."""
-    denom = host_totals.groupBy("client").agg(F.sum("total").alias("client_sum"))
-    pct = percent("total", "client_sum")
-    return host_totals.join(denom, "client").select(
+    The denominator is a window sum per client. A window group holds one row
+    per host of the client, and host keys are single characters, so the group
+    stays small however many samples the client has."""
+    pct = percent("total", F.sum("total").over(Window.partitionBy("client")))
+    return host_totals.select(
         "client", "host", as_double("total").alias("total"), pct.alias("pct"), round_half_up(pct, digits).alias("pct_1dp")
     )
 

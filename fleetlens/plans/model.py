@@ -15,10 +15,10 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.functions.columns import PROFILE_DIVISORS, PROFILES, SERVER, as_double, client_key
+from fleetlens.functions.columns import PROFILE_DIVISORS, PROFILES, SERVER, as_double, client_key, percent
 from fleetlens.operators import aggregates as agg
 from fleetlens.operators import filters, keys, membership, shares
 from fleetlens.runtime import Table, broadcast_within, fits_broadcast, materialize
@@ -189,25 +189,22 @@ class UsageModel:
         """Tidy chart data for every client and host:
         ``(client, host, profile, bucket, total, value)``; profile is ``hour``,
         ``weekday``, ``monthday`` (value = total / divisor) or ``share``
-        (bucket null, value = percent of the client's host sum)."""
+        (bucket null, value = percent of the client's host sum).
+
+        One join + one aggregation yields every profile point and the host
+        totals; the share denominators are a window sum per client over those
+        rows (at most hosts x 63 of them, hosts being single characters)."""
         r = self.host_rollup()
-        prof = r.where(F.col("profile") != agg.ALL).select(
+        is_all = F.col("profile") == agg.ALL
+        client_sum = F.sum(F.when(is_all, F.col("total"))).over(Window.partitionBy("client"))
+        return r.select(
             "client",
             "host",
-            "profile",
+            F.when(is_all, F.lit("share")).otherwise(F.col("profile")).alias("profile"),
             "bucket",
             as_double("total").alias("total"),
-            (as_double("total") / agg.divisor_of("profile")).alias("value"),
-        )
-        share = shares.host_share(r.where(F.col("profile") == agg.ALL).select("client", "host", "total")).select(
-            "client",
-            "host",
-            F.lit("share").alias("profile"),
-            F.lit(None).cast("int").alias("bucket"),
-            "total",
-            F.col("pct").alias("value"),
+            F.when(is_all, percent("total", client_sum)).otherwise(as_double("total") / agg.divisor_of("profile")).alias("value"),
         )
-        return prof.unionByName(share)
 
     def fleet_report(self) -> DataFrame:
         """Every client's report plus one ``client_share`` row per client
