@@ -39,10 +39,10 @@ def canonicalize(df: DataFrame, mapping: Mapping[str, str] | None = None, metric
     fields = {f.name: f.dataType for f in df.schema.fields}
 
     def source(target: str):
-        name = by_target.get(target, target)
-        if name not in fields:
-            raise ValueError(f"column {name!r} (for {target}) not in {sorted(fields)}")
-        return name, fields[name]
+        for name in (by_target.get(target), target):
+            if name is not None and name in fields:
+                return name, fields[name]
+        raise ValueError(f"no column for {target} (looked for {by_target.get(target)!r}) in {sorted(fields)}")
 
     name, _ = source(SERVER)
     server = F.col(f"`{name}`").cast("string").alias(SERVER)

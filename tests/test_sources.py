@@ -38,7 +38,7 @@ def test_scan_prunes_and_pushes(spark):
     spark.createDataFrame(EDGE_ROWS, CANONICAL_SCHEMA).withColumn("extra", F.lit("x")).write.parquet(d)
     from fleetlens.operators.filters import filter_total
 
-    df = filter_total(scan.scan_metrics(spark, d, mapping={}))
+    df = filter_total(scan.scan_metrics(spark, d))  # canonical names need no mapping
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "StringContains(processor,_Total)" in plan
     assert "extra" not in plan.split("ReadSchema:")[1].split("\n")[0]
