@@ -18,7 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.functions.columns import PROFILE_DIVISORS, PROFILES, SERVER, as_double, client_key, percent
+from fleetlens.functions.columns import PROFILES, SERVER, as_double, client_key, percent
 from fleetlens.operators import aggregates as agg
 from fleetlens.operators import filters, keys, membership, shares
 from fleetlens.runtime import Table, broadcast_within, fits_broadcast, materialize
@@ -27,7 +27,9 @@ REPORT_COLUMNS = ("client", "host", "profile", "bucket", "total", "value")
 
 
 class UsageModel:
-    """Lazily built; each reduced table is computed and written once, on first use."""
+    """Reports over one sample table. Nothing runs until the first report is
+    asked for; the bucket table is then written once and every later report
+    reads it."""
 
     def __init__(
         self,
@@ -220,10 +222,6 @@ class UsageModel:
         return self.client_report().unionByName(cs)
 
 
-def divisors() -> dict[str, int]:
-    return dict(PROFILE_DIVISORS)
-
-
 def _bucket_metrics() -> dict:
     """Observed while the bucket table is written; upper bounds (estimated
     bytes, as ``runtime.row_bytes`` counts them) for the tables derived from
