@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.columns import METRIC, PROCESSOR, PROFILE_DIVISORS, PROFILES, SERVER, TIME, as_double, date_part, is_total
+from fleetlens.operators.joins import keyed_join
 
 ALL = "all"  # profile name of the per-server grand total rows
 BUCKET_COLUMNS = ("server_name", "profile", "bucket", "total", "has_total")
@@ -68,21 +69,32 @@ def divisor_of(profile_col: str = "profile"):
     return expr
 
 
-def profile_rollup(buckets: DataFrame, members: DataFrame, keys: Sequence[str], profiles: Sequence[str] = PROFILES) -> DataFrame:
+def profile_rollup(
+    buckets: DataFrame, members: DataFrame, keys: Sequence[str], profiles: Sequence[str] = PROFILES, broadcast: bool = True
+) -> DataFrame:
     """Sum per-server bucket totals over group members:
-    ``(keys..., profile, bucket, total)`` with total still in the metric type."""
+    ``(keys..., profile, bucket, total)`` with total still in the metric type.
+    Both sides have few rows per server, so a non-broadcast join needs no salt."""
     b = buckets.where(F.col("profile").isin(list(profiles)))
-    return b.join(members, SERVER).groupBy(*keys, "profile", "bucket").agg(F.sum("total").alias("total"))
-
-
-def profile(buckets: DataFrame, members: DataFrame, keys: Sequence[str], part: str, divisor: float | None = None) -> DataFrame:
+    joined = keyed_join(b, members, SERVER, broadcast=broadcast)
+    return joined.groupBy(*keys, "profile", "bucket").agg(F.sum("total").alias("total"))
+
+
+def profile(
+    buckets: DataFrame,
+    members: DataFrame,
+    keys: Sequence[str],
+    part: str,
+    divisor: float | None = None,
+    broadcast: bool = True,
+) -> DataFrame:
     """One profile: ``(keys..., <part>, total, value = total / divisor)``.
 
     Only buckets present in the data appear (no zero fill); an all-null bucket
     gives a null total and value.
     """
     d = PROFILE_DIVISORS[part] if divisor is None else divisor
-    r = profile_rollup(buckets, members, keys, [part])
+    r = profile_rollup(buckets, members, keys, [part], broadcast=broadcast)
     return r.select(
         *keys,
         F.col("bucket").alias(part),

@@ -20,23 +20,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.columns import SERVER, client_key, host_key, substrings
+from fleetlens.operators.joins import DEFAULT_SALTS, keyed_join
 
 
-def client_members(names: DataFrame, clients: DataFrame, key_lengths: Iterable[int] = (1, 2, 3)) -> DataFrame:
+def client_members(
+    names: DataFrame,
+    clients: DataFrame,
+    key_lengths: Iterable[int] = (1, 2, 3),
+    broadcast: bool = True,
+    salts: int = DEFAULT_SALTS,
+) -> DataFrame:
     """(server_name, client) for every distinct name and every client key it
     contains. ``names`` has one row per name; ``clients`` one row per key and
-    ``key_lengths`` must cover the lengths of the keys."""
+    ``key_lengths`` must cover the lengths of the keys. ``broadcast``: the key
+    table is proven small; otherwise a salted sort-merge join (many names may
+    share one client key)."""
     lengths = sorted(set(key_lengths))
     cand = F.array_distinct(F.concat(*[F.coalesce(substrings(SERVER, k), F.array().cast("array<string>")) for k in lengths]))
     exploded = names.select(SERVER, F.explode(cand).alias("client"))
-    return exploded.join(clients.select("client"), "client").select(SERVER, "client")
+    return keyed_join(exploded, clients.select("client"), "client", broadcast=broadcast, salts=salts).select(SERVER, "client")
 
 
-def host_members(client_members: DataFrame, hosts: DataFrame) -> DataFrame:
+def host_members(client_members: DataFrame, hosts: DataFrame, broadcast: bool = True, salts: int = DEFAULT_SALTS) -> DataFrame:
     """(server_name, client, host) for every host key of the name's client
     that occurs anywhere in the name (host keys are single characters)."""
     chars = client_members.select(SERVER, "client", F.explode(F.array_distinct(substrings(SERVER, 1))).alias("host"))
-    return chars.join(hosts.select("client", "host"), ["client", "host"]).select(SERVER, "client", "host")
+    joined = keyed_join(chars, hosts.select("client", "host"), ["client", "host"], broadcast=broadcast, salts=salts)
+    return joined.select(SERVER, "client", "host")
 
 
 def positional_client_members(names: DataFrame) -> DataFrame:
@@ -49,22 +59,10 @@ def positional_host_members(client_members: DataFrame) -> DataFrame:
     return client_members.select(SERVER, "client", host_key(SERVER).alias("host")).where(F.col("host") != "")
 
 
-DEFAULT_SALTS = 64
-
-
 def attach(rows: DataFrame, members: DataFrame, broadcast: bool = True, salts: int = DEFAULT_SALTS) -> DataFrame:
     """Row-level split: every row once per group its name belongs to.
 
-    With ``broadcast`` (the caller proved ``members`` small) this is a
-    broadcast hash join: no shuffle of the rows at all. Otherwise it is a
-    salted shuffle join, so that a server holding a large share of all rows is
-    spread over ``salts`` partitions: each row gets a deterministic salt (a
-    hash of its own values, stable under task retries) and every membership
-    row is replicated once per salt (``explode``, not a cross join).
-    """
-    if broadcast:
-        return rows.join(F.broadcast(members), SERVER)
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts)).cast("int")
-    salted_rows = rows.withColumn("_salt", salt)
-    salted_members = members.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_rows.join(salted_members, [SERVER, "_salt"]).drop("_salt")
+    With ``broadcast`` (the caller proved ``members`` small) the rows are not
+    shuffled at all. Otherwise the join is salted, so a server holding a large
+    share of all rows is spread over ``salts`` partitions."""
+    return keyed_join(rows, members, SERVER, broadcast=broadcast, salts=salts)

@@ -7,23 +7,33 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.columns import MONTH_HOURS, SERVER, WEEK_HOURS, as_double, percent, round_half_up
 from fleetlens.operators.aggregates import ALL
+from fleetlens.operators.joins import keyed_join
 
 
 def _server_totals(buckets: DataFrame) -> DataFrame:
     return buckets.where(F.col("profile") == ALL).select(SERVER, "total")
 
 
-def host_totals(buckets: DataFrame, host_members: DataFrame) -> DataFrame:
+def host_totals(buckets: DataFrame, host_members: DataFrame, broadcast: bool = True) -> DataFrame:
     """(client, host, total): a host's sum over every name it occurs in."""
-    return _server_totals(buckets).join(host_members, SERVER).groupBy("client", "host").agg(F.sum("total").alias("total"))
+    joined = keyed_join(_server_totals(buckets), host_members, SERVER, broadcast=broadcast)
+    return joined.groupBy("client", "host").agg(F.sum("total").alias("total"))
 
 
-def client_totals(buckets: DataFrame, client_members: DataFrame, clients: DataFrame) -> DataFrame:
+def client_totals(
+    buckets: DataFrame,
+    client_members: DataFrame,
+    clients: DataFrame,
+    broadcast: bool = True,
+    broadcast_sums: bool = True,
+) -> DataFrame:
     """(client, total) from client membership (not from the host split, which
     counts overlapping names twice). Clients with no ``_Total`` rows keep a
-    null total."""
-    sums = _server_totals(buckets).join(client_members, SERVER).groupBy("client").agg(F.sum("total").alias("total"))
-    return clients.select("client").join(sums, "client", "left")
+    null total. ``broadcast`` / ``broadcast_sums``: the membership map / the
+    per-client sums are proven small."""
+    joined = keyed_join(_server_totals(buckets), client_members, SERVER, broadcast=broadcast)
+    sums = joined.groupBy("client").agg(F.sum("total").alias("total"))
+    return keyed_join(clients.select("client"), sums, "client", broadcast=broadcast_sums, how="left")
 
 
 def host_share(host_totals: DataFrame, digits: int = 1) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.columns import PROFILES, SERVER, as_double, client_key, percent
 from fleetlens.operators import aggregates as agg
 from fleetlens.operators import filters, keys, membership, shares
-from fleetlens.runtime import Table, broadcast_within, fits_broadcast, materialize
+from fleetlens.runtime import Table, fits_broadcast, materialize
 
 REPORT_COLUMNS = ("client", "host", "profile", "bucket", "total", "value")
 
@@ -105,9 +105,9 @@ class UsageModel:
         table, cheap to recompute, so it is not written itself."""
         if self.membership == "positional":
             return self._keep(membership.positional_client_members(self.names))
-        small = broadcast_within(self.clients, self.max_broadcast_bytes, bound=self._bound("client_key_bytes"))
+        fits = self._fits(self.clients, "client_key_bytes")
         lengths = sorted(n for n in self._buckets.metrics["key_lengths"] if n and n > 0)
-        return self._keep(membership.client_members(self.names, small, lengths or [3]))
+        return self._keep(membership.client_members(self.names, self.clients, lengths or [3], broadcast=fits))
 
     @cached_property
     def host_keys(self) -> DataFrame:
@@ -119,24 +119,25 @@ class UsageModel:
         if self.membership == "positional":
             return self._keep(membership.positional_host_members(self.client_members))
         # host keys are a distinct over a projection of the client members
-        small = broadcast_within(self.host_keys, self.max_broadcast_bytes, bound=self._bound("client_member_bytes"))
-        return self._keep(membership.host_members(self.client_members, small))
+        fits = self._fits(self.host_keys, "client_member_bytes")
+        return self._keep(membership.host_members(self.client_members, self.host_keys, broadcast=fits))
+
+    def _fits(self, df: DataFrame, bound: str) -> bool:
+        return fits_broadcast(df, self.max_broadcast_bytes, bound=self._bound(bound))
 
     @cached_property
     def _cm_fits(self) -> bool:
-        return fits_broadcast(self.client_members, self.max_broadcast_bytes, bound=self._bound("client_member_bytes"))
+        return self._fits(self.client_members, "client_member_bytes")
 
     @cached_property
     def _hm_fits(self) -> bool:
-        return fits_broadcast(self.host_members, self.max_broadcast_bytes, bound=self._bound("host_member_bytes"))
-
-    @property
-    def _cm_small(self) -> DataFrame:
-        return F.broadcast(self.client_members) if self._cm_fits else self.client_members
+        return self._fits(self.host_members, "host_member_bytes")
 
-    @property
-    def _hm_small(self) -> DataFrame:
-        return F.broadcast(self.host_members) if self._hm_fits else self.host_members
+    @cached_property
+    def _client_sums_fit(self) -> bool:
+        # one row per client key: key, a decimal sum, row overhead
+        limit_bound = int(self._buckets.metrics["names"] or 0) * (16 + 20 + 24)
+        return fits_broadcast(self.clients, self.max_broadcast_bytes, bound=limit_bound)
 
     # -- row-level splits ------------------------------------------------
     def client_rows(self) -> DataFrame:
@@ -152,17 +153,19 @@ class UsageModel:
     # -- profiles ----------------------------------------------------------
     def profile(self, part: str, level: str = "host", divisor: float | None = None) -> DataFrame:
         if level == "host":
-            return agg.profile(self.buckets, self._hm_small, ["client", "host"], part, divisor)
+            return agg.profile(self.buckets, self.host_members, ["client", "host"], part, divisor, broadcast=self._hm_fits)
         if level == "client":
-            return agg.profile(self.buckets, self._cm_small, ["client"], part, divisor)
+            return agg.profile(self.buckets, self.client_members, ["client"], part, divisor, broadcast=self._cm_fits)
         raise ValueError("level must be 'host' or 'client'")
 
     # -- totals and shares -------------------------------------------------
     def host_totals_raw(self) -> DataFrame:
-        return shares.host_totals(self.buckets, self._hm_small)
+        return shares.host_totals(self.buckets, self.host_members, broadcast=self._hm_fits)
 
     def client_totals_raw(self) -> DataFrame:
-        return shares.client_totals(self.buckets, self._cm_small, self.clients)
+        return shares.client_totals(
+            self.buckets, self.client_members, self.clients, broadcast=self._cm_fits, broadcast_sums=self._client_sums_fit
+        )
 
     def host_totals(self) -> DataFrame:
         t = self.host_totals_raw()
@@ -185,7 +188,9 @@ class UsageModel:
     def host_rollup(self) -> DataFrame:
         """One join + one aggregation for all three profiles and the host
         totals: ``(client, host, profile, bucket, total)``."""
-        return agg.profile_rollup(self.buckets, self._hm_small, ["client", "host"], (*PROFILES, agg.ALL))
+        return agg.profile_rollup(
+            self.buckets, self.host_members, ["client", "host"], (*PROFILES, agg.ALL), broadcast=self._hm_fits
+        )
 
     def client_report(self) -> DataFrame:
         """Tidy chart data for every client and host:
