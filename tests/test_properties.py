@@ -98,3 +98,28 @@ def test_salted_split_spreads_a_hot_server(spark):
     finally:
         spark.conf.set(key, old)
     assert len(per_part) >= 4 and max(r["count"] for r in per_part) < 2000 * 0.6
+
+
+@SETTINGS
+@given(
+    st.lists(
+        st.tuples(
+            st.text(alphabet="abAB-0", min_size=5, max_size=8),
+            st.integers(0, 23),
+            st.integers(0, 100),
+        ),
+        min_size=1,
+        max_size=20,
+    )
+)
+def test_host_sum_at_least_client_total(spark, data):
+    # every name has a fifth character (a host key) and metrics are >= 0:
+    # overlap can only add, so the host totals of a client cover its total
+    rows = [(n, "_Total", dt.datetime(2021, 8, 2, h), float(v)) for n, h, v in data]
+    m = UsageModel(spark.createDataFrame(rows, CANONICAL_SCHEMA))
+    host_sum = {}
+    for r in m.host_totals().collect():
+        host_sum[r.client] = host_sum.get(r.client, 0.0) + r.total
+    for r in m.client_totals().collect():
+        if r.total is not None:
+            assert host_sum.get(r.client, 0.0) >= r.total - 1e-9
