@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Day names for Spark's dayofweek numbers 1..7 (1 = Sunday).
+WEEKDAY_NAMES = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]
+
 
 def _one(report: DataFrame, client: str, host: str | None, profile: str) -> DataFrame:
     cond = (F.col("client") == client) & (F.col("profile") == profile) & F.col("host").eqNullSafe(F.lit(host))
@@ -17,9 +20,13 @@ def _one(report: DataFrame, client: str, host: str | None, profile: str) -> Data
 
 
 def chart_series(report: DataFrame, client: str, host: str, profile: str) -> dict[str, list]:
-    """x = buckets present (sorted), y = values, for one profile chart."""
+    """x = buckets present (sorted), y = values, for one profile chart; a
+    weekday chart also gets ``labels`` matching its x values (1 = Sunday)."""
     pdf = _one(report, client, host, profile).orderBy("bucket").select("bucket", "value").toPandas()
-    return {"x": pdf["bucket"].values.tolist(), "y": pdf["value"].values.tolist()}
+    out = {"x": pdf["bucket"].values.tolist(), "y": pdf["value"].values.tolist()}
+    if profile == "weekday":
+        out["labels"] = [WEEKDAY_NAMES[int(d) - 1] for d in out["x"]]
+    return out
 
 
 def pie_slices(report: DataFrame, client: str) -> dict[str, list]:

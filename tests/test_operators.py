@@ -99,5 +99,7 @@ def test_chart_edge_helpers(edge_model):
     assert s["x"] == [0, 1] and abs(s["y"][0] - 40 / 31) < 1e-12
     p = pie_slices(rep, "aig")
     assert p["labels"] == ["A", "B"] and p["sizes"] == [45.0, 5.0] and abs(p["pct"][0] - 90.0) < 1e-9
+    w = chart_series(rep, "aig", "A", "weekday")
+    assert w["x"] == [1, 2] and w["labels"] == ["Sun", "Mon"]  # 2021-08-01 was a Sunday
     text = schema_text(edge_model.samples)
     assert "server_name: string" in text and "hr_time: timestamp_ntz" in text
