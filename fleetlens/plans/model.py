@@ -74,13 +74,16 @@ class UsageModel:
         ``fleetlens.streaming``). It is written once more so that its size
         is known; row-level splits need the samples and are not available."""
         model = cls(None, **kwargs)
-        model.__dict__["_buckets"] = materialize(buckets.select(*agg.BUCKET_COLUMNS), "buckets", _bucket_metrics())
+        model.__dict__["_buckets"] = materialize(
+            buckets.select(*agg.BUCKET_COLUMNS), "buckets", _bucket_metrics(), partition_by=("profile",)
+        )
         return model
 
     # -- reduced tables ----------------------------------------------------
     @cached_property
     def _buckets(self) -> Table:
-        return materialize(agg.server_buckets(self.samples), "buckets", _bucket_metrics())
+        # one directory per profile: a report reads only the profiles it needs
+        return materialize(agg.server_buckets(self.samples), "buckets", _bucket_metrics(), partition_by=("profile",))
 
     @property
     def buckets(self) -> DataFrame:

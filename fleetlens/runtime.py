@@ -112,19 +112,26 @@ class Table:
     metrics: dict[str, Any] = field(default_factory=dict)
 
 
-def materialize(df: DataFrame, label: str, metrics: Mapping[str, Column] | None = None) -> Table:
+def materialize(
+    df: DataFrame, label: str, metrics: Mapping[str, Column] | None = None, partition_by: tuple[str, ...] = ()
+) -> Table:
     """Write ``df`` as Parquet under the checkpoint root and read it back.
 
     Cuts the lineage (a lost executor re-reads the written table instead of
     recomputing from the raw scan) and gives the planner the real file size.
     The row count, size estimate and extra ``metrics`` are observed by the
     write job itself (``DataFrame.observe``), so no second job sizes it.
+    ``partition_by`` columns become directories, so readers filtering on them
+    skip the other directories (partition pruning).
     """
     path = scratch_path(df.sparkSession, label)
     obs = Observation(f"fleetlens-{label}")
     exprs = [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")]
     exprs += [c.alias(k) for k, c in (metrics or {}).items()]
-    df.observe(obs, *exprs).write.mode("error").parquet(path)
+    writer = df.observe(obs, *exprs).write.mode("error")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
     got = dict(obs.get)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     return Table(back, int(got.pop("rows")), int(got.pop("bytes")), got)
