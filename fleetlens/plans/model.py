@@ -199,7 +199,9 @@ class UsageModel:
         """Tidy chart data for every client and host:
         ``(client, host, profile, bucket, total, value)``; profile is ``hour``,
         ``weekday``, ``monthday`` (value = total / divisor) or ``share``
-        (bucket null, value = percent of the client's host sum).
+        (bucket null, value = percent of the client's host sum). ``bucket``
+        is a double: one x-axis column for every chart, null where a chart
+        has no x (the same in every engine, unlike a nullable integer).
 
         One join + one aggregation yields every profile point and the host
         totals; the share denominators are a window sum per client over those
@@ -211,7 +213,7 @@ class UsageModel:
             "client",
             "host",
             F.when(is_all, F.lit("share")).otherwise(F.col("profile")).alias("profile"),
-            "bucket",
+            F.col("bucket").cast("double").alias("bucket"),
             as_double("total").alias("total"),
             F.when(is_all, percent("total", client_sum)).otherwise(as_double("total") / agg.divisor_of("profile")).alias("value"),
         )
@@ -223,7 +225,7 @@ class UsageModel:
             "client",
             F.lit(None).cast("string").alias("host"),
             F.lit("client_share").alias("profile"),
-            F.lit(None).cast("int").alias("bucket"),
+            F.lit(None).cast("double").alias("bucket"),
             "total",
             F.col("pct").alias("value"),
         )

@@ -61,7 +61,7 @@ def _round1(x: str) -> str:
 
 def _report_body() -> str:
     profs = " UNION ALL ".join(
-        f"SELECT client, host, '{p}' AS profile, {PART_SQL[p]} AS bucket, sum(avg_processor_time) AS total "
+        f"SELECT client, host, '{p}' AS profile, CAST({PART_SQL[p]} AS DOUBLE) AS bucket, sum(avg_processor_time) AS total "
         f"FROM hm WHERE hr_time IS NOT NULL GROUP BY client, host, {PART_SQL[p]}"
         for p in DIVISOR
     )
@@ -69,10 +69,10 @@ def _report_body() -> str:
        CAST(total AS DOUBLE) / CASE profile WHEN 'hour' THEN 31 WHEN 'weekday' THEN 96 ELSE 24 END AS value
 FROM ({profs}) p
 UNION ALL
-SELECT client, host, 'share' AS profile, CAST(NULL AS INTEGER) AS bucket, total, pct AS value FROM hs"""
+SELECT client, host, 'share' AS profile, CAST(NULL AS DOUBLE) AS bucket, total, pct AS value FROM hs"""
 
 
-SAMPLE_COLS = "server_name, processor, hr_time, avg_processor_time"
+SAMPLE_COLS = "server_name, processor, hr_time, CAST(avg_processor_time AS DOUBLE) AS avg_processor_time"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -81,26 +81,26 @@ def oracle_sql() -> dict[str, str]:
     fleet = (
         report
         + "\nUNION ALL\nSELECT client, CAST(NULL AS VARCHAR) AS host, 'client_share' AS profile, "
-        + "CAST(NULL AS INTEGER) AS bucket, total, pct AS value FROM cs"
+        + "CAST(NULL AS DOUBLE) AS bucket, total, pct AS value FROM cs"
     )
     share_ctes = (*MEMBERS, HOST_TOTALS, HOST_SHARE)
     fleet_ctes = (*share_ctes, CLIENT_TOTALS, CLIENT_SHARE)
     out = {
         "scan_metrics": _with(s, f"SELECT {SAMPLE_COLS} FROM samples"),
         "ingest_roundtrip": _with(s, f"SELECT {SAMPLE_COLS} FROM samples"),
-        "sql_select_all": _with(s, "SELECT * FROM samples"),
-        "cached_table_scan": _with(s, "SELECT * FROM samples"),
+        "sql_select_all": _with(s, f"SELECT {SAMPLE_COLS} FROM samples"),
+        "cached_table_scan": _with(s, f"SELECT {SAMPLE_COLS} FROM samples"),
         "report_sink_roundtrip": _with(fleet_ctes, fleet),
-        "filter_total": _with(s, "SELECT * FROM samples WHERE contains(processor, '_Total')"),
+        "filter_total": _with(s, f"SELECT {SAMPLE_COLS} FROM samples WHERE contains(processor, '_Total')"),
         "filter_client_total": _with(
-            s, "SELECT * FROM samples WHERE contains(server_name, 'pur') AND contains(processor, '_Total')"
+            s, f"SELECT {SAMPLE_COLS} FROM samples WHERE contains(server_name, 'pur') AND contains(processor, '_Total')"
         ),
         "filter_client_host": _with(
             s,
-            "SELECT * FROM samples WHERE contains(server_name, 'pur') AND contains(processor, '_Total') "
+            f"SELECT {SAMPLE_COLS} FROM samples WHERE contains(server_name, 'pur') AND contains(processor, '_Total') "
             "AND contains(server_name, 'A')",
         ),
-        "filter_datepart_eq": _with(s, "SELECT * FROM samples WHERE hour(hr_time) = 13"),
+        "filter_datepart_eq": _with(s, f"SELECT {SAMPLE_COLS} FROM samples WHERE hour(hr_time) = 13"),
         "project_dateparts": _with(
             s,
             f"SELECT server_name, hr_time, {PART_SQL['hour']} AS hour, {PART_SQL['weekday']} AS weekday, "

@@ -10,7 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from fleetlens.functions.columns import METRIC
 from fleetlens.operators import aggregates as agg
 from fleetlens.operators import filters, keys
 from fleetlens.plans.model import UsageModel
@@ -36,8 +38,15 @@ def _model(spark: SparkSession, sf_dir: str) -> UsageModel:
     return UsageModel(_samples(spark, sf_dir))
 
 
+def _rows(df: DataFrame) -> DataFrame:
+    """Row-level outputs carry the metric as DOUBLE, the canonical type (the
+    adapter's DECIMAL(18,2) only keeps sums exact; every value converts
+    exactly the same way in any engine)."""
+    return df.withColumn(METRIC, F.col(METRIC).cast("double"))
+
+
 def scan_metrics(spark, sf_dir):
-    return _samples(spark, sf_dir)
+    return _rows(_samples(spark, sf_dir))
 
 
 def ingest_roundtrip(spark, sf_dir):
@@ -45,16 +54,16 @@ def ingest_roundtrip(spark, sf_dir):
     target = scratch_path(spark, "ingest-dst")
     load.export(_samples(spark, sf_dir), staging, fmt="json")
     src_schema = _samples(spark, sf_dir).schema
-    return load.ingest(spark, staging, target, source_format="json", schema=src_schema, mode="append")
+    return _rows(load.ingest(spark, staging, target, source_format="json", schema=src_schema, mode="append"))
 
 
 def sql_select_all(spark, sf_dir):
     catalog.register_view(_samples(spark, sf_dir), "fleet_samples")
-    return catalog.sql_select_all(spark, "fleet_samples")
+    return _rows(catalog.sql_select_all(spark, "fleet_samples"))
 
 
 def cached_table_scan(spark, sf_dir):
-    return catalog.cache_as_table(_samples(spark, sf_dir), "fleet_samples_cached")
+    return _rows(catalog.cache_as_table(_samples(spark, sf_dir), "fleet_samples_cached"))
 
 
 def report_sink_roundtrip(spark, sf_dir):
@@ -65,19 +74,19 @@ def report_sink_roundtrip(spark, sf_dir):
 
 
 def filter_total(spark, sf_dir):
-    return filters.filter_total(_samples(spark, sf_dir))
+    return _rows(filters.filter_total(_samples(spark, sf_dir)))
 
 
 def filter_client_total(spark, sf_dir):
-    return filters.filter_client_total(_samples(spark, sf_dir), ONE_CLIENT)
+    return _rows(filters.filter_client_total(_samples(spark, sf_dir), ONE_CLIENT))
 
 
 def filter_client_host(spark, sf_dir):
-    return filters.filter_client_host(_samples(spark, sf_dir), ONE_CLIENT, ONE_HOST)
+    return _rows(filters.filter_client_host(_samples(spark, sf_dir), ONE_CLIENT, ONE_HOST))
 
 
 def filter_datepart_eq(spark, sf_dir):
-    return filters.filter_datepart_eq(_samples(spark, sf_dir), "hour", ONE_HOUR)
+    return _rows(filters.filter_datepart_eq(_samples(spark, sf_dir), "hour", ONE_HOUR))
 
 
 def project_dateparts(spark, sf_dir):
@@ -85,15 +94,15 @@ def project_dateparts(spark, sf_dir):
 
 
 def derive_keys(spark, sf_dir):
-    return filters.derive_keys(_samples(spark, sf_dir))
+    return _rows(filters.derive_keys(_samples(spark, sf_dir)))
 
 
 def client_membership(spark, sf_dir):
-    return _model(spark, sf_dir).client_rows()
+    return _rows(_model(spark, sf_dir).client_rows())
 
 
 def host_membership(spark, sf_dir):
-    return _model(spark, sf_dir).host_rows()
+    return _rows(_model(spark, sf_dir).host_rows())
 
 
 def total_usage(spark, sf_dir):
