@@ -9,7 +9,8 @@ function that runs as a distributed Spark plan.
 """
 
 from fleetlens.plans.model import REPORT_COLUMNS, UsageModel  # noqa: F401
-from fleetlens.runtime import bounded_broadcast, checkpoint_root, local_session, materialize  # noqa: F401
+from fleetlens.operators.joins import keyed_join  # noqa: F401
+from fleetlens.runtime import checkpoint_root, fits_broadcast, local_session, materialize  # noqa: F401
 from fleetlens.sources.scan import CANONICAL_SCHEMA, events_samples, scan_metrics  # noqa: F401
 
 __version__ = "0.1.0"

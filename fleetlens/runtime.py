@@ -147,21 +147,3 @@ def fits_broadcast(df: DataFrame, max_bytes: int | None = None, bound: int | Non
     if bound is None or bound > limit:
         bound = df.select(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()["b"]
     return bound <= limit
-
-
-def broadcast_within(df: DataFrame, max_bytes: int | None = None, bound: int | None = None) -> DataFrame:
-    """Broadcast hint only when the estimated size is proven <= ``max_bytes``
-    (default: the session's broadcast threshold).
-
-    ``bound`` is a known upper bound on the size (observed while the table was
-    written, or the size of the table the frame was derived from by a
-    projection + distinct). Without one, or when it is too loose, the frame is
-    measured. Over the limit the frame is returned unhinted and the join stays
-    a shuffle join (AQE may still split skewed partitions).
-    """
-    return F.broadcast(df) if fits_broadcast(df, max_bytes, bound) else df
-
-
-def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Measure, then broadcast if small (for frames with no known bound)."""
-    return broadcast_within(df, max_bytes)
