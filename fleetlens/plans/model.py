@@ -70,12 +70,15 @@ class UsageModel:
 
     @classmethod
     def from_buckets(cls, buckets: DataFrame, **kwargs) -> UsageModel:
-        """Reports over an existing bucket table (e.g. one kept up to date by
-        ``fleetlens.streaming``). It is written once more so that its size
-        is known; row-level splits need the samples and are not available."""
+        """Reports over an existing bucket table, or over partial bucket
+        tables such as ``fleetlens.streaming`` appends (they are merged
+        first). It is written once more so that its size is known; row-level
+        splits need the samples and are not available."""
+        from fleetlens.streaming.buckets import merge_buckets
+
         model = cls(None, **kwargs)
         model.__dict__["_buckets"] = materialize(
-            buckets.select(*agg.BUCKET_COLUMNS), "buckets", _bucket_metrics(), partition_by=("profile",)
+            merge_buckets(buckets), "buckets", _bucket_metrics(), partition_by=("profile",)
         )
         return model
 

@@ -1 +1,7 @@
-from fleetlens.streaming.buckets import read_sample_stream, start_bucket_table, stream_buckets  # noqa: F401
+from fleetlens.streaming.buckets import (  # noqa: F401
+    compact,
+    merge_buckets,
+    read_bucket_table,
+    read_sample_stream,
+    start_bucket_table,
+)

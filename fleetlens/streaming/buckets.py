@@ -1,23 +1,34 @@
 """Keep the per-server bucket table current from a stream of samples.
 
-The original re-read its whole collection for every report. With Structured
-Streaming, new sample files are folded into the same per-server bucket sums
-(``server_buckets``) as they arrive; reports are then built from that table
-with ``UsageModel.from_buckets``. The state store holds one row per
-(server, profile, bucket) - at most servers x 63 - whatever the volume of
-samples, and every micro-batch writes the complete (bounded) table.
+The original re-read its whole collection for every report. Here new sample
+files are folded in as they arrive. Bucket sums are mergeable (a sum of
+partial sums; ``bool_or`` of partial flags), so each micro-batch computes the
+partial bucket table of its own rows only - the same one-pass aggregation
+as the batch path - and writes it to ``<table>/batch_id=<n>``:
+
+* no streaming state store: memory does not grow with the fleet or the stream;
+* each trigger costs what its new rows cost, not a rewrite of the table;
+* a replayed micro-batch overwrites its own directory, so the table is exact
+  (once per batch) across failures, with the checkpoint for the source offsets.
+
+Readers merge the partials (``read_bucket_table``); ``compact`` folds them into
+one table when many batches have accumulated. Reports are then built with
+``UsageModel.from_buckets``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetlens.operators.aggregates import server_buckets
+from fleetlens.operators.aggregates import BUCKET_COLUMNS, server_buckets
 from fleetlens.sources.scan import CANONICAL_SCHEMA, canonicalize
 
 
-def read_sample_stream(spark: SparkSession, path: str, fmt: str = "parquet", schema=CANONICAL_SCHEMA, mapping=None, max_files_per_trigger: int | None = None) -> DataFrame:
+def read_sample_stream(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema=CANONICAL_SCHEMA, mapping=None, max_files_per_trigger: int | None = None
+) -> DataFrame:
     """A streaming sample table over files landing in ``path``."""
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
@@ -26,22 +37,38 @@ def read_sample_stream(spark: SparkSession, path: str, fmt: str = "parquet", sch
     return canonicalize(raw, mapping if mapping is not None else {c: c for c in raw.columns})
 
 
-def stream_buckets(samples: DataFrame) -> DataFrame:
-    """The streaming aggregation itself: same plan as the batch bucket pass."""
-    return server_buckets(samples)
+def merge_buckets(partials: DataFrame) -> DataFrame:
+    """Combine partial bucket tables (any number of rows per key) into one
+    row per (server, profile, bucket). Partially aggregated per task, like
+    the bucket pass itself."""
+    return partials.groupBy("server_name", "profile", "bucket").agg(
+        F.sum("total").alias("total"), F.bool_or("has_total").alias("has_total")
+    ).select(*BUCKET_COLUMNS)
 
 
-def start_bucket_table(samples: DataFrame, table_path: str, checkpoint_location: str, available_now: bool = False, processing_time: str | None = None) -> StreamingQuery:
-    """Run the bucket aggregation and (over)write the complete bucket table at
-    ``table_path`` after every micro-batch. The checkpoint location (a shared
-    folder) makes the query restart where it stopped."""
+def start_bucket_table(
+    samples: DataFrame, table_path: str, checkpoint_location: str, available_now: bool = False, processing_time: str | None = None
+) -> StreamingQuery:
+    """Append every micro-batch's partial bucket table under ``table_path``."""
+    root = table_path.rstrip("/")
 
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(table_path)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        server_buckets(batch).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
-    w = stream_buckets(samples).writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint_location)
+    w = samples.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_location)
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
     return w.start()
+
+
+def read_bucket_table(spark: SparkSession, table_path: str) -> DataFrame:
+    """The current bucket table: all partials written so far, merged."""
+    return merge_buckets(spark.read.parquet(table_path))
+
+
+def compact(spark: SparkSession, table_path: str, target_path: str) -> DataFrame:
+    """Write the merged table once (e.g. nightly) and return it."""
+    read_bucket_table(spark, table_path).write.mode("overwrite").parquet(target_path)
+    return spark.read.parquet(target_path)

@@ -6,7 +6,7 @@ from fleetlens.operators.aggregates import BUCKET_COLUMNS, server_buckets
 from fleetlens.plans.model import UsageModel
 from fleetlens.runtime import scratch_path
 from fleetlens.sources.scan import CANONICAL_SCHEMA
-from fleetlens.streaming import read_sample_stream, start_bucket_table
+from fleetlens.streaming import compact, read_bucket_table, read_sample_stream, start_bucket_table
 
 
 def test_stream_restart_then_report(spark, edge_model):
@@ -17,19 +17,21 @@ def test_stream_restart_then_report(spark, edge_model):
     first_rows.write.parquet(src + "/part1")
     q = start_bucket_table(read_sample_stream(spark, src + "/*"), table, ckpt, available_now=True)
     q.awaitTermination(120)
-    got = spark.read.parquet(table).select(*BUCKET_COLUMNS)
+    got = read_bucket_table(spark, table).select(*BUCKET_COLUMNS)
     assert rows(got) == rows(server_buckets(first_rows).select(*BUCKET_COLUMNS))
 
-    # more samples land; the query restarts from its checkpoint (state kept,
-    # only the new file is read) and the table covers everything
+    # more samples land; the query restarts from its checkpoint, reads only
+    # the new file (its null-name row may even be pruned by the pushed
+    # IS NOT NULL filter) and appends one more partial table
     spark.createDataFrame(EDGE_ROWS[5:], CANONICAL_SCHEMA).write.parquet(src + "/part2")
     q = start_bucket_table(read_sample_stream(spark, src + "/*"), table, ckpt, available_now=True)
     q.awaitTermination(120)
-    # only the new file is read (its null-name row may even be pruned by the
-    # pushed IS NOT NULL filter on the Parquet statistics)
     assert 0 < sum(p["numInputRows"] for p in q.recentProgress) <= len(EDGE_ROWS) - 5
-    full = spark.read.parquet(table)
-    assert rows(full.select(*BUCKET_COLUMNS)) == rows(edge_model.buckets.select(*BUCKET_COLUMNS))
+    assert spark.read.parquet(table).select("batch_id").distinct().count() == 2
+    merged = read_bucket_table(spark, table)
+    assert rows(merged.select(*BUCKET_COLUMNS)) == rows(edge_model.buckets.select(*BUCKET_COLUMNS))
 
-    m = UsageModel.from_buckets(full)
-    assert rows(m.fleet_report()) == rows(edge_model.fleet_report())
+    # reports from the partials, and from a compacted copy, equal the batch path
+    assert rows(UsageModel.from_buckets(spark.read.parquet(table)).fleet_report()) == rows(edge_model.fleet_report())
+    compacted = compact(spark, table, scratch_path(spark, "stream-compact"))
+    assert rows(UsageModel.from_buckets(compacted).fleet_report()) == rows(edge_model.fleet_report())
