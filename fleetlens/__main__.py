@@ -28,7 +28,7 @@ def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="fleetlens")
     sub = ap.add_subparsers(dest="cmd", required=True)
     r = sub.add_parser("report", help="write the fleet report, partitioned by client")
-    r.add_argument("--input", required=True, help="sample table path (or omit the path for a connector with options)")
+    r.add_argument("--input", default=None, help="sample table path; omit it for a connector configured by --option")
     r.add_argument("--format", default="parquet")
     r.add_argument("--option", action="append", default=[], help="reader option key=value (repeatable)")
     r.add_argument("--output", required=True)
