@@ -125,7 +125,7 @@ def materialize(
     skip the other directories (partition pruning).
     """
     path = scratch_path(df.sparkSession, label)
-    obs = Observation(f"fleetlens-{label}")
+    obs = Observation(f"fleetlens-{label}-{uuid.uuid4().hex[:12]}")  # unique: concurrent writes cannot mix
     exprs = [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")]
     exprs += [c.alias(k) for k, c in (metrics or {}).items()]
     writer = df.observe(obs, *exprs).write.mode("error")

@@ -20,7 +20,7 @@ row_st = st.tuples(
 SETTINGS = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 
 
-@SETTINGS
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(row_st, min_size=0, max_size=20))
 def test_model_equals_loops(spark, data):
     df = spark.createDataFrame(data, CANONICAL_SCHEMA)

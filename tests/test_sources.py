@@ -77,3 +77,11 @@ def test_report_sink_partitions_by_client(spark, edge_model):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "aig" in plan
     assert one.count() == rep.where(F.col("client") == "aig").count()
+
+
+def test_scan_reports_missing_columns(spark):
+    import pytest
+
+    df = spark.createDataFrame([("a", 1)], "name string, v int")
+    with pytest.raises(ValueError, match="server_name"):
+        scan.canonicalize(df)
