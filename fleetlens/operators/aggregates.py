@@ -16,7 +16,7 @@ from fleetlens.functions.columns import METRIC, PROCESSOR, PROFILE_DIVISORS, PRO
 from fleetlens.operators.joins import keyed_join
 
 ALL = "all"  # profile name of the per-server grand total rows
-BUCKET_COLUMNS = ("server_name", "profile", "bucket", "total", "has_total")
+BUCKET_COLUMNS = ("server_name", "profile", "bucket", "total", "has_total", "rows")
 
 
 def total_usage(df: DataFrame, metric: str = METRIC) -> DataFrame:
@@ -34,7 +34,9 @@ def total_usage_projected(df: DataFrame, metric: str = METRIC) -> DataFrame:
 def server_buckets(samples: DataFrame) -> DataFrame:
     """Per-server partial sums for every profile, in ONE pass over the rows.
 
-    Output ``(server_name, profile, bucket, total, has_total)``:
+    Output ``(server_name, profile, bucket, total, has_total, rows)``, where
+    ``rows`` counts the ``_Total`` rows behind each sum (on the 'all' rows it
+    tells which servers are hot):
 
     * ``profile`` in ``hour`` / ``weekday`` / ``monthday``: bucket = date part,
       total = sum over the server's ``_Total`` rows in that bucket;
@@ -57,7 +59,9 @@ def server_buckets(samples: DataFrame) -> DataFrame:
     rows = samples.where(F.col(SERVER).isNotNull()).select(
         SERVER, F.when(t, F.col(METRIC)).alias("m"), t.alias("t"), F.inline(sets)
     )
-    g = rows.groupBy(SERVER, "profile", "bucket").agg(F.sum("m").alias("total"), F.bool_or("t").alias("has_total"))
+    g = rows.groupBy(SERVER, "profile", "bucket").agg(
+        F.sum("m").alias("total"), F.bool_or("t").alias("has_total"), F.count(F.when(F.col("t"), 1)).alias("rows")
+    )
     return g.where((F.col("profile") == ALL) | F.col("bucket").isNotNull())
 
 

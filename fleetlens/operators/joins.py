@@ -8,7 +8,9 @@
   ``salts`` the large side gets a deterministic salt (a hash of its own values,
   stable when a task is retried) and every small-side row is replicated once
   per salt (``explode``), so one hot key is spread over ``salts`` partitions
-  instead of landing in one task.
+  instead of landing in one task. With ``hot`` (a small frame of the hot key
+  values, bounded by the caller) only those keys are salted and replicated;
+  every other key joins with salt 0, so the small side barely grows.
 """
 
 from __future__ import annotations
@@ -22,6 +24,9 @@ DEFAULT_SALTS = 64
 SALT = "_salt"
 
 
+HOT = "_hot"
+
+
 def keyed_join(
     large: DataFrame,
     small: DataFrame,
@@ -30,13 +35,24 @@ def keyed_join(
     broadcast: bool,
     how: str = "inner",
     salts: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     keys = [on] if isinstance(on, str) else list(on)
     if broadcast:
         return large.join(F.broadcast(small), keys, how)
     if not salts or salts <= 1:
         return large.join(small.hint("merge"), keys, how)
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in large.columns]), F.lit(salts)).cast("int")
-    salted_large = large.withColumn(SALT, salt)
-    salted_small = small.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in large.columns]), F.lit(salts)).cast("int")
+    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    if hot is None:
+        salted_large = large.withColumn(SALT, spread)
+        salted_small = small.withColumn(SALT, F.explode(every_salt))
+    else:
+        flags = F.broadcast(hot.select(*keys).distinct().withColumn(HOT, F.lit(True)))
+        salted_large = large.join(flags, keys, "left").withColumn(
+            SALT, F.when(F.col(HOT), spread).otherwise(F.lit(0))
+        ).drop(HOT)
+        salted_small = small.join(flags, keys, "left").withColumn(
+            SALT, F.explode(F.when(F.col(HOT), every_salt).otherwise(F.array(F.lit(0))))
+        ).drop(HOT)
     return salted_large.join(salted_small.hint("merge"), [*keys, SALT], how).drop(SALT)

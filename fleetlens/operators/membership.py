@@ -59,10 +59,13 @@ def positional_host_members(client_members: DataFrame) -> DataFrame:
     return client_members.select(SERVER, "client", host_key(SERVER).alias("host")).where(F.col("host") != "")
 
 
-def attach(rows: DataFrame, members: DataFrame, broadcast: bool = True, salts: int = DEFAULT_SALTS) -> DataFrame:
+def attach(
+    rows: DataFrame, members: DataFrame, broadcast: bool = True, salts: int = DEFAULT_SALTS, hot: DataFrame | None = None
+) -> DataFrame:
     """Row-level split: every row once per group its name belongs to.
 
     With ``broadcast`` (the caller proved ``members`` small) the rows are not
     shuffled at all. Otherwise the join is salted, so a server holding a large
-    share of all rows is spread over ``salts`` partitions."""
-    return keyed_join(rows, members, SERVER, broadcast=broadcast, salts=salts)
+    share of all rows is spread over ``salts`` partitions; ``hot`` (server
+    names, a bounded list) limits the salting to those servers."""
+    return keyed_join(rows, members, SERVER, broadcast=broadcast, salts=salts, hot=hot)

@@ -145,16 +145,29 @@ class UsageModel:
         limit_bound = int(self._buckets.metrics["names"] or 0) * (16 + 20 + 24)
         return fits_broadcast(self.clients, self.max_broadcast_bytes, bound=limit_bound)
 
+    @cached_property
+    def hot_servers(self) -> DataFrame:
+        """Servers holding more ``_Total`` rows than an evenly filled shuffle
+        partition would (total / spark.sql.shuffle.partitions). Fewer than
+        that many partitions' worth of servers can qualify, so the list is
+        bounded by the partition count, whatever the data."""
+        parts = max(1, int(self.buckets.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+        total = int(self._buckets.metrics["total_rows"] or 0)
+        threshold = max(1, -(-total // parts))
+        return self.buckets.where((F.col("profile") == agg.ALL) & (F.col("rows") > threshold)).select(SERVER)
+
     # -- row-level splits ------------------------------------------------
     def client_rows(self) -> DataFrame:
         """Every ``_Total`` row once per client whose key its name contains."""
         rows = filters.filter_total(self.samples)
-        return membership.attach(rows, self.client_members, broadcast=self._cm_fits).select("client", *self.samples.columns)
+        out = membership.attach(rows, self.client_members, broadcast=self._cm_fits, hot=self.hot_servers)
+        return out.select("client", *self.samples.columns)
 
     def host_rows(self) -> DataFrame:
         """Every ``_Total`` row once per (client, host) it belongs to."""
         rows = filters.filter_total(self.samples)
-        return membership.attach(rows, self.host_members, broadcast=self._hm_fits).select("client", "host", *self.samples.columns)
+        out = membership.attach(rows, self.host_members, broadcast=self._hm_fits, hot=self.hot_servers)
+        return out.select("client", "host", *self.samples.columns)
 
     # -- profiles ----------------------------------------------------------
     def profile(self, part: str, level: str = "host", divisor: float | None = None) -> DataFrame:
@@ -254,6 +267,7 @@ def _bucket_metrics() -> dict:
     cm_row = b + F.lit(16 + 8 + 12 + 8)
     return {
         "names": F.sum(F.when(is_name, 1)),
+        "total_rows": F.sum(F.when(is_name, F.col("rows"))),
         "client_key_bytes": F.sum(F.when(is_name, F.lit(16 + 8 + 12))),
         "client_member_bytes": F.sum(F.when(with_total, F.lit(3) * n * cm_row)),
         "host_member_bytes": F.sum(F.when(with_total, F.lit(3) * n * n * (cm_row + F.lit(12)))),

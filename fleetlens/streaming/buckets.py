@@ -42,7 +42,7 @@ def merge_buckets(partials: DataFrame) -> DataFrame:
     row per (server, profile, bucket). Partially aggregated per task, like
     the bucket pass itself."""
     return partials.groupBy("server_name", "profile", "bucket").agg(
-        F.sum("total").alias("total"), F.bool_or("has_total").alias("has_total")
+        F.sum("total").alias("total"), F.bool_or("has_total").alias("has_total"), F.sum("rows").alias("rows")
     ).select(*BUCKET_COLUMNS)
 
 

@@ -123,3 +123,27 @@ def test_host_sum_at_least_client_total(spark, data):
     for r in m.client_totals().collect():
         if r.total is not None:
             assert host_sum.get(r.client, 0.0) >= r.total - 1e-9
+
+
+def test_only_hot_servers_are_salted(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    hot = [("aig-A0", "_Total", dt.datetime(2021, 8, 1 + i % 28, i % 24, i % 60), float(i)) for i in range(3000)]
+    cold = [(f"aig-B{i}", "_Total", dt.datetime(2021, 8, 2, i % 24), 1.0) for i in range(40)]
+    df = spark.createDataFrame(hot + cold, CANONICAL_SCHEMA)
+    forced = UsageModel(df, max_broadcast_bytes=0)
+    assert [r.server_name for r in forced.hot_servers.collect()] == ["aig-A0"]
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    got = forced.host_rows()
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, UsageModel(df).host_rows().collect()), key=key)
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(conf)
+    try:
+        spark.conf.set(conf, "false")
+        spread = got.where(F.col("server_name") == "aig-A0").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set(conf, old)
+    # aig-A0 belongs to host A only: its 3000 rows are spread, not in one task
+    assert len(spread) >= 4 and max(r["count"] for r in spread) < 0.6 * 3000
