@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.columns import PROFILES, SERVER, as_double, client_key, percent
 from fleetlens.operators import aggregates as agg
 from fleetlens.operators import filters, keys, membership, shares
-from fleetlens.runtime import Table, fits_broadcast, materialize
+from fleetlens.runtime import Table, broadcast_limit, fits_broadcast, materialize
 
 REPORT_COLUMNS = ("client", "host", "profile", "bucket", "total", "value")
 
@@ -105,39 +105,64 @@ class UsageModel:
         """Distinct names that have ``_Total`` rows."""
         return self.buckets.where((F.col("profile") == agg.ALL) & F.col("has_total")).select(SERVER)
 
+    def _limit(self) -> int:
+        return broadcast_limit(self.buckets.sparkSession) if self.max_broadcast_bytes is None else self.max_broadcast_bytes
+
+    def _sized(self, df: DataFrame, bound: str, label: str) -> tuple[DataFrame, bool]:
+        """(frame, proven to fit the broadcast limit). Within the write-time
+        bound the frame stays a cheap lazy names-level join; when the bound is
+        too loose to decide, it is written once (exact size observed by that
+        write, and durable) rather than measured and recomputed."""
+        limit = self._limit()
+        if limit > 0 and self._bound(bound) <= limit:
+            return self._keep(df), True
+        table = materialize(df, label)
+        return table.df, 0 < limit and table.bytes <= limit
+
     @cached_property
-    def client_members(self) -> DataFrame:
-        """(server_name, client); a names-level join over the written bucket
-        table, cheap to recompute, so it is not written itself."""
+    def _client_members(self) -> tuple[DataFrame, bool]:
         if self.membership == "positional":
-            return self._keep(membership.positional_client_members(self.names))
-        fits = self._fits(self.clients, "client_key_bytes")
-        lengths = sorted(n for n in self._buckets.metrics["key_lengths"] if n and n > 0)
-        return self._keep(membership.client_members(self.names, self.clients, lengths or [3], broadcast=fits))
+            cm = membership.positional_client_members(self.names)
+        else:
+            fits = self._fits(self.clients, "client_key_bytes")
+            lengths = sorted(n for n in self._buckets.metrics["key_lengths"] if n and n > 0)
+            cm = membership.client_members(self.names, self.clients, lengths or [3], broadcast=fits)
+        return self._sized(cm, "client_member_bytes", "client-members")
+
+    @property
+    def client_members(self) -> DataFrame:
+        """(server_name, client); a names-level join over the written bucket table."""
+        return self._client_members[0]
 
     @cached_property
     def host_keys(self) -> DataFrame:
         return keys.host_keys(self.client_members)
 
     @cached_property
+    def _host_members(self) -> tuple[DataFrame, bool]:
+        if self.membership == "positional":
+            hm = membership.positional_host_members(self.client_members)
+        else:
+            # host keys are a distinct over a projection of the client members
+            fits = self._fits(self.host_keys, "client_member_bytes")
+            hm = membership.host_members(self.client_members, self.host_keys, broadcast=fits)
+        return self._sized(hm, "host_member_bytes", "host-members")
+
+    @property
     def host_members(self) -> DataFrame:
         """(server_name, client, host)."""
-        if self.membership == "positional":
-            return self._keep(membership.positional_host_members(self.client_members))
-        # host keys are a distinct over a projection of the client members
-        fits = self._fits(self.host_keys, "client_member_bytes")
-        return self._keep(membership.host_members(self.client_members, self.host_keys, broadcast=fits))
+        return self._host_members[0]
 
     def _fits(self, df: DataFrame, bound: str) -> bool:
         return fits_broadcast(df, self.max_broadcast_bytes, bound=self._bound(bound))
 
-    @cached_property
+    @property
     def _cm_fits(self) -> bool:
-        return self._fits(self.client_members, "client_member_bytes")
+        return self._client_members[1]
 
-    @cached_property
+    @property
     def _hm_fits(self) -> bool:
-        return self._fits(self.host_members, "host_member_bytes")
+        return self._host_members[1]
 
     @cached_property
     def _client_sums_fit(self) -> bool:
