@@ -15,15 +15,26 @@ def distinct_clients(samples: DataFrame) -> DataFrame:
     partially aggregated in every scan task, so only a handful of keys per task
     are shuffled whatever the row count.
     """
+    return client_key_list(samples).distinct()
+
+
+def host_key_list(client_members: DataFrame) -> DataFrame:
+    """(client, host) for every member name, repeats kept: character 5 of
+    every name that belongs to the client; names shorter than 5 characters
+    give no host."""
+    h = host_key(SERVER)
+    return client_members.select("client", h.alias("host")).where(F.col("host") != "")
+
+
+def client_key_list(names: DataFrame) -> DataFrame:
+    """Client key of every name, repeats kept (null and empty dropped)."""
     k = client_key(SERVER)
-    return samples.select(k.alias("client")).where(F.col("client").isNotNull() & (F.col("client") != "")).distinct()
+    return names.select(k.alias("client")).where(F.col("client").isNotNull() & (F.col("client") != ""))
 
 
 def host_keys(client_members: DataFrame) -> DataFrame:
-    """(client, host) keys: character 5 of every name that belongs to the
-    client; names shorter than 5 characters give no host."""
-    h = host_key(SERVER)
-    return client_members.select("client", h.alias("host")).where(F.col("host") != "").distinct()
+    """(client, host) keys, distinct."""
+    return host_key_list(client_members).distinct()
 
 
 def distinct_hosts(client_members: DataFrame) -> DataFrame:

@@ -31,21 +31,23 @@ def client_members(
     salts: int = DEFAULT_SALTS,
 ) -> DataFrame:
     """(server_name, client) for every distinct name and every client key it
-    contains. ``names`` has one row per name; ``clients`` one row per key and
-    ``key_lengths`` must cover the lengths of the keys. ``broadcast``: the key
-    table is proven small; otherwise a salted sort-merge join (many names may
-    share one client key)."""
+    contains. ``names`` has one row per name; ``clients`` lists the keys (it
+    may repeat them: the match is a semi join) and ``key_lengths`` must cover
+    their lengths. ``broadcast``: the key list is proven small; otherwise a
+    salted sort-merge join (many names may share one client key)."""
     lengths = sorted(set(key_lengths))
     cand = F.array_distinct(F.concat(*[F.coalesce(substrings(SERVER, k), F.array().cast("array<string>")) for k in lengths]))
     exploded = names.select(SERVER, F.explode(cand).alias("client"))
-    return keyed_join(exploded, clients.select("client"), "client", broadcast=broadcast, salts=salts).select(SERVER, "client")
+    joined = keyed_join(exploded, clients.select("client"), "client", broadcast=broadcast, how="left_semi", salts=salts)
+    return joined.select(SERVER, "client")
 
 
 def host_members(client_members: DataFrame, hosts: DataFrame, broadcast: bool = True, salts: int = DEFAULT_SALTS) -> DataFrame:
     """(server_name, client, host) for every host key of the name's client
-    that occurs anywhere in the name (host keys are single characters)."""
+    that occurs anywhere in the name (host keys are single characters;
+    ``hosts`` may repeat them: the match is a semi join)."""
     chars = client_members.select(SERVER, "client", F.explode(F.array_distinct(substrings(SERVER, 1))).alias("host"))
-    joined = keyed_join(chars, hosts.select("client", "host"), ["client", "host"], broadcast=broadcast, salts=salts)
+    joined = keyed_join(chars, hosts.select("client", "host"), ["client", "host"], broadcast=broadcast, how="left_semi", salts=salts)
     return joined.select(SERVER, "client", "host")
 
 

@@ -124,9 +124,9 @@ class UsageModel:
         if self.membership == "positional":
             cm = membership.positional_client_members(self.names)
         else:
-            fits = self._fits(self.clients, "client_key_bytes")
             lengths = sorted(n for n in self._buckets.metrics["key_lengths"] if n and n > 0)
-            cm = membership.client_members(self.names, self.clients, lengths or [3], broadcast=fits)
+            key_side, fits = self._key_side(self._client_key_list, self.clients, "client_key_bytes")
+            cm = membership.client_members(self.names, key_side, lengths or [3], broadcast=fits)
         return self._sized(cm, "client_member_bytes", "client-members")
 
     @property
@@ -143,9 +143,9 @@ class UsageModel:
         if self.membership == "positional":
             hm = membership.positional_host_members(self.client_members)
         else:
-            # host keys are a distinct over a projection of the client members
-            fits = self._fits(self.host_keys, "client_member_bytes")
-            hm = membership.host_members(self.client_members, self.host_keys, broadcast=fits)
+            key_list = keys.host_key_list(self.client_members)
+            key_side, fits = self._key_side(key_list, self.host_keys, "client_member_bytes")
+            hm = membership.host_members(self.client_members, key_side, broadcast=fits)
         return self._sized(hm, "host_member_bytes", "host-members")
 
     @property
@@ -156,6 +156,21 @@ class UsageModel:
     def _fits(self, df: DataFrame, bound: str) -> bool:
         return fits_broadcast(df, self.max_broadcast_bytes, bound=self._bound(bound))
 
+    @property
+    def _client_key_list(self) -> DataFrame:
+        return keys.client_key_list(self.buckets.where(F.col("profile") == agg.ALL))
+
+    def _key_side(self, key_list: DataFrame, distinct_keys: DataFrame, bound: str) -> tuple[DataFrame, bool]:
+        """The key side of a membership semi join: the plain key list (one
+        row per name or member row, repeats kept) broadcast when its
+        write-time bound fits, so no shuffle is needed to de-duplicate it;
+        otherwise the distinct keys, broadcast if they fit, else joined by a
+        salted sort-merge join."""
+        limit = self._limit()
+        if limit > 0 and self._bound(bound) <= limit:
+            return key_list, True
+        return distinct_keys, self._fits(distinct_keys, bound)
+
     @property
     def _cm_fits(self) -> bool:
         return self._client_members[1]
