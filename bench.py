@@ -7,7 +7,7 @@ Prints ONE JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 
 Each query is timed end to end: its reduced tables are built from the raw
 Parquet inside the timing, and the result is executed through the ``noop``
-sink (nothing is pulled to the driver). One untimed warm-up query runs first.
+sink (nothing is pulled to the driver). Two untimed warm-up queries run first.
 """
 
 from __future__ import annotations
