@@ -1,7 +1,7 @@
 """Benchmark the headline queries.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 2; "queries" holds the best of N runs, "first_run" the
+BENCH_REPEAT (default 3; "queries" holds the best of N runs, "first_run" the
 first one).
 Prints ONE JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 
@@ -41,7 +41,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
+    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
     from fleetlens.plans.registry import QUERIES
     from fleetlens.runtime import local_session
 

@@ -85,3 +85,17 @@ def test_scan_reports_missing_columns(spark):
     df = spark.createDataFrame([("a", 1)], "name string, v int")
     with pytest.raises(ValueError, match="server_name"):
         scan.canonicalize(df)
+
+
+def test_materialize_observes_rows_and_size(spark):
+    from fleetlens.runtime import fits_broadcast, materialize
+
+    df = spark.createDataFrame([("ab", 1), ("cde", 2), (None, 3)], "s string, n long")
+    t = materialize(df, "obs-test", {"n_sum": F.sum("n")})
+    assert t.rows == 3 and t.metrics["n_sum"] == 6
+    # 16 row + (2+8, 3+8, 0+8) strings + 8 per long
+    assert t.bytes == 3 * 16 + (10 + 11 + 8) + 3 * 8
+    assert rows(t.df) == rows(df)
+    assert fits_broadcast(t.df, max_bytes=t.bytes, bound=t.bytes)
+    assert not fits_broadcast(t.df, max_bytes=t.bytes - 1)  # measured when the bound is too loose
+    assert not fits_broadcast(t.df, max_bytes=0)
