@@ -10,7 +10,9 @@
   per salt (``explode``), so one hot key is spread over ``salts`` partitions
   instead of landing in one task. With ``hot`` (a small frame of the hot key
   values, bounded by the caller) only those keys are salted and replicated;
-  every other key joins with salt 0, so the small side barely grows.
+  every other key joins with salt 0, so the small side barely grows. If
+  ``hot`` has a ``_salts`` column, each hot key gets that many salts (e.g.
+  proportional to its row count) instead of ``salts``.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ SALT = "_salt"
 
 
 HOT = "_hot"
+SALTS = "_salts"
 
 
 def keyed_join(
@@ -48,11 +51,13 @@ def keyed_join(
         salted_large = large.withColumn(SALT, spread)
         salted_small = small.withColumn(SALT, F.explode(every_salt))
     else:
-        flags = F.broadcast(hot.select(*keys).distinct().withColumn(HOT, F.lit(True)))
+        n = F.col(SALTS) if SALTS in hot.columns else F.lit(salts)
+        flags = F.broadcast(hot.select(*keys, n.cast("int").alias(SALTS)).withColumn(HOT, F.lit(True)))
+        own_spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in large.columns]), F.col(SALTS)).cast("int")
         salted_large = large.join(flags, keys, "left").withColumn(
-            SALT, F.when(F.col(HOT), spread).otherwise(F.lit(0))
-        ).drop(HOT)
+            SALT, F.when(F.col(HOT), own_spread).otherwise(F.lit(0))
+        ).drop(HOT, SALTS)
         salted_small = small.join(flags, keys, "left").withColumn(
-            SALT, F.explode(F.when(F.col(HOT), every_salt).otherwise(F.array(F.lit(0))))
-        ).drop(HOT)
+            SALT, F.explode(F.when(F.col(HOT), F.sequence(F.lit(0), F.col(SALTS) - 1)).otherwise(F.array(F.lit(0))))
+        ).drop(HOT, SALTS)
     return salted_large.join(salted_small.hint("merge"), [*keys, SALT], how).drop(SALT)

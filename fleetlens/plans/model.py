@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.columns import PROFILES, SERVER, as_double, client_key, percent
 from fleetlens.operators import aggregates as agg
 from fleetlens.operators import filters, keys, membership, shares
+from fleetlens.operators.joins import SALTS
 from fleetlens.runtime import Table, broadcast_limit, fits_broadcast, materialize
 
 REPORT_COLUMNS = ("client", "host", "profile", "bucket", "total", "value")
@@ -188,13 +189,16 @@ class UsageModel:
     @cached_property
     def hot_servers(self) -> DataFrame:
         """Servers holding more ``_Total`` rows than an evenly filled shuffle
-        partition would (total / spark.sql.shuffle.partitions). Fewer than
-        that many partitions' worth of servers can qualify, so the list is
+        partition would (total / P, P = spark.sql.shuffle.partitions), with
+        the number of salts that splits each into partition-sized pieces
+        (capped at P). Fewer than P servers can qualify, so the list is
         bounded by the partition count, whatever the data."""
         parts = max(1, int(self.buckets.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
         total = int(self._buckets.metrics["total_rows"] or 0)
         threshold = max(1, -(-total // parts))
-        return self.buckets.where((F.col("profile") == agg.ALL) & (F.col("rows") > threshold)).select(SERVER)
+        salts = F.least(F.ceil(F.col("rows") / F.lit(threshold)), F.lit(parts)).cast("int")
+        hot = self.buckets.where((F.col("profile") == agg.ALL) & (F.col("rows") > threshold))
+        return hot.select(SERVER, salts.alias(SALTS))
 
     # -- row-level splits ------------------------------------------------
     def client_rows(self) -> DataFrame:

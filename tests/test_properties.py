@@ -134,7 +134,10 @@ def test_only_hot_servers_are_salted(spark):
     cold = [(f"aig-B{i}", "_Total", dt.datetime(2021, 8, 2, i % 24), 1.0) for i in range(40)]
     df = spark.createDataFrame(hot + cold, CANONICAL_SCHEMA)
     forced = UsageModel(df, max_broadcast_bytes=0)
-    assert [r.server_name for r in forced.hot_servers.collect()] == ["aig-A0"]
+    hot_list = forced.hot_servers.collect()
+    assert [r.server_name for r in hot_list] == ["aig-A0"]
+    # 3000 of 3040 rows; threshold = ceil(3040 / 8 partitions) = 380 -> 8 salts (capped at 8)
+    assert hot_list[0]["_salts"] == 8
     key = lambda r: tuple((x is None, str(x)) for x in r)
     got = forced.host_rows()
     assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, UsageModel(df).host_rows().collect()), key=key)
