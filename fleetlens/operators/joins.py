@@ -45,6 +45,9 @@ def keyed_join(
         return large.join(F.broadcast(small), keys, how)
     if not salts or salts <= 1:
         return large.join(small.hint("merge"), keys, how)
+    # more salts than shuffle partitions would replicate without spreading further
+    parts = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    salts = max(1, min(salts, parts))
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in large.columns]), F.lit(salts)).cast("int")
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     if hot is None:

@@ -99,3 +99,14 @@ def test_materialize_observes_rows_and_size(spark):
     assert fits_broadcast(t.df, max_bytes=t.bytes, bound=t.bytes)
     assert not fits_broadcast(t.df, max_bytes=t.bytes - 1)  # measured when the bound is too loose
     assert not fits_broadcast(t.df, max_bytes=0)
+
+
+def test_scan_csv_with_source_names(spark):
+    d = _tmp()
+    with open(os.path.join(d, "samples.csv"), "w") as f:
+        f.write("Server_Name,Processor,HR_Time,AVG_%_Processor_Time\n")
+        f.write("aig-A0,_Total,2021-08-01 05:00:00,12.5\n")
+        f.write("aig-A0,0,2021-08-01 05:00:00,99\n")
+    df = scan.scan_metrics(spark, d, fmt="csv", options={"header": "true"})
+    got = sorted(df.collect(), key=lambda r: r.processor)
+    assert got[1].hr_time.hour == 5 and got[1].avg_processor_time == 12.5 and got[0].avg_processor_time == 99.0
