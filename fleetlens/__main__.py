@@ -1,6 +1,6 @@
 """Command line: the whole fleet report in one run.
 
-    spark-submit -m fleetlens report --input /data/cpu_samples --format parquet \\
+    spark-submit run_fleetlens.py report --input /data/cpu_samples --format parquet \\
         --output /data/reports/2021-08
     python -m fleetlens query hourly_profile_host --sf-dir /root/testdata/sf0.1 --output /tmp/out
 
