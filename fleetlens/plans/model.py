@@ -289,7 +289,7 @@ class UsageModel:
             "total",
             F.col("pct").alias("value"),
         )
-        return self.client_report().unionByName(cs)
+        return self.client_report().unionByName(cs).select(*REPORT_COLUMNS)
 
 
 def _bucket_metrics() -> dict:

@@ -90,8 +90,11 @@ def test_usage_averages(edge_model):
 
 
 def test_fleet_report_shape(edge_model):
+    from fleetlens.plans.model import REPORT_COLUMNS
+
     rep = edge_model.fleet_report()
-    assert rep.columns == ["client", "host", "profile", "bucket", "total", "value"]
+    assert tuple(rep.columns) == REPORT_COLUMNS == ("client", "host", "profile", "bucket", "total", "value")
+    assert tuple(edge_model.client_report().columns) == REPORT_COLUMNS
     counts = {}
     for r in rep.collect():
         counts[r.profile] = counts.get(r.profile, 0) + 1
