@@ -34,7 +34,7 @@ def read_sample_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.load(path)
-    return canonicalize(raw, mapping if mapping is not None else {c: c for c in raw.columns})
+    return canonicalize(raw, mapping)  # original or canonical column names
 
 
 def merge_buckets(partials: DataFrame) -> DataFrame:

@@ -35,3 +35,17 @@ def test_stream_restart_then_report(spark, edge_model):
     assert rows(UsageModel.from_buckets(spark.read.parquet(table)).fleet_report()) == rows(edge_model.fleet_report())
     compacted = compact(spark, table, scratch_path(spark, "stream-compact"))
     assert rows(UsageModel.from_buckets(compacted).fleet_report()) == rows(edge_model.fleet_report())
+
+
+def test_stream_with_source_column_names(spark):
+    from pyspark.sql import types as T
+
+    from fleetlens.sources.scan import SOURCE_COLUMNS
+
+    src, table, ckpt = (scratch_path(spark, x) for x in ("s-src", "s-table", "s-ckpt"))
+    original = T.StructType([T.StructField(k, f.dataType) for k, f in zip(SOURCE_COLUMNS, CANONICAL_SCHEMA.fields)])
+    spark.createDataFrame(EDGE_ROWS, original).write.parquet(src + "/p")
+    q = start_bucket_table(read_sample_stream(spark, src + "/*", schema=original), table, ckpt, available_now=True)
+    q.awaitTermination(120)
+    got = read_bucket_table(spark, table).select(*BUCKET_COLUMNS)
+    assert rows(got) == rows(server_buckets(spark.createDataFrame(EDGE_ROWS, CANONICAL_SCHEMA)).select(*BUCKET_COLUMNS))
