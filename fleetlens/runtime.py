@@ -48,9 +48,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     Uses the checkpoint directory the session already names
     (``spark.checkpoint.dir``). Only a local-mode session without one gets a
     fresh temporary folder; on a cluster a missing setting is an error, since a
-    machine-local folder would not survive the loss of that machine.
+    machine-local folder would not survive the loss of that machine. Under
+    Spark Connect (no SparkContext on the client) the session conf is read.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared (cluster-wide) folder")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
