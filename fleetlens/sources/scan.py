@@ -77,6 +77,11 @@ def scan_metrics(
     return canonicalize(raw, mapping, metric_type)
 
 
+# The columns of the driver's ``events`` table that the adapter
+# reads, with their types (declared, so no schema inference pass is needed).
+EVENTS_COLUMNS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"
+
+
 def events_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The driver's ``events`` table shaped as CPU samples (the test adapter).
 
@@ -86,7 +91,7 @@ def events_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     per-core processor instead of ``_Total``; the metric is DECIMAL(18,2) so
     sums are exact in any order.
     """
-    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    ev = spark.read.schema(EVENTS_COLUMNS).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     uid = F.col("user_id")
     letter = lambda n: F.char((F.lit(65) + n).cast("int"))
     server = F.concat(
