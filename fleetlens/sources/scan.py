@@ -66,13 +66,17 @@ def scan_metrics(
     options: Mapping[str, str] | None = None,
     mapping: Mapping[str, str] | None = None,
     metric_type: str = "double",
+    schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """``spark.read.format(fmt).options(...).load(path)`` onto the canonical schema.
 
     The format is a parameter: a document-store connector (given its jar and a
     ``uri`` option), Parquet, ORC, JSON, CSV or a catalog table all work alike.
+    Pass the source ``schema`` (or just the used columns) to skip inference.
     """
     reader = spark.read.format(fmt).options(**dict(options or {}))
+    if schema is not None:
+        reader = reader.schema(schema)
     raw = reader.load(path) if path is not None else reader.load()
     return canonicalize(raw, mapping, metric_type)
 

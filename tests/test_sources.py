@@ -39,6 +39,8 @@ def test_scan_prunes_and_pushes(spark):
     from fleetlens.operators.filters import filter_total
 
     df = filter_total(scan.scan_metrics(spark, d))  # canonical names need no mapping
+    declared = scan.scan_metrics(spark, d, schema=CANONICAL_SCHEMA)
+    assert rows(declared) == rows(scan.scan_metrics(spark, d))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "StringContains(processor,_Total)" in plan
     assert "extra" not in plan.split("ReadSchema:")[1].split("\n")[0]
