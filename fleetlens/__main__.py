@@ -31,6 +31,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--input", default=None, help="sample table path; omit it for a connector configured by --option")
     r.add_argument("--format", default="parquet")
     r.add_argument("--option", action="append", default=[], help="reader option key=value (repeatable)")
+    r.add_argument("--schema", default=None, help="source schema as DDL, e.g. 'Server_Name STRING, ...' (skips inference)")
     r.add_argument("--output", required=True)
     r.add_argument("--membership", choices=("contains", "positional"), default="contains")
     q = sub.add_parser("query", help="run one registered query over a folder of test tables")
@@ -48,7 +49,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         from fleetlens.sources.scan import scan_metrics
         from fleetlens.sources.sink import write_report
 
-        samples = scan_metrics(spark, args.input, fmt=args.format, options=_options(args.option))
+        samples = scan_metrics(spark, args.input, fmt=args.format, options=_options(args.option), schema=args.schema)
         with UsageModel(samples, membership=args.membership, reuse_members=True) as model:
             write_report(model.fleet_report(), args.output)
         return 0

@@ -13,6 +13,10 @@ def test_report_command(spark, edge_model):
     assert main(["report", "--input", src, "--format", "json", "--output", out], spark=spark) == 0
     got = spark.read.parquet(out).select("client", "host", "profile", "bucket", "total", "value")
     assert rows(got) == rows(edge_model.fleet_report())
+    out2 = scratch_path(spark, "cli-out2")
+    ddl = "server_name STRING, processor STRING, hr_time TIMESTAMP_NTZ, avg_processor_time DOUBLE"
+    assert main(["report", "--input", src, "--format", "json", "--schema", ddl, "--output", out2], spark=spark) == 0
+    assert rows(spark.read.parquet(out2).select(*got.columns)) == rows(got)
 
 
 def test_query_command(spark):
