@@ -109,19 +109,20 @@ class UsageModel:
     def _limit(self) -> int:
         return broadcast_limit(self.buckets.sparkSession) if self.max_broadcast_bytes is None else self.max_broadcast_bytes
 
-    def _sized(self, df: DataFrame, bound: str, label: str) -> tuple[DataFrame, bool]:
-        """(frame, proven to fit the broadcast limit). Within the write-time
-        bound the frame stays a cheap lazy names-level join; when the bound is
-        too loose to decide, it is written once (exact size observed by that
-        write, and durable) rather than measured and recomputed."""
+    def _sized(self, df: DataFrame, bound: str, label: str) -> tuple[DataFrame, bool, int]:
+        """(frame, proven to fit the broadcast limit, best known size bound).
+        Within the write-time bound the frame stays a cheap lazy names-level
+        join; when the bound is too loose to decide, it is written once (exact
+        size observed by that write, and durable) rather than measured and
+        recomputed."""
         limit = self._limit()
         if limit > 0 and self._bound(bound) <= limit:
-            return self._keep(df), True
+            return self._keep(df), True, self._bound(bound)
         table = materialize(df, label)
-        return table.df, 0 < limit and table.bytes <= limit
+        return table.df, 0 < limit and table.bytes <= limit, table.bytes
 
     @cached_property
-    def _client_members(self) -> tuple[DataFrame, bool]:
+    def _client_members(self) -> tuple[DataFrame, bool, int]:
         if self.membership == "positional":
             cm = membership.positional_client_members(self.names)
         else:
@@ -140,12 +141,14 @@ class UsageModel:
         return keys.host_keys(self.client_members)
 
     @cached_property
-    def _host_members(self) -> tuple[DataFrame, bool]:
+    def _host_members(self) -> tuple[DataFrame, bool, int]:
         if self.membership == "positional":
             hm = membership.positional_host_members(self.client_members)
         else:
+            # one host-key row per client-member row, each no larger: the
+            # members' size (exact once written) bounds the key list
             key_list = keys.host_key_list(self.client_members)
-            key_side, fits = self._key_side(key_list, self.host_keys, "client_member_bytes")
+            key_side, fits = self._key_side(key_list, self.host_keys, self._client_members[2])
             hm = membership.host_members(self.client_members, key_side, broadcast=fits)
         return self._sized(hm, "host_member_bytes", "host-members")
 
@@ -161,16 +164,17 @@ class UsageModel:
     def _client_key_list(self) -> DataFrame:
         return keys.client_key_list(self.buckets.where(F.col("profile") == agg.ALL))
 
-    def _key_side(self, key_list: DataFrame, distinct_keys: DataFrame, bound: str) -> tuple[DataFrame, bool]:
+    def _key_side(self, key_list: DataFrame, distinct_keys: DataFrame, bound: str | int) -> tuple[DataFrame, bool]:
         """The key side of a membership semi join: the plain key list (one
         row per name or member row, repeats kept) broadcast when its
         write-time bound fits, so no shuffle is needed to de-duplicate it;
         otherwise the distinct keys, broadcast if they fit, else joined by a
         salted sort-merge join."""
         limit = self._limit()
-        if limit > 0 and self._bound(bound) <= limit:
+        known = bound if isinstance(bound, int) else self._bound(bound)
+        if limit > 0 and known <= limit:
             return key_list, True
-        return distinct_keys, self._fits(distinct_keys, bound)
+        return distinct_keys, fits_broadcast(distinct_keys, self.max_broadcast_bytes, bound=known)
 
     @property
     def _cm_fits(self) -> bool:
