@@ -85,3 +85,21 @@ def test_hourly_profile_plan_shape(spark):
     data_shuffles = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln and "bucket" in ln]
     assert len(data_shuffles) == 1, plan
     assert "BroadcastHashJoin" in plan
+
+
+def test_bucket_pass_prunes_columns(spark):
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    from conftest import EDGE_ROWS
+    from fleetlens.operators.aggregates import server_buckets
+    from fleetlens.sources.scan import CANONICAL_SCHEMA, scan_metrics
+
+    d = tempfile.mkdtemp(prefix="fleetlens-test-") + "/wide"
+    wide = spark.createDataFrame(EDGE_ROWS, CANONICAL_SCHEMA).withColumn("payload", F.lit("x" * 100))
+    wide.write.parquet(d)
+    plan = _plan(server_buckets(scan_metrics(spark, d)))
+    read = plan.split("ReadSchema: ")[1].split("\n")[0]
+    assert "payload" not in read
+    assert read.startswith("struct<server_name:string,processor:string,hr_time:timestamp_ntz,avg_processor_time:double")
