@@ -157,9 +157,6 @@ class UsageModel:
         """(server_name, client, host)."""
         return self._host_members[0]
 
-    def _fits(self, df: DataFrame, bound: str) -> bool:
-        return fits_broadcast(df, self.max_broadcast_bytes, bound=self._bound(bound))
-
     @property
     def _client_key_list(self) -> DataFrame:
         return keys.client_key_list(self.buckets.where(F.col("profile") == agg.ALL))
@@ -186,9 +183,16 @@ class UsageModel:
 
     @cached_property
     def _client_sums_fit(self) -> bool:
-        # one row per client key: key, a decimal sum, row overhead
-        limit_bound = int(self._buckets.metrics["names"] or 0) * (16 + 20 + 24)
-        return fits_broadcast(self.clients, self.max_broadcast_bytes, bound=limit_bound)
+        """The per-client sums have one row per client key, each at most 60
+        bytes (key, a decimal sum, row overhead); bounded by the name count,
+        or by the key count when that is too loose."""
+        limit, row = self._limit(), 16 + 20 + 24
+        if limit <= 0:
+            return False
+        bound = int(self._buckets.metrics["names"] or 0) * row
+        if bound > limit:
+            bound = self.clients.count() * row
+        return bound <= limit
 
     @cached_property
     def hot_servers(self) -> DataFrame:
