@@ -23,11 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_SALTS = 64
-SALT = "_salt"
-
-
+SALT = "_salt"  # join-key column added to both sides
+SALTS = "_salts"  # per-key salt count in a ``hot`` frame
 HOT = "_hot"
-SALTS = "_salts"
 
 
 def keyed_join(
@@ -48,17 +46,15 @@ def keyed_join(
     # more salts than shuffle partitions would replicate without spreading further
     parts = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     salts = max(1, min(salts, parts))
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in large.columns]), F.lit(salts)).cast("int")
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in large.columns])  # deterministic per row
     if hot is None:
-        salted_large = large.withColumn(SALT, spread)
-        salted_small = small.withColumn(SALT, F.explode(every_salt))
+        salted_large = large.withColumn(SALT, F.pmod(row_hash, F.lit(salts)).cast("int"))
+        salted_small = small.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     else:
         n = F.col(SALTS) if SALTS in hot.columns else F.lit(salts)
         flags = F.broadcast(hot.select(*keys, n.cast("int").alias(SALTS)).withColumn(HOT, F.lit(True)))
-        own_spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in large.columns]), F.col(SALTS)).cast("int")
         salted_large = large.join(flags, keys, "left").withColumn(
-            SALT, F.when(F.col(HOT), own_spread).otherwise(F.lit(0))
+            SALT, F.when(F.col(HOT), F.pmod(row_hash, F.col(SALTS)).cast("int")).otherwise(F.lit(0))
         ).drop(HOT, SALTS)
         salted_small = small.join(flags, keys, "left").withColumn(
             SALT, F.explode(F.when(F.col(HOT), F.sequence(F.lit(0), F.col(SALTS) - 1)).otherwise(F.array(F.lit(0))))
