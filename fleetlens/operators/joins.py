@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.runtime import shuffle_partitions
+
 DEFAULT_SALTS = 64
 SALT = "_salt"  # join-key column added to both sides
 SALTS = "_salts"  # per-key salt count in a ``hot`` frame
@@ -44,8 +46,7 @@ def keyed_join(
     if not salts or salts <= 1:
         return large.join(small.hint("merge"), keys, how)
     # more salts than shuffle partitions would replicate without spreading further
-    parts = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    salts = max(1, min(salts, parts))
+    salts = max(1, min(salts, shuffle_partitions(large.sparkSession)))
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in large.columns])  # deterministic per row
     if hot is None:
         salted_large = large.withColumn(SALT, F.pmod(row_hash, F.lit(salts)).cast("int"))

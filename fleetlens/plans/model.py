@@ -22,7 +22,7 @@ from fleetlens.functions.columns import PROFILES, SERVER, as_double, client_key,
 from fleetlens.operators import aggregates as agg
 from fleetlens.operators import filters, keys, membership, shares
 from fleetlens.operators.joins import SALTS
-from fleetlens.runtime import Table, broadcast_limit, fits_broadcast, materialize
+from fleetlens.runtime import Table, broadcast_limit, fits_broadcast, materialize, shuffle_partitions
 
 REPORT_COLUMNS = ("client", "host", "profile", "bucket", "total", "value")
 
@@ -201,7 +201,7 @@ class UsageModel:
         the number of salts that splits each into partition-sized pieces
         (capped at P). Fewer than P servers can qualify, so the list is
         bounded by the partition count, whatever the data."""
-        parts = max(1, int(self.buckets.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+        parts = shuffle_partitions(self.buckets.sparkSession)
         total = int(self._buckets.metrics["total_rows"] or 0)
         threshold = max(1, -(-total // parts))
         salts = F.least(F.ceil(F.col("rows") / F.lit(threshold)), F.lit(parts)).cast("int")

@@ -77,6 +77,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/fleetlens/{label}-{uuid.uuid4().hex}"
 
 
+def shuffle_partitions(spark: SparkSession, default: int = 200) -> int:
+    """``spark.sql.shuffle.partitions`` as a number (some platforms allow
+    non-numeric values such as ``auto``; those fall back to ``default``)."""
+    try:
+        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", str(default))))
+    except (TypeError, ValueError):
+        return default
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     """Largest table (estimated bytes) to broadcast: the session's
     ``spark.sql.autoBroadcastJoinThreshold``; <= 0 there means never."""

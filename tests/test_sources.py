@@ -112,3 +112,22 @@ def test_scan_csv_with_source_names(spark):
     df = scan.scan_metrics(spark, d, fmt="csv", options={"header": "true"})
     got = sorted(df.collect(), key=lambda r: r.processor)
     assert got[1].hr_time.hour == 5 and got[1].avg_processor_time == 12.5 and got[0].avg_processor_time == 99.0
+
+
+def test_shuffle_partitions_tolerates_non_numeric():
+    from fleetlens.runtime import shuffle_partitions
+
+    class Conf:
+        def __init__(self, v):
+            self.v = v
+
+        def get(self, key, default=None):
+            return self.v
+
+    class Session:
+        def __init__(self, v):
+            self.conf = Conf(v)
+
+    assert shuffle_partitions(Session("auto")) == 200
+    assert shuffle_partitions(Session("64")) == 64
+    assert shuffle_partitions(Session("0")) == 1
