@@ -24,3 +24,15 @@ def test_query_command(spark):
     assert main(["query", "client_share", "--sf-dir", SF_SMALL, "--output", out], spark=spark) == 0
     assert spark.read.parquet(out).count() == 5
     assert main(["query", "nope", "--sf-dir", SF_SMALL, "--output", out], spark=spark) == 2
+
+
+def test_report_command_positional(spark):
+    import datetime as dt
+
+    src, a, b = (scratch_path(spark, x) for x in ("cli-p-src", "cli-p-a", "cli-p-b"))
+    data = [(f"{c}-{h}1", "_Total", dt.datetime(2021, 8, 2, i), float(i)) for i, (c, h) in enumerate([("aaa", "C"), ("bbb", "D"), ("aaa", "E")])]
+    spark.createDataFrame(data, CANONICAL_SCHEMA).write.parquet(src)
+    assert main(["report", "--input", src, "--output", a], spark=spark) == 0
+    assert main(["report", "--input", src, "--membership", "positional", "--output", b], spark=spark) == 0
+    cols = ["client", "host", "profile", "bucket", "total", "value"]
+    assert rows(spark.read.parquet(a).select(*cols)) == rows(spark.read.parquet(b).select(*cols))
