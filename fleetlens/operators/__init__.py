@@ -14,7 +14,15 @@ from fleetlens.operators.filters import (  # noqa: F401
     filter_total,
     project_dateparts,
 )
-from fleetlens.operators.keys import distinct_clients, distinct_dateparts, distinct_hosts, host_keys  # noqa: F401
+from fleetlens.operators.joins import keyed_join  # noqa: F401
+from fleetlens.operators.keys import (  # noqa: F401
+    client_key_list,
+    distinct_clients,
+    distinct_dateparts,
+    distinct_hosts,
+    host_key_list,
+    host_keys,
+)
 from fleetlens.operators.membership import (  # noqa: F401
     attach,
     client_members,
