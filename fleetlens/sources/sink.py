@@ -11,10 +11,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
-def write_report(df: DataFrame, path: str, partition_by: Sequence[str] = ("client",), mode: str = "overwrite") -> None:
+def write_report(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = ("client",),
+    mode: str = "overwrite",
+    only_written_partitions: bool = False,
+) -> None:
+    """Write partitioned by client. ``only_written_partitions``: an overwrite
+    replaces just the clients present in ``df`` (dynamic partition
+    overwrite), leaving other clients' directories as they are."""
     # No shuffle: the writer sorts each task's rows by the partition columns,
     # so a client with many rows is still written by many tasks in parallel.
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    writer = df.write.mode(mode).partitionBy(*partition_by)
+    if only_written_partitions:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
 
 
 def read_report(spark: SparkSession, path: str, schema) -> DataFrame:

@@ -131,3 +131,13 @@ def test_shuffle_partitions_tolerates_non_numeric():
     assert shuffle_partitions(Session("auto")) == 200
     assert shuffle_partitions(Session("64")) == 64
     assert shuffle_partitions(Session("0")) == 1
+
+
+def test_report_sink_dynamic_overwrite(spark, edge_model):
+    rep = edge_model.fleet_report()
+    path = scratch_path(spark, "report-dyn")
+    sink.write_report(rep, path)
+    # re-run for one client only: the other clients' directories stay
+    sink.write_report(rep.where(F.col("client") == "aig"), path, only_written_partitions=True)
+    back = sink.read_report(spark, path, rep.schema).select(*rep.columns)
+    assert rows(back) == rows(rep)
