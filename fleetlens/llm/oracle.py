@@ -2,4 +2,42 @@
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+# [^\x20\x09-\x0D]+ in DuckDB's own escapes.
+WORD = r"[^\x20\x09-\x0D]+"
+
+OP1 = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '{WORD}') AS words
+    FROM documents),
+windows AS (
+    SELECT r, i, array_to_string(words[i:i + 7], ' ') AS w
+    FROM (SELECT r, words, unnest(range(1, len(words) - 6)) AS i FROM d)),
+twice AS (SELECT r, w FROM windows GROUP BY r, w HAVING count(*) > 1),
+repeated AS (
+    SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM windows JOIN twice USING (r, w)) GROUP BY r),
+lines AS (
+    SELECT r, doc_id, source, line, len(regexp_extract_all(line, '{WORD}')) AS n,
+           array_to_string(list_filter(string_split_regex(translate(lower(line), '123456789', '000000000'), '\s+'), lambda x: x <> ''), ' ') AS norm
+    FROM (SELECT r, doc_id, source, unnest(string_split(text, chr(10))) AS line FROM d)
+    WHERE regexp_matches(line, '{WORD}')),
+dups AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY r),
+frequent AS (SELECT source, norm FROM lines GROUP BY source, norm HAVING count(DISTINCT doc_id) > 10),
+lost AS (
+    SELECT r, sum(n) AS n FROM lines l
+    WHERE EXISTS (SELECT 1 FROM frequent f WHERE f.norm = l.norm AND f.source IS NOT DISTINCT FROM l.source) GROUP BY r),
+m AS (
+    SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+           length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols,
+           coalesce(dups.n, 0) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words, coalesce(lost.n, 0) AS n_removed_words
+    FROM d LEFT JOIN dups USING (r) LEFT JOIN repeated USING (r) LEFT JOIN lost USING (r)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+       n_repeat_words::BIGINT AS n_repeat_words, base_failed, n_removed_words::BIGINT AS n_removed_words,
+       NOT base_failed AND 100 * (n_words - n_removed_words) >= 30 * n_words AS kept
+FROM b
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": OP1,
+}

@@ -11,14 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 from fleetlens.llm.bpe_codec import encode_documents
 from fleetlens.llm.bpe_count import count_tokens
 from fleetlens.llm.common import read_table
+from fleetlens.llm.quality import quality_verdicts
+from fleetlens.llm.secret_scan import scan_secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(read_table(spark, sf_dir, "documents")).drop("removed_lines")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(read_table(spark, sf_dir, "documents")).drop("n_entropy", "base_spans")
+
+
 def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(
         read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, outputs=("ids_sha256", "decoded_sha256")
@@ -26,6 +36,8 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_rules": op1_quality_rules,
     "op4_token_counts": op4_token_counts,
+    "op9_secret_scan": op9_secret_scan,
     "op10_bpe_codec": op10_bpe_codec,
 }
