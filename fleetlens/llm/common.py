@@ -26,11 +26,15 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of a DDL string; on the driver only."""
+    return to_arrow_schema(T.StructType.fromDDL(ddl))
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:
     """Apply a batch function to ``df``: ``make()`` runs once in each task and
     returns ``f(columns) -> columns``, where both are dicts of name -> list."""
-    fields = T.StructType.fromDDL(schema)
-    arrow = to_arrow_schema(fields)
+    arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
@@ -38,7 +42,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFr
             out = f({n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)})
             yield pa.RecordBatch.from_arrays([pa.array(out[x.name], x.type) for x in arrow], schema=arrow)
 
-    return df.mapInArrow(run, fields)
+    return df.mapInArrow(run, schema)
 
 
 def crc_mod(doc_id: str, n: int):

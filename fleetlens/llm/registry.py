@@ -7,12 +7,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetlens.llm.bpe_codec import encode_documents
 from fleetlens.llm.bpe_count import count_tokens
 from fleetlens.llm.common import read_table
 from fleetlens.llm.quality import quality_verdicts
 from fleetlens.llm.secret_scan import scan_secrets
+from fleetlens.llm.topk import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +23,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(read_table(spark, sf_dir, "documents")).drop("removed_lines")
 
 
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -37,6 +44,7 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_exact_topk": op3_exact_topk,
     "op4_token_counts": op4_token_counts,
     "op9_secret_scan": op9_secret_scan,
     "op10_bpe_codec": op10_bpe_codec,
