@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from fleetlens.llm.bpe_codec import encode_documents
 from fleetlens.llm.bpe_count import count_tokens
-from fleetlens.llm.common import read_table
+from fleetlens.llm.common import crc_mod, read_table
 from fleetlens.llm.ppm import score_documents
 from fleetlens.llm.quality import quality_verdicts
 from fleetlens.llm.secret_scan import scan_secrets
 from fleetlens.llm.topk import top_k
+from fleetlens.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +25,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(read_table(spark, sf_dir, "documents")).drop("removed_lines")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
+    return scores.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     return top_k(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
@@ -49,6 +56,7 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_toxicity": op2_toxicity,
     "op3_exact_topk": op3_exact_topk,
     "op4_token_counts": op4_token_counts,
     "op8_lm_scores": op8_lm_scores,
