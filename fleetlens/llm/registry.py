@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from fleetlens.llm.bpe_codec import encode_documents
 from fleetlens.llm.bpe_count import count_tokens
 from fleetlens.llm.common import crc_mod, read_table
+from fleetlens.llm.jaccard import jaccard_components
 from fleetlens.llm.ppm import score_documents
 from fleetlens.llm.quality import quality_verdicts
 from fleetlens.llm.secret_scan import scan_secrets
@@ -40,6 +41,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(read_table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Query] = {
     "op2_toxicity": op2_toxicity,
     "op3_exact_topk": op3_exact_topk,
     "op4_token_counts": op4_token_counts,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_lm_scores": op8_lm_scores,
     "op9_secret_scan": op9_secret_scan,
     "op10_bpe_codec": op10_bpe_codec,
