@@ -50,7 +50,51 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
+
+
+def _filled(n: str, given: str, by: str) -> str:
+    """Budgets of the children ``n`` (capacity, w) out of their parents' ``given``."""
+    part = f"PARTITION BY {by}" if by else ""
+    source = f"{n} JOIN {given} USING ({by})" if by else f"{n}, {given}"
+    return f"""
+    (SELECT * EXCLUDE (given, fill, nth, fixed), least(capacity, coalesce(fixed * w, capacity)) AS given FROM (
+        SELECT *, min_by(fill, nth) FILTER (WHERE capacity / w > fill) OVER ({part}) AS fixed FROM (
+            SELECT {n}.*, given,
+                   (given - coalesce(sum(capacity) OVER earlier, 0)) / sum(w) OVER onward AS fill,
+                   row_number() OVER ({part} ORDER BY capacity / w, {n}.name) AS nth
+            FROM {source} WHERE capacity > 0
+            WINDOW earlier AS ({part} ORDER BY capacity / w, {n}.name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                   onward AS ({part} ORDER BY capacity / w, {n}.name ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))))"""
+
+
+OP5 = rf"""
+WITH m AS (
+    SELECT doc_id, md5(text) AS content, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS tokens,
+           'domain' || ((strpos('0123456789abcdef', md5(source)[1]) - 1) // 4) AS domain, lang, source
+    FROM documents),
+leaf AS (SELECT domain, lang, source, sum(tokens)::BIGINT AS tokens FROM m GROUP BY ALL),
+n3 AS (SELECT domain, lang, source AS name, tokens * 2.0::DOUBLE AS capacity, 1.0::DOUBLE AS w FROM leaf),
+n2 AS (
+    SELECT domain, lang AS name, sum(capacity) AS capacity, CASE lang WHEN 'en' THEN 5.0 WHEN 'fr' THEN 2.0 WHEN 'de' THEN 2.0 ELSE 1.0 END::DOUBLE AS w
+    FROM n3 GROUP BY domain, lang),
+n1 AS (
+    SELECT domain AS name, sum(capacity) AS capacity, CASE domain WHEN 'domain0' THEN 4.0 WHEN 'domain1' THEN 3.0 WHEN 'domain2' THEN 2.0 ELSE 1.0 END::DOUBLE AS w
+    FROM n2 GROUP BY domain),
+g0 AS (SELECT 0.8::DOUBLE * sum(tokens) AS given FROM leaf),
+g1 AS (SELECT name AS domain, given FROM {_filled("n1", "g0", "")}),
+g2 AS (SELECT domain, name AS lang, given FROM {_filled("n2", "g1", "domain")}),
+g3 AS (SELECT domain, lang, name AS source, given FROM {_filled("n3", "g2", "domain, lang")}),
+b AS (
+    SELECT domain, lang, source, floor(floor(given + 1e-6) / tokens)::BIGINT AS epochs, floor(given + 1e-6) - floor(floor(given + 1e-6) / tokens) * tokens AS rest
+    FROM g3 JOIN leaf USING (domain, lang, source)),
+p AS (
+    SELECT doc_id, tokens, epochs, rest, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('17:' || epochs || ':' || doc_id), doc_id, content) AS so_far
+    FROM m JOIN b USING (domain, lang, source) WHERE tokens > 0)
+SELECT doc_id, tokens AS n_tokens, (epochs + (so_far <= rest)::INTEGER)::INTEGER AS copies FROM p WHERE epochs + (so_far <= rest)::INTEGER > 0
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op3_exact_topk": OP3,
+    "op5_source_mixing": OP5,
 }

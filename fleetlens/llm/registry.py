@@ -13,6 +13,7 @@ from fleetlens.llm.bpe_codec import encode_documents
 from fleetlens.llm.bpe_count import count_tokens
 from fleetlens.llm.common import crc_mod, read_table
 from fleetlens.llm.jaccard import jaccard_components
+from fleetlens.llm.mixing import LEVELS, WEIGHTS, mix_counts, with_domain
 from fleetlens.llm.ppm import score_documents
 from fleetlens.llm.quality import quality_verdicts
 from fleetlens.llm.secret_scan import scan_secrets
@@ -41,6 +42,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_counts(with_domain(read_table(spark, sf_dir, "documents")), LEVELS, WEIGHTS)
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op2_toxicity": op2_toxicity,
     "op3_exact_topk": op3_exact_topk,
     "op4_token_counts": op4_token_counts,
+    "op5_source_mixing": op5_source_mixing,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_lm_scores": op8_lm_scores,
     "op9_secret_scan": op9_secret_scan,
