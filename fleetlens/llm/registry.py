@@ -13,6 +13,7 @@ from fleetlens.llm.bpe_codec import encode_documents
 from fleetlens.llm.bpe_count import count_tokens
 from fleetlens.llm.common import crc_mod, read_table
 from fleetlens.llm.jaccard import jaccard_components
+from fleetlens.llm.licenses import scan_licenses
 from fleetlens.llm.mixing import LEVELS, WEIGHTS, mix_counts, with_domain
 from fleetlens.llm.ppm import score_documents
 from fleetlens.llm.quality import quality_verdicts
@@ -46,6 +47,10 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_counts(with_domain(read_table(spark, sf_dir, "documents")), LEVELS, WEIGHTS)
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"))
 
@@ -70,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op3_exact_topk": op3_exact_topk,
     "op4_token_counts": op4_token_counts,
     "op5_source_mixing": op5_source_mixing,
+    "op6_license_scan": op6_license_scan,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_lm_scores": op8_lm_scores,
     "op9_secret_scan": op9_secret_scan,
