@@ -324,8 +324,12 @@ def jaccard_components(docs: DataFrame, shingle_words: int = 4, percent: int = 8
     return full.union(empty).select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, components: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def keep_one_of_each(docs: DataFrame, components: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose id is that of their component:
-    one document of each. Rows that repeat an id all stay, or all go."""
+    one document of each. Rows alike in id and text are one document, of which
+    one row stays; rows that repeat an id with other texts all stay, or all
+    go, and so do those with a null id."""
     kept = components.filter(F.col(f"`{id_col}`").eqNullSafe(F.col("component_id"))).select(F.col(f"`{id_col}`").alias("__id")).distinct()
-    return docs.join(kept, docs[f"`{id_col}`"].eqNullSafe(F.col("__id")), "left_semi")
+    left = docs.join(kept, docs[f"`{id_col}`"].eqNullSafe(F.col("__id")), "left_semi")
+    alike = Window.partitionBy(f"`{id_col}`", F.xxhash64(f"`{text_col}`"), F.crc32(F.col(f"`{text_col}`").cast("binary"))).orderBy(F.lit(0))
+    return left.withColumn("__nth", F.row_number().over(alike)).filter("__nth = 1").drop("__nth")

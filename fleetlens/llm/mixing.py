@@ -169,7 +169,7 @@ WEIGHTS: tuple[Mapping[str | None, float], ...] = (
 )
 
 
-def with_domain(docs: DataFrame, source: str = "source") -> DataFrame:
-    """``docs`` with ``domain``: one of four groups of sources, by their md5."""
+def with_domain(docs: DataFrame, source: str = "source", name: str = "domain") -> DataFrame:
+    """``docs`` with ``name``: one of four groups of sources, by their md5."""
     digit = F.instr(F.lit("0123456789abcdef"), F.substring(F.md5(F.col(f"`{source}`").cast("binary")), 1, 1)) - 1
-    return docs.withColumn("domain", F.concat(F.lit("domain"), F.floor(digit / 4).cast("string")))
+    return docs.withColumn(name, F.concat(F.lit("domain"), F.floor(digit / 4).cast("string")))

@@ -12,10 +12,12 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -227,38 +229,59 @@ def document_frequencies(docs: DataFrame, terms: list[bytes]) -> tuple[int, np.n
 SCORED = "raw double, neighbours array<long>, cosines array<double>, toxic_neighbours int"
 
 
-def score_toxicity(
-    docs: DataFrame,
-    labels: DataFrame,
-    train: Column | None = None,
-    per_class: int = 2048,
-    k: int = 15,
-    threshold: float = 0.3,
-    most_terms: int = 1024,
-    least_ratio: float = 25.0,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    label_col: str = "toxic",
-) -> DataFrame:
-    """One row per input row: the id, ``score`` (0 to 1, higher: toxic
-    likelier), ``predicted`` (1 if ``score >= threshold``) and the evidence:
-    ``neighbours`` (ids of the nearest examples), their ``cosines`` and
-    ``toxic_neighbours`` (how many of them are labelled 1).
-
-    ``train``: a condition on the labels' id column saying which label rows may
-    be learned from; by default crc32(id) mod 4 <> 2. ``per_class`` bounds the
-    labelled sample; term statistics cover all documents. A null text counts
-    as empty and, like any text without a known term, gets the vote of the
-    examples without one. Without labels of both classes the score is the
-    share of 1 among them, 0 without any. Repeated rows are each scored; other
-    columns are ignored. Ids must be integers.
+def voted(rows: DataFrame, held: Broadcast, k: int, leave_out: bool = False) -> DataFrame:
+    """``rows`` (doc_id, text, any others) with the columns of SCORED for the
+    text; ``leave_out``: an example with the row's own id does not vote."""
+    carried = [f for f in rows.schema.fields if f.name != "text"]
+    ddl = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in carried), SCORED])
+    schema = arrow_schema(ddl)
+
+    def run(batches):
+        index = per_worker(held, "index", lambda v: BlockMaxIndex(v[0], v[2]))
+        vocabulary = per_worker(held, "vocabulary", lambda v: Vocabulary(v[1]))
+        seen = Recent(lambda counts: index.vote(counts, k), 50_000, 10_000)
+        for batch in batches:
+            counts = [vocabulary.count(t) for t in batch.column("text").to_pylist()]
+            got = [index.vote(c, k, i) for c, i in zip(counts, batch.column("doc_id").to_pylist())] if leave_out else [seen[c] for c in counts]
+            columns = [
+                *(c for c, n in zip(batch.columns, batch.schema.names) if n != "text"),
+                pa.array([g[0] for g in got], pa.float64()),
+                pa.array([index.ids[g[1]] for g in got], pa.list_(pa.int64())),
+                pa.array([g[2] for g in got], pa.list_(pa.float64())),
+                pa.array([int(index.label[g[1]].sum()) for g in got], pa.int32()),
+            ]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    return rows.mapInArrow(run, ddl)
+
+
+@dataclass(frozen=True)
+class ToxicityModel:
+    """A fitted index of labelled examples; ``score`` applies it."""
+
+    held: Broadcast
+    curve: tuple[np.ndarray, np.ndarray]
+    k: int
+    threshold: float
+
+    def score(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (doc_id, text, any others) without the text, and with
+        ``score``, ``predicted`` and the evidence."""
+        scored = voted(rows, self.held, self.k).withColumn("score", step_column(F.col("raw"), self.curve)).drop("raw")
+        return scored.withColumn("predicted", (F.col("score") >= self.threshold).cast("int"))
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None, per_class: int = 2048, k: int = 15, threshold: float = 0.3, most_terms: int = 1024, least_ratio: float = 25.0) -> ToxicityModel:
+    """The model of ``docs`` (doc_id, text) and ``labels`` (doc_id, label).
+
+    ``train``: a condition on the label rows' doc_id saying which may be
+    learned from; by default crc32(id) mod 4 <> 2. ``per_class`` bounds the
+    labelled sample; term statistics cover all documents.
     """
     spark = docs.sparkSession
-    src = pick(docs, doc_id=id_col, text=text_col)
-    known = pick(labels, doc_id=id_col, label=label_col)
-    sample = labelled_sample(src, known, train if train is not None else crc_mod("doc_id", 4) != 2, per_class)
+    sample = labelled_sample(docs, labels, train if train is not None else crc_mod("doc_id", 4) != 2, per_class)
     terms = telling_terms(sample, most_terms, least_ratio)
-    rows, df = document_frequencies(src, terms)
+    rows, df = document_frequencies(docs, terms)
     idf = np.log((1.0 + rows) / (1.0 + df)) + 1.0
     held_terms = spark.sparkContext.broadcast({"value": terms})
 
@@ -275,38 +298,35 @@ def score_toxicity(
     found = sample.select("doc_id", "text", "label", "weight").mapInArrow(vectors, "doc_id long, label int, weight double, terms array<long>, times array<long>").orderBy("doc_id").collect()
     examples = [(r["doc_id"], r["label"], r["weight"], tuple(zip(r["terms"], r["times"]))) for r in found]
     held = spark.sparkContext.broadcast({"value": (examples, terms, idf)})
+    raw = {r["doc_id"]: r["raw"] for r in voted(sample.select("doc_id", "text"), held, k, leave_out=True).select("doc_id", "raw").collect()}
+    curve = isotonic(np.array([raw[e[0]] for e in examples]), np.array([e[1] for e in examples], np.float64), np.array([e[2] for e in examples]))
+    return ToxicityModel(held, curve, k, threshold)
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> DataFrame:
+    """One row per input row: the id, ``score`` (0 to 1, higher: toxic
+    likelier), ``predicted`` (1 if the score reaches the threshold) and the
+    evidence: ``neighbours`` (ids of the nearest examples), their ``cosines``
+    and ``toxic_neighbours`` (how many of them are labelled 1).
+
+    ``options``: those of ``fit_toxicity``. A null text counts as empty and,
+    like any text without a known term, gets the vote of the examples without
+    one. Without labels of both classes the score is the share of 1 among
+    them, 0 without any. Repeated rows are each scored; other columns are
+    ignored. Ids must be integers.
+    """
+    src = pick(docs, doc_id=id_col, text=text_col)
+    model = fit_toxicity(src, pick(labels, doc_id=id_col, label=label_col), **options)
+    return model.score(src).select(F.col("doc_id").alias(id_col), "score", "predicted", "neighbours", "cosines", "toxic_neighbours")
 
-    def scorer(leave_out: bool, kind: str):
-        ddl = f"doc_id {kind}, {SCORED}"
-        schema = arrow_schema(ddl)
-
-        def run(batches):
-            index = per_worker(held, "index", lambda v: BlockMaxIndex(v[0], v[2]))
-            vocabulary = per_worker(held, "vocabulary", lambda v: Vocabulary(v[1]))
-            seen = Recent(lambda counts: index.vote(counts, k), 50_000, 10_000)
-            for batch in batches:
-                ids = batch.column(0).to_pylist()
-                counts = [vocabulary.count(t) for t in batch.column(1).to_pylist()]
-                got = [index.vote(c, k, i) for c, i in zip(counts, ids)] if leave_out else [seen[c] for c in counts]
-                columns = [
-                    batch.column(0),
-                    pa.array([g[0] for g in got], pa.float64()),
-                    pa.array([index.ids[g[1]] for g in got], pa.list_(pa.int64())),
-                    pa.array([g[2] for g in got], pa.list_(pa.float64())),
-                    pa.array([int(index.label[g[1]].sum()) for g in got], pa.int32()),
-                ]
-                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
-
-        return run, ddl
-
-    label_of, weight_of = {e[0]: e[1] for e in examples}, {e[0]: e[2] for e in examples}
-    voted = sample.select("doc_id", "text").mapInArrow(*scorer(True, "long")).select("doc_id", "raw").orderBy("doc_id").collect()
-    curve = isotonic(np.array([r["raw"] for r in voted]), np.array([label_of[r["doc_id"]] for r in voted]), np.array([weight_of[r["doc_id"]] for r in voted]))
-
-    kind = src.schema["doc_id"].dataType.simpleString()
-    scored = src.mapInArrow(*scorer(False, kind))
-    score = step_column(F.col("raw"), curve)
-    return scored.withColumn("score", score).select(F.col("doc_id").alias(id_col), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "neighbours", "cosines", "toxic_neighbours")
+
+def reject_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not predicted toxic. See
+    ``score_toxicity``; each row is judged by its own text."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    model = fit_toxicity(pick(docs, doc_id=id_col, text=text_col), pick(labels, doc_id=id_col, label=label_col), **options)
+    rows = docs.toDF(*names).select("*", F.col(names[docs.columns.index(id_col)]).alias("doc_id"), F.col(names[docs.columns.index(text_col)]).alias("text"))
+    return model.score(rows).filter("predicted = 0").select(*names).toDF(*docs.columns)
 
 
 def step_column(raw: Column, curve: tuple[np.ndarray, np.ndarray]) -> Column:
@@ -317,10 +337,3 @@ def step_column(raw: Column, curve: tuple[np.ndarray, np.ndarray]) -> Column:
     values_col = F.array(*[F.lit(float(v)) for v in values])
     ends_col = F.array(*[F.lit(float(e)) for e in ends[:-1]]) if len(ends) > 1 else F.array().cast("array<double>")
     return F.get(values_col, F.size(F.filter(ends_col, lambda e: e < raw - 1e-12)))
-
-
-def reject_toxic(docs: DataFrame, scores: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs``, all columns, whose document is not predicted
-    toxic; one with a null id stays if no null id is predicted toxic."""
-    bad = scores.filter("predicted = 1").select(F.col(f"`{id_col}`").alias("__id")).distinct()
-    return docs.join(bad, docs[f"`{id_col}`"].eqNullSafe(F.col("__id")), "left_anti")
