@@ -2,11 +2,11 @@
 
 The documents are the rows, and the shingles the columns, of a sparse incidence
 matrix; overlaps are entries of its product with its own transpose. A linked
-pair must share one of the few rarest shingles of each row, as many as its size
-allows to miss; rows that share none of these cannot reach the bound, and fall
-into different blocks of the product. Each block is multiplied by column
-chunks, and pairs whose overlap so far plus all that is left stays below the
-bound that their sizes give are discarded on the way.
+pair must share one of the rarest shingles of each row, one more of them than
+its size allows to miss; rows that share none of these cannot reach the bound,
+and fall into different blocks of the product. Each block is multiplied by
+column chunks, and pairs whose overlap so far plus all that is left stays below
+the bound that their sizes give are discarded on the way.
 """
 
 from __future__ import annotations
@@ -23,9 +23,8 @@ from fleetlens.llm.common import Recent, arrow_schema, pick
 from fleetlens.llm.components import connected_components
 from fleetlens.runtime import materialize
 
-CELL_BITS = 20  # the document frequencies of shingles are counted in 2**20 cells
-CELL_BLOCK = 4096
-FILTER_BITS = 1 << 22
+FIRST = 1 << 62  # shingles whose hashes are below this, a quarter, come first in the order, rare before frequent
+FILTER_BITS = 1 << 24
 PIVOTS = 8
 CHUNK = 2048  # columns multiplied at a time
 
@@ -49,106 +48,107 @@ def shingle_set(text: str | None, size: int, hashes: Recent) -> np.ndarray:
     return np.unique(h * np.uint64(0xD6E8FEB86659FD93))
 
 
-def cell_of(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+def fingerprint(shingles: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
 
 
-def shingle_frequencies(docs: DataFrame, size: int) -> np.ndarray:
-    """How many documents hold a shingle of each cell: a table of fixed size.
-    Each task sends its counts; they are summed in two steps, so that no task
-    reads those of all others."""
-    schema = pa.schema([("cells", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
+def prefix_size(n: int, percent: int) -> int:
+    """Of a set of n, so many shingles in any fixed order hold one of any linked set."""
+    return n - -(-percent * n // 100) + 1
 
-    def count(batches):
-        from pyspark import TaskContext
 
-        hashes, total, held, n = Recent(word_hash, 200_000), np.zeros(1 << CELL_BITS, np.int64), [], 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.append(cell_of(shingle_set(text, size, hashes)))
-                n += len(held[-1])
-                if n > 1 << CELL_BITS:
-                    total += np.bincount(np.concatenate(held), minlength=1 << CELL_BITS)
-                    held, n = [], 0
-        total += np.bincount(np.concatenate([*held, np.empty(0, np.int64)]), minlength=1 << CELL_BITS)
-        part = TaskContext.get().partitionId() % 64
-        for i, block in enumerate(total.reshape(-1, CELL_BLOCK)):
-            if block.any():
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part], pa.int32()), pa.array([block.tobytes()])], schema=schema)
-
-    def add(key, table):
-        total = sum(np.frombuffer(x.as_py(), np.int64) for x in table.column("counts"))
-        return pa.table({"cells": pa.array([table.column("cells")[0].as_py()], pa.int32()), "part": pa.array([0], pa.int32()), "counts": pa.array([total.tobytes()])}, schema=schema)
-
-    ddl = "cells int, part int, counts binary"
-    counts = docs.select("text").mapInArrow(count, ddl)
-    summed = counts.groupBy("cells", "part").applyInArrow(add, ddl).groupBy("cells").applyInArrow(add, ddl)
-    out = np.zeros((1 << CELL_BITS) // CELL_BLOCK * CELL_BLOCK, np.int64).reshape(-1, CELL_BLOCK)
-    for r in summed.collect():
-        out[r["cells"]] = np.frombuffer(r["counts"], np.int64)
-    return out.ravel()
-
-
-def signatures(docs: DataFrame, size: int, percent: int, rarity: np.ndarray) -> DataFrame:
-    """(doc_id, n, print, prefix): the set's size, a 128-bit fingerprint of it
-    (null if empty), and its rarest shingles, of which a linked set must hold one."""
+def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(doc_id, n, print, front) of each row: its set's size, a 128-bit
+    fingerprint of the set (null if empty), and its shingles below FIRST, or
+    more where these are fewer than the prefix, by rising hash."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ddl = f"doc_id {kind}, n long, print binary, prefix array<long>"
+    ddl = f"doc_id {kind}, n long, print binary, front array<long>"
     schema = arrow_schema(ddl)
-    held = docs.sparkSession.sparkContext.broadcast({"value": rarity})
 
     def run(batches):
-        hashes, rank = Recent(word_hash, 200_000), held.value["value"]
+        hashes = Recent(word_hash, 200_000)
         for batch in batches:
-            n, prints, prefixes = [], [], []
+            n, prints, fronts = [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text, size, hashes)
                 n.append(len(s))
                 prints.append(fingerprint(s))
-                missable = len(s) - -(-percent * len(s) // 100)
-                prefixes.append(s[np.lexsort((s, rank[cell_of(s)]))[: missable + 1]].view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))], schema=schema)
+                fronts.append(s[: max(int(np.searchsorted(s, np.uint64(FIRST))), prefix_size(len(s), percent) if len(s) else 0)].view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(fronts, pa.list_(pa.int64()))], schema=schema)
 
     return docs.select("doc_id", "text").mapInArrow(run, ddl)
 
 
-def fingerprint(shingles: np.ndarray) -> bytes | None:
-    return xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
+def bitmap(bits: DataFrame) -> np.ndarray:
+    """The bits (column ``bit``, below FILTER_BITS) that occur: a table of fixed
+    size, built by partial ORs."""
+    words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).toArrow()
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out.view(np.uint64)
 
 
-def id_filter(ids: DataFrame):
-    """A test whether an id may be among ``ids``: a bitmap of fixed size, built
-    by partial ORs. It lets others through, never keeps one of ``ids`` out."""
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    words = ids.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).collect()
-    bitmap = np.zeros(FILTER_BITS // 64, np.int64)
-    for r in words:
-        bitmap[r["word"]] = r["bits"]
-    held = ids.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+def has_bit(table: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    return (table[bits >> 6] >> (bits & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
 
-    @F.pandas_udf("boolean")
-    def may(bits):
-        b = bits.to_numpy().astype(np.int64)
-        return pd.Series((held.value[b >> 6] >> (b & 63).astype(np.uint64) & np.uint64(1)).astype(bool))
 
-    return may(bit)
+def shared_prefixes(signed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(node, shingle): of each class's prefix, the shingles that other classes hold too.
 
+    The order is: shingles below FIRST by the number of classes that hold them,
+    then the others by hash. Shingles of one class only need not be known one
+    by one, so just the repeated ones, found by a count over all classes, go
+    back to their rows. A bitmap of these keeps most others out of that join.
+    """
+    fronts = signed.select("row", "front").join(classes.select("node"), F.col("row") == F.col("node"))
+    held = fronts.select(F.explode("front").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
+    held = materialize(held, "jaccard-columns").df
+    table = signed.sparkSession.sparkContext.broadcast(bitmap(held.select(F.col("shingle").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("bit"))))
+    ddl = "row long, unshared long, front array<long>"
+    schema = arrow_schema(ddl)
 
-def candidate_sets(docs: DataFrame, candidates: DataFrame, size: int) -> DataFrame:
-    """(node, block, set) of the candidates (doc_id, print, node, block), their
-    sets made again from the texts; only candidates' rows are shuffled."""
+    def run(batches):
+        for batch in batches:
+            fronts = [np.asarray(x, np.int64) for x in batch.column(2).to_pylist()]
+            keep = [x[has_bit(table.value, x & (FILTER_BITS - 1))] for x in fronts]
+            # how many of the prefix are left for shared ones, if no other is shared
+            room = [prefix_size(n, percent) - len(x) for n, x in zip(batch.column(1).to_pylist(), fronts)]
+            some = [i for i, x in enumerate(keep) if len(x)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some, pa.int64())), pa.array([room[i] for i in some], pa.int64()), pa.array([keep[i] for i in some], pa.list_(pa.int64()))], schema=schema)
+
+    likely = signed.filter("n > 0").select("row", "n", "front").mapInArrow(run, ddl)
+    likely = likely.join(classes.select("node"), F.col("row") == F.col("node")).select("node", F.col("unshared").alias("room"), F.explode("front").alias("shingle"))
+    known = likely.join(held, "shingle")
+    late = (F.col("shingle") < 0) | (F.col("shingle") >= FIRST)  # hashes as signed numbers
+    order = F.struct(late.alias("late"), F.when(late, 0).otherwise(F.col("classes")).alias("classes"), "shingle")
+    rows = known.groupBy("node").agg(F.first("room").alias("room"), F.sort_array(F.collect_list(order)).alias("all"))
+    rows = rows.withColumn("take", F.col("room") + F.size("all")).filter("take > 0")
+    return rows.select("node", F.explode(F.slice("all", F.lit(1), F.col("take").cast("int"))).alias("s")).select("node", F.col("s.shingle").alias("shingle"))
+
+
+def candidate_texts(docs: DataFrame, candidates: DataFrame, size: int) -> DataFrame:
+    """(node, block, text) of the candidates (doc_id, print, node, block). A
+    bitmap of their ids keeps most other rows out of the shuffle."""
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    table = docs.sparkSession.sparkContext.broadcast(bitmap(candidates.select(bit("doc_id").alias("bit"))))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ddl = f"doc_id {kind}, print binary, set binary"
+    ddl = f"doc_id {kind}, print binary, text string"
     schema = arrow_schema(ddl)
 
+    @F.pandas_udf("boolean")
+    def may(bits):
+        return pd.Series(has_bit(table.value, bits.to_numpy().astype(np.int64)))
+
     def run(batches):
         hashes = Recent(word_hash, 200_000)
         for batch in batches:
-            sets = [shingle_set(t, size, hashes) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(fingerprint, sets), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
+            prints = [fingerprint(shingle_set(t, size, hashes)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary()), batch.column(1)], schema=schema)
 
-    sets = docs.select("doc_id", "text").filter(id_filter(candidates.select("doc_id"))).mapInArrow(run, ddl)
-    return sets.join(candidates, ["doc_id", "print"]).dropDuplicates(["node"]).select("node", "block", "set")
+    texts = docs.select("doc_id", "text").filter(may(bit("doc_id"))).mapInArrow(run, ddl)
+    alike = Window.partitionBy("doc_id", "print").orderBy(F.lit(0))  # rows that repeat id and set
+    joined = texts.alias("t").join(candidates.alias("c"), F.col("t.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("t.print") == F.col("c.print")))
+    return joined.select("t.doc_id", "t.print", "text", "node", "block").withColumn("nth", F.row_number().over(alike)).filter("nth = 1").select("node", "block", "text")
 
 
 def linked_pairs(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> np.ndarray:
@@ -222,31 +222,32 @@ def spanning(linked: np.ndarray, left: np.ndarray, right: np.ndarray | None) ->
 EDGES = "u long, v long"
 
 
-def pivot_links(members: DataFrame, percent: int) -> DataFrame:
-    """(node, block, set, links): which of the block's PIVOTS pivots, some of
+def pivot_links(members: DataFrame, size: int, percent: int) -> DataFrame:
+    """(node, block, text, links): which of the block's PIVOTS pivots, some of
     its own members, a member links with. Work is linear in the block."""
     first = members.withColumn("nth", F.row_number().over(Window.partitionBy("block").orderBy(F.xxhash64("node"), "node"))).filter(F.col("nth") <= PIVOTS)
-    pivots = materialize(first.groupBy("block").agg(F.collect_list(F.struct("node", "set")).alias("pivots")), "jaccard-pivots").df
-    ddl = "node long, block long, set binary, links array<long>"
+    pivots = materialize(first.groupBy("block").agg(F.collect_list(F.struct("node", "text")).alias("pivots")), "jaccard-pivots").df
+    ddl = "node long, block long, text string, links array<long>"
     schema = arrow_schema(ddl)
 
     def run(batches):
+        hashes, of = Recent(word_hash, 200_000), Recent(lambda t: shingle_set(t, size, hashes), 64, 1 << 20)
         for batch in batches:
             links = []
-            for node, raw, pivots in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                s, own = np.frombuffer(raw, np.uint64), []
+            for node, text, pivots in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                s, own = shingle_set(text, size, hashes), []
                 for p in pivots:
-                    t = np.frombuffer(p["set"], np.uint64)
+                    t = of[p["text"]]
                     if (100 + percent) * len(np.intersect1d(s, t, assume_unique=True)) >= percent * (len(s) + len(t)):
                         own.append(p["node"])
                 links.append(own)
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(links, pa.list_(pa.int64()))], schema=schema)
 
-    return members.join(pivots, "block").select("node", "block", "set", "pivots").mapInArrow(run, ddl)
+    return members.join(pivots, "block").select("node", "block", "text", "pivots").mapInArrow(run, ddl)
 
 
-def block_links(members: DataFrame, percent: int, block_rows: int) -> DataFrame:
-    """Edges (u, v) that join all linked members of each block (node, block, set).
+def block_links(members: DataFrame, size: int, percent: int, block_rows: int) -> DataFrame:
+    """Edges (u, v) that join all linked members of each block (node, block, text).
 
     A block of up to ``block_rows`` rows is multiplied in one step. In a larger
     one, members that link with one pivot are joined already, so no pair of
@@ -256,8 +257,8 @@ def block_links(members: DataFrame, percent: int, block_rows: int) -> DataFrame:
     sizes = members.groupBy("block").agg(F.count(F.lit(1)).alias("size"))
     sizes = materialize(sizes, "jaccard-sizes").df
     sized = members.join(sizes, "block")
-    whole = sized.filter(F.col("size") <= block_rows).select("node", "block", "set", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
-    met = materialize(pivot_links(sized.filter(F.col("size") > block_rows).drop("size"), percent), "jaccard-large").df
+    whole = sized.filter(F.col("size") <= block_rows).select("node", "block", "text", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
+    met = materialize(pivot_links(sized.filter(F.col("size") > block_rows).drop("size"), size, percent), "jaccard-large").df
     edges = met.select(F.col("node").alias("u"), F.explode("links").alias("v"))
     best = edges.join(met.select("node", "block"), F.col("u") == F.col("node")).groupBy("block", "v").agg(F.count(F.lit(1)).alias("n"))
     best = best.groupBy("block").agg(F.max_by("v", F.struct("n", "v")).alias("pivot"))
@@ -269,11 +270,12 @@ def block_links(members: DataFrame, percent: int, block_rows: int) -> DataFrame:
     dealt = dealt.withColumn("b", F.when(F.col("open"), F.pmod(F.hash("node"), F.col("opens"))).otherwise(F.col("opens") + F.pmod(F.hash("node"), F.greatest("dones", F.lit(1)))))
     # Steps (i, j): i among the open parts, j from i on; a row is in each step that names its part.
     others = F.when(F.col("open"), F.sequence(F.lit(0), F.col("opens") + F.col("dones") - 1)).otherwise(F.sequence(F.lit(0), F.col("opens") - 1))
-    steps = dealt.withColumn("o", F.explode(others)).select("node", "block", "set", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), (F.col("b") > F.col("o")).cast("int").alias("side"))
+    steps = dealt.withColumn("o", F.explode(others)).select("node", "block", "text", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), (F.col("b") > F.col("o")).cast("int").alias("side"))
 
     def multiply(key, table):
         node = table.column("node").to_numpy()
-        sets = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("set")]
+        hashes = Recent(word_hash, 200_000)
+        sets = [shingle_set(x.as_py(), size, hashes) for x in table.column("text")]
         if key[1].as_py() == key[2].as_py():
             found = spanning(linked_pairs(sets, None, percent), node, None)
         else:
@@ -302,19 +304,17 @@ def jaccard_components(docs: DataFrame, shingle_words: int = 4, percent: int = 8
     Equal sets are one row of the product, whatever their number.
     """
     src = pick(docs, doc_id=id_col, text=text_col)
-    counts = shingle_frequencies(src, shingle_words)
-    rarity = np.minimum(255, np.round(8 * np.log2(1 + counts))).astype(np.uint8)  # any fixed order is right; rare first keeps blocks small
-    signed = materialize(signatures(src, shingle_words, percent, rarity), "jaccard-sets").df
-    classes = signed.filter("n > 0").groupBy("print").agg(F.min("doc_id").alias("doc_id"), F.first("prefix").alias("prefix"))
-    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "jaccard-classes").df
-    entries = classes.select("node", F.explode("prefix").alias("shingle"))
-    pivots = entries.groupBy("shingle").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("shingle", "first")
-    pivots = materialize(pivots, "jaccard-columns").df
+    signed = materialize(signatures(src, shingle_words, percent).withColumn("row", F.monotonically_increasing_id()), "jaccard-sets").df
+    classes = signed.filter("n > 0").groupBy("print").agg(F.min("row").alias("node"), F.min("doc_id").alias("doc_id"), F.min_by("doc_id", "row").alias("node_id"))
+    classes = materialize(classes, "jaccard-classes").df
+    entries = materialize(shared_prefixes(signed, classes, percent), "jaccard-prefixes").df
+    pivots = entries.groupBy("shingle").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("shingle", "first")
+    pivots = materialize(pivots, "jaccard-pivots").df
     near = entries.join(pivots, "shingle").filter("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v")).distinct()
     blocks = connected_components(near).select("node", F.col("root").alias("block"))
-    candidates = materialize(classes.select("node", "doc_id", "print").join(blocks, "node"), "jaccard-candidates").df
-    members = materialize(candidate_sets(src, candidates, shingle_words), "jaccard-members").df
-    links = materialize(block_links(members, percent, block_rows), "jaccard-links").df
+    candidates = materialize(classes.select("node", F.col("node_id").alias("doc_id"), "print").join(blocks, "node"), "jaccard-candidates").df
+    members = materialize(candidate_texts(src, candidates, shingle_words), "jaccard-members").df
+    links = materialize(block_links(members, shingle_words, percent, block_rows), "jaccard-links").df
     roots = connected_components(links)
     rooted = classes.select("node", "print", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))

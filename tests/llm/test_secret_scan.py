@@ -1,0 +1,65 @@
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+from fleetlens.llm.secret_scan import WINDOW, all_spans, base_spans, dense_windows, listed, redact, redact_secrets, scan_secrets
+
+PATTERNS = (
+    ("assign", re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), lambda m: len(m.group(2)) >= 6),
+    ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m.group()) >= 20),
+    ("hex", re.compile("[0-9a-f]+"), lambda m: len(m.group()) >= 24),
+)
+
+
+def plain(text):
+    found = [(m.start(), i, m.end()) for i, (_, p, ok) in enumerate(PATTERNS) for m in p.finditer(text) if ok(m)]
+    return ",".join(f"{PATTERNS[i][0]}:{a}:{b}" for a, i, b in sorted(found))
+
+
+def test_base_spans_of_random_texts():
+    rng = random.Random(1)
+    pieces = ["password", "PassWd", "secret", "Token", "api_key", "APIKEY", "'", '"', " ", "  ", ":", "=", "abcdef", "x" * 5, "AKIA", "A" * 16, "0" * 24, "ab" * 12, "g", "\n", "é", "ſecret", "toKen", "-", "."]
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(14)))
+        assert listed(base_spans(text)) == plain(text), text
+
+
+def test_windows_by_definition():
+    rng = random.Random(2)
+    for _ in range(300):
+        s = "".join(rng.choice("abcdefghijklmnop0123456789"[: rng.randrange(2, 26)]) for _ in range(rng.randrange(15, 70)))
+        cover = set()
+        for i in range(len(s) - WINDOW + 1):
+            counts = Counter(s[i : i + WINDOW])
+            if -sum(c / WINDOW * math.log2(c / WINDOW) for c in counts.values()) >= 3.2 - 1e-9:
+                cover |= set(range(i, i + WINDOW))
+        assert {j for a, b in dense_windows(s, 3.2) for j in range(a, b)} == cover
+
+
+def test_entropy_spans_and_allow_list():
+    key = "wJalrXUtnFEMI7MDENGbPxRfiCYzQk9sT2vL"
+    kinds = lambda t: [x.split(":")[0] for x in listed(all_spans(t)[1]).split(",") if x]
+    assert kinds(f"see {key} there") == ["entropy"]
+    assert kinds(f"secret: {key}") == ["assign"]  # the base span stays, and nothing is added to it
+    for text in ("123e4567-e89b-42d3-a456-426614174000", "an example" + key, "2024-01-01-2024-12-31-999", "internationalisation_of_documents_2024", "thonerehandedblewhoneti" * 2, "a" * 40 + "1"):
+        assert kinds(text) == [], text
+
+
+def test_redact():
+    assert redact("ab SECRET cd", [(3, 0, 9), (5, 2, 7)]) == "ab [SECRET] cd"
+    assert redact("0123456789", [(0, 0, 4), (2, 1, 6), (8, 2, 10)], "X") == "X67X"[:1] + "67X"
+
+
+def test_rows(edge_docs, no_docs):
+    got = scan_secrets(edge_docs)
+    want = sorted((str(r["doc_id"]), hashlib.sha256(plain(r["text"] or "").encode()).hexdigest(), *(sum(x.startswith(k) for x in plain(r["text"] or "").split(",")) for k in ("assign", "access", "hex"))) for r in edge_docs.collect())
+    assert sorted((str(r["doc_id"]), r["base_sha256"], r["n_assign"], r["n_access"], r["n_hex"]) for r in got.collect()) == want
+    assert scan_secrets(no_docs).collect() == []
+    masked = redact_secrets(edge_docs)
+    assert masked.columns == edge_docs.columns and masked.schema == edge_docs.schema
+    after = {(r["doc_id"], r["text"]): r for r in masked.collect()}
+    assert sorted(map(str, after)) == sorted(str((r["doc_id"], redact(r["text"], all_spans(r["text"])[1]) if r["text"] else r["text"])) for r in edge_docs.distinct().collect())
+    eight = next(r for k, r in after.items() if k[0] == 8)
+    assert eight["text"] == "[SECRET]\" [SECRET] [SECRET]" and eight["n_chars"] == len(eight["text"])
