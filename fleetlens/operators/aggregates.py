@@ -31,22 +31,23 @@ def total_usage_projected(df: DataFrame, metric: str = METRIC) -> DataFrame:
     return out.select(as_double(F.col(f"`sum({metric})`")).alias("total"))
 
 
-def server_buckets(samples: DataFrame) -> DataFrame:
-    """Per-server partial sums for every profile, in ONE pass over the rows.
+def server_buckets(samples: DataFrame, profiles: Sequence[str] = PROFILES) -> DataFrame:
+    """Per-server partial sums for the given profiles, in ONE pass over the rows.
 
     Output ``(server_name, profile, bucket, total, has_total, rows)``, where
     ``rows`` counts the ``_Total`` rows behind each sum (on the 'all' rows it
     tells which servers are hot):
 
-    * ``profile`` in ``hour`` / ``weekday`` / ``monthday``: bucket = date part,
-      total = sum over the server's ``_Total`` rows in that bucket;
+    * ``profile`` in ``profiles``: bucket = date part, total = sum over the
+      server's ``_Total`` rows in that bucket;
     * ``profile = 'all'``, bucket null: one row for EVERY server name (also
       names without ``_Total`` rows, which client keys are taken from), with
       total = sum over its ``_Total`` rows (null-time rows included) and
       ``has_total`` telling whether it has any.
 
-    Each ``_Total`` row is expanded (``inline``) into its 'all' row and its
-    three bucket rows; any other row into its 'all' row only. Physical plan:
+    Each ``_Total`` row is expanded (``inline``) into its 'all' row and one
+    bucket row per profile; any other row into its 'all' row only. Without
+    profiles nothing is expanded and the time column is not read. Physical plan:
     scan -> Generate -> partial HashAggregate -> shuffle of at most one row per
     (server, profile, bucket) per task -> final HashAggregate. A server holding
     a third of all rows is collapsed inside every map task, so that shuffle is
@@ -54,11 +55,9 @@ def server_buckets(samples: DataFrame) -> DataFrame:
     """
     t = F.coalesce(is_total(PROCESSOR), F.lit(False))
     whole = F.struct(F.lit(ALL).alias("profile"), F.lit(None).cast("int").alias("bucket"))
-    parts = [F.struct(F.lit(p).alias("profile"), date_part(p, TIME).alias("bucket")) for p in PROFILES]
-    sets = F.when(t, F.array(whole, *parts)).otherwise(F.array(whole))
-    rows = samples.where(F.col(SERVER).isNotNull()).select(
-        SERVER, F.when(t, F.col(METRIC)).alias("m"), t.alias("t"), F.inline(sets)
-    )
+    parts = [F.struct(F.lit(p).alias("profile"), date_part(p, TIME).alias("bucket")) for p in profiles]
+    own = [F.inline(F.when(t, F.array(whole, *parts)).otherwise(F.array(whole)))] if parts else [F.lit(ALL).alias("profile"), F.lit(None).cast("int").alias("bucket")]
+    rows = samples.where(F.col(SERVER).isNotNull()).select(SERVER, F.when(t, F.col(METRIC)).alias("m"), t.alias("t"), *own)
     g = rows.groupBy(SERVER, "profile", "bucket").agg(
         F.sum("m").alias("total"), F.bool_or("t").alias("has_total"), F.count(F.when(F.col("t"), 1)).alias("rows")
     )

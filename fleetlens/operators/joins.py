@@ -5,8 +5,9 @@
   not shuffled.
 * otherwise a sort-merge join, forced with a ``merge`` hint so that no
   size *estimate* can turn it into a broadcast of an unproven side. With
-  ``salts`` the large side gets a deterministic salt (a hash of its own values,
-  stable when a task is retried) and every small-side row is replicated once
+  ``salts`` the large side gets a salt (from a row's place in its partition,
+  so that equal rows spread too; a retried task that reads its input in the
+  same order gives the same salts) and every small-side row is replicated once
   per salt (``explode``), so one hot key is spread over ``salts`` partitions
   instead of landing in one task. With ``hot`` (a small frame of the hot key
   values, bounded by the caller) only those keys are salted and replicated;
@@ -47,7 +48,7 @@ def keyed_join(
         return large.join(small.hint("merge"), keys, how)
     # more salts than shuffle partitions would replicate without spreading further
     salts = max(1, min(salts, shuffle_partitions(large.sparkSession)))
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in large.columns])  # deterministic per row
+    row_hash = F.xxhash64(F.monotonically_increasing_id())
     if hot is None:
         salted_large = large.withColumn(SALT, F.pmod(row_hash, F.lit(salts)).cast("int"))
         salted_small = small.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

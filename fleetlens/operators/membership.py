@@ -16,13 +16,34 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.columns import SERVER, client_key, host_key, substrings
 from fleetlens.operators.joins import DEFAULT_SALTS, keyed_join
 
 
+def key_candidates(name: str, key_lengths: Iterable[int]) -> Column:
+    """The distinct substrings of ``name`` that could be client keys."""
+    parts = [F.coalesce(substrings(name, k), F.array().cast("array<string>")) for k in sorted(set(key_lengths))]
+    return F.array_distinct(F.concat(*parts))
+
+
+def rows_by_client(rows: DataFrame, clients: DataFrame, key_lengths: Iterable[int] = (1, 2, 3)) -> DataFrame:
+    """Row-level split: every row once per client key that its name contains.
+    ``clients`` (distinct keys) is proven small and broadcast, so each row is
+    matched where it is read: the rows are not shuffled, whoever is hot."""
+    named = rows.withColumn("client", F.explode(key_candidates(SERVER, key_lengths)))
+    return named.join(F.broadcast(clients.select("client")), "client", "left_semi")
+
+
+def rows_by_host(client_rows: DataFrame, hosts: DataFrame) -> DataFrame:
+    """The rows of ``rows_by_client`` once per host key of their client that
+    their name contains; ``hosts`` (distinct keys) is broadcast likewise."""
+    named = client_rows.withColumn("host", F.explode(F.array_distinct(substrings(SERVER, 1))))
+    return named.join(F.broadcast(hosts.select("client", "host")), ["client", "host"], "left_semi")
+
+
 def client_members(
     names: DataFrame,
     clients: DataFrame,
@@ -35,9 +56,7 @@ def client_members(
     may repeat them: the match is a semi join) and ``key_lengths`` must cover
     their lengths. ``broadcast``: the key list is proven small; otherwise a
     salted sort-merge join (many names may share one client key)."""
-    lengths = sorted(set(key_lengths))
-    cand = F.array_distinct(F.concat(*[F.coalesce(substrings(SERVER, k), F.array().cast("array<string>")) for k in lengths]))
-    exploded = names.select(SERVER, F.explode(cand).alias("client"))
+    exploded = names.select(SERVER, F.explode(key_candidates(SERVER, key_lengths)).alias("client"))
     joined = keyed_join(exploded, clients.select("client"), "client", broadcast=broadcast, how="left_semi", salts=salts)
     return joined.select(SERVER, "client")
 
@@ -64,7 +83,8 @@ def positional_host_members(client_members: DataFrame) -> DataFrame:
 def attach(
     rows: DataFrame, members: DataFrame, broadcast: bool = True, salts: int = DEFAULT_SALTS, hot: DataFrame | None = None
 ) -> DataFrame:
-    """Row-level split: every row once per group its name belongs to.
+    """Row-level split, for key lists too large to broadcast (else see
+    ``rows_by_client``): every row once per group its name belongs to.
 
     With ``broadcast`` (the caller proved ``members`` small) the rows are not
     shuffled at all. Otherwise the join is salted, so a server holding a large

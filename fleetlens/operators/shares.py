@@ -20,20 +20,15 @@ def host_totals(buckets: DataFrame, host_members: DataFrame, broadcast: bool = T
     return joined.groupBy("client", "host").agg(F.sum("total").alias("total"))
 
 
-def client_totals(
-    buckets: DataFrame,
-    client_members: DataFrame,
-    clients: DataFrame,
-    broadcast: bool = True,
-    broadcast_sums: bool = True,
-) -> DataFrame:
+def client_totals(buckets: DataFrame, client_members: DataFrame, key_list: DataFrame, broadcast: bool = True) -> DataFrame:
     """(client, total) from client membership (not from the host split, which
     counts overlapping names twice). Clients with no ``_Total`` rows keep a
-    null total. ``broadcast`` / ``broadcast_sums``: the membership map / the
-    per-client sums are proven small."""
-    joined = keyed_join(_server_totals(buckets), client_members, SERVER, broadcast=broadcast)
-    sums = joined.groupBy("client").agg(F.sum("total").alias("total"))
-    return keyed_join(clients.select("client"), sums, "client", broadcast=broadcast_sums, how="left")
+    null total: every key of ``key_list`` (it may repeat them) takes part with
+    a null, and one aggregation serves both. ``broadcast``: the membership map
+    is proven small."""
+    joined = keyed_join(_server_totals(buckets), client_members, SERVER, broadcast=broadcast).select("client", "total")
+    every = key_list.select("client", F.lit(None).cast(joined.schema["total"].dataType).alias("total"))
+    return joined.union(every).groupBy("client").agg(F.sum("total").alias("total"))
 
 
 def host_share(host_totals: DataFrame, digits: int = 1) -> DataFrame:

@@ -1,13 +1,14 @@
 """UsageModel: the reduced, durable tables every report reads.
 
-The raw sample table is read by exactly one job: ``buckets``, the per-server
-bucket sums for all profiles plus one row per server name (one partially
-aggregated pass, see ``server_buckets``). It is written as Parquet under the
+The raw sample table is read by one aggregation pass: the per-server bucket sums
+for the profiles that a report needs, plus one row per server name (partially
+aggregated, see ``server_buckets``). It is written as Parquet under the
 session's checkpoint directory, which cuts its lineage (a lost executor
 re-reads the written table, not the raw data) and gives the planner its true
 size. Everything after that works on at most ``#servers x 63`` rows: client
 keys, membership (an equi-join per distinct name), profiles, totals, shares
-and reports are DataFrames over this table.
+and reports are DataFrames over this table. Row-level splits read the raw rows
+once more and match each where it is read.
 """
 
 from __future__ import annotations
@@ -18,31 +19,32 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.functions.columns import PROFILES, SERVER, as_double, client_key, percent
+from fleetlens.functions.columns import MONTH_HOURS, PROFILES, SERVER, WEEK_HOURS, as_double, client_key, host_key, percent, round_half_up
 from fleetlens.operators import aggregates as agg
 from fleetlens.operators import filters, keys, membership, shares
 from fleetlens.operators.joins import SALTS
 from fleetlens.runtime import Table, broadcast_limit, fits_broadcast, materialize, shuffle_partitions
 
-REPORT_COLUMNS = ("client", "host", "profile", "bucket", "total", "value")
+REPORT_COLUMNS = ("client", "host", "profile", "bucket", "total", "value", "value_1dp")
 
 
 class UsageModel:
     """Reports over one sample table. Nothing runs until the first report is
-    asked for; the bucket table is then written once and every later report
-    reads it."""
+    asked for; the bucket table with the profiles it needs is then written, and
+    later reports read it if it has theirs too."""
 
     def __init__(
         self,
-        samples: DataFrame | None,
+        samples: DataFrame,
         membership: str = "contains",
         max_broadcast_bytes: int | None = None,
         reuse_members: bool = False,
     ):
-        """``reuse_members``: keep the (names-level) membership maps cached
-        for many reports from one model; the first report's job fills the
-        cache, ``close()`` releases it. Off by default: each report then
-        re-derives them from the written bucket table (cheap, nothing held)."""
+        """``reuse_members``: for many reports from one model. The first pass
+        computes all profiles, and the (names-level) membership maps are kept
+        cached; the first report's job fills the cache, ``close()`` releases
+        it. Off by default: each report then re-derives them from the written
+        bucket table (cheap, nothing held)."""
         if membership not in ("contains", "positional"):
             raise ValueError("membership must be 'contains' or 'positional'")
         self.samples = samples
@@ -50,6 +52,8 @@ class UsageModel:
         self.max_broadcast_bytes = max_broadcast_bytes  # None: the session's broadcast threshold
         self.reuse_members = reuse_members
         self._held: list[DataFrame] = []
+        self._tables: list[Table] = []
+        self._passes: dict[frozenset[str], Table] = {}
 
     def _keep(self, df: DataFrame) -> DataFrame:
         if not self.reuse_members:
@@ -58,10 +62,21 @@ class UsageModel:
         self._held.append(df)
         return df
 
-    def close(self) -> None:
+    def _write(self, df: DataFrame, label: str, *args, **kwargs) -> Table:
+        table = materialize(df, label, *args, **kwargs)
+        self._tables.append(table)
+        return table
+
+    def close(self, delete: bool = False) -> None:
+        """Release cached maps; with ``delete``, also remove the tables that
+        this model wrote: its DataFrames cannot be read any more."""
         for df in self._held:
             df.unpersist()
         self._held.clear()
+        if delete:
+            for table in self._tables:
+                table.delete()
+            self._tables.clear()
 
     def __enter__(self) -> UsageModel:
         return self
@@ -69,45 +84,52 @@ class UsageModel:
     def __exit__(self, *exc) -> None:
         self.close()
 
-    @classmethod
-    def from_buckets(cls, buckets: DataFrame, **kwargs) -> UsageModel:
-        """Reports over an existing bucket table, or over partial bucket
-        tables such as ``fleetlens.streaming`` appends (they are merged
-        first). It is written once more so that its size is known; row-level
-        splits need the samples and are not available."""
-        from fleetlens.streaming.buckets import merge_buckets
-
-        model = cls(None, **kwargs)
-        model.__dict__["_buckets"] = materialize(
-            merge_buckets(buckets), "buckets", _bucket_metrics(), partition_by=("profile",)
-        )
-        return model
-
     # -- reduced tables ----------------------------------------------------
-    @cached_property
-    def _buckets(self) -> Table:
+    def _pass(self, profiles=()) -> Table:
+        """The written bucket table with (at least) these profiles."""
+        wanted = frozenset(PROFILES if self.reuse_members else profiles)
+        for has, table in self._passes.items():
+            if wanted <= has:
+                return table
+        in_order = [p for p in PROFILES if p in wanted]
         # one directory per profile: a report reads only the profiles it needs
-        return materialize(agg.server_buckets(self.samples), "buckets", _bucket_metrics(), partition_by=("profile",))
+        table = self._write(agg.server_buckets(self.samples, in_order), "buckets", _bucket_metrics(), partition_by=("profile",))
+        self._passes[wanted] = table
+        return table
+
+    @property
+    def _names_table(self) -> Table:
+        """Any bucket table: each has a row for every name."""
+        return next(iter(self._passes.values()), None) or self._pass()
 
     @property
     def buckets(self) -> DataFrame:
-        return self._buckets.df
+        """The bucket table with all profiles."""
+        return self._pass(PROFILES).df
 
     def _bound(self, name: str) -> int:
-        return int(self._buckets.metrics[name] or 0)
+        return int(self._names_table.metrics[name] or 0)
+
+    @property
+    def _name_rows(self) -> DataFrame:
+        return self._names_table.df.where(F.col("profile") == agg.ALL)
 
     @cached_property
     def clients(self) -> DataFrame:
-        """Client keys of ALL rows, from the per-name rows of ``buckets``."""
-        return keys.distinct_clients(self.buckets.where(F.col("profile") == agg.ALL))
+        """Client keys of ALL rows, from the bucket table's per-name rows."""
+        return keys.distinct_clients(self._name_rows)
 
     @cached_property
     def names(self) -> DataFrame:
         """Distinct names that have ``_Total`` rows."""
-        return self.buckets.where((F.col("profile") == agg.ALL) & F.col("has_total")).select(SERVER)
+        return self._name_rows.where("has_total").select(SERVER)
+
+    @property
+    def _key_lengths(self) -> list[int]:
+        return sorted(n for n in self._names_table.metrics["key_lengths"] if n and n > 0) or [3]
 
     def _limit(self) -> int:
-        return broadcast_limit(self.buckets.sparkSession) if self.max_broadcast_bytes is None else self.max_broadcast_bytes
+        return broadcast_limit(self.samples.sparkSession) if self.max_broadcast_bytes is None else self.max_broadcast_bytes
 
     def _sized(self, df: DataFrame, bound: str, label: str) -> tuple[DataFrame, bool, int]:
         """(frame, proven to fit the broadcast limit, best known size bound).
@@ -118,7 +140,7 @@ class UsageModel:
         limit = self._limit()
         if limit > 0 and self._bound(bound) <= limit:
             return self._keep(df), True, self._bound(bound)
-        table = materialize(df, label)
+        table = self._write(df, label)
         return table.df, 0 < limit and table.bytes <= limit, table.bytes
 
     @cached_property
@@ -126,9 +148,8 @@ class UsageModel:
         if self.membership == "positional":
             cm = membership.positional_client_members(self.names)
         else:
-            lengths = sorted(n for n in self._buckets.metrics["key_lengths"] if n and n > 0)
             key_side, fits = self._key_side(self._client_key_list, self.clients, "client_key_bytes")
-            cm = membership.client_members(self.names, key_side, lengths or [3], broadcast=fits)
+            cm = membership.client_members(self.names, key_side, self._key_lengths, broadcast=fits)
         return self._sized(cm, "client_member_bytes", "client-members")
 
     @property
@@ -159,7 +180,7 @@ class UsageModel:
 
     @property
     def _client_key_list(self) -> DataFrame:
-        return keys.client_key_list(self.buckets.where(F.col("profile") == agg.ALL))
+        return keys.client_key_list(self._name_rows)
 
     def _key_side(self, key_list: DataFrame, distinct_keys: DataFrame, bound: str | int) -> tuple[DataFrame, bool]:
         """The key side of a membership semi join: the plain key list (one
@@ -181,18 +202,19 @@ class UsageModel:
     def _hm_fits(self) -> bool:
         return self._host_members[1]
 
+    def _written_keys(self, df: DataFrame, label: str) -> tuple[DataFrame, bool]:
+        """(distinct keys, written once; whether they are proven to fit the
+        broadcast limit)."""
+        table = self._write(df, label)
+        return table.df, 0 < self._limit() and table.bytes <= self._limit()
+
+    @cached_property
+    def _row_client_keys(self) -> tuple[DataFrame, bool]:
+        return self._written_keys(self.clients, "client-keys")
+
     @cached_property
-    def _client_sums_fit(self) -> bool:
-        """The per-client sums have one row per client key, each at most 60
-        bytes (key, a decimal sum, row overhead); bounded by the name count,
-        or by the key count when that is too loose."""
-        limit, row = self._limit(), 16 + 20 + 24
-        if limit <= 0:
-            return False
-        bound = int(self._buckets.metrics["names"] or 0) * row
-        if bound > limit:
-            bound = self.clients.count() * row
-        return bound <= limit
+    def _row_host_keys(self) -> tuple[DataFrame, bool]:
+        return self._written_keys(self.host_keys, "host-keys")
 
     @cached_property
     def hot_servers(self) -> DataFrame:
@@ -201,42 +223,56 @@ class UsageModel:
         the number of salts that splits each into partition-sized pieces
         (capped at P). Fewer than P servers can qualify, so the list is
         bounded by the partition count, whatever the data."""
-        parts = shuffle_partitions(self.buckets.sparkSession)
-        total = int(self._buckets.metrics["total_rows"] or 0)
+        parts = shuffle_partitions(self.samples.sparkSession)
+        total = self._bound("total_rows")
         threshold = max(1, -(-total // parts))
         salts = F.least(F.ceil(F.col("rows") / F.lit(threshold)), F.lit(parts)).cast("int")
-        hot = self.buckets.where((F.col("profile") == agg.ALL) & (F.col("rows") > threshold))
+        hot = self._name_rows.where(F.col("rows") > threshold)
         return hot.select(SERVER, salts.alias(SALTS))
 
     # -- row-level splits ------------------------------------------------
     def client_rows(self) -> DataFrame:
-        """Every ``_Total`` row once per client whose key its name contains."""
-        rows = filters.filter_total(self.samples)
-        out = membership.attach(rows, self.client_members, broadcast=self._cm_fits, hot=self.hot_servers)
+        """Every ``_Total`` row once per client whose key its name contains.
+
+        The rows are matched where they are read, against the broadcast list of
+        client keys; only a key list over the broadcast limit makes it a
+        (salted) join with the members of each name."""
+        rows = filters.filter_total(self.samples).where(F.col(SERVER).isNotNull())
+        if self.membership == "positional":
+            out = rows.withColumn("client", client_key(SERVER)).where(F.col("client") != "")
+        elif self._row_client_keys[1]:
+            out = membership.rows_by_client(rows, self._row_client_keys[0], self._key_lengths)
+        else:
+            out = membership.attach(rows, self.client_members, broadcast=self._cm_fits, hot=self.hot_servers)
         return out.select("client", *self.samples.columns)
 
     def host_rows(self) -> DataFrame:
         """Every ``_Total`` row once per (client, host) it belongs to."""
-        rows = filters.filter_total(self.samples)
-        out = membership.attach(rows, self.host_members, broadcast=self._hm_fits, hot=self.hot_servers)
+        if self.membership == "positional":
+            out = self.client_rows().withColumn("host", host_key(SERVER)).where(F.col("host") != "")
+        elif self._row_client_keys[1] and self._row_host_keys[1]:
+            out = membership.rows_by_host(self.client_rows(), self._row_host_keys[0])
+        else:
+            rows = filters.filter_total(self.samples)
+            out = membership.attach(rows, self.host_members, broadcast=self._hm_fits, hot=self.hot_servers)
         return out.select("client", "host", *self.samples.columns)
 
     # -- profiles ----------------------------------------------------------
     def profile(self, part: str, level: str = "host", divisor: float | None = None) -> DataFrame:
+        if part not in PROFILES:
+            raise ValueError(f"unknown date part {part!r}; expected one of {PROFILES}")
         if level == "host":
-            return agg.profile(self.buckets, self.host_members, ["client", "host"], part, divisor, broadcast=self._hm_fits)
+            return agg.profile(self._pass([part]).df, self.host_members, ["client", "host"], part, divisor, broadcast=self._hm_fits)
         if level == "client":
-            return agg.profile(self.buckets, self.client_members, ["client"], part, divisor, broadcast=self._cm_fits)
+            return agg.profile(self._pass([part]).df, self.client_members, ["client"], part, divisor, broadcast=self._cm_fits)
         raise ValueError("level must be 'host' or 'client'")
 
     # -- totals and shares -------------------------------------------------
     def host_totals_raw(self) -> DataFrame:
-        return shares.host_totals(self.buckets, self.host_members, broadcast=self._hm_fits)
+        return shares.host_totals(self._pass().df, self.host_members, broadcast=self._hm_fits)
 
     def client_totals_raw(self) -> DataFrame:
-        return shares.client_totals(
-            self.buckets, self.client_members, self.clients, broadcast=self._cm_fits, broadcast_sums=self._client_sums_fit
-        )
+        return shares.client_totals(self._pass().df, self.client_members, self._client_key_list, broadcast=self._cm_fits)
 
     def host_totals(self) -> DataFrame:
         t = self.host_totals_raw()
@@ -259,17 +295,20 @@ class UsageModel:
     def host_rollup(self) -> DataFrame:
         """One join + one aggregation for all three profiles and the host
         totals: ``(client, host, profile, bucket, total)``."""
+        buckets = self.buckets  # first: the maps are then derived from this pass
         return agg.profile_rollup(
-            self.buckets, self.host_members, ["client", "host"], (*PROFILES, agg.ALL), broadcast=self._hm_fits
+            buckets, self.host_members, ["client", "host"], (*PROFILES, agg.ALL), broadcast=self._hm_fits
         )
 
     def client_report(self) -> DataFrame:
         """Tidy chart data for every client and host:
-        ``(client, host, profile, bucket, total, value)``; profile is ``hour``,
-        ``weekday``, ``monthday`` (value = total / divisor) or ``share``
-        (bucket null, value = percent of the client's host sum). ``bucket``
-        is a double: one x-axis column for every chart, null where a chart
-        has no x (the same in every engine, unlike a nullable integer).
+        ``(client, host, profile, bucket, total, value, value_1dp)``; profile is
+        ``hour``, ``weekday``, ``monthday`` (value = total / divisor), ``share``
+        (value = percent of the client's host sum; ``value_1dp`` is the pie
+        label, to one decimal), ``month_avg`` or ``week_avg`` (value = total
+        over the hours of a month, or of four weeks). ``bucket`` is a double: one
+        x-axis column for every chart, null where a chart has no x (the same
+        in every engine, unlike a nullable integer).
 
         One join + one aggregation yields every profile point and the host
         totals; the share denominators are a window sum per client over those
@@ -277,18 +316,23 @@ class UsageModel:
         r = self.host_rollup()
         is_all = F.col("profile") == agg.ALL
         client_sum = F.sum(F.when(is_all, F.col("total"))).over(Window.partitionBy("client"))
-        return r.select(
-            "client",
-            "host",
-            F.when(is_all, F.lit("share")).otherwise(F.col("profile")).alias("profile"),
-            F.col("bucket").cast("double").alias("bucket"),
-            as_double("total").alias("total"),
-            F.when(is_all, percent("total", client_sum)).otherwise(as_double("total") / agg.divisor_of("profile")).alias("value"),
+        total, none = as_double("total"), F.lit(None).cast("double")
+        point = lambda name, value, label=none: F.struct(name.alias("profile"), value.alias("value"), label.alias("value_1dp"))
+        share = F.col("share")
+        of_host = F.array(
+            point(F.lit("share"), share, round_half_up(share)),
+            point(F.lit("month_avg"), total / F.lit(MONTH_HOURS)),
+            point(F.lit("week_avg"), total / F.lit(WEEK_HOURS)),
         )
+        points = F.when(is_all, of_host).otherwise(F.array(point(F.col("profile"), total / agg.divisor_of("profile"))))
+        out = r.withColumn("share", F.when(is_all, percent("total", client_sum)))
+        out = out.select("client", "host", F.col("bucket").cast("double").alias("bucket"), total.alias("total"), F.inline(points))
+        return out.select(*REPORT_COLUMNS)
 
     def fleet_report(self) -> DataFrame:
         """Every client's report plus one ``client_share`` row per client
-        (host null, value = percent of the fleet)."""
+        (host null, value = percent of the fleet, value_1dp its label)."""
+        report = self.client_report()
         cs = self.client_share().select(
             "client",
             F.lit(None).cast("string").alias("host"),
@@ -296,8 +340,9 @@ class UsageModel:
             F.lit(None).cast("double").alias("bucket"),
             "total",
             F.col("pct").alias("value"),
+            F.col("pct_1dp").alias("value_1dp"),
         )
-        return self.client_report().unionByName(cs).select(*REPORT_COLUMNS)
+        return report.unionByName(cs).select(*REPORT_COLUMNS)
 
 
 def _bucket_metrics() -> dict:

@@ -8,14 +8,18 @@ per-server partial sums) against a brute-force formulation.
 
 from __future__ import annotations
 
-# Sample table from ``events`` (same rules as fleetlens.sources.scan.events_samples).
+# Sample table from ``events`` (same rules as fleetlens.sources.scan._events).
 SAMPLES = """samples AS (
-  SELECT concat(substr(event_type, 1, 3), '-', chr(CAST(65 + user_id % 10 AS INTEGER)),
-                CASE WHEN user_id % 7 = 0 THEN chr(CAST(65 + user_id % 3 AS INTEGER)) ELSE '0' END) AS server_name,
-         CASE WHEN event_id % 4 = 0 THEN '0' ELSE '_Total' END AS processor,
-         ts AS hr_time,
-         CAST(value AS DECIMAL(18,2)) AS avg_processor_time
-  FROM events)"""
+  SELECT server_name, CASE WHEN event_id % 4 = 0 OR coalesce(server_name = 'zor-Z0', false) THEN '0' ELSE '_Total' END AS processor, hr_time, avg_processor_time
+  FROM (
+    SELECT event_id,
+           CASE WHEN event_id % 53 = 0 THEN NULL WHEN event_id % 47 = 0 THEN substr(event_type, 1, 3) WHEN event_id % 41 = 0 THEN 'zor-Z0'
+                ELSE concat(substr(event_type, 1, 3), '-', chr(CAST(65 + user_id % 10 AS INTEGER)),
+                            CASE WHEN user_id % 7 = 0 THEN chr(CAST(65 + user_id % 3 AS INTEGER)) ELSE '0' END,
+                            CASE WHEN user_id % 11 <> 0 THEN '' WHEN substr(event_type, 1, 3) = 'pur' THEN 'vie' ELSE 'pur' END) END AS server_name,
+           CASE WHEN event_id % 37 <> 0 THEN ts END AS hr_time,
+           CASE WHEN event_id % 31 <> 0 THEN CAST(value AS DECIMAL(18,2)) END AS avg_processor_time
+    FROM events) e)"""
 TOT = "tot AS (SELECT * FROM samples WHERE contains(processor, '_Total') AND server_name IS NOT NULL)"
 CLIENTS = """clients AS (SELECT DISTINCT substr(server_name, 1, 3) AS client FROM samples
   WHERE server_name IS NOT NULL AND substr(server_name, 1, 3) <> '')"""
@@ -66,10 +70,14 @@ def _report_body() -> str:
         for p in DIVISOR
     )
     return f"""SELECT client, host, profile, bucket, CAST(total AS DOUBLE) AS total,
-       CAST(total AS DOUBLE) / CASE profile WHEN 'hour' THEN 31 WHEN 'weekday' THEN 96 ELSE 24 END AS value
+       CAST(total AS DOUBLE) / CASE profile WHEN 'hour' THEN 31 WHEN 'weekday' THEN 96 ELSE 24 END AS value, CAST(NULL AS DOUBLE) AS value_1dp
 FROM ({profs}) p
 UNION ALL
-SELECT client, host, 'share' AS profile, CAST(NULL AS DOUBLE) AS bucket, total, pct AS value FROM hs"""
+SELECT client, host, 'share' AS profile, CAST(NULL AS DOUBLE) AS bucket, total, pct AS value, {_round1('pct')} AS value_1dp FROM hs
+UNION ALL
+SELECT client, host, 'month_avg' AS profile, CAST(NULL AS DOUBLE) AS bucket, total, total / 744 AS value, CAST(NULL AS DOUBLE) AS value_1dp FROM hs
+UNION ALL
+SELECT client, host, 'week_avg' AS profile, CAST(NULL AS DOUBLE) AS bucket, total, total / 672 AS value, CAST(NULL AS DOUBLE) AS value_1dp FROM hs"""
 
 
 SAMPLE_COLS = "server_name, processor, hr_time, CAST(avg_processor_time AS DOUBLE) AS avg_processor_time"
@@ -81,7 +89,7 @@ def oracle_sql() -> dict[str, str]:
     fleet = (
         report
         + "\nUNION ALL\nSELECT client, CAST(NULL AS VARCHAR) AS host, 'client_share' AS profile, "
-        + "CAST(NULL AS DOUBLE) AS bucket, total, pct AS value FROM cs"
+        + f"CAST(NULL AS DOUBLE) AS bucket, total, pct AS value, {_round1('pct')} AS value_1dp FROM cs"
     )
     share_ctes = (*MEMBERS, HOST_TOTALS, HOST_SHARE)
     fleet_ctes = (*share_ctes, CLIENT_TOTALS, CLIENT_SHARE)
@@ -89,7 +97,9 @@ def oracle_sql() -> dict[str, str]:
         "scan_metrics": _with(s, f"SELECT {SAMPLE_COLS} FROM samples"),
         "ingest_roundtrip": _with(s, f"SELECT {SAMPLE_COLS} FROM samples"),
         "sql_select_all": _with(s, f"SELECT {SAMPLE_COLS} FROM samples"),
-        "cached_table_scan": _with(s, f"SELECT {SAMPLE_COLS} FROM samples"),
+        "cached_table_scan": _with(
+            s, "SELECT server_name, hr_time, CAST(avg_processor_time AS DOUBLE) AS avg_processor_time FROM samples WHERE contains(processor, '_Total')"
+        ),
         "report_sink_roundtrip": _with(fleet_ctes, fleet),
         "filter_total": _with(s, f"SELECT {SAMPLE_COLS} FROM samples WHERE contains(processor, '_Total')"),
         "filter_client_total": _with(

@@ -12,15 +12,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.functions.columns import METRIC
+from fleetlens.functions.columns import METRIC, SERVER, TIME
 from fleetlens.operators import aggregates as agg
 from fleetlens.operators import filters, keys
 from fleetlens.plans.model import UsageModel
-from fleetlens.runtime import scratch_path
+from fleetlens.runtime import delete_path, materialize, scratch_path
 import fleetlens.sources.catalog as catalog
 import fleetlens.sources.load as load
+import fleetlens.sources.scan as scan
 import fleetlens.sources.sink as sink
-from fleetlens.sources.scan import events_samples
+from fleetlens.sources.scan import events_samples, events_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 ONE_CLIENT = "pur"
 ONE_HOST = "A"
 ONE_HOUR = 13
+METRIC_TYPE = "decimal(18,2)"  # exact sums in any order
+CACHE_PARTITIONS = 6  # the original's
 
 
 def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,15 +49,20 @@ def _rows(df: DataFrame) -> DataFrame:
 
 
 def scan_metrics(spark, sf_dir):
-    return _rows(_samples(spark, sf_dir))
+    """The scan operator itself, over the collection's own columns and text values."""
+    catalog.register_view(events_source(spark, sf_dir), "fleet_collection")
+    return _rows(scan.scan_metrics(spark, table="fleet_collection", metric_type=METRIC_TYPE))
 
 
 def ingest_roundtrip(spark, sf_dir):
+    """A CSV export with the collection's headers, in another order, loaded by name."""
     staging = scratch_path(spark, "ingest-src")
     target = scratch_path(spark, "ingest-dst")
-    load.export(_samples(spark, sf_dir), staging, fmt="json")
-    src_schema = _samples(spark, sf_dir).schema
-    return _rows(load.ingest(spark, staging, target, source_format="json", schema=src_schema, mode="append"))
+    source = events_source(spark, sf_dir)
+    load.export(source.select(*reversed(source.columns)), staging, fmt="csv")
+    loaded = load.ingest(spark, staging, target, source_format="csv", metric_type=METRIC_TYPE)
+    delete_path(spark, staging)
+    return _rows(loaded.table)
 
 
 def sql_select_all(spark, sf_dir):
@@ -63,7 +71,11 @@ def sql_select_all(spark, sf_dir):
 
 
 def cached_table_scan(spark, sf_dir):
-    return _rows(catalog.cache_as_table(_samples(spark, sf_dir), "fleet_samples_cached"))
+    """The cached table's rows: filtered and pruned before they are cached,
+    repartitioned, written from the cache, which is then released."""
+    needed = filters.filter_total(_samples(spark, sf_dir)).select(SERVER, TIME, METRIC)
+    with catalog.cached_table(needed, "fleet_samples_cached", partitions=CACHE_PARTITIONS) as cached:
+        return _rows(materialize(cached, "cached-rows").df)
 
 
 def report_sink_roundtrip(spark, sf_dir):

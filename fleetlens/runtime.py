@@ -77,6 +77,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/fleetlens/{label}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, on whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def shuffle_partitions(spark: SparkSession, default: int = 200) -> int:
     """``spark.sql.shuffle.partitions`` as a number (some platforms allow
     non-numeric values such as ``auto``; those fall back to ``default``)."""
@@ -128,6 +134,10 @@ class Table:
     rows: int
     bytes: int
     metrics: dict[str, Any] = field(default_factory=dict)
+    path: str = ""
+
+    def delete(self) -> None:
+        delete_path(self.df.sparkSession, self.path)
 
 
 def materialize(
@@ -152,7 +162,7 @@ def materialize(
     writer.parquet(path)
     got = dict(obs.get)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
-    return Table(back, int(got.pop("rows")), int(got.pop("bytes")), got)
+    return Table(back, int(got.pop("rows")), int(got.pop("bytes")), got, path)
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None, bound: int | None = None) -> bool:

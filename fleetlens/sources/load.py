@@ -1,18 +1,21 @@
-"""Load path: files with an explicit schema appended into a table.
+"""Load path: files with their own headers appended into a sample table.
 
 The original pushed a whole spreadsheet through one Python process into a
-document store. Here any Spark-readable export is read in parallel with a
-declared schema (no inference pass) and appended to the sample table.
+document store, keyed by its headers. Here any Spark-readable export is read in
+parallel, its columns are matched by name, and bad values stop the load or go
+to a rejects output; nothing becomes null unseen.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlens.sources.scan import CANONICAL_SCHEMA
+from fleetlens.sources.scan import canonicalize, rejection
 
 # Text formats keep full microsecond precision (the default writes milliseconds).
 TEXT_FORMATS = ("json", "csv")
@@ -20,36 +23,88 @@ TEXT_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 }
+REASON = "reject_reason"
 
 
-def _options(fmt: str, options: Mapping[str, str] | None) -> dict[str, str]:
+@dataclass(frozen=True)
+class Loaded:
+    """The target table after a load, and how many rows went where."""
+
+    table: DataFrame
+    loaded: int
+    rejected: int
+
+
+def _text_options(fmt: str) -> dict[str, str]:
     base = dict(TEXT_OPTIONS) if fmt in TEXT_FORMATS else {}
-    base.update(options or {})
+    return base | {"header": "true"} if fmt == "csv" else base
+
+
+def read_source(
+    spark: SparkSession, path: str | None, fmt: str = "json", schema: T.StructType | str | None = None, options: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The source's own columns. Without a ``schema`` their names come from the
+    file (a CSV header; for JSON a pass over the records, unless given) and
+    values of text formats stay strings. A record that does not parse fails
+    the job, and so does a CSV whose header differs from a given schema."""
+    defaults = _text_options(fmt)
+    if fmt in TEXT_FORMATS:
+        defaults |= {"mode": "FAILFAST"}
+    if fmt == "json":
+        defaults |= {"primitivesAsString": "true"}
     if fmt == "csv":
-        base.setdefault("header", "true")
-    return base
+        defaults |= {"enforceSchema": "false"}
+    reader = spark.read.format(fmt).options(**defaults | dict(options or {}))
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load(path) if path is not None else reader.load()
 
 
 def ingest(
     spark: SparkSession,
-    source_path: str,
-    target_path: str,
+    source_path: str | None,
+    target_path: str | None,
     source_format: str = "json",
-    schema: T.StructType = CANONICAL_SCHEMA,
+    schema: T.StructType | str | None = None,
     target_format: str = "parquet",
     mode: str = "append",
     options: Mapping[str, str] | None = None,
+    target_options: Mapping[str, str] | None = None,
     partition_by: tuple[str, ...] = (),
-) -> DataFrame:
-    """Append ``source_path`` into ``target_path``; returns the target table."""
-    src = spark.read.schema(schema).options(**_options(source_format, options)).format(source_format).load(source_path)
-    writer = src.write.mode(mode).format(target_format).options(**_options(target_format, None))
+    mapping: Mapping[str, str] | None = None,
+    metric_type: str = "double",
+    rejects_path: str | None = None,
+) -> Loaded:
+    """Append the source's rows, as canonical samples, to the target.
+
+    Columns are matched by name (``mapping``: source name -> canonical name).
+    ``schema``: the source's own columns, declared. Without ``rejects_path`` a
+    time or metric that does not parse fails the load; with it such rows go
+    there, as they were read and with the reason, as JSON. ``target_options``
+    (with no ``target_path``) configure a connector.
+    """
+    source = read_source(spark, source_path, source_format, schema, options)
+    rejected = 0
+    if rejects_path is not None:
+        why = rejection(source, mapping, metric_type)
+        seen = Observation()
+        source.withColumn(REASON, why).filter(F.col(REASON).isNotNull()).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").json(rejects_path)
+        rejected = int(seen.get["n"])
+        source = source.filter(why.isNull())
+    rows = canonicalize(source, mapping, metric_type)
+    seen = Observation()
+    writer = rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode).format(target_format).options(**_text_options(target_format) | dict(target_options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(target_path)
-    return spark.read.schema(schema).options(**_options(target_format, None)).format(target_format).load(target_path)
+    writer.save(target_path) if target_path is not None else writer.save()
+    reader = spark.read.format(target_format).options(**_text_options(target_format) | dict(target_options or {}))
+    if target_path is not None:
+        table = reader.schema(rows.schema).load(target_path)
+    else:
+        table = reader.load()
+    return Loaded(table, int(seen.get["n"]), rejected)
 
 
 def export(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite", options: Mapping[str, str] | None = None) -> None:
     """Write a sample table in an interchange format (the spreadsheet's role)."""
-    df.write.mode(mode).format(fmt).options(**_options(fmt, options)).save(path)
+    df.write.mode(mode).format(fmt).options(**_text_options(fmt) | dict(options or {})).save(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,35 +28,65 @@ SOURCE_COLUMNS = {
 }
 
 
-def canonicalize(df: DataFrame, mapping: Mapping[str, str] | None = None, metric_type: str = "double") -> DataFrame:
-    """Select and cast the four used columns (column pruning reaches the scan).
+# Why a row is rejected, by canonical column.
+REASONS = {TIME: "time", METRIC: "metric"}
 
-    Strings that do not parse as a time or a number become null instead of
-    failing the job under ANSI mode.
-    """
-    mapping = dict(SOURCE_COLUMNS if mapping is None else mapping)
-    by_target = {v: k for k, v in mapping.items()}
+
+def _sources(df: DataFrame, mapping: Mapping[str, str] | None) -> dict[str, tuple[Column, T.DataType]]:
+    """The source column of each canonical one, found by name: the original
+    name first, then the canonical one."""
+    by_target = {v: k for k, v in (SOURCE_COLUMNS if mapping is None else mapping).items()}
     fields = {f.name: f.dataType for f in df.schema.fields}
+    out = {}
+    for target in CANONICAL_SCHEMA.names:
+        name = next((n for n in (by_target.get(target), target) if n is not None and n in fields), None)
+        if name is None:
+            raise ValueError(f"no column for {target} (looked for {by_target.get(target)!r}) in {sorted(fields)}")
+        out[target] = F.col(f"`{name}`"), fields[name]
+    return out
+
+
+def _parsed(source: Column, dtype: T.DataType, kind: str) -> Column:
+    # a string goes straight to the zone-free type: the session's zone plays no part
+    return source.try_cast(kind) if isinstance(dtype, T.StringType) else source.cast(kind)
+
+
+def rejection(df: DataFrame, mapping: Mapping[str, str] | None = None, metric_type: str = "double") -> Column:
+    """Why ``canonicalize`` cannot take a row (``time``, ``metric``,
+    ``time,metric``), or null. Null and missing values are not rejected."""
+    found = _sources(df, mapping)
+    bad = []
+    for target, kind in ((TIME, "timestamp_ntz"), (METRIC, metric_type)):
+        source, dtype = found[target]
+        if isinstance(dtype, T.StringType):
+            bad.append(F.when(source.isNotNull() & _parsed(source, dtype, kind).isNull(), F.lit(REASONS[target])))
+    return F.nullif(F.concat_ws(",", *bad), F.lit("")) if bad else F.lit(None).cast("string")
+
+
+def canonicalize(df: DataFrame, mapping: Mapping[str, str] | None = None, metric_type: str = "double", bad_values: str = "raise") -> DataFrame:
+    """Select and cast the four used columns (column pruning reaches the scan).
 
-    def source(target: str):
-        for name in (by_target.get(target), target):
-            if name is not None and name in fields:
-                return name, fields[name]
-        raise ValueError(f"no column for {target} (looked for {by_target.get(target)!r}) in {sorted(fields)}")
-
-    name, _ = source(SERVER)
-    server = F.col(f"`{name}`").cast("string").alias(SERVER)
-    name, _ = source(PROCESSOR)
-    processor = F.col(f"`{name}`").cast("string").alias(PROCESSOR)
-    name, dtype = source(TIME)
-    t = F.col(f"`{name}`")
-    if isinstance(dtype, T.StringType):
-        t = F.try_to_timestamp(t)
-    time = t.cast("timestamp_ntz").alias(TIME)
-    name, dtype = source(METRIC)
-    m = F.col(f"`{name}`")
-    metric = (m.try_cast(metric_type) if isinstance(dtype, T.StringType) else m.cast(metric_type)).alias(METRIC)
-    return df.select(server, processor, time, metric)
+    ``bad_values``: a string that is no time, or no number, makes the job fail
+    (``raise``) or becomes null (``null``; count them with ``rejection``).
+    """
+    if bad_values not in ("raise", "null"):
+        raise ValueError("bad_values must be 'raise' or 'null'")
+    found = _sources(df, mapping)
+
+    def strict(target: str, kind: str) -> Column:
+        source, dtype = found[target]
+        value = _parsed(source, dtype, kind)
+        if bad_values == "null" or not isinstance(dtype, T.StringType):
+            return value
+        message = F.concat(F.lit(f"not a {REASONS[target]}: "), source)
+        return F.when(source.isNotNull() & value.isNull(), F.raise_error(message).cast(kind)).otherwise(value)
+
+    return df.select(
+        found[SERVER][0].cast("string").alias(SERVER),
+        found[PROCESSOR][0].cast("string").alias(PROCESSOR),
+        strict(TIME, "timestamp_ntz").alias(TIME),
+        strict(METRIC, metric_type).alias(METRIC),
+    )
 
 
 def scan_metrics(
@@ -67,18 +97,23 @@ def scan_metrics(
     mapping: Mapping[str, str] | None = None,
     metric_type: str = "double",
     schema: T.StructType | str | None = None,
+    table: str | None = None,
+    bad_values: str = "raise",
 ) -> DataFrame:
-    """``spark.read.format(fmt).options(...).load(path)`` onto the canonical schema.
+    """``spark.read.format(fmt).options(...).load(path)``, or a catalog
+    ``table`` or view, onto the canonical schema.
 
     The format is a parameter: a document-store connector (given its jar and a
-    ``uri`` option), Parquet, ORC, JSON, CSV or a catalog table all work alike.
-    Pass the source ``schema`` (or just the used columns) to skip inference.
+    ``uri`` option), Parquet, ORC, JSON or CSV all work alike. Pass the source
+    ``schema`` (or just the used columns) to skip inference.
     """
+    if table is not None:
+        return canonicalize(spark.read.table(table), mapping, metric_type, bad_values)
     reader = spark.read.format(fmt).options(**dict(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
     raw = reader.load(path) if path is not None else reader.load()
-    return canonicalize(raw, mapping, metric_type)
+    return canonicalize(raw, mapping, metric_type, bad_values)
 
 
 # The columns of the driver's ``events`` table that the adapter
@@ -86,28 +121,42 @@ def scan_metrics(
 EVENTS_COLUMNS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"
 
 
-def events_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver's ``events`` table shaped as CPU samples (the test adapter).
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver's ``events`` table shaped as CPU samples, every row used once.
 
-    server_name = first 3 letters of event_type, '-', a host letter A-J from
-    user_id, then a sixth character that repeats a letter for every seventh
-    user (so names overlap, as real fleets' do); a quarter of the rows are a
-    per-core processor instead of ``_Total``; the metric is DECIMAL(18,2) so
-    sums are exact in any order.
+    Names follow ``ccc-H`` plus a sixth character, from event_type and user_id.
+    They also hold what real fleets do: every seventh user's name repeats a
+    host letter (hosts overlap), every eleventh user's name ends in another
+    client's key (clients overlap), some names are short or null, one client
+    (``zor``) has no ``_Total`` rows, and some times and metrics are null. The
+    metric is DECIMAL(18,2), so sums are exact in any order.
     """
     ev = spark.read.schema(EVENTS_COLUMNS).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    uid = F.col("user_id")
+    uid, eid = F.col("user_id"), F.col("event_id")
     letter = lambda n: F.char((F.lit(65) + n).cast("int"))
-    server = F.concat(
-        F.substring("event_type", 1, 3),
+    prefix = F.substring("event_type", 1, 3)
+    name = F.concat(
+        prefix,
         F.lit("-"),
         letter(uid % 10),
         F.when(uid % 7 == 0, letter(uid % 3)).otherwise(F.lit("0")),
+        F.when(uid % 11 == 0, F.when(prefix == "pur", F.lit("vie")).otherwise(F.lit("pur"))).otherwise(F.lit("")),
     )
-    processor = F.when(F.col("event_id") % 4 == 0, F.lit("0")).otherwise(F.lit("_Total"))
+    server = F.when(eid % 53 == 0, F.lit(None)).when(eid % 47 == 0, prefix).when(eid % 41 == 0, F.lit("zor-Z0")).otherwise(name)
     return ev.select(
         server.alias(SERVER),
-        processor.alias(PROCESSOR),
-        F.col("ts").alias(TIME),
-        F.col("value").cast("decimal(18,2)").alias(METRIC),
+        F.when((eid % 4 == 0) | (server == "zor-Z0"), F.lit("0")).otherwise(F.lit("_Total")).alias(PROCESSOR),
+        F.when(eid % 37 != 0, F.col("ts")).alias(TIME),
+        F.when(eid % 31 != 0, F.col("value").cast("decimal(18,2)")).alias(METRIC),
     )
+
+
+def events_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a canonical sample table (the test adapter)."""
+    return _events(spark, sf_dir)
+
+
+def events_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as the original collection has its records: its column
+    names, with time and metric as text."""
+    return _events(spark, sf_dir).select(*[F.col(c).cast("string").alias(name) for name, c in SOURCE_COLUMNS.items()])

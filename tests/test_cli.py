@@ -11,7 +11,7 @@ def test_report_command(spark, edge_model):
     src, out = scratch_path(spark, "cli-src"), scratch_path(spark, "cli-out")
     spark.createDataFrame(EDGE_ROWS, CANONICAL_SCHEMA).write.json(src)
     assert main(["report", "--input", src, "--format", "json", "--output", out], spark=spark) == 0
-    got = spark.read.parquet(out).select("client", "host", "profile", "bucket", "total", "value")
+    got = spark.read.parquet(out).select("client", "host", "profile", "bucket", "total", "value", "value_1dp")
     assert rows(got) == rows(edge_model.fleet_report())
     out2 = scratch_path(spark, "cli-out2")
     ddl = "server_name STRING, processor STRING, hr_time TIMESTAMP_NTZ, avg_processor_time DOUBLE"
@@ -22,7 +22,7 @@ def test_report_command(spark, edge_model):
 def test_query_command(spark):
     out = scratch_path(spark, "cli-q")
     assert main(["query", "client_share", "--sf-dir", SF_SMALL, "--output", out], spark=spark) == 0
-    assert spark.read.parquet(out).count() == 5
+    assert spark.read.parquet(out).count() == 6
     assert main(["query", "nope", "--sf-dir", SF_SMALL, "--output", out], spark=spark) == 2
 
 

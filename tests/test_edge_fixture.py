@@ -93,12 +93,35 @@ def test_fleet_report_shape(edge_model):
     from fleetlens.plans.model import REPORT_COLUMNS
 
     rep = edge_model.fleet_report()
-    assert tuple(rep.columns) == REPORT_COLUMNS == ("client", "host", "profile", "bucket", "total", "value")
+    assert tuple(rep.columns) == REPORT_COLUMNS == ("client", "host", "profile", "bucket", "total", "value", "value_1dp")
     assert tuple(edge_model.client_report().columns) == REPORT_COLUMNS
     counts = {}
     for r in rep.collect():
         counts[r.profile] = counts.get(r.profile, 0) + 1
-    assert counts == {"hour": 5, "weekday": 5, "monthday": 5, "share": 3, "client_share": 4}
+    assert counts == {"hour": 5, "weekday": 5, "monthday": 5, "share": 3, "month_avg": 3, "week_avg": 3, "client_share": 4}
+    labels = {(r.client, r.host): r.value_1dp for r in rep.where("profile in ('share', 'client_share')").collect()}
+    assert labels[("aig", "A")] == 90.0 and labels[("aig", None)] == 77.6 and labels[("zor", None)] is None
+    averages = {(r.profile, r.host): r.value for r in rep.where("client = 'aig' and profile like '%avg'").collect()}
+    assert averages == {("month_avg", "A"): approx(45 / 744), ("week_avg", "A"): approx(45 / 672), ("month_avg", "B"): approx(5 / 744), ("week_avg", "B"): approx(5 / 672)}
+
+
+def test_key_lists_are_sorted(spark, edge, edge_model):
+    assert [tuple(r) for r in keys.distinct_hosts(edge_model.client_members).collect()] == [("aig", "A"), ("aig", "B"), ("eti", "C")]
+    shuffled = edge.repartition(4, "avg_processor_time")
+    for part, want in (("hour", [0, 1, 2, 3, 5]), ("weekday", [1, 2, 3]), ("monthday", [1, 2, 3])):
+        assert [r[0] for r in keys.distinct_dateparts(shuffled, part).collect()] == want
+
+
+def test_client_charts_in_one_action(spark, edge_model):
+    from fleetlens.plans.charts import client_charts
+
+    got = client_charts(edge_model.fleet_report(), "aig")
+    assert list(got["hosts"]) == ["A", "B"]
+    a = got["hosts"]["A"]
+    assert a["hour"] == {"x": [0.0, 1.0], "y": [approx(40 / 31), approx(5 / 31)]}
+    assert a["weekday"]["labels"] == ["Sun", "Mon"] and a["month_avg"] == approx(45 / 744) and a["week_avg"] == approx(45 / 672)
+    assert got["pie"] == {"labels": ["A", "B"], "sizes": [45.0, 5.0], "pct": [approx(90.0), approx(10.0)], "pct_1dp": [90.0, 10.0]}
+    assert client_charts(edge_model.fleet_report(), "none") == {"hosts": {}, "pie": {"labels": [], "sizes": [], "pct": [], "pct_1dp": []}}
 
 
 def test_positional_mode(edge):

@@ -55,7 +55,7 @@ def test_every_query_has_oracle():
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.columns == ["client", "host", "profile", "bucket", "total", "value"]
+    assert df.columns == ["client", "host", "profile", "bucket", "total", "value", "value_1dp"]
     assert df.count() > 0
 
 
@@ -76,3 +76,15 @@ def test_query_matches_oracle_without_broadcast(spark, con, name):
     rel = con.sql(oracle_sql()[name])
     idx = [rel.columns.index(c) for c in cols]
     assert got == sorted((tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()), key=_key)
+
+
+def test_the_data_tells_variants_apart(spark):
+    """Client overlap, null and short names, null times and metrics, and a
+    client without ``_Total`` rows are all in the test data."""
+    assert QUERIES["client_membership"](spark, SF_SMALL).count() > QUERIES["filter_total"](spark, SF_SMALL).where("server_name is not null").count()
+    totals = {r["client"]: r["total"] for r in QUERIES["client_totals"](spark, SF_SMALL).collect()}
+    assert [c for c, t in totals.items() if t is None] == ["zor"]
+    rows = QUERIES["scan_metrics"](spark, SF_SMALL)
+    for c in ("server_name", "hr_time", "avg_processor_time"):
+        assert rows.where(f"{c} is null").count() > 0
+    assert rows.where("length(server_name) < 5").count() > 0

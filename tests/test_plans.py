@@ -30,11 +30,101 @@ def test_bucket_pass_is_one_aggregation(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in plan
 
 
+def _executed(df):
+    """The final plan of a run (adaptive plans show it only afterwards)."""
+    df.write.format("noop").mode("overwrite").save()
+    frame = df._jdf.queryExecution().executedPlan()
+    return frame.toString()
+
+
 def test_profiles_read_only_reduced_tables(spark):
-    df = QUERIES["hourly_profile_host"](spark, SF_SMALL)
-    plan = _plan(df)
+    plan = _executed(QUERIES["hourly_profile_host"](spark, SF_SMALL))
     assert "events.parquet" not in plan  # raw data was reduced and written before
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan or "AdaptiveSparkPlan" in plan
+    scanned = [ln for ln in plan.splitlines() if "Scan parquet" in ln or "FileScan parquet" in ln]
+    assert scanned and any("profile" in ln for ln in scanned)
+    assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def _written_plans(spark, run):
+    """Physical plans of all Parquet writes that ``run()`` makes."""
+    from fleetlens import runtime
+
+    seen = []
+    original = runtime.materialize
+
+    def spy(df, label, *args, **kwargs):
+        seen.append((label, _plan(df)))
+        return original(df, label, *args, **kwargs)
+
+    import fleetlens.plans.model as model
+
+    model.materialize = spy
+    try:
+        run()
+    finally:
+        model.materialize = original
+    return seen
+
+
+@pytest.mark.parametrize("name", ["host_totals", "client_totals", "host_share", "client_share", "usage_averages", "distinct_hosts"])
+def test_totals_do_not_read_the_time(spark, name):
+    plans = _written_plans(spark, lambda: QUERIES[name](spark, SF_SMALL).collect())
+    (bucket,) = [p for label, p in plans if label == "buckets"]
+    read = bucket.split("ReadSchema: ")[1].split("\n")[0]
+    assert "ts:" not in read and "value:double" in read
+    assert bucket.count("Exchange") == 1 and "inline" not in bucket
+
+
+def test_one_profile_expands_only_itself(spark):
+    plans = _written_plans(spark, lambda: QUERIES["weekly_profile_host"](spark, SF_SMALL).collect())
+    (bucket,) = [p for label, p in plans if label == "buckets"]
+    assert "dayofweek" in bucket and "dayofmonth" not in bucket and "hour(" not in bucket
+
+
+def test_client_totals_join_nothing_but_the_members(spark, edge):
+    from fleetlens.plans.model import UsageModel
+
+    plan = _plan(UsageModel(edge).client_totals())
+    assert "Union" in plan and "LeftOuter" not in plan
+
+
+def _above_raw_scan(plan, marker):
+    """Operators between the plan's root and the leaf that reads the raw rows."""
+    lines = plan.splitlines()
+    leaf = next(i for i, ln in enumerate(lines) if marker in ln)
+    depth = lambda ln: len(ln) - len(ln.lstrip(" :+-*()0123456789"))
+    chain, at = [], depth(lines[leaf])
+    for ln in reversed(lines[:leaf]):
+        if depth(ln) < at:
+            chain.append(ln)
+            at = depth(ln)
+    return chain
+
+
+def test_row_splits_do_not_shuffle_raw_rows(spark):
+    """200,000 distinct names: the key lists stay kilobytes, and each row is
+    matched where it is read."""
+    from pyspark.sql import functions as F
+
+    from fleetlens.plans.model import UsageModel
+    from fleetlens.runtime import scratch_path
+    from fleetlens.sources.scan import CANONICAL_SCHEMA
+
+    path = scratch_path(spark, "many-names")
+    n = F.col("id")
+    spark.range(200_000).select(
+        F.concat(F.element_at(F.array(*[F.lit(c) for c in ("aig", "eti", "tuv")]), (n % 3 + 1).cast("int")), F.lit("-"), F.char(65 + n % 9), F.lpad(n.cast("string"), 12, "0")).alias("server_name"),
+        F.lit("_Total").alias("processor"),
+        F.lit(None).cast("timestamp_ntz").alias("hr_time"),
+        n.cast("double").alias("avg_processor_time"),
+    ).write.parquet(path)
+    model = UsageModel(spark.read.schema(CANONICAL_SCHEMA).parquet(path))
+    for rows, times in ((model.client_rows(), 1), (model.host_rows(), 1)):
+        plan = _plan(rows)
+        chain = _above_raw_scan(plan, "ReadSchema: struct<server_name:string,processor:string")
+        assert chain and not any("Exchange" in ln for ln in chain), plan
+        assert "BroadcastHashJoin" in plan and "xxhash64" not in plan
+        assert rows.count() == 200_000 * times
 
 
 def _key(r):
@@ -55,13 +145,31 @@ def test_over_broadcast_limit_same_results(spark, edge, edge_model, limit):
     )
     hr = m.host_rows()
     hr_plan = hr._jdf.queryExecution().executedPlan().toString()
-    assert "xxhash64" in hr_plan and "SortMergeJoin" in hr_plan  # salted shuffle join
+    assert "xxhash64" in hr_plan and "SortMergeJoin" in hr_plan  # key lists over the limit: salted shuffle join
     assert sorted(map(tuple, hr.collect()), key=_key) == sorted(map(tuple, edge_model.host_rows().collect()), key=_key)
     assert sorted(map(tuple, m.client_rows().collect()), key=_key) == sorted(
         map(tuple, edge_model.client_rows().collect()), key=_key
     )
 
 
+def test_equal_rows_of_a_hot_key_spread(spark):
+    from pyspark.sql import functions as F
+
+    from fleetlens.operators.joins import keyed_join
+
+    large = spark.range(4000).select(F.lit("hot").alias("k"), F.lit(1).alias("v"))  # all alike
+    small = spark.createDataFrame([("hot", "g")], "k string, g string")
+    out = keyed_join(large, small, "k", broadcast=False, salts=8)
+    assert out.count() == 4000
+    with_sizes = {key: spark.conf.get(key) for key in ("spark.sql.adaptive.enabled",)}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = keyed_join(large, small, "k", broadcast=False, salts=8).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", with_sizes["spark.sql.adaptive.enabled"])
+    assert len(parts) >= 3 and max(r["count"] for r in parts) < 3000
+
+
 def test_broadcast_limit_from_session(spark):
     from fleetlens.runtime import broadcast_limit
 

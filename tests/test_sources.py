@@ -4,6 +4,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from conftest import EDGE_ROWS, rows
 from pyspark.sql import functions as F
 
@@ -16,23 +17,57 @@ def _tmp():
     return tempfile.mkdtemp(prefix="fleetlens-test-")
 
 
-def test_scan_with_source_column_names(spark):
-    # the original collection's column names, with strings for time and metric
+RECORDS = [
+    {"Server_Name": "aig-A0", "Processor": "_Total", "HR_Time": "2021-08-01 05:00:00", "AVG_%_Processor_Time": "12.5", "Other": 1},
+    {"Server_Name": "aig-A0", "Processor": 0, "HR_Time": "junk", "AVG_%_Processor_Time": "12,5", "Other": 2},
+    {"Server_Name": None, "Processor": "_Total", "HR_Time": None, "AVG_%_Processor_Time": None, "Other": 3},
+]
+
+
+def _json(records):
     d = _tmp()
-    recs = [
-        {"Server_Name": "aig-A0", "Processor": "_Total", "HR_Time": "2021-08-01 05:00:00", "AVG_%_Processor_Time": "12.5", "Other": 1},
-        {"Server_Name": "aig-A0", "Processor": 0, "HR_Time": "junk", "AVG_%_Processor_Time": "n/a", "Other": 2},
-    ]
     with open(os.path.join(d, "part.json"), "w") as f:
-        f.write("\n".join(json.dumps(r) for r in recs))
-    df = scan.scan_metrics(spark, d, fmt="json")
+        f.write("\n".join(json.dumps(r) for r in records))
+    return d
+
+
+def test_scan_with_source_column_names(spark):
+    # the original collection's column names, with strings for time and metric
+    df = scan.scan_metrics(spark, _json(RECORDS[::2]), fmt="json")
     assert df.columns == ["server_name", "processor", "hr_time", "avg_processor_time"]
     assert dict(df.dtypes) == {"server_name": "string", "processor": "string", "hr_time": "timestamp_ntz", "avg_processor_time": "double"}
-    got = sorted(df.collect(), key=lambda r: r.processor)
-    assert got[0].processor == "0" and got[0].hr_time is None and got[0].avg_processor_time is None
+    got = sorted(df.collect(), key=lambda r: str(r.server_name))
+    assert tuple(got[0]) == (None, "_Total", None, None)  # nulls are values, not errors
     assert got[1].hr_time.hour == 5 and got[1].avg_processor_time == 12.5
 
 
+def test_bad_values_raise_or_are_counted(spark):
+    source = spark.read.json(_json(RECORDS))
+    with pytest.raises(Exception, match="not a time: junk|not a metric: 12,5"):
+        scan.canonicalize(source).collect()
+    lenient = {r.processor: r for r in scan.canonicalize(source.where("Other < 3"), bad_values="null").collect()}
+    assert lenient["0"].hr_time is None and lenient["0"].avg_processor_time is None
+    why = [r[0] for r in source.orderBy("Other").select(scan.rejection(source)).collect()]
+    assert why == [None, "time,metric", None]
+    with pytest.raises(ValueError, match="bad_values"):
+        scan.canonicalize(source, bad_values="drop")
+
+
+def test_string_times_are_zone_free(spark):
+    df = spark.createDataFrame([("aig-A0", "_Total", "2021-03-28 02:30:00", "1")], "server_name string, processor string, hr_time string, avg_processor_time string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")  # that hour is skipped there
+        assert scan.canonicalize(df).first().hr_time.isoformat() == "2021-03-28T02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_scan_of_a_catalog_view(spark):
+    spark.createDataFrame([("aig-A0", 7, "2021-08-01 05:00:00", 1.5)], "Server_Name string, Processor int, HR_Time string, `AVG_%_Processor_Time` double").createOrReplaceTempView("scan_view")
+    assert rows(scan.scan_metrics(spark, table="scan_view"))[0][1] == "7"
+
+
 def test_scan_prunes_and_pushes(spark):
     d = _tmp() + "/t"
     spark.createDataFrame(EDGE_ROWS, CANONICAL_SCHEMA).withColumn("extra", F.lit("x")).write.parquet(d)
@@ -52,9 +87,63 @@ def test_ingest_roundtrip_json_and_csv(spark):
         staging, target = scratch_path(spark, f"t-{fmt}"), scratch_path(spark, "t-target")
         load.export(src, staging, fmt=fmt)
         out = load.ingest(spark, staging, target, source_format=fmt)
-        assert rows(out) == rows(src)
+        assert rows(out.table) == rows(src) and (out.loaded, out.rejected) == (len(EDGE_ROWS), 0)
         again = load.ingest(spark, staging, target, source_format=fmt)  # append
-        assert again.count() == 2 * len(EDGE_ROWS)
+        assert again.table.count() == 2 * len(EDGE_ROWS) and again.loaded == len(EDGE_ROWS)
+
+
+def test_ingest_by_the_files_own_names(spark):
+    target = scratch_path(spark, "t-names")
+    out = load.ingest(spark, _json(RECORDS[:1]), target)  # JSON with the original's names
+    assert [tuple(r)[:2] + (r.hr_time.hour, r.avg_processor_time) for r in out.table.collect()] == [("aig-A0", "_Total", 5, 12.5)]
+    d = _tmp()
+    with open(os.path.join(d, "a.csv"), "w") as f:  # reordered header
+        f.write("processor,avg_processor_time,server_name,hr_time\n_Total,12.5,aig-A0,2021-08-01 05:00:00\n")
+    out = load.ingest(spark, d, scratch_path(spark, "t-csv"), source_format="csv")
+    assert [(r.server_name, r.processor, r.hr_time.hour, r.avg_processor_time) for r in out.table.collect()] == [("aig-A0", "_Total", 5, 12.5)]
+    with pytest.raises(Exception):  # a declared schema must have the header's names
+        load.ingest(spark, d, scratch_path(spark, "t-bad"), source_format="csv", schema="server_name string, processor string, hr_time string, avg_processor_time string")
+
+
+def test_ingest_of_bad_values(spark):
+    target, rejects = scratch_path(spark, "t-strict"), scratch_path(spark, "t-rejects")
+    with pytest.raises(Exception, match="not a time: junk|not a metric: 12,5"):
+        load.ingest(spark, _json(RECORDS), target)
+    out = load.ingest(spark, _json(RECORDS), scratch_path(spark, "t-counted"), rejects_path=rejects)
+    assert (out.loaded, out.rejected, out.table.count()) == (2, 1, 2)
+    (bad,) = spark.read.json(rejects).collect()
+    assert bad["reject_reason"] == "time,metric" and bad["AVG_%_Processor_Time"] == "12,5"
+
+
+def test_ingest_target_options(spark):
+    target = scratch_path(spark, "t-options")
+    load.ingest(spark, _json(RECORDS[:1]), target, target_format="csv", target_options={"sep": "|"})
+    assert "aig-A0|_Total|" in "".join(r[0] for r in spark.read.text(target).collect())
+    by_option = scratch_path(spark, "t-path-option")  # as a connector is configured: no path argument
+    out = load.ingest(spark, _json(RECORDS[:1]), None, target_options={"path": by_option})
+    assert out.table.count() == 1
+
+
+def test_cached_table_is_released(spark):
+    src = spark.createDataFrame(EDGE_ROWS, CANONICAL_SCHEMA)
+    with pytest.raises(RuntimeError, match="stop"):
+        with catalog.cached_table(src.select("server_name"), "edge_held", partitions=6) as t:
+            assert spark.catalog.isCached("edge_held") and t.count() == len(EDGE_ROWS)
+            plan = t._jdf.queryExecution().executedPlan().toString()
+            assert "In-memory table edge_held" in plan and "RoundRobinPartitioning(6)" in plan
+            raise RuntimeError("stop")
+    assert not spark.catalog.tableExists("edge_held")
+
+
+def test_close_deletes_what_a_model_wrote(spark, edge):
+    from fleetlens.plans.model import UsageModel
+
+    m = UsageModel(edge)
+    assert m.host_totals().count() == 3
+    paths = [t.path for t in m._tables]
+    assert paths and all(os.path.exists(p.removeprefix("file:")) for p in paths)
+    m.close(delete=True)
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in paths)
 
 
 def test_view_sql_and_cached_table(spark):
@@ -82,8 +171,6 @@ def test_report_sink_partitions_by_client(spark, edge_model):
 
 
 def test_scan_reports_missing_columns(spark):
-    import pytest
-
     df = spark.createDataFrame([("a", 1)], "name string, v int")
     with pytest.raises(ValueError, match="server_name"):
         scan.canonicalize(df)
