@@ -15,7 +15,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -92,18 +93,35 @@ def has_bit(table: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (table[bits >> 6] >> (bits & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
 
 
+def may_be_in(table: Broadcast, column: str) -> Column:
+    """Whether the column's value may be among those whose hashed bits are in a bitmap."""
+
+    @F.pandas_udf("boolean")
+    def test(bits):
+        return pd.Series(has_bit(table.value, bits.to_numpy().astype(np.int64)))
+
+    return test(hashed_bit(column))
+
+
+def hashed_bit(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+
+
 def shared_prefixes(signed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(node, shingle): of each class's prefix, the shingles that other classes hold too.
 
     The order is: shingles below FIRST by the number of classes that hold them,
     then the others by hash. Shingles of one class only need not be known one
     by one, so just the repeated ones, found by a count over all classes, go
-    back to their rows. A bitmap of these keeps most others out of that join.
+    back to their rows. A bitmap of these keeps most others out of that join,
+    and one of the classes' own rows keeps most copies out of the count (one
+    that slips in makes a shingle seem less rare, for all rows alike).
     """
-    fronts = signed.select("row", "front").join(classes.select("node"), F.col("row") == F.col("node"))
-    held = fronts.select(F.explode("front").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
+    spark = signed.sparkSession
+    own = spark.sparkContext.broadcast(bitmap(classes.select(hashed_bit("node").alias("bit"))))
+    held = signed.filter("n > 0").filter(may_be_in(own, "row")).select(F.explode("front").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
     held = materialize(held, "jaccard-columns").df
-    table = signed.sparkSession.sparkContext.broadcast(bitmap(held.select(F.col("shingle").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("bit"))))
+    table = spark.sparkContext.broadcast(bitmap(held.select(F.col("shingle").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("bit"))))
     ddl = "row long, unshared long, front array<long>"
     schema = arrow_schema(ddl)
 
@@ -129,23 +147,18 @@ def shared_prefixes(signed: DataFrame, classes: DataFrame, percent: int) -> Data
 def candidate_texts(docs: DataFrame, candidates: DataFrame, size: int) -> DataFrame:
     """(node, block, text) of the candidates (doc_id, print, node, block). A
     bitmap of their ids keeps most other rows out of the shuffle."""
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    table = docs.sparkSession.sparkContext.broadcast(bitmap(candidates.select(bit("doc_id").alias("bit"))))
+    table = docs.sparkSession.sparkContext.broadcast(bitmap(candidates.select(hashed_bit("doc_id").alias("bit"))))
     kind = docs.schema["doc_id"].dataType.simpleString()
     ddl = f"doc_id {kind}, print binary, text string"
     schema = arrow_schema(ddl)
 
-    @F.pandas_udf("boolean")
-    def may(bits):
-        return pd.Series(has_bit(table.value, bits.to_numpy().astype(np.int64)))
-
     def run(batches):
         hashes = Recent(word_hash, 200_000)
         for batch in batches:
             prints = [fingerprint(shingle_set(t, size, hashes)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary()), batch.column(1)], schema=schema)
 
-    texts = docs.select("doc_id", "text").filter(may(bit("doc_id"))).mapInArrow(run, ddl)
+    texts = docs.select("doc_id", "text").filter(may_be_in(table, "doc_id")).mapInArrow(run, ddl)
     alike = Window.partitionBy("doc_id", "print").orderBy(F.lit(0))  # rows that repeat id and set
     joined = texts.alias("t").join(candidates.alias("c"), F.col("t.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("t.print") == F.col("c.print")))
     return joined.select("t.doc_id", "t.print", "text", "node", "block").withColumn("nth", F.row_number().over(alike)).filter("nth = 1").select("node", "block", "text")
@@ -290,7 +303,7 @@ def block_links(members: DataFrame, size: int, percent: int, block_rows: int) ->
     return whole.unionByName(steps).groupBy("block", "i", "j").applyInArrow(multiply, EDGES).union(edges)
 
 
-def jaccard_components(docs: DataFrame, shingle_words: int = 4, percent: int = 85, block_rows: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, shingle_words: int = 4, percent: int = 85, block_rows: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: the id, ``n_shingles`` (size of its set) and
     ``component_id`` (the smallest id reachable by links, its own included).
 

@@ -54,7 +54,7 @@ def near_copies(seed, groups=6, size=12):
     return list(zip(ids, rows))
 
 
-@pytest.mark.parametrize("block_rows", [1024, 7])
+@pytest.mark.parametrize("block_rows", [2048, 7])
 def test_components_against_all_pairs(make_docs, edge_docs, block_rows):
     rows = near_copies(block_rows)
     docs = make_docs([(i + 100, t) for i, t in rows]).unionByName(edge_docs)
