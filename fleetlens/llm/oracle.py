@@ -93,8 +93,23 @@ p AS (
 SELECT doc_id, tokens AS n_tokens, (epochs + (so_far <= rest)::INTEGER)::INTEGER AS copies FROM p WHERE epochs + (so_far <= rest)::INTEGER > 0
 """
 
+OP7 = rf"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS words FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i:i + 3], ' ') AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 2))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS m FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * m >= 85 * (a.n + b.n - m)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+heads AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id FROM heads LEFT JOIN n USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op3_exact_topk": OP3,
     "op5_source_mixing": OP5,
+    "op7_ngram_jaccard": OP7,
 }
