@@ -28,8 +28,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group linked by a Jaccard
-    similarity of 0.85 or more of their four-word shingles."""
-    return keep_one_of_each(docs, jaccard_components(docs))
+    similarity of 0.8 or more of their five-word shingles."""
+    return keep_one_of_each(docs, jaccard_components(docs, shingle_words=5, percent=80))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
