@@ -31,6 +31,15 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(T.StructType.fromDDL(ddl))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces, so that few texts are Python objects at a time;
+    at the end the worker gives freed buffers back."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:
     """Apply a batch function to ``df``: ``make()`` runs once in each task and
     returns ``f(columns) -> columns``, where both are dicts of name -> list."""
@@ -38,7 +47,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
-        for batch in batches:
+        for batch in slices(batches):
             out = f({n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)})
             yield pa.RecordBatch.from_arrays([pa.array(out[x.name], x.type) for x in arrow], schema=arrow)
 

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import Recent, arrow_schema, crc_mod, per_worker, pick
+from fleetlens.llm.common import Recent, arrow_schema, crc_mod, per_worker, slices
 from fleetlens.runtime import materialize
 
 ORDER = 5
@@ -339,7 +339,7 @@ def score_documents(docs: DataFrame, train_if=None, id_col: str = "doc_id", text
 
     def score(batches):
         model = per_worker(held, "model", ByteModel)
-        for batch in batches:
+        for batch in slices(batches):
             raw = [(t or "").encode() for t in batch.column(1).to_pylist()]
             texts = [t.lower() for t in raw]
             scores = np.concatenate([np.empty(0), *(model.score(x) for x in in_batches(texts))])

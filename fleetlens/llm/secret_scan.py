@@ -7,9 +7,11 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from fleetlens.llm.common import map_rows, pick
 
@@ -164,24 +166,19 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | No
     """``docs`` with every found span in ``text_col`` replaced by ``[SECRET]``,
     and ``length_col``, if there is one, set to the new length in code points.
     Null texts stay null; all other columns and all rows stay as they are."""
-    names = docs.columns
-    numbered = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    t = names.index(text_col)
-    n = names.index(length_col) if length_col in names else None
-
-    def run(batches):
-        for batch in batches:
-            columns = list(batch.columns)
-            texts = columns[t].to_pylist()
-            new, lengths = [], [] if n is None else columns[n].to_pylist()
-            for i, text in enumerate(texts):
-                spans = all_spans(text)[1]
-                new.append(redact(text, spans) if spans else text)
-                if spans and n is not None:
-                    lengths[i] = len(new[-1])
-            columns[t] = pa.array(new, columns[t].type)
-            if n is not None:
-                columns[n] = pa.array(lengths, columns[n].type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-
-    return numbered.mapInArrow(run, numbered.schema).toDF(*names)
+
+    @F.arrow_udf("string")
+    def masked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:  # null: nothing to mask
+        for texts in batches:
+            out = []
+            for x in texts:
+                spans = all_spans(text := x.as_py())[1]
+                out.append(redact(text, spans) if spans else None)
+            yield pa.array(out, pa.string())
+
+    new = docs.withColumn("__masked", masked(F.col(f"`{text_col}`")))
+    out = {text_col: F.coalesce("__masked", F.col(f"`{text_col}`"))}
+    if length_col in docs.columns:
+        kind = docs.schema[length_col].dataType
+        out[length_col] = F.when(F.col("__masked").isNotNull(), F.length("__masked").cast(kind)).otherwise(F.col(f"`{length_col}`"))
+    return new.select(*[out.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -21,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import Recent, arrow_schema, crc_mod, per_worker, pick
+from fleetlens.llm.common import Recent, arrow_schema, crc_mod, per_worker, pick, slices
 from fleetlens.runtime import materialize
 
 PREFIXES = (4, 5, 6)  # bytes of a word's beginning that are a term, for longer words
@@ -55,7 +56,7 @@ class Vocabulary:
         for i, t in enumerate(terms):
             stem, times = t.split(b" ")
             self.marks.setdefault(stem, []).append((int(times), i))
-        self.look = Recent(lambda w: tuple(s for s in stems_of(w) if s in self.marks), 200_000).__getitem__
+        self.look = Recent(lambda w: tuple(s for s in stems_of(w) if s in self.marks), 100_000).__getitem__
 
     def count(self, text: str | None) -> tuple[tuple[int, int], ...]:
         """(term number, how often its stem occurs), by number."""
@@ -179,16 +180,22 @@ def telling_terms(sample: DataFrame, most: int, least_ratio: float) -> list[byte
     """The terms whose log-likelihood ratio with the label is at least
     ``least_ratio``, the ``most`` highest."""
 
+    def sums(n):
+        keys = list(n)
+        for a in range(0, len(keys), 50_000):
+            part = keys[a : a + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([n[t][0] for t in part], pa.int64()), pa.array([n[t][1] for t in part], pa.int64())], names=["term", "n0", "n1"])
+
     def count(batches):
         n: dict[bytes, list[int]] = {}
-        for batch in batches:
+        for batch in slices(batches):
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for t in terms_of(text):
                     n.setdefault(t, [0, 0])[y] += 1
-        keys = list(n)
-        for a in range(0, len(keys), 50_000):
-            part = keys[a : a + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([n[t][0] for t in part], pa.int64()), pa.array([n[t][1] for t in part], pa.int64())], names=["term", "n0", "n1"])
+                if len(n) > 500_000:  # sent in parts, which are added up later
+                    yield from sums(n)
+                    n.clear()
+        yield from sums(n)
 
     total = {r["label"]: float(r["n"]) for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = total.get(0, 0.0), total.get(1, 0.0)
@@ -209,7 +216,7 @@ def document_frequencies(docs: DataFrame, terms: list[bytes]) -> tuple[int, np.n
 
     def count(batches):
         vocabulary, n, rows = per_worker(held, "vocabulary", Vocabulary), Counter(), 0
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 n.update(t for t, _ in vocabulary.count(text))
             rows += batch.num_rows
@@ -229,22 +236,23 @@ def document_frequencies(docs: DataFrame, terms: list[bytes]) -> tuple[int, np.n
 SCORED = "raw double, neighbours array<long>, cosines array<double>, toxic_neighbours int"
 
 
+def worker_index(held: Broadcast) -> tuple[BlockMaxIndex, Vocabulary]:
+    return per_worker(held, "index", lambda v: BlockMaxIndex(v[0], v[2])), per_worker(held, "vocabulary", lambda v: Vocabulary(v[1]))
+
+
 def voted(rows: DataFrame, held: Broadcast, k: int, leave_out: bool = False) -> DataFrame:
-    """``rows`` (doc_id, text, any others) with the columns of SCORED for the
-    text; ``leave_out``: an example with the row's own id does not vote."""
-    carried = [f for f in rows.schema.fields if f.name != "text"]
-    ddl = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in carried), SCORED])
+    """The doc_id of ``rows`` (doc_id, text) and the columns of SCORED;
+    ``leave_out``: an example with the row's own id does not vote."""
+    ddl = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {SCORED}"
     schema = arrow_schema(ddl)
 
     def run(batches):
-        index = per_worker(held, "index", lambda v: BlockMaxIndex(v[0], v[2]))
-        vocabulary = per_worker(held, "vocabulary", lambda v: Vocabulary(v[1]))
-        seen = Recent(lambda counts: index.vote(counts, k), 50_000, 10_000)
-        for batch in batches:
-            counts = [vocabulary.count(t) for t in batch.column("text").to_pylist()]
-            got = [index.vote(c, k, i) for c, i in zip(counts, batch.column("doc_id").to_pylist())] if leave_out else [seen[c] for c in counts]
+        index, vocabulary = worker_index(held)
+        for batch in slices(batches):
+            counts = map(vocabulary.count, batch.column("text").to_pylist())
+            got = [index.vote(c, k, i if leave_out else None) for c, i in zip(counts, batch.column("doc_id").to_pylist())]
             columns = [
-                *(c for c, n in zip(batch.columns, batch.schema.names) if n != "text"),
+                batch.column("doc_id"),
                 pa.array([g[0] for g in got], pa.float64()),
                 pa.array([index.ids[g[1]] for g in got], pa.list_(pa.int64())),
                 pa.array([g[2] for g in got], pa.list_(pa.float64())),
@@ -252,7 +260,7 @@ def voted(rows: DataFrame, held: Broadcast, k: int, leave_out: bool = False) ->
             ]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    return rows.mapInArrow(run, ddl)
+    return rows.select("doc_id", "text").mapInArrow(run, ddl)
 
 
 @dataclass(frozen=True)
@@ -264,9 +272,21 @@ class ToxicityModel:
     k: int
     threshold: float
 
+    def score_of(self, text: Column) -> Column:
+        """The score alone; rows stay in the JVM, only their texts pass through Python."""
+        held, k, curve = self.held, self.k, self.curve
+
+        @F.arrow_udf("double")
+        def vote(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            index, vocabulary = worker_index(held)
+            for texts in batches:
+                yield pa.array(calibrated(np.array([index.vote(vocabulary.count(t.as_py()), k)[0] for t in texts]), curve), pa.float64())
+
+        return vote(text)
+
     def score(self, rows: DataFrame) -> DataFrame:
-        """``rows`` (doc_id, text, any others) without the text, and with
-        ``score``, ``predicted`` and the evidence."""
+        """``rows`` (doc_id, text) without the text, and with ``score``,
+        ``predicted`` and the evidence."""
         scored = voted(rows, self.held, self.k).withColumn("score", step_column(F.col("raw"), self.curve)).drop("raw")
         return scored.withColumn("predicted", (F.col("score") >= self.threshold).cast("int"))
 
@@ -280,6 +300,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None
     """
     spark = docs.sparkSession
     sample = labelled_sample(docs, labels, train if train is not None else crc_mod("doc_id", 4) != 2, per_class)
+    sample = sample.withColumn("doc_id", F.col("doc_id").cast("long"))
     terms = telling_terms(sample, most_terms, least_ratio)
     rows, df = document_frequencies(docs, terms)
     idf = np.log((1.0 + rows) / (1.0 + df)) + 1.0
@@ -287,7 +308,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None
 
     def vectors(batches):
         vocabulary = per_worker(held_terms, "vocabulary", Vocabulary)
-        for batch in batches:
+        for batch in slices(batches):
             got = [vocabulary.count(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), batch.column(3), pa.array([[t for t, _ in g] for g in got], pa.list_(pa.int64())), pa.array([[c for _, c in g] for g in got], pa.list_(pa.int64()))],
@@ -323,10 +344,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 def reject_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> DataFrame:
     """The rows of ``docs``, all columns, that are not predicted toxic. See
     ``score_toxicity``; each row is judged by its own text."""
-    names = [f"c{i}" for i in range(len(docs.columns))]
     model = fit_toxicity(pick(docs, doc_id=id_col, text=text_col), pick(labels, doc_id=id_col, label=label_col), **options)
-    rows = docs.toDF(*names).select("*", F.col(names[docs.columns.index(id_col)]).alias("doc_id"), F.col(names[docs.columns.index(text_col)]).alias("text"))
-    return model.score(rows).filter("predicted = 0").select(*names).toDF(*docs.columns)
+    return docs.filter(model.score_of(F.col(f"`{text_col}`")) < model.threshold)
 
 
 def step_column(raw: Column, curve: tuple[np.ndarray, np.ndarray]) -> Column:
