@@ -108,7 +108,7 @@ def encode_piece(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[in
 class BpeCodec:
     """Encodes texts and decodes ids by a rank file; no special tokens."""
 
-    def __init__(self, raw: bytes, pattern: str = PRETOKEN_PATTERN, most: int = 300_000):
+    def __init__(self, raw: bytes, pattern: str = PRETOKEN_PATTERN, most: int = 150_000):
         ranks = read_ranks(raw)
         self.split = regex.compile(pattern).findall
         longest = max(map(len, ranks))

@@ -82,7 +82,7 @@ class TokenCounter:
     """Counts the tokens of texts as the file's tokenizer does by default
     (special strings in the text count as one token, nothing is added)."""
 
-    def __init__(self, raw: bytes, most: int = 300_000):
+    def __init__(self, raw: bytes, most: int = 150_000):
         ranks, special = read_merges(raw)
         self.split = regex.compile(PRETOKEN_PATTERN).findall
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None

@@ -13,14 +13,14 @@ def large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select("v", "u"))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     least = materialize(least, "star-least").df  # a table, so that the join below can be split at a hot node
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+    return both.filter("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
 
 
 def small_star(edges: DataFrame) -> DataFrame:
     """Each node and its lesser neighbours are linked to the least of these."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = materialize(down.groupBy("u").agg(F.min("v").alias("m")), "star-least").df
-    moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = down.join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
 
 

@@ -20,11 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetlens.llm.common import Recent, arrow_schema, pick
+from fleetlens.llm.common import Recent, arrow_schema, pick, slices
 from fleetlens.llm.components import connected_components
 from fleetlens.runtime import materialize
 
-FIRST = 1 << 62  # shingles whose hashes are below this, a quarter, come first in the order, rare before frequent
 FILTER_BITS = 1 << 24
 PIVOTS = 8
 CHUNK = 2048  # columns multiplied at a time
@@ -58,23 +57,30 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def first_hashes(percent: int) -> int:
+    """Shingles whose hashes are below this come first in the order, rare before
+    frequent: five thirds of the share of a set that a prefix takes, at most half."""
+    return min(1 << 63, (1 << 64) * (100 - percent) * 5 // 300)
+
+
 def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(doc_id, n, print, front) of each row: its set's size, a 128-bit
-    fingerprint of the set (null if empty), and its shingles below FIRST, or
+    fingerprint of the set (null if empty), and its shingles that come first, or
     more where these are fewer than the prefix, by rising hash."""
+    first = np.uint64(first_hashes(percent))
     kind = docs.schema["doc_id"].dataType.simpleString()
     ddl = f"doc_id {kind}, n long, print binary, front array<long>"
     schema = arrow_schema(ddl)
 
     def run(batches):
-        hashes = Recent(word_hash, 200_000)
-        for batch in batches:
+        hashes = Recent(word_hash, 100_000)
+        for batch in slices(batches):
             n, prints, fronts = [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text, size, hashes)
                 n.append(len(s))
                 prints.append(fingerprint(s))
-                fronts.append(s[: max(int(np.searchsorted(s, np.uint64(FIRST))), prefix_size(len(s), percent) if len(s) else 0)].view(np.int64))
+                fronts.append(s[: max(int(np.searchsorted(s, first)), prefix_size(len(s), percent) if len(s) else 0)].view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(fronts, pa.list_(pa.int64()))], schema=schema)
 
     return docs.select("doc_id", "text").mapInArrow(run, ddl)
@@ -93,25 +99,15 @@ def has_bit(table: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (table[bits >> 6] >> (bits & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
 
 
-def may_be_in(table: Broadcast, column: str) -> Column:
-    """Whether the column's value may be among those whose hashed bits are in a bitmap."""
-
-    @F.pandas_udf("boolean")
-    def test(bits):
-        return pd.Series(has_bit(table.value, bits.to_numpy().astype(np.int64)))
-
-    return test(hashed_bit(column))
-
-
 def hashed_bit(column: str) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+    return F.pmod(F.xxhash64(F.col(f"`{column}`")), F.lit(FILTER_BITS))
 
 
 def shared_prefixes(signed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(node, shingle): of each class's prefix, the shingles that other classes hold too.
 
-    The order is: shingles below FIRST by the number of classes that hold them,
-    then the others by hash. Shingles of one class only need not be known one
+    The order is: those of ``first_hashes`` by the number of classes that hold
+    them, then the others by hash. Shingles of one class only need not be known one
     by one, so just the repeated ones, found by a count over all classes, go
     back to their rows. A bitmap of these keeps most others out of that join,
     and one of the classes' own rows keeps most copies out of the count (one
@@ -119,14 +115,21 @@ def shared_prefixes(signed: DataFrame, classes: DataFrame, percent: int) -> Data
     """
     spark = signed.sparkSession
     own = spark.sparkContext.broadcast(bitmap(classes.select(hashed_bit("node").alias("bit"))))
-    held = signed.filter("n > 0").filter(may_be_in(own, "row")).select(F.explode("front").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
+
+    def own_shingles(batches):
+        for batch in batches:
+            kept = batch.column(1).filter(pa.array(has_bit(own.value, batch.column(0).to_numpy())))
+            yield pa.RecordBatch.from_arrays([kept.flatten()], names=["shingle"])
+
+    fronts = signed.filter("n > 0").select(hashed_bit("row").alias("bit"), "front").mapInArrow(own_shingles, "shingle long")
+    held = fronts.groupBy("shingle").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
     held = materialize(held, "jaccard-columns").df
     table = spark.sparkContext.broadcast(bitmap(held.select(F.col("shingle").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("bit"))))
     ddl = "row long, unshared long, front array<long>"
     schema = arrow_schema(ddl)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             fronts = [np.asarray(x, np.int64) for x in batch.column(2).to_pylist()]
             keep = [x[has_bit(table.value, x & (FILTER_BITS - 1))] for x in fronts]
             # how many of the prefix are left for shared ones, if no other is shared
@@ -135,9 +138,9 @@ def shared_prefixes(signed: DataFrame, classes: DataFrame, percent: int) -> Data
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some, pa.int64())), pa.array([room[i] for i in some], pa.int64()), pa.array([keep[i] for i in some], pa.list_(pa.int64()))], schema=schema)
 
     likely = signed.filter("n > 0").select("row", "n", "front").mapInArrow(run, ddl)
-    likely = likely.join(classes.select("node"), F.col("row") == F.col("node")).select("node", F.col("unshared").alias("room"), F.explode("front").alias("shingle"))
-    known = likely.join(held, "shingle")
-    late = (F.col("shingle") < 0) | (F.col("shingle") >= FIRST)  # hashes as signed numbers
+    likely = likely.join(classes.select("node").hint("merge"), F.col("row") == F.col("node")).select("node", F.col("unshared").alias("room"), F.explode("front").alias("shingle"))
+    known = likely.join(held.hint("merge"), "shingle")
+    late = (F.col("shingle") < 0) | (F.col("shingle") > F.lit(first_hashes(percent) - 1))  # hashes as signed numbers
     order = F.struct(late.alias("late"), F.when(late, 0).otherwise(F.col("classes")).alias("classes"), "shingle")
     rows = known.groupBy("node").agg(F.first("room").alias("room"), F.sort_array(F.collect_list(order)).alias("all"))
     rows = rows.withColumn("take", F.col("room") + F.size("all")).filter("take > 0")
@@ -153,14 +156,15 @@ def candidate_texts(docs: DataFrame, candidates: DataFrame, size: int) -> DataFr
     schema = arrow_schema(ddl)
 
     def run(batches):
-        hashes = Recent(word_hash, 200_000)
-        for batch in batches:
-            prints = [fingerprint(shingle_set(t, size, hashes)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary()), batch.column(1)], schema=schema)
+        hashes = Recent(word_hash, 100_000)
+        for batch in slices(batches):
+            likely = batch.filter(pa.array(has_bit(table.value, batch.column(2).to_numpy())))
+            prints = [fingerprint(shingle_set(t, size, hashes)) for t in likely.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([likely.column(0), pa.array(prints, pa.binary()), likely.column(1)], schema=schema)
 
-    texts = docs.select("doc_id", "text").filter(may_be_in(table, "doc_id")).mapInArrow(run, ddl)
+    texts = docs.select("doc_id", "text", hashed_bit("doc_id").alias("bit")).mapInArrow(run, ddl)
     alike = Window.partitionBy("doc_id", "print").orderBy(F.lit(0))  # rows that repeat id and set
-    joined = texts.alias("t").join(candidates.alias("c"), F.col("t.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("t.print") == F.col("c.print")))
+    joined = texts.alias("t").join(candidates.hint("merge").alias("c"), F.col("t.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("t.print") == F.col("c.print")))
     return joined.select("t.doc_id", "t.print", "text", "node", "block").withColumn("nth", F.row_number().over(alike)).filter("nth = 1").select("node", "block", "text")
 
 
@@ -244,8 +248,8 @@ def pivot_links(members: DataFrame, size: int, percent: int) -> DataFrame:
     schema = arrow_schema(ddl)
 
     def run(batches):
-        hashes, of = Recent(word_hash, 200_000), Recent(lambda t: shingle_set(t, size, hashes), 64, 1 << 20)
-        for batch in batches:
+        hashes, of = Recent(word_hash, 100_000), Recent(lambda t: shingle_set(t, size, hashes), 64, 1 << 20)
+        for batch in slices(batches):
             links = []
             for node, text, pivots in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 s, own = shingle_set(text, size, hashes), []
@@ -259,25 +263,29 @@ def pivot_links(members: DataFrame, size: int, percent: int) -> DataFrame:
     return members.join(pivots, "block").select("node", "block", "text", "pivots").mapInArrow(run, ddl)
 
 
-def block_links(members: DataFrame, size: int, percent: int, block_rows: int) -> DataFrame:
+def block_links(members: DataFrame, size: int, percent: int, block_rows: int, block_chars: int) -> DataFrame:
     """Edges (u, v) that join all linked members of each block (node, block, text).
 
-    A block of up to ``block_rows`` rows is multiplied in one step. In a larger
-    one, members that link with one pivot are joined already, so no pair of
-    them is looked at again; the others meet all members, in steps of
-    ``block_rows`` by ``block_rows`` rows.
+    A block of up to ``block_rows`` rows and ``block_chars`` characters is
+    multiplied in one step. In a larger one, members that link with one pivot
+    are joined already, so no pair of them is looked at again; the others meet
+    all members, in steps of two parts of about that size.
     """
-    sizes = members.groupBy("block").agg(F.count(F.lit(1)).alias("size"))
+    parts = lambda rows, chars: F.ceil(F.greatest(rows / block_rows, chars / block_chars)).cast("int")
+    sizes = members.groupBy("block").agg(parts(F.count(F.lit(1)), F.sum(F.length("text"))).alias("size"))
     sizes = materialize(sizes, "jaccard-sizes").df
     sized = members.join(sizes, "block")
-    whole = sized.filter(F.col("size") <= block_rows).select("node", "block", "text", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
-    met = materialize(pivot_links(sized.filter(F.col("size") > block_rows).drop("size"), size, percent), "jaccard-large").df
+    whole = sized.filter(F.col("size") <= 1).select("node", "block", "text", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
+    met = materialize(pivot_links(sized.filter(F.col("size") > 1).drop("size"), size, percent), "jaccard-large").df
     edges = met.select(F.col("node").alias("u"), F.explode("links").alias("v"))
     best = edges.join(met.select("node", "block"), F.col("u") == F.col("node")).groupBy("block", "v").agg(F.count(F.lit(1)).alias("n"))
     best = best.groupBy("block").agg(F.max_by("v", F.struct("n", "v")).alias("pivot"))
     parted = met.join(best, "block").withColumn("open", ~F.array_contains("links", F.col("pivot")))
-    counts = parted.groupBy("block").agg(F.count_if("open").alias("n_open"), F.count_if(~F.col("open")).alias("n_done"))
-    counts = counts.select("block", F.ceil(F.col("n_open") / block_rows).cast("int").alias("opens"), F.ceil(F.col("n_done") / block_rows).cast("int").alias("dones"))
+    chars, done = F.length("text"), ~F.col("open")
+    counts = parted.groupBy("block").agg(
+        parts(F.count_if("open"), F.coalesce(F.sum(F.when(F.col("open"), chars)), F.lit(0))).alias("opens"),
+        parts(F.count_if(done), F.coalesce(F.sum(F.when(done, chars)), F.lit(0))).alias("dones"),
+    )
     counts = materialize(counts, "jaccard-steps").df
     dealt = parted.join(counts, "block").filter("opens > 0")
     dealt = dealt.withColumn("b", F.when(F.col("open"), F.pmod(F.hash("node"), F.col("opens"))).otherwise(F.col("opens") + F.pmod(F.hash("node"), F.greatest("dones", F.lit(1)))))
@@ -287,7 +295,7 @@ def block_links(members: DataFrame, size: int, percent: int, block_rows: int) ->
 
     def multiply(key, table):
         node = table.column("node").to_numpy()
-        hashes = Recent(word_hash, 200_000)
+        hashes = Recent(word_hash, 100_000)
         sets = [shingle_set(x.as_py(), size, hashes) for x in table.column("text")]
         if key[1].as_py() == key[2].as_py():
             found = spanning(linked_pairs(sets, None, percent), node, None)
@@ -303,7 +311,7 @@ def block_links(members: DataFrame, size: int, percent: int, block_rows: int) ->
     return whole.unionByName(steps).groupBy("block", "i", "j").applyInArrow(multiply, EDGES).union(edges)
 
 
-def jaccard_components(docs: DataFrame, shingle_words: int = 4, percent: int = 85, block_rows: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, shingle_words: int = 4, percent: int = 85, block_rows: int = 2048, block_chars: int = 16_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: the id, ``n_shingles`` (size of its set) and
     ``component_id`` (the smallest id reachable by links, its own included).
 
@@ -314,7 +322,9 @@ def jaccard_components(docs: DataFrame, shingle_words: int = 4, percent: int = 8
     ids has a null id. Other columns are ignored. Shingles are told apart by
     64-bit, sets by 128-bit hashes.
 
-    Equal sets are one row of the product, whatever their number.
+    Equal sets are one row of the product, whatever their number. Joins with
+    tables that grow with the documents are sort-merge joins at every size,
+    which Spark splits at hot keys.
     """
     src = pick(docs, doc_id=id_col, text=text_col)
     signed = materialize(signatures(src, shingle_words, percent).withColumn("row", F.monotonically_increasing_id()), "jaccard-sets").df
@@ -323,26 +333,43 @@ def jaccard_components(docs: DataFrame, shingle_words: int = 4, percent: int = 8
     entries = materialize(shared_prefixes(signed, classes, percent), "jaccard-prefixes").df
     pivots = entries.groupBy("shingle").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("shingle", "first")
     pivots = materialize(pivots, "jaccard-pivots").df
-    near = entries.join(pivots, "shingle").filter("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v")).distinct()
+    near = entries.join(pivots.hint("merge"), "shingle").filter("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v")).distinct()
     blocks = connected_components(near).select("node", F.col("root").alias("block"))
-    candidates = materialize(classes.select("node", F.col("node_id").alias("doc_id"), "print").join(blocks, "node"), "jaccard-candidates").df
+    candidates = materialize(classes.select("node", F.col("node_id").alias("doc_id"), "print").join(blocks.hint("merge"), "node"), "jaccard-candidates").df
     members = materialize(candidate_texts(src, candidates, shingle_words), "jaccard-members").df
-    links = materialize(block_links(members, shingle_words, percent, block_rows), "jaccard-links").df
+    links = materialize(block_links(members, shingle_words, percent, block_rows, block_chars), "jaccard-links").df
     roots = connected_components(links)
-    rooted = classes.select("node", "print", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = classes.select("node", "print", "doc_id").join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = materialize(rooted.select("print", "root").join(least, "root").select("print", "component_id"), "jaccard-named").df
-    full = signed.filter("n > 0").select("doc_id", "n", "print").join(named, "print").select("doc_id", "n", "component_id")
+    named = materialize(rooted.select("print", "root").join(least.hint("merge"), "root").select("print", "component_id"), "jaccard-named").df
+    full = signed.filter("n > 0").select("doc_id", "n", "print").join(named.hint("merge"), "print").select("doc_id", "n", "component_id")
     empty = signed.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return full.union(empty).select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
+def may_be_in(table: Broadcast, column: str) -> Column:
+    """Whether the column's value may be among those whose hashed bits are in a bitmap."""
+
+    @F.pandas_udf("boolean")
+    def test(bits):
+        return pd.Series(has_bit(table.value, bits.to_numpy().astype(np.int64)))
+
+    return test(hashed_bit(column))
+
+
 def keep_one_of_each(docs: DataFrame, components: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose id is that of their component:
     one document of each. Rows alike in id and text are one document, of which
     one row stays; rows that repeat an id with other texts all stay, or all
-    go, and so do those with a null id."""
-    kept = components.filter(F.col(f"`{id_col}`").eqNullSafe(F.col("component_id"))).select(F.col(f"`{id_col}`").alias("__id")).distinct()
-    left = docs.join(kept, docs[f"`{id_col}`"].eqNullSafe(F.col("__id")), "left_semi")
+    go, and so do those with a null id.
+
+    Rows whose id heads its component and occurs once stay where they are; a
+    bitmap of the other ids tells them. Only what is left is shuffled.
+    """
+    heads = components.select(F.col(f"`{id_col}`").alias("id"), F.col("component_id").eqNullSafe(F.col(f"`{id_col}`")).alias("head"))
+    heads = materialize(heads.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.max("head").alias("head")), "jaccard-heads").df
+    table = docs.sparkSession.sparkContext.broadcast(bitmap(heads.filter("rows > 1 OR NOT head OR id IS NULL").select(hashed_bit("id").alias("bit"))))
+    unsure = docs.filter(may_be_in(table, id_col))
+    left = unsure.join(heads.filter("head").select(F.col("id").alias("__id")).hint("merge"), docs[f"`{id_col}`"].eqNullSafe(F.col("__id")), "left_semi")
     alike = Window.partitionBy(f"`{id_col}`", F.xxhash64(f"`{text_col}`"), F.crc32(F.col(f"`{text_col}`").cast("binary"))).orderBy(F.lit(0))
-    return left.withColumn("__nth", F.row_number().over(alike)).filter("__nth = 1").drop("__nth")
+    return docs.filter(~may_be_in(table, id_col)).unionByName(left.withColumn("__nth", F.row_number().over(alike)).filter("__nth = 1").drop("__nth"))

@@ -17,8 +17,8 @@ def shingles(text, n=4):
     return frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset()
 
 
-def plain(rows, percent=85):
-    sets = [shingles(t) for _, t in rows]
+def plain(rows, percent=85, words=4):
+    sets = [shingles(t, words) for _, t in rows]
     root = list(range(len(rows)))
 
     def find(x):
@@ -54,12 +54,12 @@ def near_copies(seed, groups=6, size=12):
     return list(zip(ids, rows))
 
 
-@pytest.mark.parametrize("block_rows", [2048, 7])
-def test_components_against_all_pairs(make_docs, edge_docs, block_rows):
-    rows = near_copies(block_rows)
+@pytest.mark.parametrize("block_rows, block_chars", [(2048, 10**7), (7, 10**7), (2048, 1500)])
+def test_components_against_all_pairs(make_docs, edge_docs, block_rows, block_chars):
+    rows = near_copies(block_rows) + [(0, "one more text under an id that is taken"), (1, "one more text under an id that is taken")]
     docs = make_docs([(i + 100, t) for i, t in rows]).unionByName(edge_docs)
     want = plain([(r["doc_id"], r["text"]) for r in docs.collect()])
-    got = jaccard_components(docs, block_rows=block_rows)
+    got = jaccard_components(docs, block_rows=block_rows, block_chars=block_chars)
     assert got.columns == ["doc_id", "n_shingles", "component_id"]
     assert sorted(str(tuple(r)) for r in got.collect()) == want
     kept = keep_one_of_each(docs, got)
@@ -69,9 +69,16 @@ def test_components_against_all_pairs(make_docs, edge_docs, block_rows):
     assert {i for i in ids if i is not None} == {h for h in heads if h is not None} and ids.count(8) == 1
 
 
+def test_other_parameters(make_docs):
+    rows = near_copies(5)
+    sets = [(i, " ".join(t.split())) for i, t in rows]
+    got = sorted(str((r["doc_id"], r["component_id"])) for r in jaccard_components(make_docs(sets), shingle_words=2, percent=60).collect())
+    assert got == sorted(str((eval(x)[0], eval(x)[2])) for x in plain(sets, 60, 2))
+
+
 def test_any_order_gives_the_same(make_docs, monkeypatch):
     rows = near_copies(3, groups=3)
-    monkeypatch.setattr(jaccard, "FIRST", 1 << 58)
+    monkeypatch.setattr(jaccard, "first_hashes", lambda percent: 1 << 58)
     assert sorted(str(tuple(r)) for r in jaccard_components(make_docs(rows)).collect()) == plain(rows)
 
 

@@ -70,7 +70,7 @@ def test_pipeline(spark):
     from test_jaccard import plain
 
     texts = [(r["doc_id"], r["text"]) for r in mild.collect()]
-    heads = {x.rstrip(")").split(", ")[-1] for x in plain(texts)}
+    heads = {x.rstrip(")").split(", ")[-1] for x in plain(texts, 80, 5)}
     single = stages["near_duplicates"](spark, mild, SF).cache()
     assert single.schema == docs.schema and {str(i) for i in rows(single)} == heads
 
