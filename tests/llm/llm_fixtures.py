@@ -1,3 +1,5 @@
+"""Fixtures of these tests; a module of its own name, since tests import the other conftest by name."""
+
 import pytest
 
 # Names that operators use inside, as columns of the user's table.

@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from llm_fixtures import edge_docs, make_docs, no_docs  # noqa: F401
 from fleetlens.llm.bpe_codec import BpeCodec, RankQueue, decode_documents, encode_documents
 from fleetlens.llm.bpe_count import TokenCounter, count_tokens
 

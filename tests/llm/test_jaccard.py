@@ -5,6 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from llm_fixtures import edge_docs, make_docs, no_docs  # noqa: F401
 from fleetlens.llm import jaccard
 from fleetlens.llm.components import connected_components
 from fleetlens.llm.jaccard import jaccard_components, keep_one_of_each, linked_pairs, spanning

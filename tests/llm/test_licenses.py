@@ -1,5 +1,6 @@
 import random
 
+from llm_fixtures import edge_docs, make_docs, no_docs  # noqa: F401
 from fleetlens.llm.licenses import TEMPLATES, LicenseMatcher, bigrams, dice, normal_words, scan_licenses
 
 

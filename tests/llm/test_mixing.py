@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from llm_fixtures import edge_docs, make_docs, no_docs, sf_texts  # noqa: F401
 from fleetlens.llm.mixing import LEVELS, WEIGHTS, allocate, mix_counts, mix_documents, with_domain
 
 

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from llm_fixtures import edge_docs, make_docs, no_docs, sf_texts  # noqa: F401
 from fleetlens.llm.common import Recent
 from fleetlens.llm.ppm import ORDER, ByteModel, count_grams, in_batches, postings, score_documents, word_hash
 

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from llm_fixtures import edge_docs, make_docs, no_docs, sf_texts  # noqa: F401
 from fleetlens.llm.quality import BASE_COLUMNS, line_key, measure, normalise_line, quality_verdicts, remove_frequent_lines
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

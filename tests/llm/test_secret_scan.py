@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+from llm_fixtures import edge_docs, make_docs, no_docs  # noqa: F401
 from fleetlens.llm.secret_scan import WINDOW, all_spans, base_spans, dense_windows, listed, redact, redact_secrets, scan_secrets
 
 PATTERNS = (

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 
+from llm_fixtures import make_docs, no_docs  # noqa: F401
 from fleetlens.llm.toxicity import BlockMaxIndex, Vocabulary, calibrated, isotonic, reject_toxic, score_toxicity, weigh, words_of
 
 
@@ -52,7 +53,7 @@ def fixture_rows():
 
 
 def test_held_out_accuracy_and_edges(spark, make_docs, no_docs):
-    from conftest import EDGE_TEXTS
+    from llm_fixtures import EDGE_TEXTS
 
     rows, labels = fixture_rows()
     edge = [(None if i is None else i + 1000, t) for i, t in EDGE_TEXTS]
