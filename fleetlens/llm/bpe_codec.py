@@ -12,7 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from itertools import chain
+from array import array
 
 import numpy as np
 import regex
@@ -29,16 +29,21 @@ class RankQueue:
 
     __slots__ = ("buckets", "top", "words")
 
-    def __init__(self, items=()):
-        """items: (rank, position) pairs in the order of their positions."""
-        self.buckets: dict[int, list[int]] = {}
-        self.words: dict[int, int] = {}  # of the lower bitmap, by rank >> BITS
-        self.top = 0
-        for rank, position in items:
-            if rank in self.buckets:
-                self.buckets[rank].append(position)
-            else:
-                self.push(rank, position)
+    def __init__(self, waiting=()):
+        """waiting: the rank at each position, or None."""
+        buckets, words = {}, {}  # words: of the lower bitmap, by rank >> BITS
+        top = 0
+        for position, rank in enumerate(waiting):
+            if rank is None:
+                continue
+            if rank in buckets:
+                buckets[rank].append(position)
+                continue
+            buckets[rank] = [position]
+            word = rank >> BITS
+            words[word] = words.get(word, 0) | 1 << (rank & 255)
+            top |= 1 << word
+        self.buckets, self.words, self.top = buckets, words, top
 
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
@@ -52,7 +57,8 @@ class RankQueue:
 
     def pop(self) -> tuple[int, int]:
         """(rank, position) of the first entry; only while ``top`` is not 0."""
-        word = (self.top & -self.top).bit_length() - 1
+        top = self.top
+        word = (top & -top).bit_length() - 1
         bits = self.words[word]
         low = bits & -bits
         rank = word << BITS | low.bit_length() - 1
@@ -61,7 +67,7 @@ class RankQueue:
             return rank, heapq.heappop(bucket)
         self.words[word] = bits ^ low
         if bits == low:
-            self.top ^= 1 << word
+            self.top = top ^ 1 << word
         return rank, bucket.pop()
 
 
@@ -79,7 +85,7 @@ def encode_piece(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[in
     end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # a symbol is piece[i:end[i]]; end[i] is the next one's place
     waiting = [rank_of(piece[i : i + 2]) for i in range(n - 1)]  # the rank that the pair at each place is queued under
     waiting.append(None)
-    queue = RankQueue((r, i) for i, r in enumerate(waiting) if r is not None)
+    queue = RankQueue(waiting)
     while queue.top:
         rank, i = queue.pop()
         if waiting[i] != rank:
@@ -108,17 +114,18 @@ def encode_piece(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[in
 class BpeCodec:
     """Encodes texts and decodes ids by a rank file; no special tokens."""
 
-    def __init__(self, raw: bytes, pattern: str = PRETOKEN_PATTERN, most: int = 150_000):
+    def __init__(self, raw: bytes, pattern: str = PRETOKEN_PATTERN, most: int = 300_000):
         ranks = read_ranks(raw)
         self.split = regex.compile(pattern).findall
         longest = max(map(len, ranks))
-        self.ids = Recent(lambda piece: encode_piece(piece.encode(), ranks, longest), most)
+        # ids by pre-token, as little-endian unsigned 32-bit integers
+        self.ids = Recent(lambda piece: array("I", encode_piece(piece.encode(), ranks, longest)).tobytes(), most)
         self.token = {i: t for t, i in ranks.items()}
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, "<u4")
-        return np.fromiter(chain.from_iterable(map(self.ids.__getitem__, self.split(text))), "<u4")
+        return np.frombuffer(b"".join(map(self.ids.__getitem__, self.split(text))), "<u4")
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.token.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids))
