@@ -121,7 +121,8 @@ def mix_plan(
     given = materialize(given, "mix-budgets").df
     placed = members.filter("tokens > 0").join(given.select(*keys, "epochs", "rest").filter("rest > 0"), keys).withColumn("place", seeded_order(seed, F.col("epochs"), F.col("doc_id")))
     edge = materialize(boundaries(placed.select(*keys, "doc_id", "content", "tokens", "place", "rest"), keys), "mix-edges").df
-    return members, given.join(edge, keys, "left").drop("rest")
+    # Written, so that its true size decides whether the texts' join broadcasts it.
+    return members, materialize(given.join(edge, keys, "left").drop("rest"), "mix-plan").df
 
 
 def copies(members: DataFrame, leaves: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:
