@@ -1,28 +1,37 @@
 """Language-model scoring: prediction by partial matching over byte contexts.
 
-A trie of byte contexts up to five bytes long, kept level by level, is counted
-over all training texts. A byte is coded in the longest context in the trie;
-if that context has not seen it, an escape is coded and the next shorter context
-takes over, with the symbols of the longer one excluded. A document's score is
-the sum of the logarithms of these probabilities (its code length, negated).
+A trie of byte contexts up to five bytes long is counted over all training
+texts. A byte is coded in the longest context in the trie; if that context has
+not seen it, an escape is coded and the next shorter context takes over, with
+the symbols of the longer one excluded. A document's score is the sum of the
+logarithms of these probabilities (its code length, negated).
+
+The trie is dealt by the three bytes nearest to the symbol and is never in one
+place. Pieces of the texts ask it for the logarithms of the distinct (context,
+symbol) pairs that they hold.
 
 Beside it stands a unigram word score with additive smoothing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import Recent, arrow_schema, crc_mod, per_worker, slices
+from fleetlens.llm.common import Recent, arrow_schema, crc_mod, per_worker
 from fleetlens.runtime import materialize
 
 ORDER = 5
 END = 0xFF  # never a byte of UTF-8: the end of a text, and the contexts before its start
-MIN_SHARE = 2.0**-16  # of the training bytes; so a level of the trie has at most 2**16 contexts
+MIN_SHARE = 2.0**-16  # of the training bytes, that a context must hold to stay; 0 keeps all
+PIECE = 16 << 20  # bytes of text that ask the trie together
+DEALT = 1024  # parts of the trie
+NEAR = 2  # contexts up to so long are broadcast: at most 65,536 of a length
 
 
 # The byte model
@@ -41,13 +50,19 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return stream, np.flatnonzero(coded), begin
 
 
-def count_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(context of ORDER bytes and symbol as one number, how often) over texts."""
-    stream, places, _ = joined(texts)
+def grams_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The context of ORDER bytes and symbol, as one number, of each symbol to
+    code, and where each text begins among these."""
+    stream, places, begin = joined(texts)
     grams = np.zeros(len(places), np.uint64)
     for i in range(ORDER, -1, -1):
         grams = grams << np.uint64(8) | stream[places - i]
-    return np.unique(grams, return_counts=True)
+    return grams, begin
+
+
+def count_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(context of ORDER bytes and symbol as one number, how often) over texts."""
+    return np.unique(grams_of(texts)[0], return_counts=True)
 
 
 class ByteModel:
@@ -79,19 +94,20 @@ class ByteModel:
         self.logs = np.empty((first[-1], 256), np.float32)
         for n, found in enumerate(keys):
             for a in range(0, len(found), 1024):
-                self.logs[first[n] + a : first[n] + a + len(found[a : a + 1024])] = np.log10(self.mix(n, found[a : a + 1024], counts, keys))
+                self.logs[first[n] + a : first[n] + a + len(found[a : a + 1024])] = np.log10(self.mix(n, found[a : a + 1024], lambda m, x: counts[m][np.searchsorted(keys[m], x)]))
         self.logs = self.logs.ravel()
 
     @staticmethod
-    def mix(n: int, found: np.ndarray, counts: list[np.ndarray], keys: list[np.ndarray]) -> np.ndarray:
-        """Probabilities of all 256 symbols in some contexts of n bytes: escape
+    def mix(n: int, found: np.ndarray, counts: Callable[[int, np.ndarray], np.ndarray]) -> np.ndarray:
+        """Probabilities of all 256 symbols in some contexts of n bytes, with
+        ``counts(m, contexts of m bytes)`` as rows of 256 numbers: escape
         estimate d / (t + d) for d symbols seen t times, symbols of longer
         contexts excluded, and last the symbols never seen, alike."""
         p = np.zeros((len(found), 256))
         escape = np.ones((len(found), 1))
         excluded = np.zeros((len(found), 256), bool)
         for m in range(n, -1, -1):
-            c = np.where(excluded, 0.0, counts[m][np.searchsorted(keys[m], found & np.uint64(256**m - 1))])
+            c = np.where(excluded, 0.0, counts(m, found & np.uint64(256**m - 1)))
             kinds = (c > 0).sum(axis=1, keepdims=True)
             excluded |= c > 0
             kinds[excluded.all(axis=1)] = 0  # nothing is left to escape to
@@ -128,22 +144,105 @@ def in_batches(texts: list[bytes], most: int = 1 << 22):
         yield held
 
 
-def trie_levels(grams: DataFrame, total: int, min_share: float = MIN_SHARE) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Counts by level of the contexts with at least ``min_share`` of the
-    training symbols; so a level has at most 1 / min_share contexts of at most
-    256 symbols, however large the corpus is."""
-    out = []
-    for n in range(ORDER + 1):
-        level = grams.groupBy((F.col("key").bitwiseAND(F.lit((256 << 8 * n) - 1))).alias("gram")).agg(F.sum("n").alias("n"))
-        level = level.withColumn("context", F.shiftrightunsigned("gram", 8))
-        if n:
-            keep = level.groupBy("context").agg(F.sum("n").alias("in_context")).filter(F.col("in_context") >= F.lit(min_share * total))
-            level = level.join(keep, "context", "left_semi")
-        got = level.select("gram", "n").toArrow()
-        out.append((got.column("gram").to_numpy().astype(np.uint64), got.column("n").to_numpy()))
+class Level:
+    """Contexts of one length and the counts of their symbols, as sparse rows;
+    contexts seen less than ``least`` times are left out."""
+
+    def __init__(self, grams: np.ndarray, seen: np.ndarray, least: float = 0.0):
+        grams, inverse = np.unique(grams[seen > 0], return_inverse=True)
+        seen = np.bincount(inverse, seen[seen > 0], len(grams))
+        context = grams >> np.uint64(8)
+        self.contexts, first, size = np.unique(context, return_index=True, return_counts=True)
+        keep = (np.add.reduceat(seen, first) if len(first) else np.empty(0)) >= least
+        self.contexts, self.first, self.size = self.contexts[keep], first[keep], size[keep]
+        self.symbols, self.seen = (grams & np.uint64(255)).astype(np.int64), seen
+
+    def rows(self, asked: np.ndarray) -> np.ndarray:
+        """A row of 256 counts for each context asked for; zeros where it is not in."""
+        found, inverse = np.unique(asked, return_inverse=True)
+        out = np.zeros((len(found), 256))
+        if len(self.contexts):
+            at = np.minimum(np.searchsorted(self.contexts, found), len(self.contexts) - 1)
+            has = np.flatnonzero(self.contexts[at] == found)
+            first, size = self.first[at[has]], self.size[at[has]]
+            place = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            out[np.repeat(has, size), self.symbols[place]] = self.seen[place]
+        return out[inverse]
+
+
+def gram_logs(grams: np.ndarray, seen: np.ndarray, near: list[Level], least: float) -> np.ndarray:
+    """log10 of the probability of the symbol of each of ``grams`` (distinct)
+    after its context. ``grams`` must have all that were seen of each context
+    of NEAR + 1 bytes in it; ``near`` has the levels below that."""
+    mask = lambda n: np.uint64((256 << 8 * n) - 1)
+    levels = [*near, *(Level(grams & mask(n), seen, least) for n in range(len(near), ORDER + 1))]
+    nearest_first = grams >> np.uint64(8) & mask(NEAR)
+    order = np.lexsort((grams, nearest_first))
+    context = grams[order] >> np.uint64(8)
+    first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(context) else np.empty(0, np.int64)
+    ends, out = np.append(first, len(context)), np.empty(len(grams))
+    for a in range(0, len(first), 1024):  # of dense rows, few at a time
+        e = min(a + 1024, len(first))
+        p = ByteModel.mix(ORDER, context[first[a:e]], lambda m, x: levels[m].rows(x))
+        part = order[ends[a] : ends[e]]
+        out[part] = np.log10(p[np.repeat(np.arange(e - a), np.diff(ends[a : e + 1])), (grams[part] & np.uint64(255)).astype(np.int64)])
     return out
 
 
+def packed(grams: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Rows of ten bytes: the gram, and a value of four bytes."""
+    return np.concatenate([np.ascontiguousarray(grams, "<u8").view(np.uint8).reshape(-1, 8)[:, :6], np.ascontiguousarray(values).view(np.uint8).reshape(-1, 4)], axis=1)
+
+
+def unpacked(parts: list[bytes], kind: type) -> tuple[np.ndarray, np.ndarray]:
+    data = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, 10)
+    grams = np.zeros((len(data), 8), np.uint8)
+    grams[:, :6] = data[:, :6]
+    return grams.view("<u8").ravel().astype(np.uint64), np.ascontiguousarray(data[:, 6:]).view(kind).ravel()
+
+
+def dealt(grams: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(part of the trie, where its rows begin, rows) of a piece's grams."""
+    part = ((grams >> np.uint64(8) & np.uint64((256 << 8 * NEAR) - 1)) * np.uint64(2654435761) >> np.uint64(12)) % np.uint64(DEALT)
+    order = np.argsort(part, kind="stable")
+    parts, first = np.unique(part[order], return_index=True)
+    return parts.astype(np.int64), first, packed(grams[order], seen[order].astype(np.uint32))
+
+
+def near_grams(asked: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of contexts of NEAR bytes and how often they were seen; at
+    most 65,536 contexts."""
+
+    def run(batches):
+        for batch in batches:
+            grams, n = unpacked(batch.column(0).to_pylist(), np.uint32)
+            grams, sums = add_up(grams & np.uint64((256 << 8 * NEAR) - 1), n)
+            yield pa.RecordBatch.from_arrays([pa.array(grams.astype(np.int64)), pa.array(sums.astype(np.int64))], names=["gram", "n"])
+
+    got = asked.select("postings").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 0").toArrow()
+    return got.column("gram").to_numpy().astype(np.uint64), got.column("n").to_numpy()
+
+
+def trie_logs(asked: DataFrame, min_share: float) -> DataFrame:
+    """(piece, logs) of ``asked`` (chunk, key: the part of the trie, postings):
+    log10 of the probability of each gram that a piece asks for. A part has all
+    grams, of all pieces, of its contexts of NEAR + 1 bytes."""
+    grams, seen = near_grams(asked)
+    least = min_share * float(seen.sum())
+    held = asked.sparkSession.sparkContext.broadcast({"value": (grams, seen)})
+
+    def solve(table):
+        near = per_worker(held, "levels", lambda v: [Level(v[0] & np.uint64((256 << 8 * n) - 1), v[1], least if n else 0.0) for n in range(NEAR + 1)])
+        parts = table.column("postings").to_pylist()
+        asked_for, n = unpacked(parts, np.uint32)
+        grams, inverse = np.unique(asked_for, return_inverse=True)
+        logs = gram_logs(grams, np.bincount(inverse, n, len(grams)), near, least).astype(np.float32)
+        size = np.array([len(x) // 10 for x in parts])
+        return pa.table({"piece": table.column("chunk"), "logs": binary_array(packed(asked_for, logs[inverse]), np.cumsum(size) - size)})
+
+    return asked.groupBy("key").applyInArrow(solve, "piece long, logs binary")
+
+
 # The word model
 
 
@@ -189,7 +288,9 @@ GATHERED = "kind string, chunk long, key long, n long, postings binary, doc_id {
 def gather(docs: DataFrame) -> DataFrame:
     """What the corpus gives, in one pass over (doc_id, text, train): ``doc``
     rows (chunk, place, text hash, doc_id), ``word`` rows (chunk, word hash,
-    training count, postings) and ``gram`` rows (context and symbol, count)."""
+    training count, postings), ``text`` rows (piece, text hash, train,
+    lower-cased text, doc_id) and ``gram`` rows (piece, part of the trie, grams
+    and training counts) with each distinct gram of the piece's texts."""
     ddl = GATHERED.format(docs.schema["doc_id"].dataType.simpleString())
     schema = arrow_schema(ddl)
 
@@ -202,8 +303,13 @@ def gather(docs: DataFrame) -> DataFrame:
         from pyspark import TaskContext
 
         hashes = Recent(word_hash, 200_000)
-        chunk = TaskContext.get().partitionId() << 32
-        grams, seen = np.empty(0, np.uint64), np.empty(0, np.int64)
+        chunk = piece = TaskContext.get().partitionId() << 32
+        grams, seen, filled = np.empty(0, np.uint64), np.empty(0, np.int64), 0
+
+        def asked():
+            parts, first, data = dealt(grams, seen)
+            yield rows("gram", len(parts), chunk=np.full(len(parts), piece), key=parts, postings=binary_array(data, first))
+
         for whole in batches:
             for a in range(0, whole.num_rows, 8192):
                 batch = whole.slice(a, 8192)
@@ -212,18 +318,28 @@ def gather(docs: DataFrame) -> DataFrame:
                 texts = [t.lower() for t in raw]  # bytes.lower() changes A-Z only
                 train = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
                 n = len(texts)
-                yield rows("doc", n, chunk=np.full(n, chunk), key=np.arange(n), n=[text_hash(t) for t in raw], doc_id=batch.column(0))
+                own = np.array([text_hash(t) for t in raw], np.int64)
+                yield rows("doc", n, chunk=np.full(n, chunk), key=np.arange(n), n=own, doc_id=batch.column(0))
                 words, trained, first, data = postings(texts, train, hashes)
                 for b in range(0, len(words), 100_000):
                     e = min(b + 100_000, len(words))
                     part = data[first[b] : first[e] if e < len(words) else len(data)]
                     yield rows("word", e - b, chunk=np.full(e - b, chunk), key=words[b:e], n=trained[b:e], postings=binary_array(part, first[b:e] - first[b]))
-                for run_ in in_batches([t for t, x in zip(texts, train) if x]):
-                    g, c = count_grams(run_)
-                    grams, inverse = np.unique(np.concatenate([grams, g]), return_inverse=True)
-                    seen = np.bincount(inverse, np.concatenate([seen, c])).astype(np.int64)
-        for b in range(0, len(grams), 100_000):
-            yield rows("gram", len(grams[b : b + 100_000]), key=grams[b : b + 100_000].astype(np.int64), n=seen[b : b + 100_000])
+                at = 0
+                for run_ in in_batches(texts):
+                    e = at + len(run_)
+                    yield rows("text", len(run_), chunk=np.full(len(run_), piece), key=own[at:e], n=train[at:e].astype(np.int64), postings=pa.array(run_, pa.binary()), doc_id=batch.column(0).slice(at, len(run_)))
+                    learnt, times = count_grams([t for t, x in zip(run_, train[at:e]) if x])
+                    others, _ = count_grams([t for t, x in zip(run_, train[at:e]) if not x])
+                    grams, inverse = np.unique(np.concatenate([grams, learnt, others]), return_inverse=True)
+                    seen = np.bincount(inverse, np.concatenate([seen, times, np.zeros(len(others))]), len(grams)).astype(np.int64)
+                    filled += sum(map(len, run_))
+                    at = e
+                    if filled >= PIECE:
+                        yield from asked()
+                        piece += 1
+                        grams, seen, filled = np.empty(0, np.uint64), np.empty(0, np.int64), 0
+        yield from asked()
 
     return docs.mapInArrow(run, ddl)
 
@@ -293,9 +409,11 @@ def score_documents(docs: DataFrame, train_if=None, id_col: str = "doc_id", text
     empty. Repeated rows are scored, and counted, each. Other columns are
     ignored. Words are told apart by 64-bit hashes.
 
-    Counts cover all training rows. Word counts never leave the cluster: words
-    with their postings meet the counts in a join by word, and the sums go back
-    by document. The byte model is collected; ``min_share`` bounds it.
+    Counts cover all training rows. Neither model leaves the cluster: words
+    with their postings meet the counts in a join by word, the distinct grams of
+    the texts' pieces meet by part of the trie, and the sums go back
+    by document; a part of the trie is one step. ``min_share``: contexts with a smaller share of the training
+    bytes are left out; 0 keeps every context.
     """
     spark = docs.sparkSession
     train = F.coalesce(train_if if train_if is not None else crc_mod(id_col, 5) != 1, F.lit(True))
@@ -330,23 +448,24 @@ def score_documents(docs: DataFrame, train_if=None, id_col: str = "doc_id", text
     both = partial.unionByName(rows, allowMissingColumns=True)
     base = both.groupBy("chunk").applyInArrow(sum_up, f"doc_id {kind}, hash long, logs double, known long").dropDuplicates(["doc_id", "hash"])
 
-    grams = gathered.filter("kind = 'gram'").groupBy("key").agg(F.sum("n").alias("n"))
-    grams = materialize(grams, "ppm-grams").df
-    total = grams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    held = spark.sparkContext.broadcast({"value": trie_levels(grams, total, min_share)})
+    logs = trie_logs(gathered.filter("kind = 'gram'").select("chunk", "key", "postings"), min_share)
+    texts = gathered.filter("kind = 'text'").select("chunk", "key", "n", "postings", "doc_id")
     ddl = f"doc_id {kind}, train boolean, hash long, words long, n_bytes long, score double"
     schema = arrow_schema(ddl)
 
-    def score(batches):
-        model = per_worker(held, "model", ByteModel)
-        for batch in slices(batches):
-            raw = [(t or "").encode() for t in batch.column(1).to_pylist()]
-            texts = [t.lower() for t in raw]
-            scores = np.concatenate([np.empty(0), *(model.score(x) for x in in_batches(texts))])
-            columns = [batch.column(0), batch.column(2), [text_hash(t) for t in raw], [len(t.split()) for t in texts], [len(t) for t in texts], scores]
-            yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
-
-    scored = src.mapInArrow(score, ddl).alias("s")
+    def score(key, left, right):
+        keys, log = unpacked(right.column("logs").to_pylist(), np.float32)
+        order = np.argsort(keys)
+        keys, log = keys[order], log[order].astype(np.float64)
+        held = left.column("postings").to_pylist()
+        sums = [np.empty(0)]
+        for run_ in in_batches(held):
+            found, begin = grams_of(run_)
+            sums.append(np.add.reduceat(log[np.searchsorted(keys, found)], begin))
+        columns = [left.column("doc_id"), left.column("n").cast(pa.bool_()), left.column("key"), [len(t.split()) for t in held], [len(t) for t in held], np.concatenate(sums)]
+        return pa.table([x if isinstance(x, pa.ChunkedArray) else pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
+
+    scored = texts.groupBy("chunk").cogroup(logs.groupBy("piece")).applyInArrow(score, ddl).alias("s")
     each = F.log10(F.lit(float(train_tokens)) + 0.5 * (kinds + 1.0))
     n_tokens = F.col("words") + 1
     return scored.join(base.alias("b"), F.col("s.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("s.hash") == F.col("b.hash")), "left").select(

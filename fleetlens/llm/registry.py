@@ -56,7 +56,7 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_documents(read_table(spark, sf_dir, "documents"))
+    return score_documents(read_table(spark, sf_dir, "documents"), min_share=0.0)
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,3 +105,17 @@ def test_scores_against_plain_python(edge_docs, make_docs, sf_texts, no_docs):
             raw = (t or "").translate(LOWER).encode()
             assert scores[i, len((t or "").encode())] == pytest.approx(plain_score(levels, raw, least), rel=1e-5)
     assert score_documents(no_docs).collect() == []
+
+
+def test_query_keeps_every_context(spark, make_docs, tmp_path):
+    """A corpus in which a context seen once or twice holds less than 2^-16 of the bytes."""
+    from fleetlens.llm.registry import op8_lm_scores
+
+    texts = [(i, f"the hot source says the same thing again {i % 7}. " * 60) for i in range(100)] + [(200 + i, "zq rare words: näive quixotic jumble, kvass") for i in range(4)]
+    make_docs(texts).write.parquet(f"{tmp_path}/documents.parquet")
+    training = [t.lower().encode() for i, t in texts if zlib.crc32(str(i).encode()) % 5 != 1]
+    assert sum(len(t) + 1 for t in training) > 2**17
+    levels = trie(training)
+    want = {i: plain_score(levels, t.lower().encode(), 0) for i, t in texts}
+    got = {r["doc_id"]: r["score"] for r in op8_lm_scores(spark, str(tmp_path)).collect()}
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i], rel=1e-5) for i in want)
