@@ -90,22 +90,36 @@ def dense_windows(s: str, threshold: float, window: int = WINDOW) -> list[tuple[
     return out
 
 
+def gaps(a: int, b: int, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """What the spans of ``taken``, in order, leave of a to b."""
+    for start, _, end in taken:
+        if start >= b:
+            break
+        if start > a:
+            yield a, start
+        a = max(a, end)
+    if a < b:
+        yield a, b
+
+
 def entropy_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of dense stretches in candidates that touch no span
-    of ``taken`` and match nothing on the allow-list."""
+    """(start, kind, end) of dense stretches in what the spans of ``taken``
+    leave of the candidates, and match nothing on the allow-list."""
     out = []
     if not DIGIT.search(text):
         return out
     at = 0
     for m in CANDIDATE.finditer(text):
-        a, b, s = m.start(), m.end(), m.group()
-        if (kind := character_class(s)) is None or any(x.fullmatch(s) for x in ALLOWED):
-            continue
-        while at < len(taken) and taken[at][2] <= a:
+        while at < len(taken) and taken[at][2] <= m.start():
             at += 1
-        if any(x[0] < b and x[2] > a for x in taken[at : at + 8]):
-            continue
-        out += [(a + x, 3, a + y) for x, y in dense_windows(s, THRESHOLDS[kind])]
+        e = at
+        while e < len(taken) and taken[e][0] < m.end():
+            e += 1
+        for a, b in gaps(m.start(), m.end(), taken[at:e]):
+            s = text[a:b]
+            if len(s) < WINDOW or (kind := character_class(s)) is None or any(x.fullmatch(s) for x in ALLOWED):
+                continue
+            out += [(a + x, 3, a + y) for x, y in dense_windows(s, THRESHOLDS[kind])]
     return out
 
 
