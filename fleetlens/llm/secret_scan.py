@@ -26,16 +26,20 @@ WINDOW = 20
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 DIGIT = re.compile(r"[0-9]")
 # Bits a character that a window must reach, by the class of the whole
-# candidate; a 20-character window has log2(20) = 4.32 at most, and a hex one 4.
-THRESHOLDS = {"hex": 3.2, "upper": 3.6, "lower": 3.6, "mixed": 3.8}
+# stretch; a 20-character window has log2(20) = 4.32 at most, and a hex one 4.
+THRESHOLDS = {"hex": 3.2, "upper": 3.6, "lower": 3.6, "mixed": 3.8, "letters": 3.8}
 # Strings that look random and are known not to be secrets.
+WORD = r"(?>(?:[A-Z]?[a-z]{2,}+)++|[A-Z]++|[a-z]?)"  # of one case, or capitalised words in a row
 ALLOWED = (
     re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"),  # UUID
     re.compile(r"[0-9-]+"),  # numbers and dates
-    re.compile(r".*(?:example|sample|placeholder|xxxx|0123456789|abcdefgh).*", re.IGNORECASE | re.DOTALL),
-    re.compile(r"(?:[A-Za-z]*[/_=-])*[A-Za-z]*[/_=-]?[0-9]{1,8}"),  # words and paths that end in a number
+    re.compile(rf"(?:{WORD}[/_=-])*+{WORD}[/_=-]?[0-9]{{1,8}}"),  # words and paths that end in a number
 )
-TERMS = [0.0, *(c * math.log2(c) for c in range(1, WINDOW + 1))]
+PIECE = re.compile(r"[^/=_-]+")
+WORDS = re.compile(rf"{WORD}(?:[+]{WORD})*")
+PLACEHOLDER = re.compile(r"example|sample|placeholder|xxxx|0123456789|abcdefgh", re.IGNORECASE)
+LONGEST_ALLOWED = 64  # a longer piece with a placeholder in it is no placeholder as a whole
+TERMS = [0.0, *(c * math.log2(c) for c in range(1, WINDOW + 2))]  # a step adds before it takes away
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -51,10 +55,12 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def character_class(s: str) -> str | None:
-    """The class whose threshold holds for a candidate; None: it can't be a
-    secret (it needs letters and digits)."""
-    if not DIGIT.search(s) or not re.search("[A-Za-z]", s):
+    """The class whose threshold holds for a stretch; None: it can't be told
+    from words or numbers (it needs letters, and digits or both cases)."""
+    if not re.search("[A-Za-z]", s):
         return None
+    if not DIGIT.search(s):
+        return "letters" if re.search("[a-z]", s) and re.search("[A-Z]", s) else None
     if re.fullmatch("[0-9a-fA-F]+", s):
         return "hex"
     if not re.search("[a-z]", s):
@@ -102,12 +108,21 @@ def gaps(a: int, b: int, taken: list[tuple[int, int, int]]) -> Iterator[tuple[in
         yield a, b
 
 
-def entropy_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of dense stretches in what the spans of ``taken``
-    leave of the candidates, and match nothing on the allow-list."""
+def placeholders(text: str, a: int, b: int) -> list[tuple[int, int, int]]:
+    """The pieces of a to b, parted by / = _ and -, that hold a placeholder; of
+    a long piece, the placeholder alone."""
+    if not PLACEHOLDER.search(text, a, b):
+        return []
     out = []
-    if not DIGIT.search(text):
-        return out
+    for m in PIECE.finditer(text, a, b):
+        found = [(x.start(), 3, x.end()) for x in PLACEHOLDER.finditer(text, m.start(), m.end())]
+        out += found if m.end() - m.start() > LONGEST_ALLOWED else [(m.start(), 3, m.end())] if found else []
+    return out
+
+
+def stretches(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, str, str]]:
+    """(start, stretch, class) of what the spans of ``taken`` and the allow-list
+    leave of the candidates. Stretches without digits go piece by piece, without words."""
     at = 0
     for m in CANDIDATE.finditer(text):
         while at < len(taken) and taken[at][2] <= m.start():
@@ -116,11 +131,23 @@ def entropy_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[in
         while e < len(taken) and taken[e][0] < m.end():
             e += 1
         for a, b in gaps(m.start(), m.end(), taken[at:e]):
-            s = text[a:b]
-            if len(s) < WINDOW or (kind := character_class(s)) is None or any(x.fullmatch(s) for x in ALLOWED):
+            if b - a < WINDOW or any(x.fullmatch(text, a, b) for x in ALLOWED):
                 continue
-            out += [(a + x, 3, a + y) for x, y in dense_windows(s, THRESHOLDS[kind])]
-    return out
+            for c, d in gaps(a, b, placeholders(text, a, b)):
+                if d - c < WINDOW or (kind := character_class(s := text[c:d])) is None or any(x.fullmatch(s) for x in ALLOWED):
+                    continue
+                if kind != "letters":
+                    yield c, s, kind
+                    continue
+                for p in PIECE.finditer(s):
+                    if len(p.group()) >= WINDOW and character_class(p.group()) and not WORDS.fullmatch(p.group()):
+                        yield c + p.start(), p.group(), kind
+
+
+def entropy_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of dense stretches in what the spans of ``taken``
+    and the allow-list leave of the candidates."""
+    return [(a + x, 3, a + y) for a, s, kind in stretches(text, taken) for x, y in dense_windows(s, THRESHOLDS[kind])]
 
 
 def all_spans(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

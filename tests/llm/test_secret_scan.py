@@ -75,3 +75,12 @@ def test_rest_beside_base_spans():
             masked = redact(text, spans)
             assert "wJalr" not in masked and "sT2vL" not in masked and base not in masked
     assert [k for _, k, _ in all_spans("0123456789abcdef0123456789abcdef-Xk92LmQpRt7Vb3Nc5Yw1Zs8")[1]] == [2, 3]
+
+
+def test_allow_list_holds_for_pieces():
+    key = "Xk92LmQpRt7Vb3Nc5Yw1Zs8Jd4Hg"
+    for text in (f"io/samples/{key}", f"{key}/example", f"placeholder={key}", "qWxZvRtYkLmPnBsDfGhJcTaEuI7", "qWxZvRtYkLmPnBsDfGhJcTaEuI", (key + "xxxx" + key[::-1]) * 2):
+        spans = all_spans(text)[1]
+        assert spans and key[4:-4] not in redact(text, spans) and "RtYkLmPnBsDfGh" not in redact(text, spans), text
+    for text in ("TheQuickBrownFoxJumpsOverLazyDogs", "Some-Heading-Text-Like-This-One", "wiki/MainPage/QuickBrownFoxJumps_2024", "sample" + key, "A" * 30 + "z" * 30):
+        assert all_spans(text)[1] == [], text
