@@ -2,14 +2,16 @@
 over word bigrams.
 
 Texts and templates are normalised to lower-case words. Runs of consecutive
-lines are compared, so a licence is found wherever it stands in a document.
-Templates whose size rules out the threshold for a run are pruned before any
+lines are compared first; in what these leave, windows of words are, so a
+licence is found wherever it stands in a document, also within a line. Windows
+begin and end at word pairs of the template. Templates whose size rules out the threshold for a run are pruned before any
 bigram is compared.
 """
 
 from __future__ import annotations
 
 import bisect
+import math
 from collections import Counter
 from itertools import accumulate
 
@@ -91,6 +93,8 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ),
 )
 
+LEAST_WITHIN = 3  # bigrams of a template that is looked for within lines; a shorter one is no evidence there
+
 # Lower-case letters, digits and the dot stay, and all bytes beyond ASCII.
 NORMAL = bytes(b if b >= 0x80 or chr(b).isdigit() or chr(b).islower() or b == 0x2E else 0x20 for b in range(256))
 
@@ -122,6 +126,10 @@ class LicenseMatcher:
         self.templates = sorted(prepared, key=lambda t: t[:2])
         self.sizes = [t[0] for t in self.templates]
         self.words = {w for *_, b in self.templates for pair in b for w in pair}
+        self.holders: dict[tuple, list[int]] = {}  # of a bigram: the templates, by place in the sorted list
+        for i, (size, _, _, b) in enumerate(self.templates):
+            for pair in b if size >= LEAST_WITHIN else ():
+                self.holders.setdefault(pair, []).append(i)
         self.ratio = (2 - threshold) / threshold  # 2 m / (n + b) >= t with m <= min(n, b) needs n / b within this, either way
 
     def best(self, words: list[bytes], known: int) -> tuple[float, str] | None:
@@ -166,13 +174,69 @@ class LicenseMatcher:
         return sorted(out)
 
 
+    def windows(self, words: list[bytes]) -> list[tuple[int, int, float, str]]:
+        """(first word, word after the last, Dice coefficient, name) of the
+        windows that match; the best are taken, then the shorter, then the
+        earlier, and none that overlaps one taken."""
+        at: dict[int, list[int]] = {}
+        pairs = list(zip(words, words[1:]))
+        for i, pair in enumerate(pairs):
+            for t in self.holders.get(pair, ()):
+                at.setdefault(t, []).append(i)
+        found = []
+        for t, places in at.items():
+            size, listed, name, b = self.templates[t]
+            least = math.ceil(self.threshold * (size / self.ratio + size) / 2 - 1e-9)  # common bigrams that any window needs
+            longest = size * self.ratio + 1e-9
+            for i in range(len(places) - least + 1):
+                if places[i + least - 1] - places[i] + 1 > longest:
+                    continue
+                got: Counter = Counter()
+                common = 0
+                for j in range(i, len(places)):
+                    n = places[j] - places[i] + 1
+                    if n > longest:
+                        break
+                    pair = pairs[places[j]]
+                    got[pair] += 1
+                    common += got[pair] <= b[pair]
+                    if 2 * common >= (self.threshold - 1e-12) * (n + size):
+                        found.append((-2 * common / (n + size), n, places[i], listed, name))
+        out, covered = [], bytearray(len(words))
+        for d, n, a, _, name in sorted(found):
+            if not any(covered[a : a + n + 1]):
+                covered[a : a + n + 1] = b"\1" * (n + 1)
+                out.append((a, a + n + 1, -d, name))
+        return sorted(out)
+
+    def find(self, text: str | None) -> list[tuple[int, int, float, str]]:
+        """What ``scan`` finds, and the windows of words that match in the lines
+        between, by their lines."""
+        runs = self.scan(text)
+        if not text or not self.holders:
+            return runs
+        out, words, of = list(runs), [], []
+        taken = {i for a, e, *_ in runs for i in range(a, e)}
+        lines = text.split("\n")
+        for i in range(len(lines) + 1):
+            if i < len(lines) and i not in taken:
+                w = normal_words(lines[i])
+                words += w
+                of += [i] * len(w)
+            elif words:
+                out += [(of[a], of[e - 1] + 1, d, name) for a, e, d, name in self.windows(words)]
+                words, of = [], []
+        return sorted(out)
+
+
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: the id, ``n_matches``, ``licenses`` (names found,
     distinct, in order, comma-joined; empty if none), ``best_dice`` (0 if none)
     and ``spans`` (``name:first line:line after the last``, comma-joined).
 
     A run of consecutive lines matches a template if the Dice coefficient of
-    their word bigrams reaches ``threshold``. A null text counts as empty; null
+    their word bigrams reaches ``threshold``; so does a window of words in the
+    lines that no run takes, for templates of three bigrams or more. A null text counts as empty; null
     and repeated ids pass through; other columns are ignored. Templates are a
     parameter, (name, text) pairs; ties go to the one listed first.
     """
@@ -182,7 +246,7 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8,
         matcher = LicenseMatcher(given, threshold)
 
         def f(c):
-            got = [matcher.scan(t) for t in c["text"]]
+            got = [matcher.find(t) for t in c["text"]]
             return {
                 "doc_id": c["doc_id"],
                 "n_matches": [len(g) for g in got],

@@ -52,3 +52,20 @@ def test_rows(edge_docs, no_docs):
     assert scan_licenses(no_docs).collect() == []
     own = scan_licenses(edge_docs, templates=[("pair", "one two")], threshold=1.0)
     assert sorted((r["doc_id"], r["spans"]) for r in own.collect() if r["n_matches"]) == [(9, "pair:0:1"), (10, "pair:0:1")]
+
+
+def test_notices_within_lines(make_docs):
+    mit, bsd = (max((t for n, t in TEMPLATES if n == name), key=len) for name in ("MIT", "BSD-2-Clause"))
+    prose = "the quick brown fox jumps over a lazy dog and goes home to sleep " * 40
+    texts = [
+        "This project is released under the MIT License.",
+        "Copyright 2024 Acme. Released under the MIT License.",
+        "Code is licensed under the MIT License; see LICENSE.",
+        prose + mit + " " + prose,
+        prose + bsd.replace("following", "next", 1) + prose + mit,
+        prose + "\nprose that goes on, Released under\nthe MIT License. And so on\n" + prose,
+        prose + "the license of the work is under review",
+    ]
+    got = {r["doc_id"]: r for r in scan_licenses(make_docs(list(enumerate(texts)))).collect()}
+    assert [got[i]["licenses"] for i in range(7)] == ["MIT", "MIT", "MIT", "MIT", "BSD-2-Clause,MIT", "MIT", ""]
+    assert got[5]["spans"] == "MIT:1:3" and got[3]["best_dice"] == 1.0
