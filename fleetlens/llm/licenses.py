@@ -19,6 +19,21 @@ from pyspark.sql import DataFrame
 
 from fleetlens.llm.common import map_rows, pick
 
+# Parts that the notices of close siblings share.
+GNU = (
+    "This {0} is free software{3} you can redistribute it and/or modify it under the terms of the GNU {1} Public License as published by the Free Software Foundation, either version {2} of "
+    "the License, or (at your option) any later version. This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+    "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1} Public License for more details."
+)
+CC = "This work is licensed under a Creative Commons {} 4.0 International License."
+BSD_DISCLAIMER = (
+    " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+    "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, "
+    "OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY "
+    "OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH "
+    "DAMAGE."
+)
+
 # Licence templates (an identifier and the text of its notice or
 # licence, without copyright lines).
 TEMPLATES: tuple[tuple[str, str], ...] = (
@@ -91,10 +106,25 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
         "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code "
         "form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
     ),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("GPL-2.0-or-later", GNU.format("program", "General", "2", ";")),
+    ("AGPL-3.0-or-later", GNU.format("program", "Affero General", "3", ":")),
+    ("LGPL-2.1-or-later", GNU.format("library", "Lesser General", "2.1", ";")),
+    ("CC-BY-ND-4.0", CC.format("Attribution-NoDerivatives")),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", CC.format("Attribution-NonCommercial-ShareAlike")),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", CC.format("Attribution-NonCommercial-NoDerivatives")),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
 )
 
 LEAST_WITHIN = 3  # bigrams of a template that is looked for within lines; a shorter one is no evidence there
 
+# The BSD texts with their disclaimer.
+TEMPLATES += tuple((name, text + BSD_DISCLAIMER) for name, text in TEMPLATES if name.startswith("BSD-"))
+
 # Lower-case letters, digits and the dot stay, and all bytes beyond ASCII.
 NORMAL = bytes(b if b >= 0x80 or chr(b).isdigit() or chr(b).islower() or b == 0x2E else 0x20 for b in range(256))
 

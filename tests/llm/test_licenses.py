@@ -69,3 +69,22 @@ def test_notices_within_lines(make_docs):
     got = {r["doc_id"]: r for r in scan_licenses(make_docs(list(enumerate(texts)))).collect()}
     assert [got[i]["licenses"] for i in range(7)] == ["MIT", "MIT", "MIT", "MIT", "BSD-2-Clause,MIT", "MIT", ""]
     assert got[5]["spans"] == "MIT:1:3" and got[3]["best_dice"] == 1.0
+
+
+def test_siblings_have_their_own_names():
+    matcher = LicenseMatcher()
+    gnu = next(t for n, t in TEMPLATES if n == "GPL-3.0-or-later")
+    lesser = next(t for n, t in TEMPLATES if n == "LGPL-3.0-or-later")
+    three = [t for n, t in TEMPLATES if n == "BSD-3-Clause"]
+    for text, name in (
+        (gnu.replace("version 3", "version 2"), "GPL-2.0-or-later"),
+        (gnu.replace("GNU General", "GNU Affero General"), "AGPL-3.0-or-later"),
+        (lesser.replace("version 3", "version 2.1"), "LGPL-2.1-or-later"),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"),
+        ("Licensed under CC BY-NC-ND 4.0", "CC-BY-NC-ND-4.0"),
+        ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", "CC-BY-ND-4.0"),
+        (max(three, key=len), "BSD-3-Clause"),
+    ):
+        for around in (text, "intro words " + text + " and more words"):
+            assert [h[3] for h in matcher.find(around)] == [name], (name, around)
+    assert len(three) == 2 and "business interruption" in max(three, key=len).lower()
