@@ -201,8 +201,8 @@ def top_k(
     no part, nor do null ids; rows with the query's own id are no candidates;
     vectors of another length than the query's aren't compared with it. An id
     that repeats among the vectors is a candidate with each of its rows; one
-    that repeats among the queries is answered once, by its first row in
-    vector order. Quantised components must be under 2**24 in size, or the scores may
+    that repeats among the queries is answered once, by its first usable
+    row in vector order. Quantised components must be under 2**24 in size, or the scores may
     not fit 64 bits. Other columns are ignored.
 
     Rows and queries are dealt into blocks of fixed size, and each pair of
@@ -217,7 +217,8 @@ def top_k(
         for dims, ids, v in groups_by_length(batches, query_rows):
             yield pa.RecordBatch.from_pylist([{"dims": dims, "asked": len(ids), "asked_ids": ids.tobytes(), "asked_vectors": v.tobytes()}], schema=block_schema)
 
-    asked = pick(queries, id=id_col, v=vector_col).groupBy("id").agg(F.min("v").alias("v"))
+    fit = F.col("v").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    asked = pick(queries, id=id_col, v=vector_col).filter(fit).groupBy("id").agg(F.min("v").alias("v"))
     blocks = materialize(asked.mapInArrow(run_queries, QUERY_SCHEMA), "query-blocks").df
     # Each query block meets the index blocks of each part that have its length. Both
     # sides carry blocks of bounded size, so a pair is a bounded step.

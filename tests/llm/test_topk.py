@@ -68,3 +68,12 @@ def test_rows(spark):
     assert {tuple(r) for r in got.collect()} == wanted
     none = df.filter("false")
     assert top_k(none, none).collect() == [] and top_k(df, none).collect() == []
+
+
+def test_repeated_query_with_malformed_rows(spark):
+    good = [(i, [float(i), 1.0]) for i in range(1, 6)]
+    bad = [(1, []), (2, [None, 1.0]), (3, [float("-inf"), 1.0]), (4, None), (5, [float("nan"), 1.0])]
+    frame = lambda rows: spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    want = {tuple(r) for r in top_k(frame(good), frame(good), k=3).collect()}
+    assert {r[0] for r in want} == {1, 2, 3, 4, 5}
+    assert {tuple(r) for r in top_k(frame(good + bad), frame(good + bad), k=3).collect()} == want
