@@ -107,9 +107,62 @@ heads AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)
 SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id FROM heads LEFT JOIN n USING (doc_id)
 """
 
+# [^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+ and [^\x00-\x40\x5B-\x60\x7B-\x7F]+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+LETTER_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms(pattern: str) -> str:
+    return f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{pattern}')"
+
+
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_terms(TERM)} AS terms FROM documents),
+g AS (SELECT count(*)::BIGINT AS all_docs, sum(len(terms))::BIGINT AS all_terms FROM d WHERE len(terms) > 0),
+tf AS (SELECT r, t, count(*)::BIGINT AS tf FROM (SELECT r, unnest(terms) AS t FROM d) GROUP BY r, t),
+q AS (
+    SELECT item_id, t, count(*)::BIGINT AS n
+    FROM (SELECT item_id, unnest({_terms(TERM)}) AS t FROM (SELECT item_id, min(text) AS text FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id)) GROUP BY item_id, t),
+w AS (
+    SELECT t, floor(1000 * ln((2 * all_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM tf, g WHERE t IN (SELECT t FROM q) GROUP BY t, all_docs),
+m AS (SELECT r, doc_id, 75 + (25 * len(terms)::BIGINT * all_docs) // all_terms AS m FROM d, g WHERE doc_id IS NOT NULL),
+s AS (
+    SELECT item_id, r, doc_id, sum(n * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+    FROM q JOIN w USING (t) JOIN tf USING (t) JOIN m USING (r) GROUP BY item_id, r, doc_id),
+top AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM top WHERE rank <= 20
+"""
+
+OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_terms(LETTER_TERM)} AS terms FROM documents),
+tf AS (SELECT r, lang, source, t, count(*)::BIGINT AS n FROM (SELECT r, lang, source, unnest(terms) AS t FROM d) GROUP BY ALL),
+kept AS (SELECT lang, t, sum(n)::BIGINT AS n FROM tf GROUP BY lang, t HAVING count(*) >= 10),
+size AS (SELECT lang, count(*)::BIGINT AS v, sum(n)::BIGINT AS total FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM d),
+held AS (SELECT lang, source, t, sum(tf.n)::BIGINT AS n FROM tf JOIN kept USING (lang, t) GROUP BY lang, source, t),
+total AS (SELECT lang, source, coalesce(sum(n), 0)::BIGINT AS total FROM grp LEFT JOIN held USING (lang, source) GROUP BY lang, source),
+p AS (
+    SELECT lang, source, t, coalesce(held.n, 0) AS n, 1 + (1000000000 * (coalesce(held.n, 0) + 2)) // (total.total + 2 * v) AS p,
+           1 + (1000000000 * (kept.n + 2)) // (size.total + 2 * v) AS whole
+    FROM grp JOIN kept USING (lang) JOIN size USING (lang) JOIN total USING (lang, source) LEFT JOIN held USING (lang, source, t)),
+f AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p))::BIGINT AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL),
+every AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+    FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', t, (((p - whole) * (p - whole)) // (p + whole))::BIGINT FROM p WHERE n > 0 AND p > whole),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM every)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op3_exact_topk": OP3,
     "op5_source_mixing": OP5,
     "op7_ngram_jaccard": OP7,
+    "op12_ranked_search": OP12,
+    "op13_source_divergence": OP13,
 }

@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from fleetlens.llm.bpe_codec import encode_documents
 from fleetlens.llm.bpe_count import count_tokens
 from fleetlens.llm.common import crc_mod, read_table
+from fleetlens.llm.divergence import source_divergence
+from fleetlens.llm.html_cut import extract_main_text
 from fleetlens.llm.jaccard import jaccard_components
+from fleetlens.llm.k2treap import ranked_search
 from fleetlens.llm.licenses import scan_licenses
 from fleetlens.llm.mixing import LEVELS, WEIGHTS, mix_counts, with_domain
 from fleetlens.llm.ppm import score_documents
@@ -69,6 +72,18 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(read_table(spark, sf_dir, "pages"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_toxicity": op2_toxicity,
@@ -80,4 +95,7 @@ QUERIES: dict[str, Query] = {
     "op8_lm_scores": op8_lm_scores,
     "op9_secret_scan": op9_secret_scan,
     "op10_bpe_codec": op10_bpe_codec,
+    "op11_html_extraction": op11_html_extraction,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_source_divergence": op13_source_divergence,
 }

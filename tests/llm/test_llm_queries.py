@@ -21,13 +21,13 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "embeddings", "labels"):
+    for t in ("documents", "embeddings", "labels", "benchmark", "pages"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF, t + '.parquet')}')")
     return c
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
 
 
@@ -50,6 +50,9 @@ def test_contract_columns(spark):
         7: "doc_id bigint, n_shingles bigint, component_id bigint",
         9: "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
         10: "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+        11: "page_id bigint, url string, text string, n_chars bigint, n_blocks int, n_content int",
+        12: "item_id bigint, rank int, doc_id bigint, score bigint",
+        13: "lang string, source string, part string, item string, value bigint, rank int",
     }
     for name, query in QUERIES.items():
         if (n := int(name[2:].split("_")[0])) in columns:
