@@ -17,12 +17,22 @@ def write_report(
     partition_by: Sequence[str] = ("client",),
     mode: str = "overwrite",
     only_written_partitions: bool = False,
+    rebalance: bool = True,
 ) -> None:
     """Write partitioned by client. ``only_written_partitions``: an overwrite
     replaces just the clients present in ``df`` (dynamic partition
-    overwrite), leaving other clients' directories as they are."""
-    # No shuffle: the writer sorts each task's rows by the partition columns,
-    # so a client with many rows is still written by many tasks in parallel.
+    overwrite), leaving other clients' directories as they are.
+
+    ``rebalance``: the rows are dealt by the partition columns before they are
+    written, so that there are about as many files as the data needs
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes`` each), not one per client
+    and task. Adaptive execution packs small clients into one task, where each
+    becomes one file, and splits a large one (with those dealt to the same partition) over several; without it
+    (``spark.sql.adaptive.enabled`` false) nothing is dealt, since one task would
+    then get all of a large client. Without it the writer sorts each task's rows
+    by the partition columns and every task writes its own files."""
+    if rebalance and partition_by and (df.sparkSession.conf.get("spark.sql.adaptive.enabled") or "").lower() == "true":
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).partitionBy(*partition_by)
     if only_written_partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
