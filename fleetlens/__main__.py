@@ -1,5 +1,7 @@
-"""Command line: the whole fleet report in one run.
+"""Command line: load samples, write the whole fleet report in one run.
 
+    spark-submit run_fleetlens.py load --input /data/export --format csv --map "Host Name=server_name" \\
+        --target /data/cpu_samples --rejects /data/cpu_rejects --load-id 2021-08
     spark-submit run_fleetlens.py report --input /data/cpu_samples --format parquet \\
         --output /data/reports/2021-08
     python -m fleetlens query hourly_profile_host --sf-dir /root/testdata/sf0.1 --output /tmp/out
@@ -11,6 +13,7 @@ and ``spark.checkpoint.dir`` are whatever spark-submit / the cluster sets.
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 
 from pyspark.sql import SparkSession
@@ -27,6 +30,20 @@ def _options(pairs: list[str]) -> dict[str, str]:
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="fleetlens")
     sub = ap.add_subparsers(dest="cmd", required=True)
+    ld = sub.add_parser("load", help="append an export to the sample table, all or nothing")
+    ld.add_argument("--input", default=None, help="export path; omit it for a connector configured by --option")
+    ld.add_argument("--format", default="csv")
+    ld.add_argument("--option", action="append", default=[], help="reader option key=value (repeatable)")
+    ld.add_argument("--schema", default=None, help="the export's own columns as DDL")
+    ld.add_argument("--map", action="append", default=[], metavar="SOURCE=CANONICAL", help="a column of the export, by its name, for a canonical one (repeatable)")
+    ld.add_argument("--target", default=None, help="sample table path; omit it for a connector configured by --target-option")
+    ld.add_argument("--target-format", default="parquet")
+    ld.add_argument("--target-option", action="append", default=[], help="writer option key=value (repeatable)")
+    ld.add_argument("--mode", choices=("append", "overwrite", "error", "ignore"), default="append")
+    ld.add_argument("--partition-by", action="append", default=[], help="canonical column to partition the target by (repeatable)")
+    ld.add_argument("--metric-type", default="double")
+    ld.add_argument("--rejects", default=None, help="folder for rows whose time or metric does not parse; without it such a row fails the load")
+    ld.add_argument("--load-id", default=None, help="name of this load; a load run again under its name adds nothing")
     r = sub.add_parser("report", help="write the fleet report, partitioned by client")
     r.add_argument("--input", default=None, help="sample table path; omit it for a connector configured by --option")
     r.add_argument("--format", default="parquet")
@@ -44,6 +61,32 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("fleetlens").getOrCreate()
+    if args.cmd == "load":
+        from fleetlens.sources.load import ingest
+        from fleetlens.sources.scan import SOURCE_COLUMNS
+
+        try:
+            done = ingest(
+                spark,
+                args.input,
+                args.target,
+                source_format=args.format,
+                schema=args.schema,
+                target_format=args.target_format,
+                mode=args.mode,
+                options=_options(args.option),
+                target_options=_options(args.target_option),
+                partition_by=tuple(args.partition_by),
+                mapping=SOURCE_COLUMNS | _options(args.map) if args.map else None,
+                metric_type=args.metric_type,
+                rejects_path=args.rejects,
+                load_id=args.load_id,
+            )
+        except (ValueError, FileExistsError) as exc:
+            print(f"load: {exc}", file=sys.stderr)
+            return 2
+        print(json.dumps({"loaded": done.loaded, "rejected": done.rejected}))
+        return 0
     if args.cmd == "report":
         from fleetlens.plans.model import UsageModel
         from fleetlens.sources.scan import scan_metrics
