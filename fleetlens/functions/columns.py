@@ -1,7 +1,9 @@
 """Column expressions shared by every operator.
 
 All of them are built-in Spark SQL expressions, so they stay inside
-whole-stage codegen; nothing here runs Python per row.
+whole-stage codegen; nothing here runs Python per row. The ones that every
+report builds also exist as SQL text (``*_sql``): Spark parses a text in one
+call, where the same tree put together from Python takes dozens.
 """
 
 from __future__ import annotations
@@ -35,6 +37,31 @@ TIME = "hr_time"
 METRIC = "avg_processor_time"
 
 
+# SQL text over the canonical columns.
+CLIENT_SQL = f"substring({SERVER}, {CLIENT_POS}, {CLIENT_LEN})"
+HOST_SQL = f"substring({SERVER}, {HOST_POS}, {HOST_LEN})"
+TOTAL_SQL = f"contains({PROCESSOR}, '{TOTAL_MARK}')"
+DATE_PART_SQL = {"hour": f"hour({TIME})", "weekday": f"dayofweek({TIME})", "monthday": f"dayofmonth({TIME})"}
+
+
+def substrings_sql(s: str, k: int) -> str:
+    """``substrings`` as SQL text."""
+    return (
+        f"CASE WHEN length({s}) >= {k} THEN transform(sequence(1, length({s}) - {k - 1}), i -> substring({s}, i, {k})) "
+        f"WHEN {s} IS NOT NULL THEN CAST(array() AS ARRAY<STRING>) END"
+    )
+
+
+def percent_sql(part: str, whole: str) -> str:
+    """``percent`` as SQL text."""
+    return f"try_divide(100 * CAST({part} AS DOUBLE), CAST({whole} AS DOUBLE))"
+
+
+def round_half_up_sql(x: str, digits: int = 1) -> str:
+    """``round_half_up`` as SQL text."""
+    return f"floor({x} * {10**digits} + 0.5D) / {10**digits}"
+
+
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -73,11 +100,12 @@ def substrings(s: str | Column, k: int) -> Column:
     ``array_contains(substrings(s, k), key)``, which lets a containment test
     against a key table be planned as an equi-join instead of a nested loop.
     """
-    c = col(s)
+    if isinstance(s, str):
+        return F.expr(substrings_sql(f"`{s}`", k))
     return F.when(
-        F.length(c) >= k,
-        F.transform(F.sequence(F.lit(1), F.length(c) - k + 1), lambda i: c.substr(i, F.lit(k))),
-    ).when(c.isNotNull(), F.array().cast("array<string>"))
+        F.length(s) >= k,
+        F.transform(F.sequence(F.lit(1), F.length(s) - k + 1), lambda i: s.substr(i, F.lit(k))),
+    ).when(s.isNotNull(), F.array().cast("array<string>"))
 
 
 def as_double(c: str | Column) -> Column:

@@ -22,6 +22,8 @@ from fleetlens.operators.keys import (  # noqa: F401
     distinct_hosts,
     host_key_list,
     host_keys,
+    keys_by_client,
+    server_names,
 )
 from fleetlens.operators.membership import (  # noqa: F401
     attach,

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.functions.columns import METRIC, PROCESSOR, PROFILE_DIVISORS, PROFILES, SERVER, TIME, as_double, date_part, is_total
+from fleetlens.functions.columns import DATE_PART_SQL, METRIC, PROFILE_DIVISORS, PROFILES, SERVER, TOTAL_SQL, as_double
 from fleetlens.operators.joins import keyed_join
 
 ALL = "all"  # profile name of the per-server grand total rows
@@ -53,23 +53,19 @@ def server_buckets(samples: DataFrame, profiles: Sequence[str] = PROFILES) -> Da
     a third of all rows is collapsed inside every map task, so that shuffle is
     never skewed by it. Rows without a time give no bucket (they stay in 'all').
     """
-    t = F.coalesce(is_total(PROCESSOR), F.lit(False))
-    whole = F.struct(F.lit(ALL).alias("profile"), F.lit(None).cast("int").alias("bucket"))
-    parts = [F.struct(F.lit(p).alias("profile"), date_part(p, TIME).alias("bucket")) for p in profiles]
-    own = [F.inline(F.when(t, F.array(whole, *parts)).otherwise(F.array(whole)))] if parts else [F.lit(ALL).alias("profile"), F.lit(None).cast("int").alias("bucket")]
-    rows = samples.where(F.col(SERVER).isNotNull()).select(SERVER, F.when(t, F.col(METRIC)).alias("m"), t.alias("t"), *own)
-    g = rows.groupBy(SERVER, "profile", "bucket").agg(
-        F.sum("m").alias("total"), F.bool_or("t").alias("has_total"), F.count(F.when(F.col("t"), 1)).alias("rows")
-    )
-    return g.where((F.col("profile") == ALL) | F.col("bucket").isNotNull())
-
-
-def divisor_of(profile_col: str = "profile"):
+    t = f"coalesce({TOTAL_SQL}, false)"
+    whole = f"struct('{ALL}' AS profile, CAST(NULL AS INT) AS bucket)"
+    parts = [f"struct('{p}' AS profile, {DATE_PART_SQL[p]} AS bucket)" for p in profiles]
+    own = [f"inline(CASE WHEN {t} THEN array({', '.join([whole, *parts])}) ELSE array({whole}) END)"] if parts else [f"'{ALL}' AS profile", "CAST(NULL AS INT) AS bucket"]
+    rows = samples.where(f"{SERVER} IS NOT NULL").selectExpr(SERVER, f"CASE WHEN {t} THEN {METRIC} END AS m", f"{t} AS t", *own)
+    sums = [F.expr(x) for x in ("sum(m) AS total", "bool_or(t) AS has_total", "count(CASE WHEN t THEN 1 END) AS rows")]
+    g = rows.groupBy(SERVER, "profile", "bucket").agg(*sums)
+    return g.where(f"profile = '{ALL}' OR bucket IS NOT NULL")
+
+
+def divisor_sql(profile_col: str = "profile") -> str:
     """CASE profile WHEN 'hour' THEN 31 WHEN 'weekday' THEN 96 ... END."""
-    expr = None
-    for p, d in PROFILE_DIVISORS.items():
-        expr = F.when(F.col(profile_col) == p, F.lit(d)) if expr is None else expr.when(F.col(profile_col) == p, F.lit(d))
-    return expr
+    return f"CASE {profile_col} {' '.join(f"WHEN '{p}' THEN {d}" for p, d in PROFILE_DIVISORS.items())} END"
 
 
 def profile_rollup(
@@ -78,9 +74,9 @@ def profile_rollup(
     """Sum per-server bucket totals over group members:
     ``(keys..., profile, bucket, total)`` with total still in the metric type.
     Both sides have few rows per server, so a non-broadcast join needs no salt."""
-    b = buckets.where(F.col("profile").isin(list(profiles)))
+    b = buckets.where(f"profile IN ({', '.join(f"'{p}'" for p in profiles)})")
     joined = keyed_join(b, members, SERVER, broadcast=broadcast)
-    return joined.groupBy(*keys, "profile", "bucket").agg(F.sum("total").alias("total"))
+    return joined.groupBy(*keys, "profile", "bucket").agg(F.expr("sum(total) AS total"))
 
 
 def profile(
@@ -98,9 +94,4 @@ def profile(
     """
     d = PROFILE_DIVISORS[part] if divisor is None else divisor
     r = profile_rollup(buckets, members, keys, [part], broadcast=broadcast)
-    return r.select(
-        *keys,
-        F.col("bucket").alias(part),
-        as_double("total").alias("total"),
-        (as_double("total") / F.lit(d)).alias("value"),
-    )
+    return r.selectExpr(*keys, f"bucket AS {part}", "CAST(total AS DOUBLE) AS total", f"CAST(total AS DOUBLE) / {d} AS value")

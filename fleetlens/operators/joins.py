@@ -5,11 +5,12 @@
   not shuffled.
 * otherwise a sort-merge join, forced with a ``merge`` hint so that no
   size *estimate* can turn it into a broadcast of an unproven side. With
-  ``salts`` the large side gets a salt (from a row's place in its partition,
-  so that equal rows spread too; a retried task that reads its input in the
-  same order gives the same salts) and every small-side row is replicated once
-  per salt (``explode``), so one hot key is spread over ``salts`` partitions
-  instead of landing in one task. With ``hot`` (a small frame of the hot key
+  ``salts`` the large side gets a salt and every small-side row is replicated
+  once per salt (``explode``), so one hot key is spread over ``salts`` partitions
+  instead of landing in one task. The salt comes from a row's place among its
+  partition's rows, sorted by all their columns: equal rows spread too, and a
+  task that is run again gives the same rows the same salts in whatever order
+  it reads them (only equal rows can change places, which changes nothing). With ``hot`` (a small frame of the hot key
   values, bounded by the caller) only those keys are salted and replicated;
   every other key joins with salt 0, so the small side barely grows. If
   ``hot`` has a ``_salts`` column, each hot key gets that many salts (e.g.
@@ -20,8 +21,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlens.runtime import shuffle_partitions
 
@@ -31,6 +33,15 @@ SALTS = "_salts"  # per-key salt count in a ``hot`` frame
 HOT = "_hot"
 
 
+def salted(df: DataFrame, salts: Column) -> DataFrame:
+    """``df`` with a salt from 0 to ``salts`` - 1 on each row, the same however a
+    partition's rows are ordered. Columns that can't be sorted by are left out of
+    the order."""
+    ordered = [f"`{f.name}`" for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    place = F.xxhash64(F.monotonically_increasing_id())
+    return df.sortWithinPartitions(*ordered).withColumn(SALT, F.pmod(place, salts).cast("int"))
+
+
 def keyed_join(
     large: DataFrame,
     small: DataFrame,
@@ -48,16 +59,13 @@ def keyed_join(
         return large.join(small.hint("merge"), keys, how)
     # more salts than shuffle partitions would replicate without spreading further
     salts = max(1, min(salts, shuffle_partitions(large.sparkSession)))
-    row_hash = F.xxhash64(F.monotonically_increasing_id())
     if hot is None:
-        salted_large = large.withColumn(SALT, F.pmod(row_hash, F.lit(salts)).cast("int"))
+        salted_large = salted(large, F.lit(salts))
         salted_small = small.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     else:
         n = F.col(SALTS) if SALTS in hot.columns else F.lit(salts)
         flags = F.broadcast(hot.select(*keys, n.cast("int").alias(SALTS)).withColumn(HOT, F.lit(True)))
-        salted_large = large.join(flags, keys, "left").withColumn(
-            SALT, F.when(F.col(HOT), F.pmod(row_hash, F.col(SALTS)).cast("int")).otherwise(F.lit(0))
-        ).drop(HOT, SALTS)
+        salted_large = salted(large.join(flags, keys, "left"), F.when(F.col(HOT), F.col(SALTS)).otherwise(F.lit(1))).drop(HOT, SALTS)
         salted_small = small.join(flags, keys, "left").withColumn(
             SALT, F.explode(F.when(F.col(HOT), F.sequence(F.lit(0), F.col(SALTS) - 1)).otherwise(F.array(F.lit(0))))
         ).drop(HOT, SALTS)

@@ -19,14 +19,19 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.functions.columns import SERVER, client_key, host_key, substrings
+from fleetlens.functions.columns import CLIENT_SQL, HOST_SQL, SERVER, substrings_sql
 from fleetlens.operators.joins import DEFAULT_SALTS, keyed_join
 
 
+def key_candidates_sql(name: str, key_lengths: Iterable[int]) -> str:
+    """The distinct substrings of ``name`` that could be client keys, as SQL text."""
+    parts = [f"coalesce({substrings_sql(name, k)}, CAST(array() AS ARRAY<STRING>))" for k in sorted(set(key_lengths))]
+    return f"array_distinct(concat({', '.join(parts)}))"
+
+
 def key_candidates(name: str, key_lengths: Iterable[int]) -> Column:
     """The distinct substrings of ``name`` that could be client keys."""
-    parts = [F.coalesce(substrings(name, k), F.array().cast("array<string>")) for k in sorted(set(key_lengths))]
-    return F.array_distinct(F.concat(*parts))
+    return F.expr(key_candidates_sql(name, key_lengths))
 
 
 def rows_by_client(rows: DataFrame, clients: DataFrame, key_lengths: Iterable[int] = (1, 2, 3)) -> DataFrame:
@@ -37,11 +42,13 @@ def rows_by_client(rows: DataFrame, clients: DataFrame, key_lengths: Iterable[in
     return named.join(F.broadcast(clients.select("client")), "client", "left_semi")
 
 
-def rows_by_host(client_rows: DataFrame, hosts: DataFrame) -> DataFrame:
-    """The rows of ``rows_by_client`` once per host key of their client that
-    their name contains; ``hosts`` (distinct keys) is broadcast likewise."""
-    named = client_rows.withColumn("host", F.explode(F.array_distinct(substrings(SERVER, 1))))
-    return named.join(F.broadcast(hosts.select("client", "host")), ["client", "host"], "left_semi")
+def rows_by_host(rows: DataFrame, keys: DataFrame, key_lengths: Iterable[int] = (1, 2, 3)) -> DataFrame:
+    """Row-level split: every row once per client key that its name contains
+    and host key of that client that it contains too. ``keys`` (client, hosts;
+    one row a client, proven small) is broadcast: one join serves both."""
+    named = rows.withColumn("client", F.explode(key_candidates(SERVER, key_lengths)))
+    met = named.join(F.broadcast(keys.select("client", "hosts")), "client")
+    return met.withColumn("host", F.expr(f"explode(filter(hosts, h -> contains({SERVER}, h)))")).drop("hosts")
 
 
 def client_members(
@@ -65,19 +72,19 @@ def host_members(client_members: DataFrame, hosts: DataFrame, broadcast: bool =
     """(server_name, client, host) for every host key of the name's client
     that occurs anywhere in the name (host keys are single characters;
     ``hosts`` may repeat them: the match is a semi join)."""
-    chars = client_members.select(SERVER, "client", F.explode(F.array_distinct(substrings(SERVER, 1))).alias("host"))
+    chars = client_members.selectExpr(SERVER, "client", f"explode(array_distinct({substrings_sql(SERVER, 1)})) AS host")
     joined = keyed_join(chars, hosts.select("client", "host"), ["client", "host"], broadcast=broadcast, how="left_semi", salts=salts)
     return joined.select(SERVER, "client", "host")
 
 
 def positional_client_members(names: DataFrame) -> DataFrame:
     """Disjoint variant: the client is the name's own prefix only."""
-    return names.select(SERVER, client_key(SERVER).alias("client")).where(F.col("client") != "")
+    return names.selectExpr(SERVER, f"{CLIENT_SQL} AS client").where("client <> ''")
 
 
 def positional_host_members(client_members: DataFrame) -> DataFrame:
     """Disjoint variant: the host is the name's own fifth character only."""
-    return client_members.select(SERVER, "client", host_key(SERVER).alias("host")).where(F.col("host") != "")
+    return client_members.selectExpr(SERVER, "client", f"{HOST_SQL} AS host").where("host <> ''")
 
 
 def attach(

@@ -16,10 +16,10 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.functions.columns import MONTH_HOURS, PROFILES, SERVER, WEEK_HOURS, as_double, client_key, host_key, percent, round_half_up
+from fleetlens.functions.columns import CLIENT_SQL, MONTH_HOURS, PROFILES, SERVER, WEEK_HOURS, client_key, host_key, percent_sql, round_half_up_sql
 from fleetlens.operators import aggregates as agg
 from fleetlens.operators import filters, keys, membership, shares
 from fleetlens.operators.joins import SALTS
@@ -112,7 +112,7 @@ class UsageModel:
 
     @property
     def _name_rows(self) -> DataFrame:
-        return self._names_table.df.where(F.col("profile") == agg.ALL)
+        return self._names_table.df.where(f"profile = '{agg.ALL}'")
 
     @cached_property
     def clients(self) -> DataFrame:
@@ -202,19 +202,26 @@ class UsageModel:
     def _hm_fits(self) -> bool:
         return self._host_members[1]
 
-    def _written_keys(self, df: DataFrame, label: str) -> tuple[DataFrame, bool]:
-        """(distinct keys, written once; whether they are proven to fit the
-        broadcast limit)."""
-        table = self._write(df, label)
-        return table.df, 0 < self._limit() and table.bytes <= self._limit()
+    # The key lists of the row-level splits are written once, each by one job: from
+    # the names of a bucket table if there is one, else from the rows themselves.
+    def _written_keys(self, df: DataFrame, label: str, more_bytes: str = "0") -> tuple[DataFrame, bool, list[int]]:
+        """(one row a client, whether proven to fit the broadcast limit, the keys' lengths)."""
+        table = self._write(df, label, {"more_bytes": F.expr(f"sum({more_bytes})"), "key_lengths": F.expr("collect_set(length(client))")})
+        size = table.bytes + int(table.metrics["more_bytes"] or 0)
+        return table.df, 0 < self._limit() and size <= self._limit(), sorted(table.metrics["key_lengths"]) or [3]
 
     @cached_property
-    def _row_client_keys(self) -> tuple[DataFrame, bool]:
-        return self._written_keys(self.clients, "client-keys")
+    def _row_host_keys(self) -> tuple[DataFrame, bool, list[int]]:
+        """(client, hosts)"""
+        names = self._name_rows.select(SERVER, "has_total") if self._passes else keys.server_names(self.samples)
+        return self._written_keys(keys.keys_by_client(names), "keys-by-client", "coalesce(size(hosts), 0) * 24L")
 
     @cached_property
-    def _row_host_keys(self) -> tuple[DataFrame, bool]:
-        return self._written_keys(self.host_keys, "host-keys")
+    def _row_client_keys(self) -> tuple[DataFrame, bool, list[int]]:
+        """(client)"""
+        if "_row_host_keys" in self.__dict__:
+            return self._row_host_keys
+        return self._written_keys(self.clients if self._passes else keys.distinct_clients(self.samples), "client-keys")
 
     @cached_property
     def hot_servers(self) -> DataFrame:
@@ -237,11 +244,12 @@ class UsageModel:
         The rows are matched where they are read, against the broadcast list of
         client keys; only a key list over the broadcast limit makes it a
         (salted) join with the members of each name."""
-        rows = filters.filter_total(self.samples).where(F.col(SERVER).isNotNull())
+        rows = filters.filter_total(self.samples).where(f"{SERVER} IS NOT NULL")
         if self.membership == "positional":
-            out = rows.withColumn("client", client_key(SERVER)).where(F.col("client") != "")
+            out = rows.withColumn("client", client_key(SERVER)).where("client <> ''")
         elif self._row_client_keys[1]:
-            out = membership.rows_by_client(rows, self._row_client_keys[0], self._key_lengths)
+            clients, _, lengths = self._row_client_keys
+            out = membership.rows_by_client(rows, clients, lengths)
         else:
             out = membership.attach(rows, self.client_members, broadcast=self._cm_fits, hot=self.hot_servers)
         return out.select("client", *self.samples.columns)
@@ -249,9 +257,11 @@ class UsageModel:
     def host_rows(self) -> DataFrame:
         """Every ``_Total`` row once per (client, host) it belongs to."""
         if self.membership == "positional":
-            out = self.client_rows().withColumn("host", host_key(SERVER)).where(F.col("host") != "")
-        elif self._row_client_keys[1] and self._row_host_keys[1]:
-            out = membership.rows_by_host(self.client_rows(), self._row_host_keys[0])
+            out = self.client_rows().withColumn("host", host_key(SERVER)).where("host <> ''")
+        elif self._row_host_keys[1]:
+            by_client, _, lengths = self._row_host_keys
+            rows = filters.filter_total(self.samples).where(f"{SERVER} IS NOT NULL")
+            out = membership.rows_by_host(rows, by_client, lengths)
         else:
             rows = filters.filter_total(self.samples)
             out = membership.attach(rows, self.host_members, broadcast=self._hm_fits, hot=self.hot_servers)
@@ -275,12 +285,10 @@ class UsageModel:
         return shares.client_totals(self._pass().df, self.client_members, self._client_key_list, broadcast=self._cm_fits)
 
     def host_totals(self) -> DataFrame:
-        t = self.host_totals_raw()
-        return t.select("client", "host", as_double("total").alias("total"))
+        return self.host_totals_raw().selectExpr("client", "host", "CAST(total AS DOUBLE) AS total")
 
     def client_totals(self) -> DataFrame:
-        t = self.client_totals_raw()
-        return t.select("client", as_double("total").alias("total"))
+        return self.client_totals_raw().selectExpr("client", "CAST(total AS DOUBLE) AS total")
 
     def host_share(self) -> DataFrame:
         return shares.host_share(self.host_totals_raw())
@@ -313,36 +321,28 @@ class UsageModel:
         One join + one aggregation yields every profile point and the host
         totals; the share denominators are a window sum per client over those
         rows (at most hosts x 63 of them, hosts being single characters)."""
-        r = self.host_rollup()
-        is_all = F.col("profile") == agg.ALL
-        client_sum = F.sum(F.when(is_all, F.col("total"))).over(Window.partitionBy("client"))
-        total, none = as_double("total"), F.lit(None).cast("double")
-        point = lambda name, value, label=none: F.struct(name.alias("profile"), value.alias("value"), label.alias("value_1dp"))
-        share = F.col("share")
-        of_host = F.array(
-            point(F.lit("share"), share, round_half_up(share)),
-            point(F.lit("month_avg"), total / F.lit(MONTH_HOURS)),
-            point(F.lit("week_avg"), total / F.lit(WEEK_HOURS)),
+        is_all, total, none = f"profile = '{agg.ALL}'", "CAST(total AS DOUBLE)", "CAST(NULL AS DOUBLE)"
+        client_sum = f"sum(CASE WHEN {is_all} THEN total END) OVER (PARTITION BY client)"
+        shared = self.host_rollup().selectExpr("*", f"CASE WHEN {is_all} THEN {percent_sql('total', client_sum)} END AS share")
+        point = lambda name, value, label=none: f"struct({name} AS profile, {value} AS value, {label} AS value_1dp)"
+        of_host = ", ".join(
+            (
+                point("'share'", "share", round_half_up_sql("share")),
+                point("'month_avg'", f"{total} / {MONTH_HOURS}"),
+                point("'week_avg'", f"{total} / {WEEK_HOURS}"),
+            )
         )
-        points = F.when(is_all, of_host).otherwise(F.array(point(F.col("profile"), total / agg.divisor_of("profile"))))
-        out = r.withColumn("share", F.when(is_all, percent("total", client_sum)))
-        out = out.select("client", "host", F.col("bucket").cast("double").alias("bucket"), total.alias("total"), F.inline(points))
-        return out.select(*REPORT_COLUMNS)
+        points = f"inline(CASE WHEN {is_all} THEN array({of_host}) ELSE array({point('profile', f'{total} / {agg.divisor_sql()}')}) END)"
+        return shared.selectExpr("client", "host", "CAST(bucket AS DOUBLE) AS bucket", f"{total} AS total", points).select(*REPORT_COLUMNS)
 
     def fleet_report(self) -> DataFrame:
         """Every client's report plus one ``client_share`` row per client
         (host null, value = percent of the fleet, value_1dp its label)."""
         report = self.client_report()
-        cs = self.client_share().select(
-            "client",
-            F.lit(None).cast("string").alias("host"),
-            F.lit("client_share").alias("profile"),
-            F.lit(None).cast("double").alias("bucket"),
-            "total",
-            F.col("pct").alias("value"),
-            F.col("pct_1dp").alias("value_1dp"),
+        cs = self.client_share().selectExpr(
+            "client", "CAST(NULL AS STRING) AS host", "'client_share' AS profile", "CAST(NULL AS DOUBLE) AS bucket", "total", "pct AS value", "pct_1dp AS value_1dp"
         )
-        return report.unionByName(cs).select(*REPORT_COLUMNS)
+        return report.union(cs)
 
 
 def _bucket_metrics() -> dict:
@@ -357,16 +357,14 @@ def _bucket_metrics() -> dict:
     * host members: each client-member row matches at most L distinct
       characters, each row one more string of <= 4 bytes.
     """
-    is_name = F.col("profile") == agg.ALL
-    with_total = is_name & F.col("has_total")
-    n = F.length(SERVER).cast("long")
-    b = F.octet_length(SERVER).cast("long")
-    cm_row = b + F.lit(16 + 8 + 12 + 8)
-    return {
-        "names": F.sum(F.when(is_name, 1)),
-        "total_rows": F.sum(F.when(is_name, F.col("rows"))),
-        "client_key_bytes": F.sum(F.when(is_name, F.lit(16 + 8 + 12))),
-        "client_member_bytes": F.sum(F.when(with_total, F.lit(3) * n * cm_row)),
-        "host_member_bytes": F.sum(F.when(with_total, F.lit(3) * n * n * (cm_row + F.lit(12)))),
-        "key_lengths": F.collect_set(F.when(is_name, F.length(client_key(SERVER)))),
+    is_name = f"profile = '{agg.ALL}'"
+    cm_row = f"(octet_length({SERVER}) + {16 + 8 + 12 + 8}L)"
+    n = f"CAST(length({SERVER}) AS BIGINT)"
+    sums = {
+        "names": f"CASE WHEN {is_name} THEN 1L END",
+        "total_rows": f"CASE WHEN {is_name} THEN rows END",
+        "client_key_bytes": f"CASE WHEN {is_name} THEN {16 + 8 + 12}L END",
+        "client_member_bytes": f"CASE WHEN {is_name} AND has_total THEN 3 * {n} * {cm_row} END",
+        "host_member_bytes": f"CASE WHEN {is_name} AND has_total THEN 3 * {n} * {n} * ({cm_row} + 12) END",
     }
+    return {k: F.expr(f"sum({v})") for k, v in sums.items()} | {"key_lengths": F.expr(f"collect_set(CASE WHEN {is_name} THEN length({CLIENT_SQL}) END)")}

@@ -34,6 +34,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.cache.maxEntries", "1000")
         .config("spark.driver.memory", os.environ.get("FLEETLENS_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
@@ -83,6 +84,31 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def list_path(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none where there is no such folder."""
+    fs, target = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder within its store; the target must not exist. One step
+    where the store has renames (on an object store it is a copy)."""
+    fs, to = _file_system(spark, target)
+    fs.mkdirs(to.getParent())
+    if fs.exists(to) or not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(source), to):
+        raise RuntimeError(f"could not rename {source} to {target}")
+
+
 def shuffle_partitions(spark: SparkSession, default: int = 200) -> int:
     """``spark.sql.shuffle.partitions`` as a number (some platforms allow
     non-numeric values such as ``auto``; those fall back to ``default``)."""
@@ -110,18 +136,12 @@ def row_bytes(df: DataFrame) -> Column:
     """Per-row size estimate of ``df`` in memory (Spark's row format): byte
     length + 8 for every string, 24 for a decimal wider than 18 digits, 8 for
     any other flat field, 16 bytes of row overhead."""
-    parts = [F.lit(16)]
+    fixed, strings = 16, []
     for f in df.schema.fields:
+        fixed += 24 if isinstance(f.dataType, T.DecimalType) and f.dataType.precision > 18 else 8
         if isinstance(f.dataType, T.StringType):
-            parts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + F.lit(8))
-        elif isinstance(f.dataType, T.DecimalType) and f.dataType.precision > 18:
-            parts.append(F.lit(24))
-        else:
-            parts.append(F.lit(8))
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    return total.cast("long")
+            strings.append("coalesce(octet_length(`{}`), 0)".format(f.name.replace("`", "``")))
+    return F.expr(f"CAST({' + '.join([str(fixed), *strings])} AS BIGINT)")
 
 
 @dataclass(frozen=True)
@@ -154,7 +174,7 @@ def materialize(
     """
     path = scratch_path(df.sparkSession, label)
     obs = Observation(f"fleetlens-{label}-{uuid.uuid4().hex[:12]}")  # unique: concurrent writes cannot mix
-    exprs = [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")]
+    exprs = [F.expr("count(1) AS rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")]
     exprs += [c.alias(k) for k, c in (metrics or {}).items()]
     writer = df.observe(obs, *exprs).write.mode("error")
     if partition_by:

@@ -132,22 +132,16 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     metric is DECIMAL(18,2), so sums are exact in any order.
     """
     ev = spark.read.schema(EVENTS_COLUMNS).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    uid, eid = F.col("user_id"), F.col("event_id")
-    letter = lambda n: F.char((F.lit(65) + n).cast("int"))
-    prefix = F.substring("event_type", 1, 3)
-    name = F.concat(
-        prefix,
-        F.lit("-"),
-        letter(uid % 10),
-        F.when(uid % 7 == 0, letter(uid % 3)).otherwise(F.lit("0")),
-        F.when(uid % 11 == 0, F.when(prefix == "pur", F.lit("vie")).otherwise(F.lit("pur"))).otherwise(F.lit("")),
-    )
-    server = F.when(eid % 53 == 0, F.lit(None)).when(eid % 47 == 0, prefix).when(eid % 41 == 0, F.lit("zor-Z0")).otherwise(name)
-    return ev.select(
-        server.alias(SERVER),
-        F.when((eid % 4 == 0) | (server == "zor-Z0"), F.lit("0")).otherwise(F.lit("_Total")).alias(PROCESSOR),
-        F.when(eid % 37 != 0, F.col("ts")).alias(TIME),
-        F.when(eid % 31 != 0, F.col("value").cast("decimal(18,2)")).alias(METRIC),
+    prefix = "substring(event_type, 1, 3)"
+    letter = lambda n: f"char(CAST(65 + user_id % {n} AS INT))"
+    name = f"""concat({prefix}, '-', {letter(10)}, CASE WHEN user_id % 7 = 0 THEN {letter(3)} ELSE '0' END,
+        CASE WHEN user_id % 11 = 0 THEN CASE WHEN {prefix} = 'pur' THEN 'vie' ELSE 'pur' END ELSE '' END)"""
+    server = f"CASE WHEN event_id % 53 = 0 THEN NULL WHEN event_id % 47 = 0 THEN {prefix} WHEN event_id % 41 = 0 THEN 'zor-Z0' ELSE {name} END"
+    return ev.selectExpr(
+        f"{server} AS {SERVER}",
+        f"CASE WHEN event_id % 4 = 0 OR ({server}) = 'zor-Z0' THEN '0' ELSE '_Total' END AS {PROCESSOR}",
+        f"CASE WHEN event_id % 37 <> 0 THEN ts END AS {TIME}",
+        f"CASE WHEN event_id % 31 <> 0 THEN CAST(value AS DECIMAL(18, 2)) END AS {METRIC}",
     )
 
 

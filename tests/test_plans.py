@@ -170,6 +170,76 @@ def test_equal_rows_of_a_hot_key_spread(spark):
     assert len(parts) >= 3 and max(r["count"] for r in parts) < 3000
 
 
+def test_salts_do_not_depend_on_the_order_of_rows(spark):
+    """A map task that is run again may read its rows in another order; a row must not change partition."""
+    from pyspark.sql import functions as F
+
+    from fleetlens.operators.joins import SALT, salted
+
+    base = [(f"k{i % 3}", i % 50, None if i % 7 == 0 else f"v{i % 11}") for i in range(600)]
+
+    def assigned(rows):
+        one = spark.createDataFrame(rows, "k string, n int, v string").coalesce(1)  # one map task
+        return sorted(map(tuple, salted(one, F.lit(8)).withColumn("k", F.col("k")).collect()), key=str)
+
+    first = assigned(base)
+    assert first == assigned(base[::-1]) == assigned(sorted(base, key=lambda r: str(r[::-1])))
+    assert {r[-1] for r in first} == set(range(8)) and len(first) == 600
+    equal = assigned([("hot", 1, "same")] * 400)
+    assert len({r[-1] for r in equal}) == 8
+    with_hot = salted(spark.createDataFrame(base, "k string, n int, v string").coalesce(1), F.when(F.col("k") == "k1", 5).otherwise(1))
+    assert {r[SALT] for r in with_hot.where("k <> 'k1'").collect()} == {0} and {r[SALT] for r in with_hot.where("k = 'k1'").collect()} == set(range(5))
+
+
+def _jobs(spark, run, group):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("name, most", [("client_membership", 4), ("host_membership", 6)])
+def test_row_splits_take_few_jobs(spark, name, most):
+    """Key lists come from one written table each, made by one job with its shuffles."""
+    run = lambda: QUERIES[name](spark, SF_SMALL).write.format("noop").mode("overwrite").save()
+    assert _jobs(spark, run, f"jobs-{name}") <= most
+
+
+def test_one_job_writes_both_key_lists(spark, edge, edge_model):
+    from fleetlens.plans.model import UsageModel
+
+    m = UsageModel(edge)
+    plans = _written_plans(spark, lambda: (m.host_rows().collect(), m.client_rows().collect()))
+    assert [label for label, _ in plans] == ["keys-by-client"]
+    got = {r.client: r.hosts for r in m._row_host_keys[0].collect()}
+    assert got == {"aig": ["A", "B"], "eti": ["C"], "tuv": [], "zor": []}
+    # the same from the names of a bucket table
+    assert {r.client: r.hosts for r in (edge_model._pass() and edge_model._row_host_keys[0]).collect()} == got
+
+
+def test_plans_are_built_with_few_calls(spark):
+    """Expressions are SQL text: a report's plan takes hundreds of calls to the JVM, not thousands."""
+    import py4j.java_gateway as gateway
+
+    calls = [0]
+    send = gateway.GatewayClient.send_command
+
+    def counted(self, *args, **kwargs):
+        calls[0] += 1
+        return send(self, *args, **kwargs)
+
+    gateway.GatewayClient.send_command = counted
+    try:
+        for name in ("host_totals", "fleet_report"):
+            calls[0] = 0
+            QUERIES[name](spark, SF_SMALL)
+            assert calls[0] < 1500, (name, calls[0])
+    finally:
+        gateway.GatewayClient.send_command = send
+
+
 def test_broadcast_limit_from_session(spark):
     from fleetlens.runtime import broadcast_limit
 

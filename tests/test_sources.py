@@ -228,3 +228,141 @@ def test_report_sink_dynamic_overwrite(spark, edge_model):
     sink.write_report(rep.where(F.col("client") == "aig"), path, only_written_partitions=True)
     back = sink.read_report(spark, path, rep.schema).select(*rep.columns)
     assert rows(back) == rows(rep)
+
+
+def test_report_sink_has_few_files_and_splits_a_large_client(spark):
+    import glob
+
+    path, spread = scratch_path(spark, "report-files"), scratch_path(spark, "report-spread")
+    wide = spark.range(0, 40_000, 1, 8).selectExpr("CASE WHEN id % 5 < 3 THEN 'big' ELSE concat('c', id % 20) END AS client", "id", "uuid() AS pad")
+    sink.write_report(wide, spread, rebalance=False)
+    sink.write_report(wide, path)
+    files = lambda p, c: len(glob.glob(f"{p.removeprefix('file:')}/client={c}/*.parquet"))
+    clients = [r.client for r in wide.select("client").distinct().collect()]
+    assert len(clients) == 9 and all(files(spread, c) > 1 for c in clients)  # a file for each task
+    assert all(files(path, c) == 1 for c in clients)
+    assert spark.read.parquet(path).count() == 40_000
+    keys = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "50k"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        sink.write_report(wide, path)
+        # several tasks write the large client (and the few that share its partition), one each of the others
+        assert files(path, "big") > 2 and sum(files(path, c) == 1 for c in clients) >= 5
+        assert sum(files(path, c) for c in clients) < sum(files(spread, c) for c in clients)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # then one task would get all of a client
+        sink.write_report(wide, path)
+        assert files(path, "big") > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert spark.read.parquet(path).count() == 40_000
+
+
+def _names(path):
+    path = path.removeprefix("file:")
+    return sorted(os.listdir(path)) if os.path.exists(path) else []
+
+
+def test_a_failed_load_leaves_nothing(spark):
+    target, rejects = scratch_path(spark, "l-target"), scratch_path(spark, "l-rejects")
+    good, bad = _json(RECORDS), _json(RECORDS)
+    with open(os.path.join(bad, "z.json"), "w") as f:
+        f.write("{not json\n")  # fails the rows' job and the rejects' one
+    declared = "Server_Name string, Processor string, HR_Time string, `AVG_%_Processor_Time` string"
+    with pytest.raises(Exception):
+        load.ingest(spark, bad, target, schema=declared, rejects_path=rejects)
+    assert _names(target) == _names(rejects) == []
+    out = load.ingest(spark, good, target, rejects_path=rejects, load_id="a")
+    assert (out.loaded, out.rejected) == (2, 1) and _names(target) == _names(rejects) == ["load_id=a"]
+    # the rejects were written before the rows failed: neither shows
+    with pytest.raises(Exception):
+        load.ingest(spark, good, target, target_format="no_such_format", rejects_path=rejects, load_id="b")
+    assert _names(target) == _names(rejects) == ["load_id=a"] and spark.read.json(rejects).count() == 1
+
+
+def test_a_load_run_again_adds_nothing(spark):
+    target, rejects = scratch_path(spark, "l-target"), scratch_path(spark, "l-rejects")
+    first = load.ingest(spark, _json(RECORDS), target, rejects_path=rejects, load_id="2021-08", partition_by=("processor",))
+    again = load.ingest(spark, _json(RECORDS), target, rejects_path=rejects, load_id="2021-08", partition_by=("processor",))
+    assert (first.loaded, first.rejected) == (again.loaded, again.rejected) == (2, 1)
+    assert rows(first.table) == rows(again.table) and again.table.count() == 2 and spark.read.json(rejects).count() == 1
+    assert again.table.columns == CANONICAL_SCHEMA.names and "load_id" in spark.read.parquet(target).columns
+    other = load.ingest(spark, _json(RECORDS), target, rejects_path=rejects, load_id="2021-09", partition_by=("processor",))
+    assert other.table.count() == 4 and spark.read.json(rejects).count() == 2
+
+
+def test_a_load_stopped_between_its_renames_is_finished(spark, monkeypatch):
+    target, rejects = scratch_path(spark, "l-target"), scratch_path(spark, "l-rejects")
+    real = load.rename_path
+
+    def stops(spark, source, to):
+        if to.startswith(target):
+            raise RuntimeError("lost")
+        real(spark, source, to)
+
+    monkeypatch.setattr(load, "rename_path", stops)
+    with pytest.raises(RuntimeError, match="lost"):
+        load.ingest(spark, _json(RECORDS), target, rejects_path=rejects, load_id="x")
+    assert _names(target) == [] and _names(rejects) == ["load_id=x"]
+    monkeypatch.setattr(load, "rename_path", real)
+    out = load.ingest(spark, _json(RECORDS), target, rejects_path=rejects, load_id="x")
+    assert (out.loaded, out.rejected, out.table.count(), spark.read.json(rejects).count()) == (2, 1, 2, 1)
+
+
+def test_load_modes(spark):
+    target = scratch_path(spark, "l-modes")
+    one = _json(RECORDS[:1])
+    load.ingest(spark, one, target, mode="error")
+    with pytest.raises(FileExistsError):
+        load.ingest(spark, one, target, mode="error")
+    assert load.ingest(spark, one, target, mode="ignore").loaded == 0
+    out = load.ingest(spark, _json(RECORDS[::2]), target, mode="overwrite", load_id="new")
+    assert out.table.count() == 2 and _names(target) == ["load_id=new"]
+    for bad in ("", "a/b", "_x", "a b"):
+        with pytest.raises(ValueError, match="load id"):
+            load.ingest(spark, one, target, load_id=bad)
+    with pytest.raises(ValueError, match="mode"):
+        load.ingest(spark, one, target, mode="upsert")
+
+
+@pytest.fixture
+def store(spark):
+    from store_double import StoreDouble
+
+    spark.dataSource.register(StoreDouble)
+    return {"uri": _tmp(), "collection": "cpu"}
+
+
+def test_load_into_and_scan_from_a_connector(spark, store):
+    """No path anywhere: the format and its options alone name the collection."""
+    canonical = "server_name string, processor string, hr_time string, avg_processor_time string"
+    rejects = scratch_path(spark, "c-rejects")
+    out = load.ingest(spark, _json(RECORDS), None, target_format="store_double", target_options=store | {"schema": canonical}, rejects_path=rejects)
+    assert (out.loaded, out.rejected, out.table.count()) == (2, 1, 2) and spark.read.json(rejects).count() == 1
+    load.ingest(spark, _json(RECORDS[:1]), None, target_format="store_double", target_options=store | {"schema": canonical})
+    df = scan.scan_metrics(spark, fmt="store_double", options=store | {"schema": canonical})
+    assert dict(df.dtypes) == {"server_name": "string", "processor": "string", "hr_time": "timestamp_ntz", "avg_processor_time": "double"}
+    got = sorted((r.server_name or "", r.hr_time.hour if r.hr_time else None, r.avg_processor_time) for r in df.collect())
+    assert got == [("", None, None), ("aig-A0", 5, 12.5), ("aig-A0", 5, 12.5)]
+    assert df.rdd.getNumPartitions() >= 2  # a partition for each of the store's files
+
+    from fleetlens.plans.model import UsageModel
+
+    assert [tuple(r) for r in UsageModel(df).client_totals().collect()] == [("aig", 25.0)]
+
+
+def test_the_collections_own_records_through_a_connector(spark, store):
+    source = scan.events_source(spark, "/root/testdata/sf0.001")
+    source.write.format("store_double").mode("append").options(**store).save()
+    got = scan.scan_metrics(spark, fmt="store_double", options=store, metric_type="decimal(18,2)")
+    assert rows(got) == rows(scan.events_samples(spark, "/root/testdata/sf0.001"))
+
+
+def test_a_connector_that_fails_leaves_no_rejects(spark, store):
+    rejects = scratch_path(spark, "c-rejects")
+    with pytest.raises(Exception, match="store is gone"):
+        load.ingest(spark, _json(RECORDS), None, target_format="store_double", target_options=store | {"fail": "true"}, rejects_path=rejects)
+    assert _names(rejects) == [] and scan.scan_metrics(spark, fmt="store_double", options=store).count() == 0
