@@ -161,7 +161,7 @@ class Table:
 
 
 def materialize(
-    df: DataFrame, label: str, metrics: Mapping[str, Column] | None = None, partition_by: tuple[str, ...] = ()
+    df: DataFrame, label: str, metrics: Mapping[str, Column] | None = None, partition_by: tuple[str, ...] = (), compression: str | None = None
 ) -> Table:
     """Write ``df`` as Parquet under the checkpoint root and read it back.
 
@@ -170,7 +170,8 @@ def materialize(
     The row count, size estimate and extra ``metrics`` are observed by the
     write job itself (``DataFrame.observe``), so no second job sizes it.
     ``partition_by`` columns become directories, so readers filtering on them
-    skip the other directories (partition pruning).
+    skip the other directories (partition pruning). ``compression``: the Parquet
+    codec, where the session's is not the one to use.
     """
     path = scratch_path(df.sparkSession, label)
     obs = Observation(f"fleetlens-{label}-{uuid.uuid4().hex[:12]}")  # unique: concurrent writes cannot mix
@@ -179,6 +180,8 @@ def materialize(
     writer = df.observe(obs, *exprs).write.mode("error")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if compression:
+        writer = writer.option("compression", compression)
     writer.parquet(path)
     got = dict(obs.get)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
