@@ -6,15 +6,18 @@ not seen it, an escape is coded and the next shorter context takes over, with
 the symbols of the longer one excluded. A document's score is the sum of the
 logarithms of these probabilities (its code length, negated).
 
-The trie is dealt by the three bytes nearest to the symbol and is never in one
-place. Pieces of the texts ask it for the logarithms of the distinct (context,
-symbol) pairs that they hold.
+The trie is dealt by the three bytes nearest to the symbol, contexts that too
+many pieces ask for by a byte or two more, and is never in one place. Pieces of
+the texts ask it for the logarithms of the distinct (context, symbol) pairs that
+they hold; a piece's sorted pairs travel as byte planes of their differences.
 
-Beside it stands a unigram word score with additive smoothing.
+Beside it stands a unigram word score with additive smoothing, whose counts are
+asked for in the same way.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 import numpy as np
@@ -23,15 +26,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import Recent, arrow_schema, crc_mod, per_worker
+from fleetlens.llm.common import Recent, arrow_schema, crc_mod, per_worker, slices
 from fleetlens.runtime import materialize
 
 ORDER = 5
 END = 0xFF  # never a byte of UTF-8: the end of a text, and the contexts before its start
-MIN_SHARE = 2.0**-16  # of the training bytes, that a context must hold to stay; 0 keeps all
-PIECE = 16 << 20  # bytes of text that ask the trie together
-DEALT = 1024  # parts of the trie
+MIN_SHARE = 0.0  # of the training bytes, that a context must hold to stay; 0 keeps all
+PIECE = 32 << 20  # bytes of text that ask the trie together
+PART_BYTES = 2 << 20  # bytes of text for each part of the trie and of the words
+LEAST_PARTS, MOST_PARTS = 64, 1 << 20
 NEAR = 2  # contexts up to so long are broadcast: at most 65,536 of a length
+HOT = 4 << 20  # asked (context, symbol) pairs from which a context is dealt by a byte more
 
 
 # The byte model
@@ -189,24 +194,49 @@ def gram_logs(grams: np.ndarray, seen: np.ndarray, near: list[Level], least: flo
     return out
 
 
-def packed(grams: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Rows of ten bytes: the gram, and a value of four bytes."""
-    return np.concatenate([np.ascontiguousarray(grams, "<u8").view(np.uint8).reshape(-1, 8)[:, :6], np.ascontiguousarray(values).view(np.uint8).reshape(-1, 4)], axis=1)
+def flipped(grams: np.ndarray) -> np.ndarray:
+    """Grams with the bytes of the context in turned order: those with the
+    same nearest bytes are neighbours when these are sorted. Its own inverse."""
+    out = grams & np.uint64(255)
+    for i in range(1, ORDER + 1):
+        out |= (grams >> np.uint64(8 * i) & np.uint64(255)) << np.uint64(8 * (ORDER + 1 - i))
+    return out
+
+
+def planes(values: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of numbers, all first bytes, then all second ones
+    and so on: small numbers leave planes of zeros, which compress to nothing."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def from_planes(data: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(width, -1).T
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
+def to_differences(sorted_keys: np.ndarray, width: int) -> bytes:
+    return planes(np.diff(sorted_keys, prepend=np.uint64(0)), width)
 
 
-def unpacked(parts: list[bytes], kind: type) -> tuple[np.ndarray, np.ndarray]:
-    data = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, 10)
-    grams = np.zeros((len(data), 8), np.uint8)
-    grams[:, :6] = data[:, :6]
-    return grams.view("<u8").ravel().astype(np.uint64), np.ascontiguousarray(data[:, 6:]).view(kind).ravel()
+def from_differences(data: bytes, width: int) -> np.ndarray:
+    return np.cumsum(from_planes(data, width), dtype=np.uint64)
 
 
-def dealt(grams: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(part of the trie, where its rows begin, rows) of a piece's grams."""
-    part = ((grams >> np.uint64(8) & np.uint64((256 << 8 * NEAR) - 1)) * np.uint64(2654435761) >> np.uint64(12)) % np.uint64(DEALT)
+GRAM, WORD, SEEN = 6, 8, 5  # bytes of a gram, a word hash, a count
+
+
+def near_bytes(keys: np.ndarray, n: int) -> np.ndarray:
+    """The nearest ``n`` bytes of the contexts of flipped grams."""
+    return keys >> np.uint64(8 * (ORDER + 1 - n))
+
+
+def dealt(keys: np.ndarray, near: np.ndarray, parts: int) -> list[tuple[int, np.ndarray]]:
+    """(part, places of its keys) of sorted ``keys``, by a hash of ``near``."""
+    part = (near * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(parts)
     order = np.argsort(part, kind="stable")
-    parts, first = np.unique(part[order], return_index=True)
-    return parts.astype(np.int64), first, packed(grams[order], seen[order].astype(np.uint32))
+    found, first = np.unique(part[order], return_index=True)
+    return list(zip(found.tolist(), np.split(order, first[1:])))
 
 
 def near_grams(asked: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -215,32 +245,125 @@ def near_grams(asked: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def run(batches):
         for batch in batches:
-            grams, n = unpacked(batch.column(0).to_pylist(), np.uint32)
-            grams, sums = add_up(grams & np.uint64((256 << 8 * NEAR) - 1), n)
-            yield pa.RecordBatch.from_arrays([pa.array(grams.astype(np.int64)), pa.array(sums.astype(np.int64))], names=["gram", "n"])
+            for keys, seen in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                grams = flipped(from_differences(keys, GRAM)) & np.uint64((256 << 8 * NEAR) - 1)
+                grams, sums = add_up(grams, from_planes(seen, SEEN))
+                yield pa.RecordBatch.from_arrays([pa.array(grams.astype(np.int64)), pa.array(sums.astype(np.int64))], names=["gram", "n"])
 
-    got = asked.select("postings").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 0").toArrow()
+    got = asked.select("keys", "seen").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 0").toArrow()
     return got.column("gram").to_numpy().astype(np.uint64), got.column("n").to_numpy()
 
 
-def trie_logs(asked: DataFrame, min_share: float) -> DataFrame:
-    """(piece, logs) of ``asked`` (chunk, key: the part of the trie, postings):
-    log10 of the probability of each gram that a piece asks for. A part has all
-    grams, of all pieces, of its contexts of NEAR + 1 bytes."""
-    grams, seen = near_grams(asked)
-    least = min_share * float(seen.sum())
-    held = asked.sparkSession.sparkContext.broadcast({"value": (grams, seen)})
+def hot_contexts(asked: DataFrame, pieces: int) -> list[np.ndarray]:
+    """For lengths NEAR + 1 and NEAR + 2: the sorted contexts (flipped) that HOT
+    or more pairs are asked for; fewer than all pairs / (HOT / 2). A piece names a
+    context from a share of HOT / 2 on, so at most half of the pairs are not seen."""
+    least = max(1, HOT // (2 * max(1, pieces)))
+
+    def run(batches):
+        for batch in batches:
+            for data in batch.column(0).to_pylist():
+                keys = from_differences(data, GRAM)
+                for n in (NEAR + 1, NEAR + 2):
+                    found, count = np.unique(near_bytes(keys, n), return_counts=True)
+                    keep = count >= least
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(keep.sum(), n)), pa.array(found[keep].astype(np.int64)), pa.array(count[keep])], names=["length", "context", "n"])
+
+    many = asked.select("keys").mapInArrow(run, "length long, context long, n long").groupBy("length", "context").agg(F.sum("n").alias("n")).filter(F.col("n") >= HOT // 2).collect()
+    return [np.sort(np.array([r["context"] for r in many if r["length"] == n], np.uint64)) for n in (NEAR + 1, NEAR + 2)]
+
+
+def hot_counts(asked: DataFrame, hot: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each list of hot contexts: their grams and how often they were seen."""
+
+    def run(batches):
+        for batch in batches:
+            for data, seen in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                keys, count = from_differences(data, GRAM), from_planes(seen, SEEN)
+                for n, contexts in enumerate(hot, NEAR + 1):
+                    has = np.isin(near_bytes(keys, n), contexts)
+                    grams, sums = add_up(flipped(keys[has]) & np.uint64((256 << 8 * n) - 1), count[has])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), n)), pa.array(grams.astype(np.int64)), pa.array(sums.astype(np.int64))], names=["length", "gram", "n"])
+
+    got = asked.select("keys", "seen").mapInArrow(run, "length long, gram long, n long").groupBy("length", "gram").agg(F.sum("n").alias("n")).toArrow()
+    length, grams, n = (got.column(c).to_numpy() for c in ("length", "gram", "n"))
+    return [(grams[length == m].astype(np.uint64), n[length == m]) for m in (NEAR + 1, NEAR + 2)]
+
+
+ASKED = "piece long, part long, depth int, keys binary, seen binary"
+ANSWERS = "piece long, kind string, keys binary, answers binary"
+
+
+def trie_logs(asked: DataFrame, pieces: int, parts: int, min_share: float) -> DataFrame:
+    """(piece, kind, keys, answers) of ``asked`` (piece, part of the trie, keys,
+    seen): log10 of the probability of each gram that a piece asks for. A part
+    has all grams, of all pieces, of its contexts of NEAR + 1 bytes (``depth``); a
+    hot context's grams are dealt by a byte more, and then their counts up to that
+    length are broadcast."""
+    asked = asked.withColumn("depth", F.lit(NEAR + 1))
+    near = near_grams(asked)
+    least = min_share * float(near[1].sum())
+    hot = hot_contexts(asked, pieces)
+    counts = []
+    if len(hot[0]):
+        counts = hot_counts(asked, hot)
+        schema = arrow_schema(ASKED)
+
+        def split(batches):
+            for batch in batches:
+                for piece, part, _, data, seen in zip(*(c.to_pylist() for c in batch.columns)):
+                    keys, n = from_differences(data, GRAM), from_planes(seen, SEEN)
+                    depth = np.full(len(keys), NEAR + 1)
+                    for length, contexts in enumerate(hot, NEAR + 1):
+                        depth += (depth == length) & np.isin(near_bytes(keys, length), contexts)
+                    rows = []
+                    for d in np.unique(depth).tolist():
+                        places = np.flatnonzero(depth == d)
+                        groups = [(part, places)] if d == NEAR + 1 else [(q, places[x]) for q, x in dealt(keys[places], near_bytes(keys[places], d), parts)]
+                        rows += [(piece, q, d, to_differences(keys[x], GRAM), planes(n[x], SEEN)) for q, x in groups]
+                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), schema)], schema=schema)
+
+        asked = asked.select("piece", "part", "depth", "keys", "seen").mapInArrow(split, ASKED)
+    held = asked.sparkSession.sparkContext.broadcast({"value": (near, counts)})
+
+    def levels(value):
+        (grams, seen), more = value
+        out = [Level(grams & np.uint64((256 << 8 * n) - 1), seen, least if n else 0.0) for n in range(NEAR + 1)]
+        return out + [Level(g, c, least) for g, c in more]
 
     def solve(table):
-        near = per_worker(held, "levels", lambda v: [Level(v[0] & np.uint64((256 << 8 * n) - 1), v[1], least if n else 0.0) for n in range(NEAR + 1)])
-        parts = table.column("postings").to_pylist()
-        asked_for, n = unpacked(parts, np.uint32)
+        known = per_worker(held, "levels", levels)
+        depth = table.column("depth")[0].as_py()
+        data = table.column("keys").to_pylist()
+        each = [flipped(from_differences(x, GRAM)) for x in data]
+        asked_for, n = np.concatenate(each), np.concatenate([from_planes(x, SEEN) for x in table.column("seen").to_pylist()])
         grams, inverse = np.unique(asked_for, return_inverse=True)
-        logs = gram_logs(grams, np.bincount(inverse, n, len(grams)), near, least).astype(np.float32)
-        size = np.array([len(x) // 10 for x in parts])
-        return pa.table({"piece": table.column("chunk"), "logs": binary_array(packed(asked_for, logs[inverse]), np.cumsum(size) - size)})
+        logs = gram_logs(grams, np.bincount(inverse, n, len(grams)), known[:depth], least).astype(np.float32)[inverse]
+        size = np.array([len(x) for x in each])
+        return pa.table({"piece": table.column("piece"), "kind": ["gram"] * len(data), "keys": data, "answers": binary_array(logs, np.cumsum(size) - size)}, schema=arrow)
+
+    arrow = arrow_schema(ANSWERS)
+    return asked.groupBy("part", "depth").applyInArrow(solve, ANSWERS)
+
+
+def word_counts(asked: DataFrame) -> DataFrame:
+    """(piece, kind, keys, answers, kinds, total) of ``asked`` words: how often each
+    was seen in training; on one row of a part, how many of its words were, and how
+    often they all were."""
+    ddl = ANSWERS + ", kinds long, total long"
+    arrow = arrow_schema(ddl)
+
+    def solve(table):
+        data = table.column("keys").to_pylist()
+        each = [from_differences(x, WORD) for x in data]
+        words, inverse = np.unique(np.concatenate(each), return_inverse=True)
+        total = np.zeros(len(words), np.int64)
+        np.add.at(total, inverse, np.concatenate([from_planes(x, SEEN) for x in table.column("seen").to_pylist()]).astype(np.int64))
+        size = np.cumsum([len(x) for x in each])
+        answers = [planes(x, WORD) for x in np.split(total[inverse], size[:-1])]
+        return pa.table({"piece": table.column("piece"), "kind": ["word"] * len(data), "keys": data, "answers": answers, "kinds": [int((total > 0).sum())] + [0] * (len(data) - 1), "total": [int(total.sum())] + [0] * (len(data) - 1)}, schema=arrow)
 
-    return asked.groupBy("key").applyInArrow(solve, "piece long, logs binary")
+    return asked.groupBy("part").applyInArrow(solve, ddl)
 
 
 # The word model
@@ -250,30 +373,11 @@ def word_hash(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word)
 
 
-def postings(texts: list[bytes], train: np.ndarray, hashes: Recent) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(word hash, its count in training texts, where its postings begin,
-    postings) of up to 65,536 lower-cased texts; a posting is a text's place
-    and a count, two 16-bit numbers."""
-    words, places, times = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for i, t in enumerate(texts):
-        w = t.split()  # bytes.split() parts at 0x20 and 0x09-0x0D only
-        u, c = np.unique(np.fromiter(map(hashes.__getitem__, w), np.uint64, len(w)), return_counts=True)
-        words.append(u)
-        places.append(np.full(len(u), i))
-        times.append(c)
-    w, p, c = np.concatenate(words), np.concatenate(places), np.concatenate(times)
-    if c.max(initial=0) > 65_535:  # a count that does not fit takes several postings
-        n = -(-c // 65_535)
-        last = np.cumsum(n) - 1
-        w, p = np.repeat(w, n), np.repeat(p, n)
-        full = np.full(len(w), 65_535)
-        full[last] = c - (n - 1) * 65_535
-        c = full
-    order = np.argsort(w, kind="stable")
-    w, p, c = w[order], p[order], c[order]
-    first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]])) if len(w) else np.empty(0, np.int64)
-    trained = np.add.reduceat(c * train[p], first) if len(w) else np.empty(0, np.int64)
-    return w[first].view(np.int64), trained, first, np.stack([p, c], axis=1).astype(np.uint16)
+def words_of(texts: list[bytes], hashes: Recent) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of lower-cased texts, and how many each text has."""
+    held = [t.split() for t in texts]  # bytes.split() parts at 0x20 and 0x09-0x0D only
+    size = np.array([len(w) for w in held], np.int64)
+    return np.fromiter(map(hashes.__getitem__, itertools.chain.from_iterable(held)), np.uint64, int(size.sum())), size
 
 
 def binary_array(data: np.ndarray, first: np.ndarray) -> pa.Array:
@@ -282,122 +386,79 @@ def binary_array(data: np.ndarray, first: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-GATHERED = "kind string, chunk long, key long, n long, postings binary, doc_id {0}"
+def add_up(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    found, inverse = np.unique(keys, return_inverse=True)
+    return found, *(np.bincount(inverse, v, len(found)) for v in values)
+
+
+class Asked:
+    """The distinct keys of a piece, and how often its training texts have them."""
+
+    def __init__(self) -> None:
+        self.keys, self.seen = np.empty(0, np.uint64), np.empty(0, np.int64)
 
+    def add(self, learnt: np.ndarray, others: np.ndarray) -> None:
+        learnt, times = np.unique(learnt, return_counts=True)
+        others = np.unique(others)
+        self.keys, seen = add_up(np.concatenate([self.keys, learnt, others]), np.concatenate([self.seen, times, np.zeros(len(others), np.int64)]))
+        self.seen = seen.astype(np.int64)
 
-def gather(docs: DataFrame) -> DataFrame:
-    """What the corpus gives, in one pass over (doc_id, text, train): ``doc``
-    rows (chunk, place, text hash, doc_id), ``word`` rows (chunk, word hash,
-    training count, postings), ``text`` rows (piece, text hash, train,
-    lower-cased text, doc_id) and ``gram`` rows (piece, part of the trie, grams
-    and training counts) with each distinct gram of the piece's texts."""
+
+GATHERED = "kind string, piece long, part long, keys binary, seen binary, train boolean, doc_id {0}"
+
+
+def gather(docs: DataFrame, parts: int) -> DataFrame:
+    """What the corpus gives, in one pass over (doc_id, text, train): ``text``
+    rows (piece, keys: the lower-cased text, train, doc_id), and for each piece
+    ``gram`` and ``word`` rows (piece, part, keys, seen) with its distinct grams and
+    words and how often they are in its training texts."""
     ddl = GATHERED.format(docs.schema["doc_id"].dataType.simpleString())
     schema = arrow_schema(ddl)
 
     def rows(kind, size, **columns):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([kind] * size, pa.string()), *(x if isinstance(x := columns.get(f.name), pa.Array) else pa.nulls(size, f.type) if x is None else pa.array(x, f.type) for f in list(schema)[1:])], schema=schema
-        )
+        columns = {"kind": pa.array([kind] * size, pa.string())} | columns
+        return pa.RecordBatch.from_arrays([x if isinstance(x := columns.get(f.name), pa.Array) else pa.nulls(size, f.type) if x is None else pa.array(x, f.type) for f in schema], schema=schema)
 
     def run(batches):
         from pyspark import TaskContext
 
         hashes = Recent(word_hash, 200_000)
-        chunk = piece = TaskContext.get().partitionId() << 32
-        grams, seen, filled = np.empty(0, np.uint64), np.empty(0, np.int64), 0
+        piece, filled = TaskContext.get().partitionId() << 32, 0
+        grams, words = Asked(), Asked()
 
         def asked():
-            parts, first, data = dealt(grams, seen)
-            yield rows("gram", len(parts), chunk=np.full(len(parts), piece), key=parts, postings=binary_array(data, first))
-
-        for whole in batches:
-            for a in range(0, whole.num_rows, 8192):
-                batch = whole.slice(a, 8192)
-                chunk += 1
-                raw = [(t or "").encode() for t in batch.column(1).to_pylist()]
-                texts = [t.lower() for t in raw]  # bytes.lower() changes A-Z only
-                train = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-                n = len(texts)
-                own = np.array([text_hash(t) for t in raw], np.int64)
-                yield rows("doc", n, chunk=np.full(n, chunk), key=np.arange(n), n=own, doc_id=batch.column(0))
-                words, trained, first, data = postings(texts, train, hashes)
-                for b in range(0, len(words), 100_000):
-                    e = min(b + 100_000, len(words))
-                    part = data[first[b] : first[e] if e < len(words) else len(data)]
-                    yield rows("word", e - b, chunk=np.full(e - b, chunk), key=words[b:e], n=trained[b:e], postings=binary_array(part, first[b:e] - first[b]))
-                at = 0
-                for run_ in in_batches(texts):
-                    e = at + len(run_)
-                    yield rows("text", len(run_), chunk=np.full(len(run_), piece), key=own[at:e], n=train[at:e].astype(np.int64), postings=pa.array(run_, pa.binary()), doc_id=batch.column(0).slice(at, len(run_)))
-                    learnt, times = count_grams([t for t, x in zip(run_, train[at:e]) if x])
-                    others, _ = count_grams([t for t, x in zip(run_, train[at:e]) if not x])
-                    grams, inverse = np.unique(np.concatenate([grams, learnt, others]), return_inverse=True)
-                    seen = np.bincount(inverse, np.concatenate([seen, times, np.zeros(len(others))]), len(grams)).astype(np.int64)
-                    filled += sum(map(len, run_))
-                    at = e
-                    if filled >= PIECE:
-                        yield from asked()
-                        piece += 1
-                        grams, seen, filled = np.empty(0, np.uint64), np.empty(0, np.int64), 0
+            for kind, held, width in (("gram", grams, GRAM), ("word", words, WORD)):
+                keys = flipped(held.keys) if kind == "gram" else held.keys
+                order = np.argsort(keys)
+                keys, seen = keys[order], held.seen[order]
+                near = near_bytes(keys, NEAR + 1) if kind == "gram" else keys
+                groups = dealt(keys, near, parts)
+                for a in range(0, len(groups), 256):
+                    some = groups[a : a + 256]
+                    yield rows(
+                        kind, len(some), piece=[piece] * len(some), part=[q for q, _ in some], keys=[to_differences(keys[x], width) for _, x in some], seen=[planes(seen[x], SEEN) for _, x in some]
+                    )
+
+        for batch in slices(batches, 8192):
+            texts = [(t or "").encode().lower() for t in batch.column(1).to_pylist()]  # bytes.lower() changes A-Z only
+            train = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            at = 0
+            for run_ in in_batches(texts):
+                e = at + len(run_)
+                yield rows("text", len(run_), piece=[piece] * len(run_), keys=pa.array(run_, pa.binary()), train=pa.array(train[at:e]), doc_id=batch.column(0).slice(at, len(run_)))
+                learnt, others = ([t for t, x in zip(run_, train[at:e]) if x == y] for y in (True, False))
+                grams.add(grams_of(learnt)[0], grams_of(others)[0])
+                words.add(words_of(learnt, hashes)[0], words_of(others, hashes)[0])
+                filled += sum(map(len, run_))
+                at = e
+                if filled >= PIECE:
+                    yield from asked()
+                    piece, filled, grams, words = piece + 1, 0, Asked(), Asked()
         yield from asked()
 
     return docs.mapInArrow(run, ddl)
 
 
-def text_hash(raw: bytes) -> int:
-    h = xxhash.xxh3_64_intdigest(raw)
-    return h - (1 << 64) if h >> 63 else h
-
-
-PARTIAL = "chunk long, places binary, logs binary, known binary"
-
-
-def add_up(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    found, inverse = np.unique(keys, return_inverse=True)
-    return found, *(np.bincount(inverse, v, len(found)) for v in values)
-
-
-def word_sums(batches):
-    """(chunk, postings, c) -> for each chunk and text: the sum of log10(c + 0.5)
-    over its words, and how many have c > 0. At most about 4 million postings
-    are held."""
-    schema = pa.schema([("chunk", pa.int64()), ("places", pa.binary()), ("logs", pa.binary()), ("known", pa.binary())])
-    held: list[tuple[np.ndarray, ...]] = []
-
-    def flush():
-        keys, logs, known = add_up(*(np.concatenate(x) for x in zip(*held)))
-        order = np.lexsort((keys & 0xFFFF, keys >> 16))
-        keys, logs, known = keys[order], logs[order], known[order]
-        chunk = keys >> 16
-        first = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))
-        columns = [binary_array(x, first) for x in ((keys & 0xFFFF).astype(np.uint16), logs, known.astype(np.uint32))]
-        for a in range(0, len(first), 256):
-            yield pa.RecordBatch.from_arrays([pa.array(chunk[first[a : a + 256]]), *(c.slice(a, 256) for c in columns)], schema=schema)
-
-    size = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        lists = batch.column(1)
-        at = np.frombuffer(lists.buffers()[1], np.int32)[lists.offset : lists.offset + len(lists) + 1]
-        data = np.frombuffer(lists.buffers()[2], np.uint16)[at[0] // 2 : at[-1] // 2].reshape(-1, 2)
-        n = np.diff(at) // 4
-        c = batch.column(2).to_numpy(zero_copy_only=False)
-        times = data[:, 1].astype(np.float64)
-        keys = np.repeat(batch.column(0).to_numpy() << 16, n) | data[:, 0]
-        held.append(add_up(keys, np.repeat(np.log10(c + 0.5), n) * times, np.repeat(c > 0, n) * times))
-        size += len(held[-1][0])
-        if size > 4_000_000:
-            held[:] = [add_up(*(np.concatenate(x) for x in zip(*held)))]
-            size = len(held[0][0])
-            if size > 2_000_000:
-                yield from flush()
-                held.clear()
-                size = 0
-    if held:
-        yield from flush()
-
-
 def score_documents(docs: DataFrame, train_if=None, id_col: str = "doc_id", text_col: str = "text", min_share: float = MIN_SHARE) -> DataFrame:
     """One row per input row: the id, ``held_out``, ``n_tokens`` (words and one
     end), ``n_known`` (tokens seen in training), ``train_tokens``, ``base_score``
@@ -409,72 +470,71 @@ def score_documents(docs: DataFrame, train_if=None, id_col: str = "doc_id", text
     empty. Repeated rows are scored, and counted, each. Other columns are
     ignored. Words are told apart by 64-bit hashes.
 
-    Counts cover all training rows. Neither model leaves the cluster: words
-    with their postings meet the counts in a join by word, the distinct grams of
-    the texts' pieces meet by part of the trie, and the sums go back
-    by document; a part of the trie is one step. ``min_share``: contexts with a smaller share of the training
-    bytes are left out; 0 keeps every context.
+    Counts cover all training rows. Neither model leaves the cluster: the
+    distinct grams and words of the texts' pieces meet by part, a part being one
+    step, and the answers go back to the piece. The number of parts grows with the
+    text. ``min_share``: contexts with a smaller share of the training bytes are
+    left out; by default every context is kept.
     """
-    spark = docs.sparkSession
     train = F.coalesce(train_if if train_if is not None else crc_mod(id_col, 5) != 1, F.lit(True))
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), train.alias("train"))
-    gathered = materialize(gather(src), "ppm-corpus", partition_by=("kind",)).df
-    words = gathered.filter("kind = 'word'").select("chunk", "key", "n", "postings")
-    counts = materialize(words.groupBy("key").agg(F.sum("n").alias("c")), "ppm-words").df
-    known = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
-    ends = src.filter("train").count()
-    train_tokens, kinds = known["n"] + ends, known["v"] + (ends > 0)
-
-    def sum_up(key, table):
-        size = 65_536
-        logs, seen = np.zeros(size), np.zeros(size, np.int64)
-        ids, places, hashes = [], [], []
-        for row in table.to_batches():
-            for r in row.to_pylist():
-                if r["places"] is None:
-                    places.append(r["key"])
-                    hashes.append(r["n"])
-                    ids.append(r["doc_id"])
-                else:
-                    at = np.frombuffer(r["places"], np.uint16)
-                    logs[at] += np.frombuffer(r["logs"], np.float64)
-                    seen[at] += np.frombuffer(r["known"], np.uint32)
-        at = np.array(places, np.int64)
-        return pa.table({"doc_id": pa.array(ids, table.schema.field("doc_id").type), "hash": pa.array(hashes, pa.int64()), "logs": logs[at], "known": seen[at]})
-
-    kind = src.schema["doc_id"].dataType.simpleString()
-    partial = words.select("chunk", "key", "postings").join(counts, "key").select("chunk", "postings", "c").mapInArrow(word_sums, PARTIAL)
-    rows = gathered.filter("kind = 'doc'").select("chunk", "key", "n", "doc_id")
-    both = partial.unionByName(rows, allowMissingColumns=True)
-    base = both.groupBy("chunk").applyInArrow(sum_up, f"doc_id {kind}, hash long, logs double, known long").dropDuplicates(["doc_id", "hash"])
-
-    logs = trie_logs(gathered.filter("kind = 'gram'").select("chunk", "key", "postings"), min_share)
-    texts = gathered.filter("kind = 'text'").select("chunk", "key", "n", "postings", "doc_id")
-    ddl = f"doc_id {kind}, train boolean, hash long, words long, n_bytes long, score double"
+    size = src.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes"), F.count(F.when(F.col("train"), 1)).alias("ends")).first()
+    parts, ends = min(max(LEAST_PARTS, size["bytes"] // PART_BYTES), MOST_PARTS), size["ends"]
+    gathered = materialize(gather(src, parts), "ppm-corpus", partition_by=("kind",), compression="zstd").df
+
+    def asked(kind: str) -> DataFrame:
+        return gathered.filter(F.col("kind") == kind).select("piece", "part", "keys", "seen")
+
+    words = materialize(word_counts(asked("word")), "ppm-words", {"kinds": F.sum("kinds"), "total": F.sum("total")}, compression="zstd")
+    train_tokens, kinds = int(words.metrics["total"] or 0) + ends, int(words.metrics["kinds"] or 0) + (ends > 0)
+    answers = trie_logs(asked("gram"), asked("gram").select("piece").distinct().count(), parts, min_share).union(words.df.drop("kinds", "total"))
+    texts = gathered.filter("kind = 'text'").select("piece", "keys", "train", "doc_id")
+    ddl = f"doc_id {src.schema['doc_id'].dataType.simpleString()}, train boolean, n_words long, n_known long, logs double, n_bytes long, score double"
     schema = arrow_schema(ddl)
 
-    def score(key, left, right):
-        keys, log = unpacked(right.column("logs").to_pylist(), np.float32)
-        order = np.argsort(keys)
-        keys, log = keys[order], log[order].astype(np.float64)
-        held = left.column("postings").to_pylist()
-        sums = [np.empty(0)]
+    def score(left, right):
+        hashes = Recent(word_hash, 200_000)
+        kind = np.array(right.column("kind").to_pylist())
+        keys, found = (right.column(c).to_pylist() for c in ("keys", "answers"))
+        grams, logs, counted, counts = [np.empty(0, np.uint64)], [np.empty(0, np.float32)], [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+        for k, x, y in zip(kind, keys, found):
+            if k == "gram":
+                grams.append(flipped(from_differences(x, GRAM)))
+                logs.append(np.frombuffer(y, np.float32))
+            else:
+                counted.append(from_differences(x, WORD))
+                counts.append(from_planes(y, WORD))
+        del keys, found
+        (grams, logs), (counted, counts) = (sorted_by(np.concatenate(k), np.concatenate(v)) for k, v in ((grams, logs), (counted, counts)))
+        held = left.column("keys").to_pylist()
+        sums, base, known, sizes = [np.empty(0)], [np.empty(0)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for run_ in in_batches(held):
-            found, begin = grams_of(run_)
-            sums.append(np.add.reduceat(log[np.searchsorted(keys, found)], begin))
-        columns = [left.column("doc_id"), left.column("n").cast(pa.bool_()), left.column("key"), [len(t.split()) for t in held], [len(t) for t in held], np.concatenate(sums)]
+            asked_for, begin = grams_of(run_)
+            sums.append(np.add.reduceat(logs[np.searchsorted(grams, asked_for)].astype(np.float64), begin))
+            asked_for, n = words_of(run_, hashes)
+            c = counts[np.searchsorted(counted, asked_for)].astype(np.float64)
+            of = np.repeat(np.arange(len(run_)), n)
+            base.append(np.bincount(of, np.log10(c + 0.5), len(run_)))
+            known.append(np.bincount(of, c > 0, len(run_)).astype(np.int64))
+            sizes.append(n)
+        columns = [left.column("doc_id"), left.column("train"), *map(np.concatenate, (sizes, known, base)), [len(t) for t in held], np.concatenate(sums)]
         return pa.table([x if isinstance(x, pa.ChunkedArray) else pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
 
-    scored = texts.groupBy("chunk").cogroup(logs.groupBy("piece")).applyInArrow(score, ddl).alias("s")
+    scored = texts.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(score, ddl)
     each = F.log10(F.lit(float(train_tokens)) + 0.5 * (kinds + 1.0))
-    n_tokens = F.col("words") + 1
-    return scored.join(base.alias("b"), F.col("s.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("s.hash") == F.col("b.hash")), "left").select(
-        F.col("s.doc_id").alias(id_col),
+    n_tokens = F.col("n_words") + 1
+    return scored.select(
+        F.col("doc_id").alias(id_col),
         (~F.col("train")).alias("held_out"),
         n_tokens.alias("n_tokens"),
-        (F.coalesce("known", F.lit(0)) + int(ends > 0)).alias("n_known"),
+        (F.col("n_known") + int(ends > 0)).alias("n_known"),
         F.lit(int(train_tokens)).cast("long").alias("train_tokens"),
-        (F.coalesce("logs", F.lit(0.0)) + F.log10(F.lit(ends + 0.5)) - n_tokens * each).alias("base_score"),
+        (F.col("logs") + F.log10(F.lit(ends + 0.5)) - n_tokens * each).alias("base_score"),
         "score",
         "n_bytes",
     )
+
+
+def sorted_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys)
+    return keys[order], values[order]

@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 
 from llm_fixtures import edge_docs, make_docs, no_docs, sf_texts  # noqa: F401
-from fleetlens.llm.common import Recent
-from fleetlens.llm.ppm import ORDER, ByteModel, count_grams, in_batches, postings, score_documents, word_hash
+from fleetlens.llm import ppm
+from fleetlens.llm.ppm import ORDER, ByteModel, count_grams, dealt, flipped, from_differences, from_planes, in_batches, planes, score_documents, to_differences
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -77,13 +77,40 @@ def test_every_byte_seen():
     assert len(fitted([], 0).score([b"x", b""])) == 2
 
 
-def test_postings_split_large_counts():
-    w, trained, first, data = postings([b"a " * 70_000 + b"b", b"", b"a"], np.array([True, True, False]), Recent(word_hash, 10))
-    by = {int(np.uint64(x.view(np.uint64))): (int(t), data[a:e].tolist()) for x, t, a, e in zip(w, trained, first, [*first[1:], len(data)])}
-    assert by[word_hash(b"a")] == (70_000, [[0, 65_535], [0, 4_465], [2, 1]]) and by[word_hash(b"b")] == (1, [[0, 1]])
+def test_keys_travel_as_planes():
+    rng = np.random.default_rng(3)
+    grams = np.unique(rng.integers(0, 1 << 48, 500, dtype=np.uint64))
+    assert (flipped(flipped(grams)) == grams).all() and int(flipped(np.array([0x0102030405FF], np.uint64))[0]) == 0x0504030201FF
+    keys = np.sort(flipped(grams))
+    assert (from_differences(to_differences(keys, 6), 6) == keys).all()
+    words = np.sort(rng.integers(0, 1 << 64, 300, dtype=np.uint64))
+    assert (from_differences(to_differences(words, 8), 8) == words).all() and len(to_differences(words[:0], 8)) == 0
+    counts = np.array([0, 1, 2**39, 7])
+    assert from_planes(planes(counts, 5), 5).tolist() == counts.tolist()
+    assert sorted(np.concatenate([x for _, x in dealt(keys, keys, 7)]).tolist()) == list(range(len(keys)))
     assert [len(x) for x in in_batches([b"ab", b"c", b"defgh", b""], 3)] == [2, 1, 1]
 
 
+@pytest.mark.parametrize("hot", [1, 40, 400])
+def test_hot_contexts_are_dealt_further(make_docs, sf_texts, monkeypatch, hot):
+    """Several pieces and parts; contexts that many pairs are asked for split by the bytes further back."""
+    texts = [(i, (t or "")[:600]) for i, t in sf_texts[:40]]
+    docs = make_docs(texts).repartition(4)
+    whole = {r["doc_id"]: (r["score"], r["base_score"]) for r in score_documents(docs).collect()}
+    monkeypatch.setattr(ppm, "HOT", hot)
+    monkeypatch.setattr(ppm, "PIECE", 3000)
+    monkeypatch.setattr(ppm, "LEAST_PARTS", 5)
+    depths = []
+    solve = ppm.hot_counts
+    monkeypatch.setattr(ppm, "hot_counts", lambda asked, hot: depths.append([len(x) for x in hot]) or solve(asked, hot))
+    split = {r["doc_id"]: (r["score"], r["base_score"]) for r in score_documents(docs).collect()}
+    assert depths and depths[0][0] > 0 and (hot > 40 or depths[0][1] > 0)
+    assert whole.keys() == split.keys() and all(split[i] == pytest.approx(whole[i], rel=1e-5) for i in whole)
+    training = [t.translate(LOWER).encode() for i, t in texts if zlib.crc32(str(i).encode()) % 5 != 1]
+    levels = trie(training)
+    assert all(split[i][0] == pytest.approx(plain_score(levels, t.translate(LOWER).encode(), 0), rel=1e-5) for i, t in texts)
+
+
 def test_scores_against_plain_python(edge_docs, make_docs, sf_texts, no_docs):
     docs = make_docs(sf_texts[:60]).unionByName(edge_docs)
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
@@ -98,7 +125,7 @@ def test_scores_against_plain_python(edge_docs, make_docs, sf_texts, no_docs):
     assert [k for k, _ in want] == [k for k, _ in sorted((str((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"])), r["base_score"]) for r in got)]
     assert [b for _, b in want] == pytest.approx([b for _, b in sorted((str((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"])), r["base_score"]) for r in got)], rel=1e-9)
     training = [(t or "").translate(LOWER).encode() for i, t in rows if not held(i)]
-    levels, least = trie(training), sum(len(t) + 1 for t in training) * 2.0**-16
+    levels, least = trie(training), 0
     scores = {(r["doc_id"], r["n_bytes"]): r["score"] for r in got}
     for i, t in rows:
         if t is None or len(t) < 3000:
