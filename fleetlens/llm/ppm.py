@@ -59,9 +59,11 @@ def grams_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The context of ORDER bytes and symbol, as one number, of each symbol to
     code, and where each text begins among these."""
     stream, places, begin = joined(texts)
-    grams = np.zeros(len(places), np.uint64)
-    for i in range(ORDER, -1, -1):
-        grams = grams << np.uint64(8) | stream[places - i]
+    wide = stream.astype(np.uint64)
+    grams = wide.copy()
+    for i in range(1, ORDER + 1):
+        grams[i:] |= wide[:-i] << np.uint64(8 * i)
+    grams = grams[places]
     return grams, begin
 
 
@@ -404,6 +406,39 @@ class Asked:
         self.seen = seen.astype(np.int64)
 
 
+class Places:
+    """Places of distinct 64-bit keys, by an open hash table of arrays: looking up
+    many keys takes one or two rounds for most of them."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.bits = max(4, (2 * len(keys)).bit_length())
+        self.table = np.full(1 << self.bits, -1, np.int32)
+        left, slot = np.arange(len(keys), dtype=np.int32), self.slot(keys)
+        while len(left):
+            free = self.table[slot] < 0
+            self.table[slot[free]] = left[free]
+            again = self.table[slot] != left
+            left, slot = left[again], (slot[again] + 1) & (len(self.table) - 1)
+
+    def slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def of(self, asked: np.ndarray) -> np.ndarray:
+        """The place of each of ``asked``, all of which must be there."""
+        slot = self.slot(asked)
+        out = self.table[slot]
+        left = np.flatnonzero(self.keys[out] != asked)
+        slot = slot[left]
+        while len(left):
+            slot = (slot + 1) & (len(self.table) - 1)
+            found = self.table[slot]
+            out[left] = found
+            again = self.keys[found] != asked[left]
+            left, slot = left[again], slot[again]
+        return out
+
+
 GATHERED = "kind string, piece long, part long, keys binary, seen binary, train boolean, doc_id {0}"
 
 
@@ -505,14 +540,15 @@ def score_documents(docs: DataFrame, train_if=None, id_col: str = "doc_id", text
                 counted.append(from_differences(x, WORD))
                 counts.append(from_planes(y, WORD))
         del keys, found
-        (grams, logs), (counted, counts) = (sorted_by(np.concatenate(k), np.concatenate(v)) for k, v in ((grams, logs), (counted, counts)))
+        logs, counts = np.concatenate(logs), np.concatenate(counts)
+        gram_at, word_at = Places(np.concatenate(grams)), Places(np.concatenate(counted))
         held = left.column("keys").to_pylist()
         sums, base, known, sizes = [np.empty(0)], [np.empty(0)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for run_ in in_batches(held):
             asked_for, begin = grams_of(run_)
-            sums.append(np.add.reduceat(logs[np.searchsorted(grams, asked_for)].astype(np.float64), begin))
+            sums.append(np.add.reduceat(logs[gram_at.of(asked_for)].astype(np.float64), begin))
             asked_for, n = words_of(run_, hashes)
-            c = counts[np.searchsorted(counted, asked_for)].astype(np.float64)
+            c = counts[word_at.of(asked_for)].astype(np.float64)
             of = np.repeat(np.arange(len(run_)), n)
             base.append(np.bincount(of, np.log10(c + 0.5), len(run_)))
             known.append(np.bincount(of, c > 0, len(run_)).astype(np.int64))
@@ -533,8 +569,3 @@ def score_documents(docs: DataFrame, train_if=None, id_col: str = "doc_id", text
         "score",
         "n_bytes",
     )
-
-
-def sorted_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys)
-    return keys[order], values[order]

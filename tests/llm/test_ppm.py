@@ -91,6 +91,14 @@ def test_keys_travel_as_planes():
     assert [len(x) for x in in_batches([b"ab", b"c", b"defgh", b""], 3)] == [2, 1, 1]
 
 
+def test_places():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 3, 1000, 70_000):
+        keys = rng.permutation(np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64) if n != 1000 else np.arange(1000, dtype=np.uint64)))
+        at = rng.integers(0, len(keys), 3 * n) if n else np.empty(0, np.int64)
+        assert (ppm.Places(keys).of(keys[at]) == at).all()
+
+
 @pytest.mark.parametrize("hot", [1, 40, 400])
 def test_hot_contexts_are_dealt_further(make_docs, sf_texts, monkeypatch, hot):
     """Several pieces and parts; contexts that many pairs are asked for split by the bytes further back."""
