@@ -138,7 +138,7 @@ class ByteModel:
         return np.add.reduceat(self.logs[node << 8 | stream[places]].astype(np.float64), begin)
 
 
-def in_batches(texts: list[bytes], most: int = 1 << 22):
+def in_batches(texts: list[bytes], most: int = 1 << 21):
     """Runs of texts of about ``most`` bytes; a longer text goes alone."""
     held, size = [], 0
     for t in texts:

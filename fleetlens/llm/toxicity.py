@@ -1,17 +1,21 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine.
 
-A bounded sample of labelled documents gives a vocabulary (words and word
-beginnings, seen once or more often, that go with one class) and the examples. The examples stand in an
-inverted index whose postings lie in blocks of examples, each with its largest
-weight by term; blocks are searched in order of the bound this gives on their
-cosines until no block can hold a nearer example. The nearest examples vote by
-distance, and the votes are calibrated on the examples themselves.
+A bounded sample of labelled documents gives the examples and the terms: every
+word, and every word beginning, that is in one of them. A term weighs (1 + ln tf)
+idf, its document frequency taken over all documents, times how much it tells
+about the label in the sample; besides, every text has one term of a fixed
+weight, so that texts without telling terms are like each other. The examples
+stand in an inverted index. The postings of terms that many examples have are
+columns of a matrix; those of all others lie in blocks of examples, each with
+its largest weight by term. For a text, the matrix gives the frequent terms' part
+of every cosine, and with the blocks' largest weights of the other terms a bound
+for each block; blocks are opened in order of these bounds until none can hold a
+nearer example. The nearest examples vote by distance, and the votes are
+calibrated on the examples themselves.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -27,7 +31,10 @@ from fleetlens.runtime import materialize
 
 PREFIXES = (4, 5, 6)  # bytes of a word's beginning that are a term, for longer words
 BLOCK = 64
-TIMES = (1, 2, 4)  # a stem seen so often is a term of its own
+FREQUENT = 16  # terms in more than one of so many examples are columns of the matrix
+BATCH = 256
+GROUND = 60.0  # weight of the term that every text has
+PER_CLASS, EXAMPLE_BYTES = 2048, 32768  # the sample: texts of a class, and of no more bytes each
 # Lower-case letters and the bytes of characters beyond ASCII stay; all else parts words.
 LETTERS = bytes(b if b >= 0x80 or chr(b).islower() else 0x20 for b in range(256))
 
@@ -37,128 +44,160 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def stems_of(word: bytes) -> list[bytes]:
-    """The word, and its beginnings marked by a star."""
+    """A word's terms: itself, and its beginnings marked by a star."""
     return [word, *(word[:n] + b"*" for n in PREFIXES if len(word) > n)]
 
 
-def terms_of(text: str | None) -> set[bytes]:
-    """A text's terms: its stems, and again with a mark for each number of times
-    in TIMES that they are reached."""
-    counts = Counter(chain.from_iterable(map(stems_of, words_of(text))))
-    return {b"%s %d" % (s, n) for s, c in counts.items() for n in TIMES if c >= n}
-
-
 class Vocabulary:
     """Counts the known terms of texts; a term's number is its place in ``terms``."""
 
     def __init__(self, terms: list[bytes]):
-        self.marks: dict[bytes, list[tuple[int, int]]] = {}  # of a stem: how many times, and the term's number
-        for i, t in enumerate(terms):
-            stem, times = t.split(b" ")
-            self.marks.setdefault(stem, []).append((int(times), i))
-        self.look = Recent(lambda w: tuple(s for s in stems_of(w) if s in self.marks), 100_000).__getitem__
+        number = {t: i for i, t in enumerate(terms)}
+        self.look = Recent(lambda w: tuple(number[s] for s in stems_of(w) if s in number), 100_000).__getitem__
+
+    def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """(term numbers, rising; how often each occurs)."""
+        found = list(chain.from_iterable(map(self.look, words_of(text))))
+        return np.unique(np.array(found, np.int64), return_counts=True)
+
 
-    def count(self, text: str | None) -> tuple[tuple[int, int], ...]:
-        """(term number, how often its stem occurs), by number."""
-        counts = Counter(chain.from_iterable(filter(None, map(self.look, words_of(text)))))
-        return tuple(sorted((i, c) for s, c in counts.items() for n, i in self.marks[s] if c >= n))
+def weigh(terms: np.ndarray, times: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights of a text's terms, and of the term that every text has, scaled to length 1."""
+    w = (1 + np.log(times)) * weight[terms]
+    length = np.sqrt((w * w).sum() + GROUND * GROUND)
+    return w / length, GROUND / length
 
 
-def weigh(counts, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Terms and their weights, (1 + ln tf) idf, scaled to length 1."""
-    terms = np.array([t for t, _ in counts], np.int64)
-    w = np.array([1 + math.log(c) for _, c in counts]) * idf[terms] if len(terms) else np.empty(0)
-    return terms, w / (np.sqrt((w * w).sum()) or 1.0)
+def spans(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... (count[0] numbers), and so on for each."""
+    return np.repeat(first - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
 
 
 class BlockMaxIndex:
-    """Examples as postings by term, in blocks of BLOCK examples with the
-    largest weight of each term in each block."""
+    """Examples as postings by term: columns of a matrix for the frequent terms,
+    and blocks of BLOCK examples with the largest weight of each other term."""
 
-    def __init__(self, examples: list[tuple[int, int, float, tuple]], idf: np.ndarray):
-        """examples: (doc_id, label, class weight, term counts)."""
-        vectors = [weigh(c, idf) for *_, c in examples]
+    def __init__(self, examples: list[tuple[int, int, float, np.ndarray, np.ndarray]], weight: np.ndarray, frequent: int = FREQUENT):
+        """examples: (doc_id, label, class weight, terms, times)."""
+        vectors = [(t, *weigh(t, n, weight)) for *_, t, n in examples]
         # Examples with one strongest term lie together, so that few blocks hold a term.
-        order = sorted((i for i, (t, _) in enumerate(vectors) if len(t)), key=lambda i: (vectors[i][0][vectors[i][1].argmax()], vectors[i][0].tolist(), examples[i][0]))
+        strongest = lambda i: (int(vectors[i][0][vectors[i][1].argmax()]) if len(vectors[i][0]) else -1, -vectors[i][2], examples[i][0])
+        order = sorted(range(len(examples)), key=strongest)
         self.ids = np.array([examples[i][0] for i in order], np.int64)
         self.label = np.array([examples[i][1] for i in order], np.float64)
         self.weight = np.array([examples[i][2] for i in order], np.float64)
-        self.idf = idf
-        empty = [(y, w) for (_, y, w, _), (t, _) in zip(examples, vectors) if not len(t)]
-        self.empty = (sum(y * w for y, w in empty), sum(w for _, w in empty))  # examples without a term: toxic and all, by weight
-        every = sum(w for _, _, w, _ in examples)
-        self.prior = sum(y * w for _, y, w, _ in examples) / every if every else 0.0
-        blocks = -(-len(order) // BLOCK)
+        self.term_weight = weight
+        self.blocks = -(-len(order) // BLOCK)
+        self.size = self.blocks * BLOCK
         term = np.concatenate([np.empty(0, np.int64), *(vectors[i][0] for i in order)])
         value = np.concatenate([np.empty(0), *(vectors[i][1] for i in order)])
         example = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
+        common = np.flatnonzero(np.bincount(term, minlength=len(weight)) * frequent > len(order))
+        self.column = np.full(len(weight), -1)
+        self.column[common] = np.arange(len(common))
+        self.matrix = np.zeros((len(common) + 1, self.size))
+        self.matrix[-1, : len(order)] = [vectors[i][2] for i in order]
+        often = self.column[term] >= 0
+        self.matrix[self.column[term[often]], example[often]] = value[often]
+        term, value, example = term[~often], value[~often], example[~often]
         by = np.lexsort((example, term))
-        self.example, self.value = example[by], value[by]
-        self.start = np.searchsorted(term[by] * blocks + self.example // BLOCK, np.arange(len(idf) * blocks + 1)).reshape(-1) if blocks else np.zeros(1, np.int64)
-        self.blocks = blocks
-        self.most = np.zeros((len(idf), blocks))
-        np.maximum.at(self.most, (term, example // BLOCK), value)
-
-    def nearest(self, counts, k: int, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(places, cosines) of the ``k`` nearest examples that share a term,
-        ties to the earlier place; an example with id ``without`` is left out."""
-        terms, weights = weigh(counts, self.idf)
-        if not len(terms) or not self.blocks:
-            return np.empty(0, np.int64), np.empty(0)
-        bound = weights @ self.most[terms]
-        places, cosines = np.empty(0, np.int64), np.empty(0)
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(places) == k and bound[b] < cosines[-1] - 1e-12):
-                break
-            score = np.zeros(BLOCK)
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                a, e = self.start[t * self.blocks + b], self.start[t * self.blocks + b + 1]
-                score[self.example[a:e] - b * BLOCK] += w * self.value[a:e]
-            found = np.flatnonzero(score)
-            if without is not None:
-                found = found[self.ids[b * BLOCK + found] != without]
-            places, cosines = np.concatenate([places, b * BLOCK + found]), np.concatenate([cosines, score[found]])
-            best = np.lexsort((places, -np.round(cosines, 12)))[:k]
-            places, cosines = places[best], cosines[best]
-        return places, cosines
-
-    def vote(self, counts, k: int, without: int | None = None) -> tuple[float, np.ndarray, np.ndarray]:
-        """The toxic share of the nearest examples' votes, each the example's
-        class weight over its distance, and the examples. Without a shared term
-        the examples without any term vote, and without those, all."""
-        places, cosines = self.nearest(counts, k, without)
-        if not len(places):
-            return (self.empty[0] / self.empty[1] if self.empty[1] else self.prior), places, cosines
-        votes = self.weight[places] / (1.01 - np.minimum(cosines, 1.0))
-        return float((votes * self.label[places]).sum() / votes.sum()), places, cosines
+        term, self.value, self.example = term[by], value[by], example[by]
+        # One entry for each (term, block): where its postings are, and the largest weight.
+        key = term * max(1, self.blocks) + self.example // BLOCK
+        self.at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+        self.count = np.diff(np.append(self.at, len(key)))
+        self.block = self.example[self.at] // BLOCK
+        self.most = np.maximum.reduceat(self.value, self.at) if len(key) else np.empty(0)
+        self.entry = np.searchsorted(term[self.at], np.arange(len(weight) + 1))
+
+    def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, without: list | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text's (terms, times): (places, cosines) of the ``k`` nearest
+        examples, ties to the earlier place; an example with the id of that place
+        in ``without`` is left out."""
+        out = []
+        for a in range(0, len(texts), BATCH):
+            part = texts[a : a + BATCH]
+            weighed = [(t, *weigh(t, n, self.term_weight)) for t, n in part]
+            asked = np.zeros((len(part), len(self.matrix)))
+            for row, (t, w, ground) in zip(asked, weighed):
+                column = self.column[t]
+                row[column[column >= 0]] = w[column >= 0]
+                row[-1] = ground
+            scores = asked @ self.matrix
+            scores[:, len(self.ids) :] = -1.0
+            for i, (score, (t, w, _)) in enumerate(zip(scores, weighed)):
+                if without is not None:
+                    score[: len(self.ids)][self.ids == without[a + i]] = -1.0
+                rare = self.column[t] < 0
+                out.append(self._open(score, t[rare], w[rare], k))
+        return out
+
+    def _open(self, score: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The best of ``score``, the frequent terms' part of the cosines, with the
+        other ``terms`` added to the blocks that can hold one of them."""
+        n = self.entry[terms + 1] - self.entry[terms]
+        entries, w = spans(self.entry[terms], n), np.repeat(weights, n)
+        block = self.block[entries]
+        bound = score.reshape(self.blocks, BLOCK).max(axis=1) + np.bincount(block, self.most[entries] * w, self.blocks) + 1e-12
+        order = np.argsort(-bound, kind="stable")
+        done, step, least = 0, 4, -1.0
+        opened = np.zeros(self.blocks, bool)
+        while done < self.blocks and bound[order[done]] >= least:
+            now = order[done : done + step]
+            now = now[bound[now] >= least]
+            chosen = np.zeros(self.blocks, bool)
+            chosen[now] = True
+            has = chosen[block]
+            e = entries[has]
+            places = spans(self.at[e], self.count[e])
+            score += np.bincount(self.example[places], self.value[places] * np.repeat(w[has], self.count[e]), self.size)
+            opened |= chosen
+            done, step = done + len(now), step * 2
+            seen = score.reshape(self.blocks, BLOCK)[opened].ravel()
+            if len(seen) >= k:
+                least = float(-np.partition(-seen, k - 1)[k - 1])
+        places = np.flatnonzero(np.repeat(opened, BLOCK) & (score > 0) & (score >= least - 1e-12))
+        best = places[np.lexsort((places, -np.round(score[places], 12)))[:k]]
+        return best, score[best]
+
+    def vote(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, without: list | None = None) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """For each text: the toxic share of its nearest examples' votes, each the
+        example's class weight over its distance, and the examples; 0 without any."""
+        out = []
+        for places, cosines in self.nearest(texts, k, without) if self.blocks else [(np.empty(0, np.int64), np.empty(0))] * len(texts):
+            votes = self.weight[places] / (1.01 - np.minimum(cosines, 1.0))
+            out.append((float((votes * self.label[places]).sum() / votes.sum()) if len(places) else 0.0, places, cosines))
+        return out
 
 
 def isotonic(raw: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(upper ends, values) of the rising step function nearest to the labels."""
+    """(middles, values) of the steps of the rising function nearest to the
+    labels; between middles it is read by linear interpolation, so that votes
+    that differ keep their order."""
     order = np.argsort(raw, kind="stable")
-    steps: list[list[float]] = []  # sum of weight * label, weight, upper end
+    steps: list[list[float]] = []  # sum of weight * label, weight, sum of weight * raw, raw
     for x, y, w in zip(raw[order].tolist(), label[order].tolist(), weight[order].tolist()):
-        if steps and steps[-1][2] == x:
-            steps[-1][0] += y * w
-            steps[-1][1] += w
+        if steps and steps[-1][3] == x:
+            for i, v in enumerate((y * w, w, x * w)):
+                steps[-1][i] += v
         else:
-            steps.append([y * w, w, x])
+            steps.append([y * w, w, x * w, x])
         while len(steps) > 1 and steps[-2][0] * steps[-1][1] >= steps[-1][0] * steps[-2][1]:
             s = steps.pop()
-            steps[-1] = [steps[-1][0] + s[0], steps[-1][1] + s[1], s[2]]
-    return np.array([s[2] for s in steps]), np.array([s[0] / s[1] for s in steps])
+            steps[-1] = [*(u + v for u, v in zip(steps[-1][:3], s)), s[3]]
+    return np.array([s[2] / s[1] for s in steps]), np.array([s[0] / s[1] for s in steps])
 
 
 def calibrated(raw: np.ndarray, curve: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    ends, values = curve
-    return values[np.minimum(np.searchsorted(ends, raw - 1e-12), len(ends) - 1)] if len(ends) else raw
+    return np.clip(np.interp(raw, *curve), 0.0, 1.0) if len(curve[0]) else raw
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, train: Column, per_class: int) -> DataFrame:
+def labelled_sample(docs: DataFrame, labels: DataFrame, train: Column, per_class: int, example_bytes: int) -> DataFrame:
     """(doc_id, text, label, weight): up to ``per_class`` training documents of
-    each class, the first by hash of their ids. ``weight``: labelled documents
-    of the class for each that was taken. A document with several label rows is
-    toxic if one says so; null labels and ids are no labels."""
+    each class, the first by hash of their ids, texts of more than ``example_bytes``
+    bytes left out. ``weight``: labelled documents of the class for each that was
+    taken. A document with several label rows is toxic if one says so; null labels
+    and ids are no labels."""
     known = labels.filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & train).groupBy("doc_id").agg(F.max(F.col("label").cast("int")).alias("label"))
     known = known.filter(F.col("label").isin(0, 1))
     taken = None
@@ -166,7 +205,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, train: Column, per_class
         of = known.filter(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         taken = of if taken is None else taken.unionByName(of)
     # At most 2 * per_class rows of two numbers: small enough to broadcast.
-    texts = docs.join(F.broadcast(taken), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    texts = docs.filter(F.octet_length("text") <= example_bytes).join(F.broadcast(taken), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     texts = materialize(texts, "toxicity-sample").df
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     got = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -176,37 +215,46 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, train: Column, per_class
     return texts.withColumn("weight", weight)
 
 
-def telling_terms(sample: DataFrame, most: int, least_ratio: float) -> list[bytes]:
-    """The terms whose log-likelihood ratio with the label is at least
-    ``least_ratio``, the ``most`` highest."""
-
-    def sums(n):
-        keys = list(n)
-        for a in range(0, len(keys), 50_000):
-            part = keys[a : a + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([n[t][0] for t in part], pa.int64()), pa.array([n[t][1] for t in part], pa.int64())], names=["term", "n0", "n1"])
+def class_counts(sample: DataFrame) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Every term of the sample, and how many examples of label 0 and of label 1
+    have it. Bounded by the sample."""
 
     def count(batches):
         n: dict[bytes, list[int]] = {}
+
+        def sums():
+            keys = list(n)
+            for a in range(0, len(keys), 50_000):
+                part = keys[a : a + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), *(pa.array([n[t][y] for t in part], pa.int64()) for y in (0, 1))], names=["term", "n0", "n1"])
+            n.clear()
+
         for batch in slices(batches):
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for t in terms_of(text):
+                for t in set(chain.from_iterable(map(stems_of, words_of(text)))):
                     n.setdefault(t, [0, 0])[y] += 1
                 if len(n) > 500_000:  # sent in parts, which are added up later
-                    yield from sums(n)
-                    n.clear()
-        yield from sums(n)
+                    yield from sums()
+        yield from sums()
+
+    seen = sample.select("text", "label").mapInArrow(count, "term binary, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow().sort_by("term")
+    return seen.column("term").to_pylist(), seen.column("n0").to_numpy().astype(float), seen.column("n1").to_numpy().astype(float)
 
-    total = {r["label"]: float(r["n"]) for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n0, n1 = total.get(0, 0.0), total.get(1, 0.0)
+
+def telling(a: np.ndarray, b: np.ndarray, n0: float, n1: float) -> np.ndarray:
+    """How much terms tell about the label, by the examples of label 0 (``a`` of
+    ``n0``) and of label 1 (``b`` of ``n1``) that have them: relevance frequency, log2(2 +
+    the ratio of the classes' rates), times the root of the log-likelihood ratio
+    by example of label 1; 0.1 at least, so that every term weighs."""
     if not n0 or not n1:
-        return []
-    seen = sample.select("text", "label").mapInArrow(count, "term binary, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("a"), F.sum("n1").alias("b"))
-    part = lambda x, of, share: F.when(x > 0, x * F.log(x / (F.lit(of) * share))).otherwise(0.0)
-    held = (F.col("a") + F.col("b")) / F.lit(n0 + n1)
-    ratio = 2 * (part(F.col("a"), n0, held) + part(F.col("b"), n1, held) + part(F.lit(n0) - F.col("a"), n0, 1 - held) + part(F.lit(n1) - F.col("b"), n1, 1 - held))
-    best = seen.withColumn("ratio", ratio).filter(F.col("ratio") >= least_ratio).orderBy(F.desc("ratio"), "term").limit(most)
-    return sorted(bytes(r["term"]) for r in best.select("term").collect())
+        return np.ones(len(a))
+
+    def part(seen, expected):
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-300) / np.maximum(expected, 1e-300)), 0.0)
+
+    held = (a + b) / (n0 + n1)
+    ratio = 2 * (part(a, n0 * held) + part(b, n1 * held) + part(n0 - a, n0 * (1 - held)) + part(n1 - b, n1 * (1 - held)))
+    return np.log2(2 + (b / n1) / (np.maximum(a, 1) / n0)) * np.sqrt(100 * np.maximum(ratio, 0) / n1) + 0.1
 
 
 def document_frequencies(docs: DataFrame, terms: list[bytes]) -> tuple[int, np.ndarray]:
@@ -215,45 +263,43 @@ def document_frequencies(docs: DataFrame, terms: list[bytes]) -> tuple[int, np.n
     held = docs.sparkSession.sparkContext.broadcast({"value": terms})
 
     def count(batches):
-        vocabulary, n, rows = per_worker(held, "vocabulary", Vocabulary), Counter(), 0
+        vocabulary, n, rows = per_worker(held, "vocabulary", Vocabulary), np.zeros(len(held.value["value"]), np.int64), 0
         for batch in slices(batches):
             for text in batch.column(0).to_pylist():
-                n.update(t for t, _ in vocabulary.count(text))
+                n[vocabulary.count(text)[0]] += 1
             rows += batch.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *n], pa.int64()), pa.array([rows, *n.values()], pa.int64())], names=["term", "n"])
+        found = np.flatnonzero(n)
+        for a in range(0, len(found), 65536):
+            yield pa.RecordBatch.from_arrays([pa.array(found[a : a + 65536]), pa.array(n[found[a : a + 65536]])], names=["term", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([rows], pa.int64())], names=["term", "n"])
 
-    found = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    found = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, n = found.column("term").to_numpy(), found.column("n").to_numpy()
     df = np.zeros(len(terms))
-    rows = 0
-    for r in found:
-        if r["term"] < 0:
-            rows = r["n"]
-        else:
-            df[r["term"]] = r["n"]
-    return rows, df
+    df[term[term >= 0]] = n[term >= 0]
+    return int(n[term < 0].sum()), df
 
 
-SCORED = "raw double, neighbours array<long>, cosines array<double>, toxic_neighbours int"
+SCORED = "score double, neighbours array<long>, cosines array<double>, toxic_neighbours int"
 
 
 def worker_index(held: Broadcast) -> tuple[BlockMaxIndex, Vocabulary]:
     return per_worker(held, "index", lambda v: BlockMaxIndex(v[0], v[2])), per_worker(held, "vocabulary", lambda v: Vocabulary(v[1]))
 
 
-def voted(rows: DataFrame, held: Broadcast, k: int, leave_out: bool = False) -> DataFrame:
-    """The doc_id of ``rows`` (doc_id, text) and the columns of SCORED;
-    ``leave_out``: an example with the row's own id does not vote."""
+def voted(rows: DataFrame, held: Broadcast, k: int, curve: tuple[np.ndarray, np.ndarray] = (np.empty(0), np.empty(0)), leave_out: bool = False) -> DataFrame:
+    """The doc_id of ``rows`` (doc_id, text) and the columns of SCORED, the score
+    by ``curve``; ``leave_out``: an example with the row's own id does not vote."""
     ddl = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {SCORED}"
     schema = arrow_schema(ddl)
 
     def run(batches):
         index, vocabulary = worker_index(held)
-        for batch in slices(batches):
-            counts = map(vocabulary.count, batch.column("text").to_pylist())
-            got = [index.vote(c, k, i if leave_out else None) for c, i in zip(counts, batch.column("doc_id").to_pylist())]
+        for batch in slices(batches, BATCH):
+            got = index.vote([vocabulary.count(t) for t in batch.column("text").to_pylist()], k, batch.column("doc_id").to_pylist() if leave_out else None)
             columns = [
                 batch.column("doc_id"),
-                pa.array([g[0] for g in got], pa.float64()),
+                pa.array(calibrated(np.array([g[0] for g in got]), curve), pa.float64()),
                 pa.array([index.ids[g[1]] for g in got], pa.list_(pa.int64())),
                 pa.array([g[2] for g in got], pa.list_(pa.float64())),
                 pa.array([int(index.label[g[1]].sum()) for g in got], pa.int32()),
@@ -280,30 +326,34 @@ class ToxicityModel:
         def vote(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             index, vocabulary = worker_index(held)
             for texts in batches:
-                yield pa.array(calibrated(np.array([index.vote(vocabulary.count(t.as_py()), k)[0] for t in texts]), curve), pa.float64())
+                raw = [g[0] for a in range(0, len(texts), BATCH) for g in index.vote([vocabulary.count(t) for t in texts.slice(a, BATCH).to_pylist()], k)]
+                yield pa.array(calibrated(np.array(raw), curve), pa.float64())
 
         return vote(text)
 
     def score(self, rows: DataFrame) -> DataFrame:
         """``rows`` (doc_id, text) without the text, and with ``score``,
         ``predicted`` and the evidence."""
-        scored = voted(rows, self.held, self.k).withColumn("score", step_column(F.col("raw"), self.curve)).drop("raw")
-        return scored.withColumn("predicted", (F.col("score") >= self.threshold).cast("int"))
+        return voted(rows, self.held, self.k, self.curve).withColumn("predicted", (F.col("score") >= self.threshold).cast("int"))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None, per_class: int = 2048, k: int = 15, threshold: float = 0.3, most_terms: int = 1024, least_ratio: float = 25.0) -> ToxicityModel:
+def fit_toxicity(
+    docs: DataFrame, labels: DataFrame, train: Column | None = None, per_class: int = PER_CLASS, example_bytes: int = EXAMPLE_BYTES, k: int = 15, threshold: float = 0.3
+) -> ToxicityModel:
     """The model of ``docs`` (doc_id, text) and ``labels`` (doc_id, label).
 
     ``train``: a condition on the label rows' doc_id saying which may be
-    learned from; by default crc32(id) mod 4 <> 2. ``per_class`` bounds the
-    labelled sample; term statistics cover all documents.
+    learned from; by default crc32(id) mod 4 <> 2. ``per_class`` and
+    ``example_bytes`` bound the labelled sample, and with it the terms and the
+    index, which are all of the sample's; document frequencies cover all documents.
     """
     spark = docs.sparkSession
-    sample = labelled_sample(docs, labels, train if train is not None else crc_mod("doc_id", 4) != 2, per_class)
+    sample = labelled_sample(docs, labels, train if train is not None else crc_mod("doc_id", 4) != 2, per_class, example_bytes)
     sample = sample.withColumn("doc_id", F.col("doc_id").cast("long"))
-    terms = telling_terms(sample, most_terms, least_ratio)
+    terms, a, b = class_counts(sample)
+    size = {r["label"]: float(r["n"]) for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     rows, df = document_frequencies(docs, terms)
-    idf = np.log((1.0 + rows) / (1.0 + df)) + 1.0
+    weight = (np.log((1.0 + rows) / (1.0 + df)) + 1.0) * telling(a, b, size.get(0, 0.0), size.get(1, 0.0))
     held_terms = spark.sparkContext.broadcast({"value": terms})
 
     def vectors(batches):
@@ -311,15 +361,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None
         for batch in slices(batches):
             got = [vocabulary.count(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), batch.column(3), pa.array([[t for t, _ in g] for g in got], pa.list_(pa.int64())), pa.array([[c for _, c in g] for g in got], pa.list_(pa.int64()))],
-                names=["doc_id", "label", "weight", "terms", "times"],
+                [batch.column(0), batch.column(2), batch.column(3), *(pa.array([g[i].astype(np.int32) for g in got], pa.list_(pa.int32())) for i in (0, 1))], names=["doc_id", "label", "weight", "terms", "times"]
             )
 
-    # At most 2 * per_class rows of at most most_terms terms.
-    found = sample.select("doc_id", "text", "label", "weight").mapInArrow(vectors, "doc_id long, label int, weight double, terms array<long>, times array<long>").orderBy("doc_id").collect()
-    examples = [(r["doc_id"], r["label"], r["weight"], tuple(zip(r["terms"], r["times"]))) for r in found]
-    held = spark.sparkContext.broadcast({"value": (examples, terms, idf)})
-    raw = {r["doc_id"]: r["raw"] for r in voted(sample.select("doc_id", "text"), held, k, leave_out=True).select("doc_id", "raw").collect()}
+    found = sample.select("doc_id", "text", "label", "weight").mapInArrow(vectors, "doc_id long, label int, weight double, terms array<int>, times array<int>").toArrow().sort_by("doc_id")
+    lists = [[np.asarray(x.values) for x in found.column(c)] for c in ("terms", "times")]
+    examples = list(zip(*(found.column(c).to_pylist() for c in ("doc_id", "label", "weight")), *lists))
+    held = spark.sparkContext.broadcast({"value": (examples, terms, weight)})
+    raw = {r["doc_id"]: r["score"] for r in voted(sample.select("doc_id", "text"), held, k, leave_out=True).select("doc_id", "score").collect()}
     curve = isotonic(np.array([raw[e[0]] for e in examples]), np.array([e[1] for e in examples], np.float64), np.array([e[2] for e in examples]))
     return ToxicityModel(held, curve, k, threshold)
 
@@ -330,11 +379,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     evidence: ``neighbours`` (ids of the nearest examples), their ``cosines``
     and ``toxic_neighbours`` (how many of them are labelled 1).
 
-    ``options``: those of ``fit_toxicity``. A null text counts as empty and,
-    like any text without a known term, gets the vote of the examples without
-    one. Without labels of both classes the score is the share of 1 among
-    them, 0 without any. Repeated rows are each scored; other columns are
-    ignored. Ids must be integers.
+    ``options``: those of ``fit_toxicity``. A null text counts as empty; an empty
+    text, like any without a term of the sample, is nearest to the examples with
+    the least telling terms. Terms that no example has take no part. Without
+    labels of both classes the score is the share of 1 among them, 0 without any.
+    Repeated rows are each scored; other columns are ignored. Ids must be integers.
     """
     src = pick(docs, doc_id=id_col, text=text_col)
     model = fit_toxicity(src, pick(labels, doc_id=id_col, label=label_col), **options)
@@ -346,13 +395,3 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     ``score_toxicity``; each row is judged by its own text."""
     model = fit_toxicity(pick(docs, doc_id=id_col, text=text_col), pick(labels, doc_id=id_col, label=label_col), **options)
     return docs.filter(model.score_of(F.col(f"`{text_col}`")) < model.threshold)
-
-
-def step_column(raw: Column, curve: tuple[np.ndarray, np.ndarray]) -> Column:
-    """The step function's value: of the first step whose end is not below."""
-    ends, values = curve
-    if not len(ends):
-        return raw
-    values_col = F.array(*[F.lit(float(v)) for v in values])
-    ends_col = F.array(*[F.lit(float(e)) for e in ends[:-1]]) if len(ends) > 1 else F.array().cast("array<double>")
-    return F.get(values_col, F.size(F.filter(ends_col, lambda e: e < raw - 1e-12)))

@@ -1,40 +1,61 @@
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 
 from llm_fixtures import make_docs, no_docs  # noqa: F401
-from fleetlens.llm.toxicity import BlockMaxIndex, Vocabulary, calibrated, isotonic, reject_toxic, score_toxicity, weigh, words_of
+from fleetlens.llm.toxicity import GROUND, BlockMaxIndex, Vocabulary, calibrated, isotonic, reject_toxic, score_toxicity, stems_of, telling, words_of
 
 
 def test_words():
     assert words_of("Tra'sh, É_x1y\nZ") == [b"tra", b"sh", "é".encode(), b"x", b"y", b"z"] and words_of(None) == []
-    v = Vocabulary([b"trash 1", b"tras* 2", b"none 1"])
-    assert v.count("Trash! trashy") == ((0, 1), (1, 2)) and v.count("tras") == ()
+    v = Vocabulary([b"trash", b"tras*", b"none"])
+    count = lambda t: [x.tolist() for x in v.count(t)]
+    assert count("Trash! trashy") == [[0, 1], [1, 2]] and count("tras") == [[], []] and count(None) == [[], []]
 
 
-def test_nearest_is_exact():
+def plain_cosines(examples, weight, text):
+    """By definition: dictionaries, all examples."""
+
+    def vector(terms, times):
+        v = {int(t): (1 + math.log(n)) * weight[t] for t, n in zip(terms, times)} | {-1: GROUND}
+        length = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / length for t, x in v.items()}
+
+    q = vector(*text)
+    return [sum(x * q.get(t, 0.0) for t, x in vector(*e[3:]).items()) for e in examples]
+
+
+@pytest.mark.parametrize("frequent", [1, 8, 10**9])  # no term, some, all as columns of the matrix
+def test_nearest_is_exact(frequent):
     rng = random.Random(1)
-    idf = np.array([1 + rng.random() for _ in range(12)])
-    examples = [(i, rng.randrange(2), 1.0 + i % 2, tuple(sorted((t, rng.randrange(1, 4)) for t in rng.sample(range(12), rng.randrange(0, 5))))) for i in range(400)]
-    index = BlockMaxIndex(examples, idf)
-    dense = np.zeros((400, 12))
-    for row, (_, _, _, c) in enumerate(examples):
-        t, w = weigh(c, idf)
-        dense[row, t] = w
-    for q in range(0, 400, 9):
-        t, w = weigh(examples[q][3], idf)
-        cosines = np.sort(dense[:, t] @ w)[::-1] if len(t) else np.zeros(400)
-        places, got = index.nearest(examples[q][3], 15)
-        want = cosines[:15][cosines[:15] > 0]
-        assert np.allclose(got, want) and len(set(places.tolist())) == len(places)
-        assert all(np.isclose(dense[int(index.ids[p])][t] @ w, c) for p, c in zip(places, got))
-        assert examples[q][0] not in index.ids[index.nearest(examples[q][3], 400, examples[q][0])[0]]
+    weight = np.array([100 * (1 + rng.random()) for _ in range(60)])
+
+    def text():
+        t = sorted(rng.sample(range(60), rng.randrange(0, 9)) if rng.random() < 0.8 else range(3))
+        return np.array(t, np.int64), np.array([rng.randrange(1, 4) for _ in t], np.int64)
+
+    examples = [(i, rng.randrange(2), 1.0 + i % 2, *text()) for i in range(500)]
+    index = BlockMaxIndex(examples, weight, frequent)
+    assert (len(index.matrix) - 1 in (0, 60)) == (frequent != 8)
+    asked = [e[3:] for e in examples[::9]] + [text() for _ in range(300)]
+    for (places, got), q in zip(index.nearest(asked, 15), asked):
+        want = plain_cosines(examples, weight, q)
+        assert np.allclose(got, sorted(want, reverse=True)[:15]) and len(set(places.tolist())) == 15
+        assert all(np.isclose(want[int(index.ids[p])], c) for p, c in zip(places, got))
+    left = index.nearest(asked[:50], 500, [examples[i * 9][0] for i in range(50)])
+    assert all(i * 9 not in index.ids[p] and len(p) == 499 for i, (p, _) in enumerate(left))
+    assert BlockMaxIndex([], weight).vote(asked[:2], 15)[1][0] == 0.0
 
 
 def test_isotonic():
-    ends, values = isotonic(np.array([0.1, 0.2, 0.2, 0.9, 1.0]), np.array([0.0, 1.0, 0.0, 0.0, 1.0]), np.ones(5))
-    assert (np.diff(values) >= 0).all() and np.allclose(calibrated(np.array([0.0, 0.1, 0.5, 1.0, 1.0]), (ends, values))[[0, -1]], [0.0, 1.0])
+    middles, values = isotonic(np.array([0.1, 0.2, 0.2, 0.9, 1.0]), np.array([0.0, 1.0, 0.0, 0.0, 1.0]), np.ones(5))
+    assert (np.diff(values) > 0).all() and (np.diff(middles) > 0).all() and values.tolist() == pytest.approx([0, 1 / 3, 1]) and middles.tolist() == pytest.approx([0.1, 1.3 / 3, 1])
+    assert np.allclose(calibrated(np.array([0.0, 0.1, 1.0, 2.0]), (middles, values)), [0, 0, 1, 1])
+    assert (np.diff(calibrated(np.linspace(0.1, 1, 50), (middles, values))) > 0).all()
 
 
 def fixture_rows():
@@ -76,3 +97,54 @@ def test_held_out_accuracy_and_edges(spark, make_docs, no_docs):
     assert left.schema == docs.schema and sorted(map(str, (r["doc_id"] for r in left.collect()))) == sorted(str(r["doc_id"]) for r in found if not r["predicted"])
     assert score_toxicity(no_docs, marks).collect() == []
     assert {r["score"] for r in score_toxicity(docs, marks.filter("false")).collect()} == {0.0}
+
+
+def test_the_whole_query_by_definition(spark):
+    """Terms, document frequencies, weights, neighbours, votes and calibration of real texts, in plain Python."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect() if r["toxic"] is not None}
+    learnt = sorted(i for i in truth if zlib.crc32(str(i).encode()) % 4 != 2 and len((texts[i] or "").encode()) <= 32768)
+    n1 = sum(truth[i] for i in learnt)
+    n0 = len(learnt) - n1
+    counts = {i: Counter(s for w in words_of(t) for s in stems_of(w)) for i, t in texts.items()}
+    df = Counter(t for c in counts.values() for t in c)
+    by_class = [Counter(t for i in learnt if truth[i] == y for t in counts[i]) for y in (0, 1)]
+    weight = {}
+    for t in by_class[0].keys() | by_class[1].keys():
+        a, b = (c[t] for c in by_class)
+        h = (a + b) / (n0 + n1)
+        g = 2 * sum(o * math.log(o / e) for o, e in ((a, n0 * h), (b, n1 * h), (n0 - a, n0 * (1 - h)), (n1 - b, n1 * (1 - h))) if o)
+        told = math.log2(2 + (b / n1) / (max(a, 1) / n0)) * math.sqrt(100 * max(g, 0) / n1) + 0.1
+        weight[t] = (math.log((1 + len(texts)) / (1 + df[t])) + 1) * told
+        assert told == pytest.approx(telling(np.array([a], float), np.array([b], float), n0, n1)[0], rel=1e-9)
+
+    def vector(i):
+        v = {t: (1 + math.log(n)) * weight[t] for t, n in counts[i].items() if t in weight} | {None: GROUND}
+        length = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / length for t, x in v.items()}
+
+    vectors = {i: vector(i) for i in texts}
+    per_class = {y: sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in truth if truth[i] == y) / n for y, n in ((0, n0), (1, n1))}
+
+    def near(i, without=None):
+        q = vectors[i]
+        return sorted(((sum(x * q.get(t, 0.0) for t, x in vectors[e].items()), e) for e in learnt if e != without), reverse=True)[:15]
+
+    def vote(found):
+        votes = [(per_class[truth[e]] / (1.01 - min(c, 1.0)), truth[e]) for c, e in found]
+        return sum(v * y for v, y in votes) / sum(v for v, _ in votes)
+
+    curve = isotonic(np.array([vote(near(i, i)) for i in learnt]), np.array([float(truth[i]) for i in learnt]), np.array([per_class[truth[i]] for i in learnt]))
+    for r in score_toxicity(docs, labels).collect():
+        want = near(r["doc_id"])
+        assert r["cosines"] == pytest.approx([c for c, _ in want], abs=1e-9)
+        if want[-1][0] - near_next(vectors, learnt, r["doc_id"]) > 1e-9:  # no tie at the 15th place
+            assert sorted(r["neighbours"]) == sorted(e for _, e in want)
+            assert r["score"] == pytest.approx(calibrated(np.array([vote(want)]), curve)[0], abs=1e-6)
+            assert r["toxic_neighbours"] == sum(truth[e] for _, e in want) and r["predicted"] == int(r["score"] >= 0.3)
+
+
+def near_next(vectors, learnt, i):
+    """The 16th cosine."""
+    return sorted((sum(x * vectors[i].get(t, 0.0) for t, x in vectors[e].items()) for e in learnt), reverse=True)[15]
