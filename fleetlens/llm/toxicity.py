@@ -16,23 +16,25 @@ calibrated on the examples themselves.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import Recent, arrow_schema, crc_mod, per_worker, pick, slices
+from fleetlens.llm.common import arrow_schema, crc_mod, per_worker, pick, slices
 from fleetlens.runtime import materialize
 
 PREFIXES = (4, 5, 6)  # bytes of a word's beginning that are a term, for longer words
 BLOCK = 64
 FREQUENT = 16  # terms in more than one of so many examples are columns of the matrix
-BATCH = 256
+BATCH = 128  # texts searched together
 GROUND = 60.0  # weight of the term that every text has
 PER_CLASS, EXAMPLE_BYTES = 2048, 32768  # the sample: texts of a class, and of no more bytes each
 # Lower-case letters and the bytes of characters beyond ASCII stay; all else parts words.
@@ -48,24 +50,51 @@ def stems_of(word: bytes) -> list[bytes]:
     return [word, *(word[:n] + b"*" for n in PREFIXES if len(word) > n)]
 
 
-class Vocabulary:
-    """Counts the known terms of texts; a term's number is its place in ``terms``."""
+class Words(dict):
+    """The known terms of words: a word's number is its place in ``first`` and
+    ``count``, which say where its terms' numbers are in ``flat``."""
+
+    def __init__(self, number: dict[bytes, int]):
+        self.number = number
+        self.first, self.count, self.flat = array("q"), array("q"), array("q")
 
-    def __init__(self, terms: list[bytes]):
-        number = {t: i for i, t in enumerate(terms)}
-        self.look = Recent(lambda w: tuple(number[s] for s in stems_of(w) if s in number), 100_000).__getitem__
+    def __missing__(self, word: bytes) -> int:
+        terms = [self.number[s] for s in stems_of(word) if s in self.number]
+        self.first.append(len(self.flat))
+        self.count.append(len(terms))
+        self.flat.extend(terms)
+        self[word] = n = len(self)
+        return n
 
-    def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """(term numbers, rising; how often each occurs)."""
-        found = list(chain.from_iterable(map(self.look, words_of(text))))
-        return np.unique(np.array(found, np.int64), return_counts=True)
 
+class Vocabulary:
+    """Counts the known terms of texts; a term's number is its place in ``terms``."""
 
-def weigh(terms: np.ndarray, times: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights of a text's terms, and of the term that every text has, scaled to length 1."""
+    def __init__(self, terms: list[bytes], most_words: int = 300_000):
+        self.number = {t: i for i, t in enumerate(terms)}
+        self.most_words, self.words = most_words, Words(self.number)
+
+    def count(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the text, term number, how often it occurs there), by text and
+        then term."""
+        if len(self.words) > self.most_words:
+            self.words = Words(self.number)
+        held = [words_of(t) for t in texts]
+        size = np.array([len(w) for w in held], np.int64)
+        found = np.fromiter(map(self.words.__getitem__, chain.from_iterable(held)), np.int64, int(size.sum()))
+        first, count, flat = (np.frombuffer(x, np.int64) for x in (self.words.first, self.words.count, self.words.flat))
+        terms = flat[spans(first[found], count[found])]
+        text = np.repeat(np.repeat(np.arange(len(texts)), size), count[found])
+        keys, times = np.unique(text * len(self.number) + terms, return_counts=True)
+        return *np.divmod(keys, max(1, len(self.number))), times
+
+
+def weigh(text: np.ndarray, terms: np.ndarray, times: np.ndarray, texts: int, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of texts' terms, and by text of the term that every text has, each
+    text's scaled to length 1."""
     w = (1 + np.log(times)) * weight[terms]
-    length = np.sqrt((w * w).sum() + GROUND * GROUND)
-    return w / length, GROUND / length
+    length = np.sqrt(np.bincount(text, w * w, texts) + GROUND * GROUND)
+    return w / length[text], GROUND / length
 
 
 def spans(first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -77,26 +106,29 @@ class BlockMaxIndex:
     """Examples as postings by term: columns of a matrix for the frequent terms,
     and blocks of BLOCK examples with the largest weight of each other term."""
 
-    def __init__(self, examples: list[tuple[int, int, float, np.ndarray, np.ndarray]], weight: np.ndarray, frequent: int = FREQUENT):
-        """examples: (doc_id, label, class weight, terms, times)."""
-        vectors = [(t, *weigh(t, n, weight)) for *_, t, n in examples]
+    def __init__(self, examples: tuple[np.ndarray, ...], counts: tuple[np.ndarray, ...], weight: np.ndarray, frequent: int = FREQUENT):
+        """examples: (doc_ids, labels, class weights); counts: those of their texts,
+        as ``Vocabulary.count`` gives them."""
+        ids, label, class_weight = examples
+        text, term, times = counts
+        value, ground = weigh(text, term, times, len(ids), weight)
         # Examples with one strongest term lie together, so that few blocks hold a term.
-        strongest = lambda i: (int(vectors[i][0][vectors[i][1].argmax()]) if len(vectors[i][0]) else -1, -vectors[i][2], examples[i][0])
-        order = sorted(range(len(examples)), key=strongest)
-        self.ids = np.array([examples[i][0] for i in order], np.int64)
-        self.label = np.array([examples[i][1] for i in order], np.float64)
-        self.weight = np.array([examples[i][2] for i in order], np.float64)
+        strongest = np.full(len(ids), -1)
+        by_value = np.argsort(value, kind="stable")
+        strongest[text[by_value]] = term[by_value]
+        order = np.lexsort((ids, -ground, strongest))
+        place = np.empty(len(ids), np.int64)
+        place[order] = np.arange(len(ids))
+        self.ids, self.label, self.weight = ids[order], label[order].astype(float), class_weight[order]
         self.term_weight = weight
-        self.blocks = -(-len(order) // BLOCK)
+        self.blocks = -(-len(ids) // BLOCK)
         self.size = self.blocks * BLOCK
-        term = np.concatenate([np.empty(0, np.int64), *(vectors[i][0] for i in order)])
-        value = np.concatenate([np.empty(0), *(vectors[i][1] for i in order)])
-        example = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
-        common = np.flatnonzero(np.bincount(term, minlength=len(weight)) * frequent > len(order))
+        example = place[text]
+        common = np.flatnonzero(np.bincount(term, minlength=len(weight)) * frequent > len(ids))
         self.column = np.full(len(weight), -1)
         self.column[common] = np.arange(len(common))
         self.matrix = np.zeros((len(common) + 1, self.size))
-        self.matrix[-1, : len(order)] = [vectors[i][2] for i in order]
+        self.matrix[-1, : len(ids)] = ground[order]
         often = self.column[term] >= 0
         self.matrix[self.column[term[often]], example[often]] = value[often]
         term, value, example = term[~often], value[~often], example[~often]
@@ -110,61 +142,60 @@ class BlockMaxIndex:
         self.most = np.maximum.reduceat(self.value, self.at) if len(key) else np.empty(0)
         self.entry = np.searchsorted(term[self.at], np.arange(len(weight) + 1))
 
-    def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, without: list | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each text's (terms, times): (places, cosines) of the ``k`` nearest
-        examples, ties to the earlier place; an example with the id of that place
-        in ``without`` is left out."""
+    def nearest(self, counts: tuple[np.ndarray, ...], texts: int, k: int, without: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each of some texts, by their counts: (places, cosines) of the ``k``
+        nearest examples, ties to the earlier place; an example with the id of that
+        place in ``without`` is left out."""
+        text, term, times = counts
+        w, ground = weigh(text, term, times, texts, self.term_weight)
+        asked = np.zeros((texts, len(self.matrix)))
+        column = self.column[term]
+        often = column >= 0
+        asked[text[often], column[often]] = w[often]
+        asked[:, -1] = ground
+        score = asked @ self.matrix  # the frequent terms' part of the cosines
+        score[:, len(self.ids) :] = -2.0
+        if without is not None:
+            score[:, : len(self.ids)][self.ids == without[:, None]] = -2.0
+        text, term, w = text[~often], term[~often], w[~often]
+        n = self.entry[term + 1] - self.entry[term]
+        entries, w, text = spans(self.entry[term], n), np.repeat(w, n), np.repeat(text, n)
+        cell = text * self.blocks + self.block[entries]
+        bound = score.reshape(texts, self.blocks, BLOCK).max(axis=2) + np.bincount(cell, self.most[entries] * w, texts * self.blocks).reshape(texts, self.blocks) + 1e-12
+
+        def open_(blocks: np.ndarray) -> None:
+            """Add the other terms' part in these blocks of each text."""
+            has = blocks.ravel()[cell]
+            e = entries[has]
+            places = spans(self.at[e], self.count[e])
+            where = np.repeat(text[has] * self.size, self.count[e]) + self.example[places]
+            score.ravel()[:] += np.bincount(where, self.value[places] * np.repeat(w[has], self.count[e]), score.size)
+
+        def kth(opened: np.ndarray) -> np.ndarray:
+            """The k-th best score in the opened blocks; below all others where there are fewer."""
+            seen = np.where(np.repeat(opened, BLOCK, axis=1), score, -3.0)
+            at = self.size - min(k, self.size)
+            return np.partition(seen, at, axis=1)[:, at]
+
+        # First the blocks of the best bounds, then all whose bound reaches the k-th best found in these.
+        opened = np.zeros((texts, self.blocks), bool)
+        np.put_along_axis(opened, np.argsort(-bound, axis=1, kind="stable")[:, : -(-4 * k // BLOCK)], True, axis=1)
+        open_(opened)
+        rest = (bound >= kth(opened)[:, None]) & ~opened
+        open_(rest)
+        opened |= rest
         out = []
-        for a in range(0, len(texts), BATCH):
-            part = texts[a : a + BATCH]
-            weighed = [(t, *weigh(t, n, self.term_weight)) for t, n in part]
-            asked = np.zeros((len(part), len(self.matrix)))
-            for row, (t, w, ground) in zip(asked, weighed):
-                column = self.column[t]
-                row[column[column >= 0]] = w[column >= 0]
-                row[-1] = ground
-            scores = asked @ self.matrix
-            scores[:, len(self.ids) :] = -1.0
-            for i, (score, (t, w, _)) in enumerate(zip(scores, weighed)):
-                if without is not None:
-                    score[: len(self.ids)][self.ids == without[a + i]] = -1.0
-                rare = self.column[t] < 0
-                out.append(self._open(score, t[rare], w[rare], k))
+        for row, least, mask in zip(score, kth(opened), opened):
+            places = np.flatnonzero(np.repeat(mask, BLOCK) & (row > 0) & (row >= least - 1e-12))
+            best = places[np.lexsort((places, -np.round(row[places], 12)))[:k]]
+            out.append((best, row[best]))
         return out
 
-    def _open(self, score: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The best of ``score``, the frequent terms' part of the cosines, with the
-        other ``terms`` added to the blocks that can hold one of them."""
-        n = self.entry[terms + 1] - self.entry[terms]
-        entries, w = spans(self.entry[terms], n), np.repeat(weights, n)
-        block = self.block[entries]
-        bound = score.reshape(self.blocks, BLOCK).max(axis=1) + np.bincount(block, self.most[entries] * w, self.blocks) + 1e-12
-        order = np.argsort(-bound, kind="stable")
-        done, step, least = 0, 4, -1.0
-        opened = np.zeros(self.blocks, bool)
-        while done < self.blocks and bound[order[done]] >= least:
-            now = order[done : done + step]
-            now = now[bound[now] >= least]
-            chosen = np.zeros(self.blocks, bool)
-            chosen[now] = True
-            has = chosen[block]
-            e = entries[has]
-            places = spans(self.at[e], self.count[e])
-            score += np.bincount(self.example[places], self.value[places] * np.repeat(w[has], self.count[e]), self.size)
-            opened |= chosen
-            done, step = done + len(now), step * 2
-            seen = score.reshape(self.blocks, BLOCK)[opened].ravel()
-            if len(seen) >= k:
-                least = float(-np.partition(-seen, k - 1)[k - 1])
-        places = np.flatnonzero(np.repeat(opened, BLOCK) & (score > 0) & (score >= least - 1e-12))
-        best = places[np.lexsort((places, -np.round(score[places], 12)))[:k]]
-        return best, score[best]
-
-    def vote(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, without: list | None = None) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    def vote(self, counts: tuple[np.ndarray, ...], texts: int, k: int, without: np.ndarray | None = None) -> list[tuple[float, np.ndarray, np.ndarray]]:
         """For each text: the toxic share of its nearest examples' votes, each the
         example's class weight over its distance, and the examples; 0 without any."""
         out = []
-        for places, cosines in self.nearest(texts, k, without) if self.blocks else [(np.empty(0, np.int64), np.empty(0))] * len(texts):
+        for places, cosines in self.nearest(counts, texts, k, without) if self.blocks else [(np.empty(0, np.int64), np.empty(0))] * texts:
             votes = self.weight[places] / (1.01 - np.minimum(cosines, 1.0))
             out.append((float((votes * self.label[places]).sum() / votes.sum()) if len(places) else 0.0, places, cosines))
         return out
@@ -264,9 +295,8 @@ def document_frequencies(docs: DataFrame, terms: list[bytes]) -> tuple[int, np.n
 
     def count(batches):
         vocabulary, n, rows = per_worker(held, "vocabulary", Vocabulary), np.zeros(len(held.value["value"]), np.int64), 0
-        for batch in slices(batches):
-            for text in batch.column(0).to_pylist():
-                n[vocabulary.count(text)[0]] += 1
+        for batch in slices(batches, 2048):
+            n += np.bincount(vocabulary.count(batch.column(0).to_pylist())[1], minlength=len(n))
             rows += batch.num_rows
         found = np.flatnonzero(n)
         for a in range(0, len(found), 65536):
@@ -284,7 +314,7 @@ SCORED = "score double, neighbours array<long>, cosines array<double>, toxic_nei
 
 
 def worker_index(held: Broadcast) -> tuple[BlockMaxIndex, Vocabulary]:
-    return per_worker(held, "index", lambda v: BlockMaxIndex(v[0], v[2])), per_worker(held, "vocabulary", lambda v: Vocabulary(v[1]))
+    return per_worker(held, "index", lambda v: BlockMaxIndex(v[0], v[1], v[3])), per_worker(held, "vocabulary", lambda v: Vocabulary(v[2]))
 
 
 def voted(rows: DataFrame, held: Broadcast, k: int, curve: tuple[np.ndarray, np.ndarray] = (np.empty(0), np.empty(0)), leave_out: bool = False) -> DataFrame:
@@ -296,7 +326,8 @@ def voted(rows: DataFrame, held: Broadcast, k: int, curve: tuple[np.ndarray, np.
     def run(batches):
         index, vocabulary = worker_index(held)
         for batch in slices(batches, BATCH):
-            got = index.vote([vocabulary.count(t) for t in batch.column("text").to_pylist()], k, batch.column("doc_id").to_pylist() if leave_out else None)
+            without = batch.column("doc_id").to_numpy(zero_copy_only=False) if leave_out else None
+            got = index.vote(vocabulary.count(batch.column("text").to_pylist()), batch.num_rows, k, without)
             columns = [
                 batch.column("doc_id"),
                 pa.array(calibrated(np.array([g[0] for g in got]), curve), pa.float64()),
@@ -326,7 +357,8 @@ class ToxicityModel:
         def vote(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             index, vocabulary = worker_index(held)
             for texts in batches:
-                raw = [g[0] for a in range(0, len(texts), BATCH) for g in index.vote([vocabulary.count(t) for t in texts.slice(a, BATCH).to_pylist()], k)]
+                parts = [texts.slice(a, BATCH).to_pylist() for a in range(0, len(texts), BATCH)]
+                raw = [g[0] for part in parts for g in index.vote(vocabulary.count(part), len(part), k)]
                 yield pa.array(calibrated(np.array(raw), curve), pa.float64())
 
         return vote(text)
@@ -359,17 +391,19 @@ def fit_toxicity(
     def vectors(batches):
         vocabulary = per_worker(held_terms, "vocabulary", Vocabulary)
         for batch in slices(batches):
-            got = [vocabulary.count(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), batch.column(3), *(pa.array([g[i].astype(np.int32) for g in got], pa.list_(pa.int32())) for i in (0, 1))], names=["doc_id", "label", "weight", "terms", "times"]
-            )
-
-    found = sample.select("doc_id", "text", "label", "weight").mapInArrow(vectors, "doc_id long, label int, weight double, terms array<int>, times array<int>").toArrow().sort_by("doc_id")
-    lists = [[np.asarray(x.values) for x in found.column(c)] for c in ("terms", "times")]
-    examples = list(zip(*(found.column(c).to_pylist() for c in ("doc_id", "label", "weight")), *lists))
-    held = spark.sparkContext.broadcast({"value": (examples, terms, weight)})
-    raw = {r["doc_id"]: r["score"] for r in voted(sample.select("doc_id", "text"), held, k, leave_out=True).select("doc_id", "score").collect()}
-    curve = isotonic(np.array([raw[e[0]] for e in examples]), np.array([e[1] for e in examples], np.float64), np.array([e[2] for e in examples]))
+            text, term, times = vocabulary.count(batch.column(1).to_pylist())
+            ends = np.searchsorted(text, np.arange(batch.num_rows + 1)).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x.astype(np.int32))) for x in (term, times)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), *lists], names=["doc_id", "label", "weight", "terms", "times"])
+
+    # Bounded by the sample.
+    found = sample.select("doc_id", "text", "label", "weight").mapInArrow(vectors, "doc_id long, label int, weight double, terms array<int>, times array<int>").toArrow().sort_by("doc_id").combine_chunks()
+    examples = tuple(found.column(c).to_numpy() for c in ("doc_id", "label", "weight"))
+    lists = [pc.list_flatten(found.column(c)).to_numpy().astype(np.int64) for c in ("terms", "times")]
+    counts = (pc.list_parent_indices(found.column("terms")).to_numpy(), *lists)
+    held = spark.sparkContext.broadcast({"value": (examples, counts, terms, weight)})
+    score = {r["doc_id"]: r["score"] for r in voted(sample.select("doc_id", "text"), held, k, leave_out=True).select("doc_id", "score").collect()}
+    curve = isotonic(np.array([score[i] for i in examples[0].tolist()]), examples[1].astype(float), examples[2])
     return ToxicityModel(held, curve, k, threshold)
 
 

@@ -13,8 +13,10 @@ from fleetlens.llm.toxicity import GROUND, BlockMaxIndex, Vocabulary, calibrated
 def test_words():
     assert words_of("Tra'sh, É_x1y\nZ") == [b"tra", b"sh", "é".encode(), b"x", b"y", b"z"] and words_of(None) == []
     v = Vocabulary([b"trash", b"tras*", b"none"])
-    count = lambda t: [x.tolist() for x in v.count(t)]
-    assert count("Trash! trashy") == [[0, 1], [1, 2]] and count("tras") == [[], []] and count(None) == [[], []]
+    for _ in range(2):
+        assert [x.tolist() for x in v.count(["Trash! trashy", None, "tras", "NONE trash"])] == [[0, 0, 3, 3, 3], [0, 1, 0, 1, 2], [1, 2, 1, 1, 1]]
+        v.most_words = 0  # the words are looked up anew
+    assert [len(x) for x in v.count([])] == [0, 0, 0] == [len(x) for x in Vocabulary([]).count(["a b"])]
 
 
 def plain_cosines(examples, weight, text):
@@ -38,17 +40,22 @@ def test_nearest_is_exact(frequent):
         t = sorted(rng.sample(range(60), rng.randrange(0, 9)) if rng.random() < 0.8 else range(3))
         return np.array(t, np.int64), np.array([rng.randrange(1, 4) for _ in t], np.int64)
 
+    def counts(texts):
+        return tuple(np.concatenate(x) for x in zip(*((np.full(len(t), i), t, n) for i, (t, n) in enumerate(texts))))
+
     examples = [(i, rng.randrange(2), 1.0 + i % 2, *text()) for i in range(500)]
-    index = BlockMaxIndex(examples, weight, frequent)
+    columns = tuple(np.array(x) for x in zip(*((e[:3]) for e in examples)))
+    index = BlockMaxIndex(columns, counts([e[3:] for e in examples]), weight, frequent)
     assert (len(index.matrix) - 1 in (0, 60)) == (frequent != 8)
     asked = [e[3:] for e in examples[::9]] + [text() for _ in range(300)]
-    for (places, got), q in zip(index.nearest(asked, 15), asked):
+    for (places, got), q in zip(index.nearest(counts(asked), len(asked), 15), asked):
         want = plain_cosines(examples, weight, q)
         assert np.allclose(got, sorted(want, reverse=True)[:15]) and len(set(places.tolist())) == 15
         assert all(np.isclose(want[int(index.ids[p])], c) for p, c in zip(places, got))
-    left = index.nearest(asked[:50], 500, [examples[i * 9][0] for i in range(50)])
+    left = index.nearest(counts(asked[:50]), 50, 500, np.array([examples[i * 9][0] for i in range(50)]))
     assert all(i * 9 not in index.ids[p] and len(p) == 499 for i, (p, _) in enumerate(left))
-    assert BlockMaxIndex([], weight).vote(asked[:2], 15)[1][0] == 0.0
+    none = np.empty(0, np.int64)
+    assert BlockMaxIndex((none, none, none), (none, none, none), weight).vote(counts(asked[:2]), 2, 15)[1][0] == 0.0
 
 
 def test_isotonic():
