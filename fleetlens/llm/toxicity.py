@@ -34,7 +34,7 @@ from fleetlens.runtime import materialize
 PREFIXES = (4, 5, 6)  # bytes of a word's beginning that are a term, for longer words
 BLOCK = 64
 FREQUENT = 16  # terms in more than one of so many examples are columns of the matrix
-BATCH = 128  # texts searched together
+BATCH, FEW = 128, 8  # texts scored by the matrix, and searched in the blocks, together
 GROUND = 60.0  # weight of the term that every text has
 PER_CLASS, EXAMPLE_BYTES = 2048, 32768  # the sample: texts of a class, and of no more bytes each
 # Lower-case letters and the bytes of characters beyond ASCII stay; all else parts words.
@@ -158,18 +158,31 @@ class BlockMaxIndex:
         if without is not None:
             score[:, : len(self.ids)][self.ids == without[:, None]] = -2.0
         text, term, w = text[~often], term[~often], w[~often]
+        out = []
+        for a in range(0, texts, FEW):  # few at a time: what they touch stays in the cache
+            part = slice(*np.searchsorted(text, (a, a + FEW)))
+            out += self._open(score[a : a + FEW], text[part] - a, term[part], w[part], k)
+        return out
+
+    def _open(self, score: np.ndarray, text: np.ndarray, term: np.ndarray, w: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The nearest examples of texts by ``score``, the frequent terms' part of the
+        cosines, and their other terms; opens the blocks that can hold one."""
+        texts = len(score)
         n = self.entry[term + 1] - self.entry[term]
-        entries, w, text = spans(self.entry[term], n), np.repeat(w, n), np.repeat(text, n)
-        cell = text * self.blocks + self.block[entries]
+        entries = spans(self.entry[term], n)
+        w = np.repeat(w, n)
+        cell = np.repeat(text * self.blocks, n) + self.block[entries]
         bound = score.reshape(texts, self.blocks, BLOCK).max(axis=2) + np.bincount(cell, self.most[entries] * w, texts * self.blocks).reshape(texts, self.blocks) + 1e-12
 
         def open_(blocks: np.ndarray) -> None:
             """Add the other terms' part in these blocks of each text."""
-            has = blocks.ravel()[cell]
+            has = np.flatnonzero(blocks.ravel()[cell])
             e = entries[has]
-            places = spans(self.at[e], self.count[e])
-            where = np.repeat(text[has] * self.size, self.count[e]) + self.example[places]
-            score.ravel()[:] += np.bincount(where, self.value[places] * np.repeat(w[has], self.count[e]), score.size)
+            count = self.count[e]
+            places = spans(self.at[e], count)
+            # A cell's examples follow those of the cell before it.
+            where = np.repeat(cell[has] // self.blocks * self.size, count) + self.example[places]
+            score.ravel()[:] += np.bincount(where, self.value[places] * np.repeat(w[has], count), score.size)
 
         def kth(opened: np.ndarray) -> np.ndarray:
             """The k-th best score in the opened blocks; below all others where there are fewer."""
@@ -295,7 +308,7 @@ def document_frequencies(docs: DataFrame, terms: list[bytes]) -> tuple[int, np.n
 
     def count(batches):
         vocabulary, n, rows = per_worker(held, "vocabulary", Vocabulary), np.zeros(len(held.value["value"]), np.int64), 0
-        for batch in slices(batches, 2048):
+        for batch in slices(batches, BATCH):
             n += np.bincount(vocabulary.count(batch.column(0).to_pylist())[1], minlength=len(n))
             rows += batch.num_rows
         found = np.flatnonzero(n)
