@@ -29,14 +29,15 @@ DIGIT = re.compile(r"[0-9]")
 # stretch; a 20-character window has log2(20) = 4.32 at most, and a hex one 4.
 THRESHOLDS = {"hex": 3.2, "upper": 3.6, "lower": 3.6, "mixed": 3.8, "letters": 3.8}
 # Strings that look random and are known not to be secrets.
-WORD = r"(?>(?:[A-Z]?[a-z]{2,}+)++|[A-Z]++|[a-z]?)"  # of one case, or capitalised words in a row
-ALLOWED = (
-    re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"),  # UUID
-    re.compile(r"[0-9-]+"),  # numbers and dates
-    re.compile(rf"(?:{WORD}[/_=-])*+{WORD}[/_=-]?[0-9]{{1,8}}"),  # words and paths that end in a number
-)
-PIECE = re.compile(r"[^/=_-]+")
-WORDS = re.compile(rf"{WORD}(?:[+]{WORD})*")
+UUID = re.compile(r"(?<![0-9a-zA-Z])[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}(?![0-9a-zA-Z])")
+PIECE = re.compile(r"[^/=_+-]+")
+# A number; letters, with a number before or after; in short pieces, letters and numbers twice.
+PLAIN = re.compile(r"[0-9]++|([A-Za-z]++)[0-9]{0,8}|[0-9]{1,8}([A-Za-z]++)[0-9]{0,4}")
+TWICE = re.compile(r"([A-Za-z]++)[0-9]{1,8}([A-Za-z]++)[0-9]{0,8}")
+SHORT, SHORT_MIXED, SHORT_TWICE, LONG_WORD = 3, 8, 12, 16
+HUMP = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+CONSONANTS = re.compile(r"[b-df-hj-np-tv-xzB-DF-HJ-NP-TV-XZ]{8}")
+VOWELS = re.compile(r"[aeiouyAEIOUY]")
 PLACEHOLDER = re.compile(r"example|sample|placeholder|xxxx|0123456789|abcdefgh", re.IGNORECASE)
 LONGEST_ALLOWED = 64  # a longer piece with a placeholder in it is no placeholder as a whole
 TERMS = [0.0, *(c * math.log2(c) for c in range(1, WINDOW + 2))]  # a step adds before it takes away
@@ -55,12 +56,11 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def character_class(s: str) -> str | None:
-    """The class whose threshold holds for a stretch; None: it can't be told
-    from words or numbers (it needs letters, and digits or both cases)."""
+    """The class whose threshold holds for a stretch; None: it has no letters."""
     if not re.search("[A-Za-z]", s):
         return None
     if not DIGIT.search(s):
-        return "letters" if re.search("[a-z]", s) and re.search("[A-Z]", s) else None
+        return "letters"
     if re.fullmatch("[0-9a-fA-F]+", s):
         return "hex"
     if not re.search("[a-z]", s):
@@ -120,9 +120,54 @@ def placeholders(text: str, a: int, b: int) -> list[tuple[int, int, int]]:
     return out
 
 
+def is_word(letters: str) -> bool:
+    """Whether letters can be a word, or words in a row, told by their case: random
+    ones change case every other letter. A long word must have vowels."""
+    if len(letters) > SHORT and not letters.isupper() and not letters.islower() and len(letters) < (3 if len(letters) < LONG_WORD else 3.5) * len(HUMP.findall(letters)):
+        return False
+    return len(letters) < LONG_WORD or len(VOWELS.findall(letters)) >= 0.2 * len(letters) and not CONSONANTS.search(letters)
+
+
+def is_plain(piece: str) -> bool:
+    """Whether a piece is a word, a number, or words with numbers."""
+    m = PLAIN.fullmatch(piece) or (TWICE.fullmatch(piece) if len(piece) <= SHORT_TWICE else None)
+    return m is not None and all(is_word(x) for x in m.groups() if x)
+
+
+def odd_stretches(text: str, a: int, b: int) -> Iterator[tuple[int, int, list[re.Match]]]:
+    """(start, end, pieces) of the runs of pieces of a to b, parted by / = _ + and -,
+    that are not plain. A key's own signs may cut it anywhere: plain pieces that are
+    short (longer ones too, if not just small letters or digits) belong to a run
+    between two others, and at its ends where it would otherwise be shorter than a
+    window; so do signs there."""
+    pieces = list(PIECE.finditer(text, a, b))
+    # 0: not plain, 1: plain but short, 2: plain
+    kinds = [0 if not is_plain(p := m.group()) else 1 if len(p) <= (SHORT if p.islower() or p.isdigit() else SHORT_MIXED) else 2 for m in pieces]
+    i = 0
+    while i < len(pieces):
+        if kinds[i]:
+            i += 1
+            continue
+        first = last = i
+        while i < len(pieces) and kinds[i] < 2:
+            last = i if not kinds[i] else last
+            i += 1
+        least = first
+        while pieces[last].end() - pieces[first].start() < WINDOW and least > 0 and kinds[least - 1] == 1:
+            least = first = least - 1
+        while pieces[last].end() - pieces[first].start() < WINDOW and last + 1 < len(pieces) and kinds[last + 1] == 1:
+            last += 1
+        start, end = pieces[first].start(), pieces[last].end()
+        if end - start < WINDOW:
+            start = a if not first else pieces[first - 1].end()
+            end = b if last + 1 == len(pieces) else pieces[last + 1].start()
+        yield start, end, pieces[first : last + 1]
+
+
 def stretches(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, str, str]]:
     """(start, stretch, class) of what the spans of ``taken`` and the allow-list
-    leave of the candidates. Stretches without digits go piece by piece, without words."""
+    (UUIDs, placeholders, plain pieces) leave of the candidates. Stretches without
+    digits go piece by piece."""
     at = 0
     for m in CANDIDATE.finditer(text):
         while at < len(taken) and taken[at][2] <= m.start():
@@ -130,18 +175,20 @@ def stretches(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[in
         e = at
         while e < len(taken) and taken[e][0] < m.end():
             e += 1
-        for a, b in gaps(m.start(), m.end(), taken[at:e]):
-            if b - a < WINDOW or any(x.fullmatch(text, a, b) for x in ALLOWED):
+        known = [(x.start(), 3, x.end()) for x in UUID.finditer(text, m.start(), m.end())]
+        for a, b in gaps(m.start(), m.end(), sorted(taken[at:e] + known)):
+            if b - a < WINDOW:
                 continue
             for c, d in gaps(a, b, placeholders(text, a, b)):
-                if d - c < WINDOW or (kind := character_class(s := text[c:d])) is None or any(x.fullmatch(s) for x in ALLOWED):
-                    continue
-                if kind != "letters":
-                    yield c, s, kind
-                    continue
-                for p in PIECE.finditer(s):
-                    if len(p.group()) >= WINDOW and character_class(p.group()) and not WORDS.fullmatch(p.group()):
-                        yield c + p.start(), p.group(), kind
+                for x, y, pieces in odd_stretches(text, c, d):
+                    if y - x < WINDOW or (kind := character_class(text[x:y])) is None:
+                        continue
+                    if kind != "letters":
+                        yield x, text[x:y], kind
+                        continue
+                    for p in pieces:
+                        if p.end() - p.start() >= WINDOW and not is_plain(p.group()):
+                            yield p.start(), p.group(), kind
 
 
 def entropy_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:

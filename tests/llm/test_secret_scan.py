@@ -84,3 +84,70 @@ def test_allow_list_holds_for_pieces():
         assert spans and key[4:-4] not in redact(text, spans) and "RtYkLmPnBsDfGh" not in redact(text, spans), text
     for text in ("TheQuickBrownFoxJumpsOverLazyDogs", "Some-Heading-Text-Like-This-One", "wiki/MainPage/QuickBrownFoxJumps_2024", "sample" + key, "A" * 30 + "z" * 30):
         assert all_spans(text)[1] == [], text
+
+
+ORDINARY = """blog/2023/annual-report-final-version
+docs/v2/getting-started/install-guide
+section-12-environmental-quality-standards
+images/banner_2021_spring_sale-large
+https://news.example.org/2023/05/17/city-council-approves-budget-plan
+wiki/Special:RecentChanges/500_days_30_hideminor
+IMG_20230517_142233_HDR_edited_copy2
+2024-01-31T23-59-59Z-backup-full-weekly
+/usr/local/lib/python3/site-packages/numpy/core/multiarray
+/home/user1/Documents/Thesis_final_v12_REALLY_final
+products/category-17/item-4711-blue-xl/reviews
+WH-1000XM4-wireless-noise-cancelling-headphones
+covid-19-vaccination-rates-by-country-2021
+chapter03_section2_figure17_highres
+the-100-best-albums-of-the-1990s-part-3
+en-US/docs/Web/JavaScript/Reference/Global_Objects/Array
+questions/12345678/how-to-convert-string-to-int-in-python3
+org/2021/06/21/nyregion/mayoral-race-results-live
+mp3-to-wav-converter-64bit-setup-x86
+i18n-l10n-utf8-encoding-problems-explained
+RFC2616-sec14-header-field-definitions
+ISO-8859-15-character-table-overview
+Rechtsschutzversicherungsgesellschaften2024
+Donaudampfschifffahrtsgesellschaft_1875_Archiv
+internationalisation_of_documents_2024_rev3
+season-4-episode-12-the-one-with-the-rumour
+camelCaseIdentifierWithManyWordsInIt2
+HTTPServerRequestHandlerFactoryBean3
+release-notes-10-15-7-build-19H1323
+table=customers&sort=created_at_desc_page_2
+flight-BA2490-LHR-JFK-17may2023-confirmed
+items/123e4567-e89b-42d3-a456-426614174000/view/details
+css/style-min-responsive-grid-12col-1140px
+aria-labelledby-navigation-heading-level2""".split("\n")
+
+
+def test_ordinary_paths_slugs_dates_and_links_have_no_span():
+    assert len(ORDINARY) > 30
+    for text in ORDINARY:
+        assert all_spans(text)[1] == [], text
+        assert all_spans(f"see <a href='/{text}/'>{text}</a>, {text}.")[1] == [], text
+
+
+def test_links_stay_whole_when_secrets_go(make_docs):
+    key = "Xk92LmQpRt7Vb3Nc5Yw1Zs8Jd4Hg"
+    rows = [(i, f"read {t} and {key} too") for i, t in enumerate(ORDINARY)]
+    got = {r["doc_id"]: r["text"] for r in redact_secrets(make_docs(rows)).collect()}
+    assert got == {i: f"read {t} and [SECRET] too" for i, t in enumerate(ORDINARY)}
+
+
+def test_random_keys_are_found():
+    """Keys of several alphabets; the share found, and of these the share of keys whose middle is covered."""
+    import string
+
+    rng = random.Random(9)
+    base62 = string.ascii_letters + string.digits
+    found = {}
+    for name, alphabet in (("base62", base62), ("base36", string.ascii_lowercase + string.digits), ("base64", base62 + "+/"), ("url64", base62 + "-_")):
+        for size in (20, 32, 40):
+            keys = ["".join(rng.choice(alphabet) for _ in range(size)) for _ in range(1500)]
+            found[name, size] = sum(any(k == 3 for _, k, _ in all_spans(f"the key {key} is")[1]) for key in keys) / 1500
+    assert found["base62", 20] >= 0.91 and found["base62", 32] >= 0.995 and found["base36", 20] >= 0.89 and found["base36", 32] >= 0.996, found
+    assert min(found[n, 40] for n in ("base64", "url64")) >= 0.95, found
+    for key in ("kqzjxwvbnmprtlkdfghq4821", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzQk9sT2vL", "ghp-x7Kq/Lm2_9aBcD+eFgH3jKz"):
+        assert [k for _, k, _ in all_spans(key)[1]] == [3], key
