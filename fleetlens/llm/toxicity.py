@@ -133,14 +133,16 @@ class BlockMaxIndex:
         self.matrix[self.column[term[often]], example[often]] = value[often]
         term, value, example = term[~often], value[~often], example[~often]
         by = np.lexsort((example, term))
-        term, self.value, self.example = term[by], value[by], example[by]
-        # One entry for each (term, block): where its postings are, and the largest weight.
-        key = term * max(1, self.blocks) + self.example // BLOCK
-        self.at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
-        self.count = np.diff(np.append(self.at, len(key)))
-        self.block = self.example[self.at] // BLOCK
-        self.most = np.maximum.reduceat(self.value, self.at) if len(key) else np.empty(0)
-        self.entry = np.searchsorted(term[self.at], np.arange(len(weight) + 1))
+        term, self.value, example = term[by], value[by], example[by]
+        # One entry for each (term, block): where its postings are, and the largest weight
+        # (rounded up). Narrow types: the lists are read here and there, and should fit caches.
+        key = term * max(1, self.blocks) + example // BLOCK
+        at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+        narrow = np.uint16 if self.size < 1 << 16 else np.int64
+        self.example, self.block = example.astype(narrow), (example[at] // BLOCK).astype(narrow)
+        self.at, self.count = at.astype(np.int32 if len(key) < 1 << 31 else np.int64), np.diff(np.append(at, len(key))).astype(np.uint8)
+        self.most = np.nextafter((np.maximum.reduceat(self.value, at) if len(key) else np.empty(0)).astype(np.float32), np.float32(np.inf))
+        self.entry = np.searchsorted(term[at], np.arange(len(weight) + 1))
 
     def nearest(self, counts: tuple[np.ndarray, ...], texts: int, k: int, without: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each of some texts, by their counts: (places, cosines) of the ``k``
@@ -178,27 +180,28 @@ class BlockMaxIndex:
             """Add the other terms' part in these blocks of each text."""
             has = np.flatnonzero(blocks.ravel()[cell])
             e = entries[has]
-            count = self.count[e]
-            places = spans(self.at[e], count)
+            count = self.count[e].astype(np.int64)
+            places = spans(self.at[e].astype(np.int64), count)
             # A cell's examples follow those of the cell before it.
             where = np.repeat(cell[has] // self.blocks * self.size, count) + self.example[places]
             score.ravel()[:] += np.bincount(where, self.value[places] * np.repeat(w[has], count), score.size)
 
-        def kth(opened: np.ndarray) -> np.ndarray:
-            """The k-th best score in the opened blocks; below all others where there are fewer."""
-            seen = np.where(np.repeat(opened, BLOCK, axis=1), score, -3.0)
+        def kth() -> np.ndarray:
+            """The k-th best score so far. Weights are positive, so in a block that is
+            not opened the frequent terms' part is a lower bound."""
             at = self.size - min(k, self.size)
-            return np.partition(seen, at, axis=1)[:, at]
+            return np.partition(score, at, axis=1)[:, at]
 
-        # First the blocks of the best bounds, then all whose bound reaches the k-th best found in these.
+        # First the blocks of the best bounds, then all whose bound reaches the k-th best known.
         opened = np.zeros((texts, self.blocks), bool)
         np.put_along_axis(opened, np.argsort(-bound, axis=1, kind="stable")[:, : -(-4 * k // BLOCK)], True, axis=1)
+        opened &= bound >= kth()[:, None]
         open_(opened)
-        rest = (bound >= kth(opened)[:, None]) & ~opened
+        rest = (bound >= kth()[:, None]) & ~opened
         open_(rest)
         opened |= rest
         out = []
-        for row, least, mask in zip(score, kth(opened), opened):
+        for row, least, mask in zip(score, kth(), opened):
             places = np.flatnonzero(np.repeat(mask, BLOCK) & (row > 0) & (row >= least - 1e-12))
             best = places[np.lexsort((places, -np.round(row[places], 12)))[:k]]
             out.append((best, row[best]))
