@@ -22,6 +22,7 @@ from fleetlens.llm.common import arrow_schema, pick
 from fleetlens.runtime import materialize
 
 SCALE = 64
+MOST_TASKS = 100_000
 INDEX_SCHEMA = "dims int, n int, ids binary, low binary, bits binary, slices binary"
 QUERY_SCHEMA = "dims int, asked int, asked_ids binary, asked_vectors binary"
 
@@ -222,7 +223,11 @@ def top_k(
     blocks = materialize(asked.mapInArrow(run_queries, QUERY_SCHEMA), "query-blocks").df
     # Each query block meets the index blocks of each part that have its length. Both
     # sides carry blocks of bounded size, so a pair is a bounded step.
-    met = index.join(blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))), ["part", "dims"])
+    # A pair costs much time and few bytes: the number of partitions is given, so that it
+    # is not made smaller by size, and large enough that few parts share one.
+    asked_of = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    spread = min(4 * parts, MOST_TASKS)
+    met = index.repartition(spread, "part", "dims").join(asked_of.repartition(spread, "part", "dims").hint("merge"), ["part", "dims"])
 
     def search(batches):
         schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])

@@ -77,3 +77,18 @@ def test_repeated_query_with_malformed_rows(spark):
     want = {tuple(r) for r in top_k(frame(good), frame(good), k=3).collect()}
     assert {r[0] for r in want} == {1, 2, 3, 4, 5}
     assert {tuple(r) for r in top_k(frame(good + bad), frame(good + bad), k=3).collect()} == want
+
+
+def test_a_very_long_vector(spark):
+    import numpy as np
+
+    from fleetlens.llm.topk import top_k
+
+    rng = np.random.default_rng(4)
+    long = rng.normal(size=(6, 20_000)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(long)] + [(100, [0.5, -0.5]), (101, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = sorted(map(tuple, top_k(df, df.filter("vec_id in (0, 100)"), k=3).collect()))
+    q = np.floor(64 * long.astype(np.float64)).astype(np.int64)
+    scores = sorted(((-int(q[0] @ q[i]), i) for i in range(1, 6)))[:3]
+    assert got == [(0, r, i, -s) for r, (s, i) in enumerate(scores, 1)] + [(100, 1, 101, 0)]
