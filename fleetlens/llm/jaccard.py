@@ -6,7 +6,9 @@ pair must share one of the rarest shingles of each row, one more of them than
 its size allows to miss; rows that share none of these cannot reach the bound,
 and fall into different blocks of the product. Each block is multiplied by
 column chunks, and pairs whose overlap so far plus all that is left stays below
-the bound that their sizes give are discarded on the way.
+the bound that their sizes give are discarded on the way. In a large block whose
+rows share few of their rarest shingles, the product of these alone comes first,
+and only pairs that can still reach the bound are looked at.
 """
 
 from __future__ import annotations
@@ -147,8 +149,37 @@ def shared_prefixes(signed: DataFrame, classes: DataFrame, percent: int) -> Data
     return rows.select("node", F.explode(F.slice("all", F.lit(1), F.col("take").cast("int"))).alias("s")).select("node", F.col("s.shingle").alias("shingle"))
 
 
+def bound_pairs(entries: DataFrame, parted: DataFrame, percent: int) -> DataFrame:
+    """(u, v): pairs within a block, u of them open, that share prefix shingles and
+    may link by their sizes (n) and by how many of these they share: what two
+    sets share beyond the prefix of the one whose prefix ends first is at most the
+    rest of that one. ``parted`` has (node, block, n, open), ``entries`` (node, shingle)."""
+    rest = f"ceil({percent} * n / 100) - 1"  # of n, those beyond the prefix
+    held = entries.join(parted.select("node", "block", "n", "open", F.expr(rest).alias("rest")), "node")
+    u = held.filter("open").select("block", "shingle", F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("rest").alias("rest_u"))
+    v = held.select("block", "shingle", F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("rest").alias("rest_v"), F.col("open").alias("open_v"))
+    fits = f"u <> v AND (NOT open_v OR u < v) AND 100 * least(n_u, n_v) >= {percent} * greatest(n_u, n_v)"
+    shared = u.join(v.hint("merge"), ["block", "shingle"]).filter(fits).groupBy("u", "v", "n_u", "n_v", "rest_u", "rest_v").agg(F.count(F.lit(1)).alias("shared"))
+    return shared.filter(f"{100 + percent} * (shared + greatest(rest_u, rest_v)) >= {percent} * (n_u + n_v)").select("u", "v")
+
+
+def checked_pairs(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Those of the pairs (u, v) that link, by the texts of their nodes."""
+
+    def run(batches):
+        hashes = Recent(word_hash, 100_000)
+        of = Recent(lambda t: shingle_set(t, size, hashes), 256, 1 << 20)
+        for batch in slices(batches):
+            sets = [[of[t] for t in batch.column(i).to_pylist()] for i in (2, 3)]
+            keep = [(100 + percent) * len(np.intersect1d(a, b, assume_unique=True)) >= percent * (len(a) + len(b)) for a, b in zip(*sets)]
+            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    of_u, of_v = (texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in ("u", "v"))
+    return pairs.join(of_v.hint("merge"), "v").join(of_u.hint("merge"), "u").select("u", "v", "text_u", "text_v").mapInArrow(run, EDGES)
+
+
 def candidate_texts(docs: DataFrame, candidates: DataFrame, size: int) -> DataFrame:
-    """(node, block, text) of the candidates (doc_id, print, node, block). A
+    """(node, block, n, text) of the candidates (doc_id, print, node, block, n). A
     bitmap of their ids keeps most other rows out of the shuffle."""
     table = docs.sparkSession.sparkContext.broadcast(bitmap(candidates.select(hashed_bit("doc_id").alias("bit"))))
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -165,7 +196,7 @@ def candidate_texts(docs: DataFrame, candidates: DataFrame, size: int) -> DataFr
     texts = docs.select("doc_id", "text", hashed_bit("doc_id").alias("bit")).mapInArrow(run, ddl)
     alike = Window.partitionBy("doc_id", "print").orderBy(F.lit(0))  # rows that repeat id and set
     joined = texts.alias("t").join(candidates.hint("merge").alias("c"), F.col("t.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("t.print") == F.col("c.print")))
-    return joined.select("t.doc_id", "t.print", "text", "node", "block").withColumn("nth", F.row_number().over(alike)).filter("nth = 1").select("node", "block", "text")
+    return joined.select("t.doc_id", "t.print", "text", "node", "block", "n").withColumn("nth", F.row_number().over(alike)).filter("nth = 1").select("node", "block", "n", "text")
 
 
 def linked_pairs(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> np.ndarray:
@@ -263,31 +294,44 @@ def pivot_links(members: DataFrame, size: int, percent: int) -> DataFrame:
     return members.join(pivots, "block").select("node", "block", "text", "pivots").mapInArrow(run, ddl)
 
 
-def block_links(members: DataFrame, size: int, percent: int, block_rows: int, block_chars: int) -> DataFrame:
-    """Edges (u, v) that join all linked members of each block (node, block, text).
+def block_links(members: DataFrame, entries: DataFrame, size: int, percent: int, block_rows: int, block_chars: int) -> DataFrame:
+    """Edges (u, v) that join all linked members of each block (node, block, n, text).
 
     A block of up to ``block_rows`` rows and ``block_chars`` characters is
     multiplied in one step. In a larger one, members that link with one pivot
-    are joined already, so no pair of them is looked at again; the others meet
-    all members, in steps of two parts of about that size.
+    are joined already, so no pair of them is looked at again; the others, the
+    open ones, must meet the members that they can link with. Where they share few
+    prefix shingles (``entries``: node, shingle), as in blocks that only chains of
+    chance hold together, these pairs are listed, bounded and checked one by one;
+    where listing them takes over a quarter of all pairs, as in a group of near
+    copies, the open members meet all, in steps of two parts of about that size.
     """
     parts = lambda rows, chars: F.ceil(F.greatest(rows / block_rows, chars / block_chars)).cast("int")
     sizes = members.groupBy("block").agg(parts(F.count(F.lit(1)), F.sum(F.length("text"))).alias("size"))
     sizes = materialize(sizes, "jaccard-sizes").df
     sized = members.join(sizes, "block")
     whole = sized.filter(F.col("size") <= 1).select("node", "block", "text", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
-    met = materialize(pivot_links(sized.filter(F.col("size") > 1).drop("size"), size, percent), "jaccard-large").df
+    large = sized.filter(F.col("size") > 1).drop("size")
+    met = materialize(pivot_links(large, size, percent).join(large.select("node", "n").hint("merge"), "node"), "jaccard-large").df
     edges = met.select(F.col("node").alias("u"), F.explode("links").alias("v"))
     best = edges.join(met.select("node", "block"), F.col("u") == F.col("node")).groupBy("block", "v").agg(F.count(F.lit(1)).alias("n"))
     best = best.groupBy("block").agg(F.max_by("v", F.struct("n", "v")).alias("pivot"))
     parted = met.join(best, "block").withColumn("open", ~F.array_contains("links", F.col("pivot")))
     chars, done = F.length("text"), ~F.col("open")
+    parted = materialize(parted, "jaccard-open").df
+    by_shingle = entries.join(parted.select("node", "block", "open"), "node").groupBy("block", "shingle").agg(F.count_if("open").alias("opens"), F.count(F.lit(1)).alias("all"))
+    listed = by_shingle.groupBy("block").agg(F.sum(F.col("opens").cast("double") * F.col("all")).alias("listed"))
     counts = parted.groupBy("block").agg(
+        (F.count_if("open").cast("double") * F.count(F.lit(1))).alias("every"),
         parts(F.count_if("open"), F.coalesce(F.sum(F.when(F.col("open"), chars)), F.lit(0))).alias("opens"),
         parts(F.count_if(done), F.coalesce(F.sum(F.when(done, chars)), F.lit(0))).alias("dones"),
     )
+    counts = counts.join(listed, "block", "left").withColumn("by_list", F.col("listed") * 4 <= F.col("every")).drop("listed", "every")
     counts = materialize(counts, "jaccard-steps").df
-    dealt = parted.join(counts, "block").filter("opens > 0")
+    by_list = parted.join(counts.filter("opens > 0 AND by_list").select("block"), "block", "left_semi")
+    pairs = materialize(bound_pairs(entries, by_list, percent), "jaccard-pairs").df
+    edges = edges.union(checked_pairs(pairs, by_list, size, percent))
+    dealt = parted.join(counts.filter("opens > 0 AND NOT coalesce(by_list, false)").drop("by_list"), "block")
     dealt = dealt.withColumn("b", F.when(F.col("open"), F.pmod(F.hash("node"), F.col("opens"))).otherwise(F.col("opens") + F.pmod(F.hash("node"), F.greatest("dones", F.lit(1)))))
     # Steps (i, j): i among the open parts, j from i on; a row is in each step that names its part.
     others = F.when(F.col("open"), F.sequence(F.lit(0), F.col("opens") + F.col("dones") - 1)).otherwise(F.sequence(F.lit(0), F.col("opens") - 1))
@@ -328,16 +372,16 @@ def jaccard_components(docs: DataFrame, shingle_words: int = 4, percent: int = 8
     """
     src = pick(docs, doc_id=id_col, text=text_col)
     signed = materialize(signatures(src, shingle_words, percent).withColumn("row", F.monotonically_increasing_id()), "jaccard-sets").df
-    classes = signed.filter("n > 0").groupBy("print").agg(F.min("row").alias("node"), F.min("doc_id").alias("doc_id"), F.min_by("doc_id", "row").alias("node_id"))
+    classes = signed.filter("n > 0").groupBy("print").agg(F.min("row").alias("node"), F.min("doc_id").alias("doc_id"), F.min_by("doc_id", "row").alias("node_id"), F.min("n").alias("n"))
     classes = materialize(classes, "jaccard-classes").df
     entries = materialize(shared_prefixes(signed, classes, percent), "jaccard-prefixes").df
     pivots = entries.groupBy("shingle").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("shingle", "first")
     pivots = materialize(pivots, "jaccard-pivots").df
     near = entries.join(pivots.hint("merge"), "shingle").filter("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v")).distinct()
     blocks = connected_components(near).select("node", F.col("root").alias("block"))
-    candidates = materialize(classes.select("node", F.col("node_id").alias("doc_id"), "print").join(blocks.hint("merge"), "node"), "jaccard-candidates").df
+    candidates = materialize(classes.select("node", F.col("node_id").alias("doc_id"), "print", "n").join(blocks.hint("merge"), "node"), "jaccard-candidates").df
     members = materialize(candidate_texts(src, candidates, shingle_words), "jaccard-members").df
-    links = materialize(block_links(members, shingle_words, percent, block_rows, block_chars), "jaccard-links").df
+    links = materialize(block_links(members, entries, shingle_words, percent, block_rows, block_chars), "jaccard-links").df
     roots = connected_components(links)
     rooted = classes.select("node", "print", "doc_id").join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -116,3 +116,28 @@ def test_connected_components(spark):
 
 def test_empty_table(no_docs):
     assert jaccard_components(no_docs).collect() == []
+
+
+def test_blocks_of_chance_compare_only_pairs_that_can_link(make_docs, monkeypatch):
+    """Texts over 16 words: chains of shared shingles make one block, yet few pairs share many."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(16)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(120))) for i in range(700)]
+    for i in range(0, 40, 2):  # and some near copies, chains of three
+        w = rows[i][1].split()
+        w[rng.randrange(120)] = "new"
+        rows += [(1000 + i, " ".join(w)), (1001 + i, " ".join([*w[:60], "other", *w[61:]]))]
+    listed = []
+    real = jaccard.checked_pairs
+    monkeypatch.setattr(jaccard, "checked_pairs", lambda pairs, *rest: listed.append({(r["u"], r["v"]) for r in pairs.collect()}) or real(pairs, *rest))
+    product = jaccard.bound_pairs
+    entries = []
+    monkeypatch.setattr(jaccard, "bound_pairs", lambda e, *rest: entries.append([tuple(r) for r in e.collect()]) or product(e, *rest))
+    got = jaccard_components(make_docs(rows), block_rows=150)
+    assert sorted(str(tuple(r)) for r in got.collect()) == plain(rows)
+    holders = defaultdict(set)
+    for node, shingle in entries[0]:
+        holders[shingle].add(node)
+    sharing = {(min(u, v), max(u, v)) for nodes in holders.values() for u in nodes for v in nodes if u != v}
+    compared = {(min(u, v), max(u, v)) for u, v in listed[0]}
+    assert compared and compared <= sharing and len(compared) < len(sharing) / 20
