@@ -171,11 +171,11 @@ class LicenseMatcher:
         if low == high or 2 * common < self.threshold * (n + self.sizes[low]) - 1e-9:
             return None
         got, found = bigrams(words), None
-        for _, _, name, b in self.templates[low:high]:
+        for _, listed, name, b in self.templates[low:high]:
             d = dice(got, b)
-            if d >= self.threshold - 1e-12 and (found is None or d > found[0]):
-                found = (d, name)
-        return found
+            if d >= self.threshold - 1e-12 and (found is None or (-d, listed) < found[:2]):
+                found = (-d, listed, name)
+        return None if found is None else (-found[0], found[2])
 
     def scan(self, text: str | None) -> list[tuple[int, int, float, str]]:
         """(first line, line after the last, Dice coefficient, name) of the runs

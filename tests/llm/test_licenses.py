@@ -88,3 +88,69 @@ def test_siblings_have_their_own_names():
         for around in (text, "intro words " + text + " and more words"):
             assert [h[3] for h in matcher.find(around)] == [name], (name, around)
     assert len(three) == 2 and "business interruption" in max(three, key=len).lower()
+
+
+def plain_windows(words, templates, threshold):
+    """All windows of words, all templates of three bigrams or more."""
+    prepared = [(i, name, b) for i, (name, t) in enumerate(templates) if (b := bigrams(normal_words(t))).total() >= 3]
+    found = []
+    for a in range(len(words)):
+        for e in range(a + 2, len(words) + 1):
+            got = bigrams(words[a:e])
+            found += [(-d, e - a, a, i, name) for i, name, b in prepared if (d := dice(got, b)) >= threshold - 1e-12]
+    out = []
+    for d, n, a, _, name in sorted(found):
+        if all(a + n <= o[0] or a >= o[1] for o in out):
+            out.append((a, a + n, -d, name))
+    return sorted(out)
+
+
+def test_windows_by_definition():
+    rng = random.Random(8)
+    for _ in range(120):
+        vocabulary = [f"w{i}" for i in range(rng.randrange(4, 12))]
+        templates = [(f"t{i}", " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(2, 9)))) for i in range(4)]
+        threshold = rng.choice([0.5, 0.8, 1.0])
+        words = [rng.choice([*vocabulary, "other"]).encode() for _ in range(rng.randrange(0, 40))]
+        for _ in range(rng.randrange(3)):
+            at = rng.randrange(len(words) + 1)
+            words[at:at] = normal_words(rng.choice(templates)[1])
+        got = LicenseMatcher(templates, threshold).windows(words)
+        assert [(a, e, round(d, 9), n) for a, e, d, n in got] == [(a, e, round(d, 9), n) for a, e, d, n in plain_windows(words, templates, threshold)]
+
+
+def test_find_is_runs_and_then_windows_between_them():
+    matcher, rng = LicenseMatcher(), random.Random(12)
+    for _ in range(40):
+        lines = []
+        for _ in range(rng.randrange(1, 5)):
+            notice = rng.choice([t for _, t in TEMPLATES if len(t) < 200])
+            lines.append(rng.choice(["some prose and more of it", "", notice, "words before " + notice + " and after", notice.replace(" ", "\n", 1)]))
+        text = "\n".join(lines)
+        runs = matcher.scan(text)
+        want, words, of = list(runs), [], []
+        for i, line in enumerate([*text.split("\n"), None]):
+            if line is None or any(a <= i < e for a, e, *_ in runs):
+                want += [(of[a], of[e - 1] + 1, d, n) for a, e, d, n in plain_windows(words, TEMPLATES, 0.8)]
+                words, of = [], []
+            else:
+                words += normal_words(line)
+                of += [i] * len(normal_words(line))
+        assert [(a, e, round(d, 9), n) for a, e, d, n in matcher.find(text)] == [(a, e, round(d, 9), n) for a, e, d, n in sorted(want)], text
+
+
+def test_ties_go_to_the_template_listed_first():
+    long, short = ("long", "a b c d x y"), ("short", "a b c d")
+    words = normal_words("a b c d z")  # 3 common bigrams with both: 6 / 9 and 6 / 7
+    same = [("one", "a b c q"), ("two", "a b c r")]
+    for templates in (same, same[::-1]):
+        assert LicenseMatcher(templates, 0.6).best(normal_words("a b c"), 3)[1] == templates[0][0]
+        assert LicenseMatcher(templates, 0.6).windows(normal_words("p a b c s"))[0][3] == templates[0][0]
+    # two templates of different sizes at one coefficient
+    tied = [("larger", "a b c d e f"), ("smaller", "a b c")]  # of "a b c d": 2 * 3 / (3 + 5) = 0.75 and 2 * 2 / (3 + 2) = 0.8
+    assert LicenseMatcher([long, short], 0.6).best(words, 4)[1] == "short" and LicenseMatcher(tied, 0.7).best(normal_words("a b c d"), 4)[1] == "smaller"
+    equal = [("five", "a b c d e f"), ("four", "a b c x d")]  # of "a b c d e": 2 * 4 / 9; of the other 2 * 2 / 8
+    assert LicenseMatcher(equal, 0.4).best(normal_words("a b c d e"), 5)[1] == "five"
+    half = [("wide", "a b c p q r s"), ("narrow", "a b p")]  # of "a b c": 2 * 2 / (2 + 6) = 0.5 and 2 * 1 / (2 + 2) = 0.5
+    for templates in (half, half[::-1]):
+        assert LicenseMatcher(templates, 0.5).best(normal_words("a b c"), 3) == (0.5, templates[0][0])
