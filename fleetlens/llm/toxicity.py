@@ -70,7 +70,7 @@ class Words(dict):
 class Vocabulary:
     """Counts the known terms of texts; a term's number is its place in ``terms``."""
 
-    def __init__(self, terms: list[bytes], most_words: int = 300_000):
+    def __init__(self, terms: list[bytes], most_words: int = 200_000):
         self.number = {t: i for i, t in enumerate(terms)}
         self.most_words, self.words = most_words, Words(self.number)
 
@@ -132,8 +132,9 @@ class BlockMaxIndex:
         often = self.column[term] >= 0
         self.matrix[self.column[term[often]], example[often]] = value[often]
         term, value, example = term[~often], value[~often], example[~often]
-        by = np.lexsort((example, term))
+        by = np.argsort(term * max(1, self.size) + example, kind="stable")
         term, self.value, example = term[by], value[by], example[by]
+        del by, often, value, text, times
         # One entry for each (term, block): where its postings are, and the largest weight
         # (rounded up). Narrow types: the lists are read here and there, and should fit caches.
         key = term * max(1, self.blocks) + example // BLOCK
@@ -330,7 +331,14 @@ SCORED = "score double, neighbours array<long>, cosines array<double>, toxic_nei
 
 
 def worker_index(held: Broadcast) -> tuple[BlockMaxIndex, Vocabulary]:
-    return per_worker(held, "index", lambda v: BlockMaxIndex(v[0], v[1], v[3])), per_worker(held, "vocabulary", lambda v: Vocabulary(v[2]))
+    """Made once in each Python worker; what they are made from is then let go."""
+    kept = held.value
+    if "index" not in kept:
+        examples, (text, term, times), terms, weight = kept["value"]
+        kept["index"] = BlockMaxIndex(examples, (text.astype(np.int64), term.astype(np.int64), times), weight)
+        kept["vocabulary"] = Vocabulary(terms)
+        kept["value"] = None
+    return kept["index"], kept["vocabulary"]
 
 
 def voted(rows: DataFrame, held: Broadcast, k: int, curve: tuple[np.ndarray, np.ndarray] = (np.empty(0), np.empty(0)), leave_out: bool = False) -> DataFrame:
@@ -415,8 +423,8 @@ def fit_toxicity(
     # Bounded by the sample.
     found = sample.select("doc_id", "text", "label", "weight").mapInArrow(vectors, "doc_id long, label int, weight double, terms array<int>, times array<int>").toArrow().sort_by("doc_id").combine_chunks()
     examples = tuple(found.column(c).to_numpy() for c in ("doc_id", "label", "weight"))
-    lists = [pc.list_flatten(found.column(c)).to_numpy().astype(np.int64) for c in ("terms", "times")]
-    counts = (pc.list_parent_indices(found.column("terms")).to_numpy(), *lists)
+    lists = [pc.list_flatten(found.column(c)).to_numpy() for c in ("terms", "times")]
+    counts = (pc.list_parent_indices(found.column("terms")).to_numpy().astype(np.int32), *lists)
     held = spark.sparkContext.broadcast({"value": (examples, counts, terms, weight)})
     score = {r["doc_id"]: r["score"] for r in voted(sample.select("doc_id", "text"), held, k, leave_out=True).select("doc_id", "score").collect()}
     curve = isotonic(np.array([score[i] for i in examples[0].tolist()]), examples[1].astype(float), examples[2])
