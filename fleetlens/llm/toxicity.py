@@ -17,6 +17,7 @@ calibrated on the examples themselves.
 from __future__ import annotations
 
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -59,7 +60,17 @@ class Words(dict):
         self.first, self.count, self.flat = array("q"), array("q"), array("q")
 
     def __missing__(self, word: bytes) -> int:
-        terms = [self.number[s] for s in stems_of(word) if s in self.number]
+        terms, known = [], True
+        for n in PREFIXES:
+            if len(word) <= n:
+                break
+            t = self.number.get(word[:n] + b"*")
+            if t is None:  # no word of the sample begins so, nor with more of it
+                known = False
+                break
+            terms.append(t)
+        if known and (t := self.number.get(word)) is not None:
+            terms.append(t)
         self.first.append(len(self.flat))
         self.count.append(len(terms))
         self.flat.extend(terms)
@@ -79,14 +90,16 @@ class Vocabulary:
         then term."""
         if len(self.words) > self.most_words:
             self.words = Words(self.number)
-        held = [words_of(t) for t in texts]
-        size = np.array([len(w) for w in held], np.int64)
+        held = [Counter(words_of(t)) for t in texts]  # each distinct word of a text is looked up once
+        size = np.array([len(c) for c in held], np.int64)
         found = np.fromiter(map(self.words.__getitem__, chain.from_iterable(held)), np.int64, int(size.sum()))
+        repeats = np.fromiter(chain.from_iterable(c.values() for c in held), np.int64, len(found))
+        found, text = np.repeat(found, repeats), np.repeat(np.repeat(np.arange(len(texts)), size), repeats)
         first, count, flat = (np.frombuffer(x, np.int64) for x in (self.words.first, self.words.count, self.words.flat))
-        terms = flat[spans(first[found], count[found])]
-        text = np.repeat(np.repeat(np.arange(len(texts)), size), count[found])
+        terms, text = flat[spans(first[found], count[found])], np.repeat(text, count[found])
         keys, times = np.unique(text * len(self.number) + terms, return_counts=True)
-        return *np.divmod(keys, max(1, len(self.number))), times
+        text = keys // max(1, len(self.number))
+        return text, keys - text * len(self.number), times
 
 
 def weigh(text: np.ndarray, terms: np.ndarray, times: np.ndarray, texts: int, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
