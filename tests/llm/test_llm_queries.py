@@ -102,3 +102,46 @@ def test_pipeline(spark):
 def test_run_on_documents(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "decoded_sha256"] and out.count() > 0
+
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def write_tables(spark, path, texts, labels):
+    from llm_fixtures import rows_for
+
+    spark.createDataFrame([r[:5] for r in rows_for(texts)], DOCUMENTS).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+
+
+def test_pipeline_on_edge_rows(spark, tmp_path):
+    """Null ids, texts, languages and sources, empty and very long texts, ties and repeated rows."""
+    from llm_fixtures import EDGE_TEXTS
+
+    mild = [(100 + i, f"plain words number {i} that say nothing of note and go on for a while, item {i * 7}") for i in range(60)]
+    rude = [(300 + i, f"you vileword fool number {i}, such a vileword as {i * 3} others") for i in range(30)]
+    texts = [*EDGE_TEXTS, *mild, *rude, (100, mild[0][1]), (400, mild[1][1]), (401, mild[1][1] + " x")]
+    write_tables(spark, tmp_path, texts, [(i, 1, 0) for i, _ in mild] + [(i, 0, 1) for i, _ in rude] + [(None, 1, 1), (1, None, None)])
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, str(tmp_path))
+        assert now.schema == docs.schema, name
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    ids = {r["doc_id"] for r in out}
+    assert ids and ids <= {i for i, _ in texts} and not ids & {i for i, _ in rude} and not {400, 401} <= ids
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    write_tables(spark, tmp_path, [], [])
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.collect() == [] and out.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "decoded_sha256"]
+
+
+def test_queries_on_empty_tables(spark, tmp_path):
+    write_tables(spark, tmp_path, [], [])
+    spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, query in QUERIES.items():
+        assert query(spark, str(tmp_path)).collect() == [], name
