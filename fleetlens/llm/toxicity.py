@@ -19,7 +19,7 @@ from __future__ import annotations
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -50,54 +50,55 @@ def stems_of(word: bytes) -> list[bytes]:
     return [word, *(word[:n] + b"*" for n in PREFIXES if len(word) > n)]
 
 
-class Words(dict):
-    """The known terms of words: a word's number is its place in ``first`` and
-    ``count``, which say where its terms' numbers are in ``flat``."""
+HEAD = max(PREFIXES) + 1  # bytes of a word that say which beginnings are its terms
 
-    def __init__(self, number: dict[bytes, int]):
-        self.number = number
+
+class Heads(dict):
+    """The known beginnings of words, by the words' first HEAD bytes: a head's
+    number is its place in ``first`` and ``count``, which say where its terms' numbers
+    are in ``flat``."""
+
+    def __init__(self, beginnings: dict[bytes, int]):
+        self.beginnings = beginnings
         self.first, self.count, self.flat = array("q"), array("q"), array("q")
 
-    def __missing__(self, word: bytes) -> int:
-        terms, known = [], True
+    def __missing__(self, head: bytes) -> int:
+        terms = []
         for n in PREFIXES:
-            if len(word) <= n:
-                break
-            t = self.number.get(word[:n] + b"*")
-            if t is None:  # no word of the sample begins so, nor with more of it
-                known = False
-                break
-            terms.append(t)
-        if known and (t := self.number.get(word)) is not None:
+            if len(head) <= n or (t := self.beginnings.get(head[:n])) is None:
+                break  # what does not begin so does not begin with more of it either
             terms.append(t)
         self.first.append(len(self.flat))
         self.count.append(len(terms))
         self.flat.extend(terms)
-        self[word] = n = len(self)
+        self[head] = n = len(self)
         return n
 
 
 class Vocabulary:
     """Counts the known terms of texts; a term's number is its place in ``terms``."""
 
-    def __init__(self, terms: list[bytes], most_words: int = 200_000):
-        self.number = {t: i for i, t in enumerate(terms)}
-        self.most_words, self.words = most_words, Words(self.number)
+    def __init__(self, terms: list[bytes], most_heads: int = 200_000):
+        self.size = len(terms)
+        self.whole = {t: i for i, t in enumerate(terms) if not t.endswith(b"*")}
+        self.beginnings = {t[:-1]: i for i, t in enumerate(terms) if t.endswith(b"*")}
+        self.most_heads, self.heads = most_heads, Heads(self.beginnings)
 
     def count(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place of the text, term number, how often it occurs there), by text and
         then term."""
-        if len(self.words) > self.most_words:
-            self.words = Words(self.number)
+        if len(self.heads) > self.most_heads:
+            self.heads = Heads(self.beginnings)
         held = [words_of(t) for t in texts]
-        size = np.array([len(w) for w in held], np.int64)
-        found = np.fromiter(map(self.words.__getitem__, chain.from_iterable(held)), np.int64, int(size.sum()))
-        first, count, flat = (np.frombuffer(x, np.int64) for x in (self.words.first, self.words.count, self.words.flat))
-        terms = flat[spans(first[found], count[found])]
-        text = np.repeat(np.repeat(np.arange(len(texts)), size), count[found])
-        keys, times = np.unique(text * len(self.number) + terms, return_counts=True)
-        text = keys // max(1, len(self.number))
-        return text, keys - text * len(self.number), times
+        words = list(chain.from_iterable(held))
+        text = np.repeat(np.arange(len(texts)), [len(w) for w in held])
+        head = np.fromiter(map(self.heads.__getitem__, [w[:HEAD] for w in words]), np.int64, len(words))
+        whole = np.fromiter(map(self.whole.get, words, repeat(-1)), np.int64, len(words))
+        first, count, flat = (np.frombuffer(x, np.int64) for x in (self.heads.first, self.heads.count, self.heads.flat))
+        begun = np.repeat(text, count[head]) * self.size + flat[spans(first[head], count[head])]
+        keys, times = np.unique(np.concatenate([begun, (text * self.size + whole)[whole >= 0]]), return_counts=True)
+        text = keys // max(1, self.size)
+        return text, keys - text * self.size, times
 
 
 def weigh(text: np.ndarray, terms: np.ndarray, times: np.ndarray, texts: int, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -15,7 +15,7 @@ def test_words():
     v = Vocabulary([b"trash", b"tras*", b"none"])
     for _ in range(2):
         assert [x.tolist() for x in v.count(["Trash! trashy", None, "tras", "NONE trash"])] == [[0, 0, 3, 3, 3], [0, 1, 0, 1, 2], [1, 2, 1, 1, 1]]
-        v.most_words = 0  # the words are looked up anew
+        v.most_heads = 0  # the words are looked up anew
     assert [len(x) for x in v.count([])] == [0, 0, 0] == [len(x) for x in Vocabulary([]).count(["a b"])]
 
 
