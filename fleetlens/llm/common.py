@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -31,13 +32,23 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(T.StructType.fromDDL(ddl))
 
 
+def release_memory() -> None:
+    """Give what is free in Arrow's pool and, where the C library can, in the heap
+    that numpy and Python use back to the machine; a reused worker would keep it
+    through all later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
     """The batches in pieces, so that few texts are Python objects at a time;
     at the end the worker gives freed buffers back."""
     for batch in batches:
         for a in range(0, batch.num_rows, rows):
             yield batch.slice(a, rows)
-    pa.default_memory_pool().release_unused()
+    release_memory()
 
 
 def map_rows(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:

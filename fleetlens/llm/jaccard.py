@@ -29,6 +29,7 @@ from fleetlens.runtime import materialize
 FILTER_BITS = 1 << 24
 PIVOTS = 8
 CHUNK = 2048  # columns multiplied at a time
+STRIP = 256  # rows of a product that are looked at together
 
 
 def word_hash(word: bytes) -> int:
@@ -199,26 +200,43 @@ def candidate_texts(docs: DataFrame, candidates: DataFrame, size: int) -> DataFr
     return joined.select("t.doc_id", "t.print", "text", "node", "block", "n").withColumn("nth", F.row_number().over(alike)).filter("nth = 1").select("node", "block", "n", "text")
 
 
+def incidence(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the sets' elements, by column, rare columns first; those of
+    one row are left out, as they add to no overlap."""
+    _, column, frequency = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
+    shared = frequency[column] > 1
+    order = np.argsort(frequency, kind="stable")
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    row, column = row[shared], place[column[shared]] - np.int32((frequency == 1).sum())
+    by = np.argsort(column, kind="stable")
+    return row[by], column[by]
+
+
 def linked_pairs(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> np.ndarray:
     """Which pairs (of ``left`` by ``right``, or within ``left``) link: the
-    incidence matrix times its transpose, a chunk of columns at a time."""
+    incidence matrix times its transpose, a chunk of columns at a time. Of pairs
+    only the overlap and whether they can link are kept; all else that is as large is
+    made STRIP rows at a time."""
     sets = left + (right or [])
     sizes = np.array([len(s) for s in sets], np.int64)
     split = len(left)
-    _, column, frequency = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(sets)), sizes)
-    shared = frequency[column] > 1  # a column of one row adds to no overlap
-    order = np.argsort(frequency, kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    row, column = row[shared], place[column[shared]] - int((frequency == 1).sum())
-    by = np.argsort(column, kind="stable")
-    row, column = row[by], column[by]
+    row, column = incidence(sets)
     remaining = np.bincount(row, minlength=len(sets))
     rows, cols = (slice(0, split), slice(split, None)) if right is not None else (slice(None), slice(None))
-    needed = percent * (sizes[rows, None] + sizes[None, cols])  # links if (100 + percent) * overlap >= needed
-    overlap = np.zeros(needed.shape, np.float32)
-    alive = (100 + percent) * np.minimum(remaining[rows, None], remaining[None, cols]) >= needed
+    needed_rows, needed_cols = percent * sizes[rows], percent * sizes[cols]  # links if (100 + percent) * overlap >= their sum
+    overlap = np.zeros((len(needed_rows), len(needed_cols)), np.float32)
+    alive = np.ones(overlap.shape, bool)
+    strips = [slice(a, a + STRIP) for a in range(0, len(overlap), STRIP)]
+
+    def bound() -> None:
+        """Discard pairs whose overlap so far plus all that is left is too small."""
+        for s in strips:
+            most = overlap[s] + np.minimum(remaining[rows][s, None], remaining[None, cols])
+            alive[s] &= (100 + percent) * most >= needed_rows[s, None] + needed_cols[None, :]
+
+    bound()
     if right is None:
         np.fill_diagonal(alive, False)
     live = np.ones(len(sets), bool)
@@ -236,12 +254,18 @@ def linked_pairs(left: list[np.ndarray], right: list[np.ndarray] | None, percent
         part = np.zeros((len(found), CHUNK), np.float32)
         part[at, c[use]] = 1
         if right is None:
-            overlap[np.ix_(found, found)] += part @ part.T
+            for k in range(0, len(found), STRIP):  # what is above the diagonal is below it, too
+                both = part[k : k + STRIP] @ part[k:].T
+                overlap[np.ix_(found[k : k + STRIP], found[k:])] += both
+                overlap[np.ix_(found[k + STRIP :], found[k : k + STRIP])] += both[:, STRIP:].T
         else:
-            k = int(np.searchsorted(found, split))
-            overlap[np.ix_(found[:k], found[k:] - split)] += part[:k] @ part[k:].T
-        alive &= (100 + percent) * (overlap + np.minimum(remaining[rows, None], remaining[None, cols])) >= needed
-    return alive & ((100 + percent) * overlap >= needed)
+            first = int(np.searchsorted(found, split))
+            for k in range(0, first, STRIP):
+                overlap[np.ix_(found[k : min(k + STRIP, first)], found[first:] - split)] += part[k : min(k + STRIP, first)] @ part[first:].T
+        bound()
+    for s in strips:
+        alive[s] &= (100 + percent) * overlap[s].astype(np.float64) >= needed_rows[s, None] + needed_cols[None, :]
+    return alive
 
 
 def spanning(linked: np.ndarray, left: np.ndarray, right: np.ndarray | None) -> list[tuple[int, int]]:

@@ -141,3 +141,32 @@ def test_blocks_of_chance_compare_only_pairs_that_can_link(make_docs, monkeypatc
     sharing = {(min(u, v), max(u, v)) for nodes in holders.values() for u in nodes for v in nodes if u != v}
     compared = {(min(u, v), max(u, v)) for u, v in listed[0]}
     assert compared and compared <= sharing and len(compared) < len(sharing) / 20
+
+
+def test_a_product_keeps_few_bytes_a_pair():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 62, 60).astype(np.uint64)
+    sets = [np.unique(np.where(rng.random(60) < 0.9, base, rng.integers(0, 1 << 62, 60).astype(np.uint64))) for _ in range(1024)]
+    tracemalloc.start()
+    linked = linked_pairs(sets, None, 80)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert linked.any() and (linked == linked.T).all() and peak < 32 * 1024 * 1024  # bytes, of 1024 by 1024 pairs
+
+
+def test_free_memory_goes_back_after_a_task():
+    import ctypes
+    import re
+    from pathlib import Path
+
+    from fleetlens.llm.common import slices
+
+    if not hasattr(ctypes.CDLL(None), "malloc_trim"):
+        pytest.skip("the C library cannot")
+    used = lambda: int(re.search(r"VmRSS:\s+(\d+)", Path("/proc/self/status").read_text())[1]) // 1024
+    held = [np.ones(3000) for _ in range(8000)]
+    some, before = held[::100], used()
+    del held
+    assert list(slices(iter([]))) == [] and len(some) == 80 and before - used() > 100  # MB
