@@ -6,17 +6,14 @@ idf, its document frequency taken over all documents, times how much it tells
 about the label in the sample; besides, every text has one term of a fixed
 weight, so that texts without telling terms are like each other. The examples
 stand in an inverted index. The postings of terms that many examples have are
-columns of a matrix; those of all others lie in blocks of examples, each with
-its largest weight by term. For a text, the matrix gives the frequent terms' part
-of every cosine, and with the blocks' largest weights of the other terms a bound
-for each block; blocks are opened in order of these bounds until none can hold a
-nearer example. The nearest examples vote by distance, and the votes are
+columns of a matrix; those of all others are lists. For a text, the matrix gives the
+frequent terms' part of every cosine, and the lists of its other terms add the rest:
+the cosine with every example. The nearest examples vote by distance, and the votes are
 calibrated on the examples themselves.
 """
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -28,21 +25,25 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import arrow_schema, crc_mod, per_worker, pick, slices
+from fleetlens.llm.common import arrow_schema, crc_mod, per_worker, pick, release_memory, slices
 from fleetlens.runtime import materialize
 
 PREFIXES = (4, 5, 6)  # bytes of a word's beginning that are a term, for longer words
 BLOCK = 64
 FREQUENT = 16  # terms in more than one of so many examples are columns of the matrix
-BATCH, FEW = 128, 8  # texts scored by the matrix, and searched in the blocks, together
+BATCH = 128  # texts scored by the matrix together
 GROUND = 60.0  # weight of the term that every text has
 PER_CLASS, EXAMPLE_BYTES = 2048, 32768  # the sample: texts of a class, and of no more bytes each
 # Lower-case letters and the bytes of characters beyond ASCII stay; all else parts words.
 LETTERS = bytes(b if b >= 0x80 or chr(b).islower() else 0x20 for b in range(256))
 
 
+def letters(text: str | None) -> bytes:
+    return text.lower().encode().translate(LETTERS) if text else b""
+
+
 def words_of(text: str | None) -> list[bytes]:
-    return text.lower().encode().translate(LETTERS).split() if text else []
+    return letters(text).split()
 
 
 def stems_of(word: bytes) -> list[bytes]:
@@ -51,50 +52,54 @@ def stems_of(word: bytes) -> list[bytes]:
 
 
 class Words(dict):
-    """The known terms of words: a word's number is its place in ``first`` and
-    ``count``, which say where its terms' numbers are in ``flat``."""
+    """By word, the number of its last known term: the word itself or, if no example
+    has it, its longest beginning that one has; all shorter ones are known then,
+    too. Without any, the number of terms. Words asked for lately are taken from
+    ``older``."""
 
-    def __init__(self, number: dict[bytes, int]):
-        self.number = number
-        self.first, self.count, self.flat = array("q"), array("q"), array("q")
+    def __init__(self, number: dict[bytes, int], older: dict[bytes, int]):
+        self.number, self.older = number, older
 
     def __missing__(self, word: bytes) -> int:
-        terms, known = [], True
-        for n in PREFIXES:
-            if len(word) <= n:
-                break
-            t = self.number.get(word[:n] + b"*")
-            if t is None:  # no word of the sample begins so, nor with more of it
-                known = False
-                break
-            terms.append(t)
-        if known and (t := self.number.get(word)) is not None:
-            terms.append(t)
-        self.first.append(len(self.flat))
-        self.count.append(len(terms))
-        self.flat.extend(terms)
-        self[word] = n = len(self)
+        n = self.older.get(word)
+        if n is None:
+            n = self.number.get(word)
+            for size in PREFIXES[::-1] if n is None else ():
+                if len(word) > size and (n := self.number.get(word[:size] + b"*")) is not None:
+                    break
+            if n is None:
+                n = len(self.number)
+        self[word] = n
         return n
 
 
 class Vocabulary:
-    """Counts the known terms of texts; a term's number is its place in ``terms``."""
+    """Counts the known terms of texts; a term's number is its place in ``terms``,
+    which hold every beginning of their words."""
 
-    def __init__(self, terms: list[bytes], most_words: int = 200_000):
+    def __init__(self, terms: list[bytes], most_words: int = 100_000):
         self.number = {t: i for i, t in enumerate(terms)}
-        self.most_words, self.words = most_words, Words(self.number)
+        self.most_words, self.words = most_words, Words(self.number, {})
+        # A last known term stands for itself and the shorter beginnings: places in ``flat``.
+        held = [[n for m in PREFIXES if len(t) - t.endswith(b"*") > m and (n := self.number.get(t[:m] + b"*")) is not None] + [i] for i, t in enumerate(terms)] + [[]]
+        self.size = np.fromiter(map(len, held), np.int64, len(held))
+        self.first = np.cumsum(self.size) - self.size
+        self.flat = np.fromiter(chain.from_iterable(held), np.int32, int(self.size.sum()))
 
     def count(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place of the text, term number, how often it occurs there), by text and
         then term."""
         if len(self.words) > self.most_words:
-            self.words = Words(self.number)
-        held = [words_of(t) for t in texts]
-        size = np.array([len(w) for w in held], np.int64)
-        found = np.fromiter(map(self.words.__getitem__, chain.from_iterable(held)), np.int64, int(size.sum()))
-        first, count, flat = (np.frombuffer(x, np.int64) for x in (self.words.first, self.words.count, self.words.flat))
-        terms = flat[spans(first[found], count[found])]
-        text = np.repeat(np.repeat(np.arange(len(texts)), size), count[found])
+            self.words.older = {}
+            self.words = Words(self.number, self.words)
+        held = pc.ascii_split_whitespace(pa.array([letters(t) for t in texts], pa.binary()).cast(pa.string()))
+        size = np.diff(held.offsets.to_numpy())
+        found = pc.list_flatten(held).dictionary_encode()  # each word of the texts is looked up once
+        words = found.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
+        last = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))[found.indices.to_numpy()]
+        count = self.size[last]
+        terms = self.flat[spans(self.first[last], count)]
+        text = np.repeat(np.repeat(np.arange(len(texts)), size), count)
         keys, times = np.unique(text * len(self.number) + terms, return_counts=True)
         text = keys // max(1, len(self.number))
         return text, keys - text * len(self.number), times
@@ -138,8 +143,9 @@ def alike(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, height: int
 
 
 class BlockMaxIndex:
-    """Examples as postings by term: columns of a matrix for the frequent terms,
-    and blocks of BLOCK examples with the largest weight of each other term."""
+    """Examples as postings by term: columns of a matrix for the frequent terms; for
+    all others lists of the examples that have a term equally often, which weigh the
+    same but for the examples' lengths."""
 
     def __init__(self, examples: tuple[np.ndarray, ...], counts: tuple[np.ndarray, ...], weight: np.ndarray, frequent: int = FREQUENT):
         """examples: (doc_ids, labels, class weights); counts: those of their texts,
@@ -151,7 +157,8 @@ class BlockMaxIndex:
         self.column = np.full(len(weight), -1)
         self.column[common] = np.arange(len(common))
         often = self.column[term] >= 0
-        # Examples alike lie together, so that few blocks hold a term and the bounds are tight.
+        # The order of the examples decides ties. Those alike lie together, and with
+        # them the sums that a text's lists add to.
         order = alike(self.column[term[often]], text[often], value[often], len(common), ids)
         place = np.empty(len(ids), np.int64)
         place[order] = np.arange(len(ids))
@@ -163,19 +170,16 @@ class BlockMaxIndex:
         self.matrix = np.zeros((len(common) + 1, self.size))
         self.matrix[-1, : len(ids)] = ground[order]
         self.matrix[self.column[term[often]], example[often]] = value[often]
-        term, value, example = term[~often], value[~often], example[~often]
-        by = np.argsort(term * max(1, self.size) + example, kind="stable")
-        term, self.value, example = term[by], value[by], example[by]
-        del by, often, value, text, times
-        # One entry for each (term, block): where its postings are, and the largest weight
-        # (rounded up). Narrow types: the lists are read here and there, and should fit caches.
-        key = term * max(1, self.blocks) + example // BLOCK
-        at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
-        narrow = np.uint16 if self.size < 1 << 16 else np.int64
-        self.example, self.block = example.astype(narrow), (example[at] // BLOCK).astype(narrow)
-        self.at, self.count = at.astype(np.int32 if len(key) < 1 << 31 else np.int64), np.diff(np.append(at, len(key))).astype(np.uint8)
-        self.most = np.nextafter((np.maximum.reduceat(self.value, at) if len(key) else np.empty(0)).astype(np.float32), np.float32(np.inf))
-        self.entry = np.searchsorted(term[at], np.arange(len(weight) + 1))
+        term, times, example = term[~often], times[~often], example[~often]
+        by = np.lexsort((example, times, term))
+        term, times = term[by], times[by]
+        self.example = example[by].astype(np.uint16 if self.size < 1 << 16 else np.int64)
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (times[1:] != times[:-1])
+        at = np.flatnonzero(new)
+        self.start, self.value = np.append(at, len(term)), (1 + np.log(times[at])) * weight[term[at]]
+        self.list = np.searchsorted(term[at], np.arange(len(weight) + 1))
+        self.shorter = self.matrix[-1] / GROUND  # 1 / length
 
     def nearest(self, counts: tuple[np.ndarray, ...], texts: int, k: int, without: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each of some texts, by their counts: (places, cosines) of the ``k``
@@ -193,49 +197,16 @@ class BlockMaxIndex:
         if without is not None:
             score[:, : len(self.ids)][self.ids == without[:, None]] = -2.0
         text, term, w = text[~often], term[~often], w[~often]
+        lists = self.list[term + 1] - self.list[term]
+        text, w, at = np.repeat(text, lists), np.repeat(w, lists), spans(self.list[term], lists)
+        w, first, count = w * self.value[at], self.start[at], self.start[at + 1] - self.start[at]
+        ends = np.searchsorted(text, np.arange(texts + 1))
         out = []
-        for a in range(0, texts, FEW):  # few at a time: what they touch stays in the cache
-            part = slice(*np.searchsorted(text, (a, a + FEW)))
-            out += self._open(score[a : a + FEW], text[part] - a, term[part], w[part], k)
-        return out
-
-    def _open(self, score: np.ndarray, text: np.ndarray, term: np.ndarray, w: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """The nearest examples of texts by ``score``, the frequent terms' part of the
-        cosines, and their other terms; opens the blocks that can hold one."""
-        texts = len(score)
-        n = self.entry[term + 1] - self.entry[term]
-        entries = spans(self.entry[term], n)
-        w = np.repeat(w, n)
-        cell = np.repeat(text * self.blocks, n) + self.block[entries]
-        bound = score.reshape(texts, self.blocks, BLOCK).max(axis=2) + np.bincount(cell, self.most[entries] * w, texts * self.blocks).reshape(texts, self.blocks) + 1e-12
-
-        def open_(blocks: np.ndarray) -> None:
-            """Add the other terms' part in these blocks of each text."""
-            has = np.flatnonzero(blocks.ravel()[cell])
-            e = entries[has]
-            count = self.count[e].astype(np.int64)
-            places = spans(self.at[e].astype(np.int64), count)
-            # A cell's examples follow those of the cell before it.
-            where = np.repeat(cell[has] // self.blocks * self.size, count) + self.example[places]
-            score.ravel()[:] += np.bincount(where, self.value[places] * np.repeat(w[has], count), score.size)
-
-        def kth() -> np.ndarray:
-            """The k-th best score so far. Weights are positive, so in a block that is
-            not opened the frequent terms' part is a lower bound."""
-            at = self.size - min(k, self.size)
-            return np.partition(score, at, axis=1)[:, at]
-
-        # First the blocks of the best bounds, then all whose bound reaches the k-th best known.
-        opened = np.zeros((texts, self.blocks), bool)
-        np.put_along_axis(opened, np.argsort(-bound, axis=1, kind="stable")[:, : -(-4 * k // BLOCK)], True, axis=1)
-        opened &= bound >= kth()[:, None]
-        open_(opened)
-        rest = (bound >= kth()[:, None]) & ~opened
-        open_(rest)
-        opened |= rest
-        out = []
-        for row, least, mask in zip(score, kth(), opened):
-            places = np.flatnonzero(np.repeat(mask, BLOCK) & (row > 0) & (row >= least - 1e-12))
+        for row, a, e in zip(score, ends[:-1], ends[1:]):
+            held = self.example[spans(first[a:e], count[a:e])]
+            row += np.bincount(held, np.repeat(w[a:e], count[a:e]), self.size) * self.shorter
+            least = np.partition(row, self.size - min(k, self.size))[self.size - min(k, self.size)]
+            places = np.flatnonzero((row > 0) & (row >= least - 1e-12))
             best = places[np.lexsort((places, -np.round(row[places], 12)))[:k]]
             out.append((best, row[best]))
         return out
@@ -366,8 +337,8 @@ def worker_index(held: Broadcast) -> tuple[BlockMaxIndex, Vocabulary]:
     """Made once in each Python worker; what they are made from is then let go."""
     kept = held.value
     if "index" not in kept:
-        examples, (text, term, times), terms, weight = kept["value"]
-        kept["index"] = BlockMaxIndex(examples, (text.astype(np.int64), term.astype(np.int64), times), weight)
+        examples, counts, terms, weight = kept["value"]
+        kept["index"] = BlockMaxIndex(examples, counts, weight)
         kept["vocabulary"] = Vocabulary(terms)
         kept["value"] = None
     return kept["index"], kept["vocabulary"]
@@ -416,6 +387,7 @@ class ToxicityModel:
                 parts = [texts.slice(a, BATCH).to_pylist() for a in range(0, len(texts), BATCH)]
                 raw = [g[0] for part in parts for g in index.vote(vocabulary.count(part), len(part), k)]
                 yield pa.array(calibrated(np.array(raw), curve), pa.float64())
+            release_memory()
 
         return vote(text)
 

@@ -155,3 +155,24 @@ def test_the_whole_query_by_definition(spark):
 def near_next(vectors, learnt, i):
     """The 16th cosine."""
     return sorted((sum(x * vectors[i].get(t, 0.0) for t, x in vectors[e].items()) for e in learnt), reverse=True)[15]
+
+
+def test_words_of_the_last_texts_are_not_looked_up_anew():
+    v = Vocabulary([b"trash", b"tras*"])
+    v.most_words = 1
+    v.count(["trash can"])
+    first = v.words
+    v.count(["can do"])
+    assert v.words is not first and v.words.older is first and first.older == {}
+    v.words.number = {}  # a word that is looked up anew is not found
+    assert v.words[b"trash"] == 0
+
+
+def test_postings_alike_share_a_weight():
+    weight = np.array([2.0, 3.0])
+    text, term, times = np.array([0, 1, 1, 2]), np.array([0, 0, 1, 0]), np.array([1, 1, 1, 2])
+    index = BlockMaxIndex((np.arange(3), np.zeros(3), np.ones(3)), (text, term, times), weight, 0)
+    assert len(index.value) == 3 and len(index.example) == 4  # lists, postings
+    asked = np.array([0, 0]), np.array([0, 1]), np.array([1, 1])
+    (places, got), want = index.nearest(asked, 1, 3)[0], plain_cosines([(i, 0, 1.0, term[text == i], times[text == i]) for i in range(3)], weight, (asked[1], asked[2]))
+    assert np.allclose(got, sorted(want, reverse=True)) and sorted(index.ids[places].tolist()) == [0, 1, 2]
