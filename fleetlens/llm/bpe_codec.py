@@ -3,8 +3,9 @@
 Each merge rank has a bucket of linked-list positions. A bitmap over ranks, with
 a bitmap of its non-empty words above it, names the non-empty buckets;
 find-first-set on both gives the lowest rank in two steps, whatever the
-pre-token's length. Entries made stale by another merge are
+number of positions. Entries made stale by another merge are
 skipped when they come up. Within a bucket the leftmost position goes first.
+The pre-tokens of several texts share a queue.
 """
 
 from __future__ import annotations
@@ -12,16 +13,17 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from array import array
+from itertools import chain
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
 from fleetlens.llm.bpe_count import PRETOKEN_PATTERN
-from fleetlens.llm.common import Recent, map_rows, per_worker, pick
+from fleetlens.llm.common import map_rows, per_worker, pick
 
 BITS = 8  # 256 ranks to a word of the lower bitmap; the upper one has a bit for each word
+BATCH = 128  # texts whose unknown pre-tokens are merged together
 
 
 class RankQueue:
@@ -29,46 +31,55 @@ class RankQueue:
 
     __slots__ = ("buckets", "top", "words")
 
-    def __init__(self, waiting=()):
-        """waiting: the rank at each position, or None."""
-        buckets, words = {}, {}  # words: of the lower bitmap, by rank >> BITS
-        top = 0
-        for position, rank in enumerate(waiting):
-            if rank is None:
-                continue
-            if rank in buckets:
-                buckets[rank].append(position)
-                continue
-            buckets[rank] = [position]
-            word = rank >> BITS
-            words[word] = words.get(word, 0) | 1 << (rank & 255)
-            top |= 1 << word
-        self.buckets, self.words, self.top = buckets, words, top
+    def __init__(self, waiting: np.ndarray | None = None):
+        """waiting: the rank at each position, -1 for none."""
+        self.buckets, self.words, self.top = {}, {}, 0  # words: of the lower bitmap, by rank >> BITS
+        if waiting is None:
+            return
+        place = np.flatnonzero(waiting >= 0)
+        rank = waiting[place]
+        order = np.argsort(rank, kind="stable")
+        rank, place = rank[order], place[order].tolist()
+        first = np.flatnonzero(np.diff(rank, prepend=-1))
+        starts = first.tolist()
+        for r, a, b in zip(rank[first].tolist(), starts, [*starts[1:], len(place)]):
+            self.put(r, place[a:b])
+
+    def put(self, rank: int, positions: list[int]) -> None:
+        """Queue ascending positions under a rank that has none."""
+        self.buckets[rank] = positions
+        word = rank >> BITS
+        self.words[word] = self.words.get(word, 0) | 1 << (rank & 255)
+        self.top |= 1 << word
 
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
         if bucket:
             heapq.heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        word = rank >> BITS
-        self.words[word] = self.words.get(word, 0) | 1 << (rank & 255)
-        self.top |= 1 << word
+        else:
+            self.put(rank, [position])
 
-    def pop(self) -> tuple[int, int]:
-        """(rank, position) of the first entry; only while ``top`` is not 0."""
+    def take(self) -> tuple[int, list[int]]:
+        """The first rank and all its positions; only while ``top`` is not 0."""
         top = self.top
         word = (top & -top).bit_length() - 1
         bits = self.words[word]
         low = bits & -bits
         rank = word << BITS | low.bit_length() - 1
-        bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heapq.heappop(bucket)
         self.words[word] = bits ^ low
         if bits == low:
             self.top = top ^ 1 << word
-        return rank, bucket.pop()
+        bucket = self.buckets.pop(rank)
+        bucket.sort()
+        return rank, bucket
+
+    def pop(self) -> tuple[int, int]:
+        """(rank, position) of the first entry; only while ``top`` is not 0."""
+        rank, bucket = self.take()
+        position = heapq.heappop(bucket)
+        if bucket:
+            self.put(rank, bucket)
+        return rank, position
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -76,59 +87,124 @@ def read_ranks(raw: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in raw.splitlines() if line.strip())}
 
 
-def encode_piece(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[int]:
-    """Token ids of one pre-token; longest: bytes of the longest token."""
-    whole = ranks.get(piece)
-    if whole is not None:
-        return [whole]
-    n, rank_of = len(piece), ranks.get
-    end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # a symbol is piece[i:end[i]]; end[i] is the next one's place
-    waiting = [rank_of(piece[i : i + 2]) for i in range(n - 1)]  # the rank that the pair at each place is queued under
-    waiting.append(None)
-    queue = RankQueue(waiting)
-    while queue.top:
-        rank, i = queue.pop()
-        if waiting[i] != rank:
-            continue  # stale: one of the two has been merged since
-        j = end[i]
-        waiting[j] = None
-        end[i] = k = end[j]
-        if k < n:
-            before[k] = i
-            waiting[i] = r = rank_of(piece[i : end[k]]) if end[k] - i <= longest else None
-            if r is not None:
-                queue.push(r, i)
-        else:
-            waiting[i] = None
-        if (h := before[i]) >= 0:
-            waiting[h] = r = rank_of(piece[h:k]) if k - h <= longest else None
-            if r is not None:
-                queue.push(r, h)
-    out, i = [], 0
-    while i < n:
-        out.append(ranks[piece[i : end[i]]])
-        i = end[i]
-    return out
+class Merger:
+    """Encodes pre-tokens, many in one queue: no pair spans two of them, so the
+    merges of each come in its own order, and pre-tokens share the queue's steps."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks, self.longest = ranks, max(map(len, ranks))
+        self.single = np.array([ranks.get(bytes([x]), -1) for x in range(256)])
+        self.pairs = np.full(1 << 16, -1)  # ranks of tokens of two bytes
+        for token, rank in ranks.items():
+            if len(token) == 2:
+                self.pairs[token[0] << 8 | token[1]] = rank
+
+    def __call__(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each pre-token, as little-endian unsigned 32-bit integers."""
+        text, longest, rank_of = b"".join(pieces), self.longest, self.ranks.get
+        n, ends = len(text), np.cumsum([len(p) for p in pieces])
+        raw = np.frombuffer(text, np.uint8).astype(np.intp)
+        ranks = np.full(n, -1)
+        ranks[:-1] = self.pairs[raw[:-1] << 8 | raw[1:]]
+        ranks[ends - 1] = -1
+        queue, waiting = RankQueue(ranks), ranks.tolist()  # waiting: the rank that the pair at each place is queued under
+        border = bytearray(n + 1)  # 1 where a pre-token starts, and at the end
+        for e in (0, *ends.tolist()):
+            border[e] = 1
+        end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # a symbol is text[i:end[i]]; end[i] is the next one's place
+        ids, symbol = self.single[raw].tolist(), bytearray(b"\1") * n  # symbol: 1 where one starts
+        while queue.top:
+            rank, places = queue.take()
+            for nth, i in enumerate(places, 1):
+                if waiting[i] != rank:
+                    continue  # stale: one of the two has been merged since
+                j = end[i]
+                waiting[j], symbol[j] = -1, 0
+                end[i] = k = end[j]
+                ids[i] = lowest = rank
+                if border[k]:
+                    waiting[i] = -1
+                else:
+                    before[k] = i
+                    waiting[i] = r = rank_of(text[i : end[k]], -1) if end[k] - i <= longest else -1
+                    if r >= 0:
+                        queue.push(r, i)
+                        lowest = min(r, lowest)
+                if not border[i]:
+                    h = before[i]
+                    waiting[h] = r = rank_of(text[h:k], -1) if k - h <= longest else -1
+                    if r >= 0:
+                        queue.push(r, h)
+                        lowest = min(r, lowest)
+                if lowest < rank and nth < len(places):  # that one goes first
+                    queue.put(rank, places[nth:])
+                    break
+        left = np.frombuffer(symbol, bool)
+        found = np.array(ids)[left]
+        if (found < 0).any():
+            raise KeyError("a byte has no token")
+        flat, upto = found.astype("<u4").tobytes(), (4 * np.cumsum(left)[ends - 1]).tolist()
+        return [flat[a:b] for a, b in zip([0, *upto], upto)]
 
 
 class BpeCodec:
-    """Encodes texts and decodes ids by a rank file; no special tokens."""
+    """Encodes texts and decodes ids by a rank file; no special tokens.
+
+    The ids of pre-tokens are kept, for the last ``most`` to twice ``most`` distinct
+    ones of at most ``longest`` characters; others are merged together, about
+    ``step`` bytes at a time, which bounds the queue."""
 
-    def __init__(self, raw: bytes, pattern: str = PRETOKEN_PATTERN, most: int = 300_000):
-        ranks = read_ranks(raw)
+    def __init__(self, raw: bytes, pattern: str = PRETOKEN_PATTERN, most: int = 150_000, longest: int = 64, step: int = 1 << 14):
+        self.ranks = read_ranks(raw)
         self.split = regex.compile(pattern).findall
-        longest = max(map(len, ranks))
+        self.merge, self.most, self.longest, self.step = Merger(self.ranks), most, longest, step
         # ids by pre-token, as little-endian unsigned 32-bit integers
-        self.ids = Recent(lambda piece: array("I", encode_piece(piece.encode(), ranks, longest)).tobytes(), most)
-        self.token = {i: t for t, i in ranks.items()}
+        self.recent, self.older = {}, {}
+        self.token = np.full(max(self.ranks.values()) + 1, None)
+        for token, i in self.ranks.items():
+            self.token[i] = token
+
+    def look_up(self, pieces: set[str]) -> dict[str, bytes]:
+        """The ids of pre-tokens that are not among the recent ones, which they join."""
+        out, left = {}, []
+        for p in pieces:
+            ids = self.older.get(p)
+            if ids is None:
+                b = p.encode()
+                if (whole := self.ranks.get(b)) is None:
+                    left.append((p, b))
+                    continue
+                ids = whole.to_bytes(4, "little")
+            out[p] = ids
+        a = size = 0
+        for e, (_, b) in enumerate(left, 1):
+            size += len(b)
+            if size >= self.step or e == len(left):
+                out.update(zip([p for p, _ in left[a:e]], self.merge([b for _, b in left[a:e]])))
+                a, size = e, 0
+        for p, ids in out.items():
+            if len(p) <= self.longest:
+                if len(self.recent) >= self.most:
+                    self.recent, self.older = {}, self.recent
+                self.recent[p] = ids
+        return out
+
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text (null: none)."""
+        known, parts, unknown = self.recent.get, [], set()
+        for text in texts:
+            pieces = self.split(text) if text else []
+            ids = list(map(known, pieces))
+            unknown.update([p for p, i in zip(pieces, ids) if i is None])
+            parts.append((pieces, ids))
+        new = self.look_up(unknown)
+        return [np.frombuffer(b"".join([new[p] if i is None else i for p, i in zip(*x)]), "<u4") for x in parts]
 
     def encode(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.empty(0, "<u4")
-        return np.frombuffer(b"".join(map(self.ids.__getitem__, self.split(text))), "<u4")
+        return self.encode_all([text])[0]
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids))
+    def decode(self, ids: np.ndarray) -> bytes:
+        return b"".join(self.token[ids].tolist())
 
 
 def encode_documents(
@@ -151,8 +227,8 @@ def encode_documents(
 
         def f(c):
             out = {n: v for n, v in c.items() if n != "text"} | {"n_tokens": []} | {o: [] for o in outputs}
-            for text in c["text"]:
-                ids = codec.encode(text)
+            texts = c["text"]
+            for ids in chain.from_iterable(codec.encode_all(texts[a : a + BATCH]) for a in range(0, len(texts), BATCH)):
                 out["n_tokens"].append(len(ids))
                 back = codec.decode(ids) if "decoded" in out or "decoded_sha256" in out else b""
                 for o in outputs:

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from llm_fixtures import edge_docs, make_docs, no_docs  # noqa: F401
+from fleetlens.llm import bpe_codec
 from fleetlens.llm.bpe_codec import BpeCodec, RankQueue, decode_documents, encode_documents
 from fleetlens.llm.bpe_count import TokenCounter, count_tokens
 
@@ -93,3 +94,44 @@ def test_codec_query_rows(edge_docs, no_docs, codecs):
     back = decode_documents(got.select("doc_id", "ids"), RANKS)
     assert sorted((r["text"] or "").encode() for r in back.collect()) == texts
     assert encode_documents(no_docs, RANKS).collect() == []
+
+
+def test_texts_share_a_queue(codecs, monkeypatch):
+    made = []
+
+    class Counted(RankQueue):
+        def __init__(self, *waiting):
+            made.append(1)
+            super().__init__(*waiting)
+
+    monkeypatch.setattr(bpe_codec, "RankQueue", Counted)
+    rng = random.Random(7)
+    texts = [" ".join("".join(rng.choices("abcdefghé漢", k=rng.randint(1, 12))) for _ in range(40)) for _ in range(20)] + [None, "", "aaaaaaa aaaaaaaa"]
+    with open(RANKS, "rb") as f:
+        codec = BpeCodec(f.read(), public_tokenizers.PATTERN)
+    assert [x.tolist() for x in codec.encode_all(texts)] == [codecs[1].encode_ordinary(t or "") for t in texts]
+    assert len(made) == 1
+    assert [x.tolist() for x in codec.encode_all(texts)] == [codecs[1].encode_ordinary(t or "") for t in texts]
+    assert len(made) == 1  # all known by now
+
+
+@given(st.permutations(["ab", "bc", "abc", "ca", "cab", "aa", "aaa", "bca", "abab"]), st.lists(st.text("abc", min_size=1, max_size=14), min_size=1, max_size=6))
+@settings(max_examples=200, deadline=None)
+def test_any_order_of_ranks(tokens, pieces):
+    # A merge may make a pair of a lower rank than its own.
+    ranks = {bytes([b]): b for b in range(256)} | {t.encode(): 256 + i for i, t in enumerate(tokens)}
+    library = tiktoken.Encoding("own", pat_str=r"\w+", mergeable_ranks=ranks, special_tokens={})
+    raw = b"\n".join(base64.b64encode(t) + b" %d" % i for t, i in ranks.items())
+    codec = BpeCodec(raw, r"\w+", step=8)
+    got = codec.encode_all(pieces + [" ".join(pieces)])
+    assert [x.tolist() for x in got] == [library.encode_ordinary(p) for p in pieces] + [[i for p in pieces for i in library.encode_ordinary(p)]]
+
+
+def test_recent_pretokens_are_bounded(codecs):
+    with open(RANKS, "rb") as f:
+        codec = BpeCodec(f.read(), public_tokenizers.PATTERN, most=30)
+    for k in range(5):
+        text = " ".join(f"w{k}x{i}" for i in range(100)) + " " + "q" * 200
+        assert codec.encode(text).tolist() == codecs[1].encode_ordinary(text)
+        assert len(codec.recent) <= 30 and len(codec.older) <= 30
+        assert "q" * 200 not in codec.recent
