@@ -43,8 +43,9 @@ def release_memory() -> None:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
-    """The batches in pieces, so that few texts are Python objects at a time;
-    at the end the worker gives freed buffers back."""
+    """The batches in pieces, so that few texts are Python objects at a time; the
+    worker gives back what its last task left, and at the end freed buffers."""
+    release_memory()
     for batch in batches:
         for a in range(0, batch.num_rows, rows):
             yield batch.slice(a, rows)

@@ -14,7 +14,6 @@ and only pairs that can still reach the bound are looked at.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
@@ -418,9 +417,9 @@ def jaccard_components(docs: DataFrame, shingle_words: int = 4, percent: int = 8
 def may_be_in(table: Broadcast, column: str) -> Column:
     """Whether the column's value may be among those whose hashed bits are in a bitmap."""
 
-    @F.pandas_udf("boolean")
-    def test(bits):
-        return pd.Series(has_bit(table.value, bits.to_numpy().astype(np.int64)))
+    @F.arrow_udf("boolean")  # pandas would stay in a reused worker through all later stages
+    def test(bits: pa.Array) -> pa.Array:
+        return pa.array(has_bit(table.value, bits.to_numpy(zero_copy_only=False).astype(np.int64)))
 
     return test(hashed_bit(column))
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import map_rows, pick
+from fleetlens.llm.common import map_rows, pick, release_memory
 
 # The base kinds, in the order in which ties are listed.
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -263,6 +263,7 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | No
                 spans = all_spans(text := x.as_py())[1]
                 out.append(redact(text, spans) if spans else None)
             yield pa.array(out, pa.string())
+        release_memory()
 
     new = docs.withColumn("__masked", masked(F.col(f"`{text_col}`")))
     out = {text_col: F.coalesce("__masked", F.col(f"`{text_col}`"))}

@@ -14,6 +14,7 @@ calibrated on the examples themselves.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -32,6 +33,7 @@ PREFIXES = (4, 5, 6)  # bytes of a word's beginning that are a term, for longer
 BLOCK = 64
 FREQUENT = 16  # terms in more than one of so many examples are columns of the matrix
 BATCH = 128  # texts scored by the matrix together
+STRIP = 16  # texts whose lists are looked up together
 GROUND = 60.0  # weight of the term that every text has
 PER_CLASS, EXAMPLE_BYTES = 2048, 32768  # the sample: texts of a class, and of no more bytes each
 # Lower-case letters and the bytes of characters beyond ASCII stay; all else parts words.
@@ -81,10 +83,16 @@ class Vocabulary:
         self.number = {t: i for i, t in enumerate(terms)}
         self.most_words, self.words = most_words, Words(self.number, {})
         # A last known term stands for itself and the shorter beginnings: places in ``flat``.
-        held = [[n for m in PREFIXES if len(t) - t.endswith(b"*") > m and (n := self.number.get(t[:m] + b"*")) is not None] + [i] for i, t in enumerate(terms)] + [[]]
-        self.size = np.fromiter(map(len, held), np.int64, len(held))
-        self.first = np.cumsum(self.size) - self.size
-        self.flat = np.fromiter(chain.from_iterable(held), np.int32, int(self.size.sum()))
+        flat, ends = array("i"), array("q")
+        for i, t in enumerate(terms):
+            letters = len(t) - t.endswith(b"*")
+            flat.extend([n for m in PREFIXES if letters > m and (n := self.number.get(t[:m] + b"*")) is not None])
+            flat.append(i)
+            ends.append(len(flat))
+        ends.append(len(flat))
+        self.flat, ends = np.array(flat, np.int32), np.array(ends, np.int64)
+        self.size = np.diff(ends, prepend=0)
+        self.first = ends - self.size
 
     def count(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place of the text, term number, how often it occurs there), by text and
@@ -108,9 +116,12 @@ class Vocabulary:
 def weigh(text: np.ndarray, terms: np.ndarray, times: np.ndarray, texts: int, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Weights of texts' terms, and by text of the term that every text has, each
     text's scaled to length 1."""
-    w = (1 + np.log(times)) * weight[terms]
+    w = np.log(times)
+    w += 1
+    w *= weight[terms]
     length = np.sqrt(np.bincount(text, w * w, texts) + GROUND * GROUND)
-    return w / length[text], GROUND / length
+    w /= length[text]
+    return w, GROUND / length
 
 
 def spans(first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -152,25 +163,26 @@ class BlockMaxIndex:
         as ``Vocabulary.count`` gives them."""
         ids, label, class_weight = examples
         text, term, times = counts
-        value, ground = weigh(text, term, times, len(ids), weight)
         common = np.flatnonzero(np.bincount(term, minlength=len(weight)) * frequent > len(ids))
         self.column = np.full(len(weight), -1)
         self.column[common] = np.arange(len(common))
         often = self.column[term] >= 0
+        value, ground = weigh(text, term, times, len(ids), weight)
+        value, column, of = value[often], self.column[term[often]].astype(np.int32), text[often]
         # The order of the examples decides ties. Those alike lie together, and with
         # them the sums that a text's lists add to.
-        order = alike(self.column[term[often]], text[often], value[often], len(common), ids)
+        order = alike(column, of, value, len(common), ids)
         place = np.empty(len(ids), np.int64)
         place[order] = np.arange(len(ids))
         self.ids, self.label, self.weight = ids[order], label[order].astype(float), class_weight[order]
         self.term_weight = weight
         self.blocks = -(-len(ids) // BLOCK)
         self.size = self.blocks * BLOCK
-        example = place[text]
         self.matrix = np.zeros((len(common) + 1, self.size))
         self.matrix[-1, : len(ids)] = ground[order]
-        self.matrix[self.column[term[often]], example[often]] = value[often]
-        term, times, example = term[~often], times[~often], example[~often]
+        self.matrix[column, place[of]] = value
+        del value, column, of
+        term, times, example = term[~often], times[~often], place[text[~often]]
         by = np.lexsort((example, times, term))
         term, times = term[by], times[by]
         self.example = example[by].astype(np.uint16 if self.size < 1 << 16 else np.int64)
@@ -197,14 +209,18 @@ class BlockMaxIndex:
         if without is not None:
             score[:, : len(self.ids)][self.ids == without[:, None]] = -2.0
         text, term, w = text[~often], term[~often], w[~often]
-        lists = self.list[term + 1] - self.list[term]
-        text, w, at = np.repeat(text, lists), np.repeat(w, lists), spans(self.list[term], lists)
-        w, first, count = w * self.value[at], self.start[at], self.start[at + 1] - self.start[at]
         ends = np.searchsorted(text, np.arange(texts + 1))
         out = []
-        for row, a, e in zip(score, ends[:-1], ends[1:]):
+        for i, row in enumerate(score):
+            if i % STRIP == 0:  # the lists of a few texts at a time
+                s = slice(ends[i], ends[min(i + STRIP, texts)])
+                lists = self.list[term[s] + 1] - self.list[term[s]]
+                at = spans(self.list[term[s]], lists)
+                weights, first, count = np.repeat(w[s], lists) * self.value[at], self.start[at], self.start[at + 1] - self.start[at]
+                upto = np.searchsorted(np.repeat(text[s], lists), np.arange(i, i + STRIP + 1))
+            a, e = upto[i % STRIP], upto[i % STRIP + 1]
             held = self.example[spans(first[a:e], count[a:e])]
-            row += np.bincount(held, np.repeat(w[a:e], count[a:e]), self.size) * self.shorter
+            row += np.bincount(held, np.repeat(weights[a:e], count[a:e]), self.size) * self.shorter
             least = np.partition(row, self.size - min(k, self.size))[self.size - min(k, self.size)]
             places = np.flatnonzero((row > 0) & (row >= least - 1e-12))
             best = places[np.lexsort((places, -np.round(row[places], 12)))[:k]]
@@ -338,9 +354,10 @@ def worker_index(held: Broadcast) -> tuple[BlockMaxIndex, Vocabulary]:
     kept = held.value
     if "index" not in kept:
         examples, counts, terms, weight = kept["value"]
-        kept["index"] = BlockMaxIndex(examples, counts, weight)
         kept["vocabulary"] = Vocabulary(terms)
-        kept["value"] = None
+        kept["index"] = BlockMaxIndex(examples, counts, weight)
+        kept["value"] = examples = counts = terms = weight = None
+        release_memory()
     return kept["index"], kept["vocabulary"]
 
 
@@ -384,7 +401,7 @@ class ToxicityModel:
         def vote(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             index, vocabulary = worker_index(held)
             for texts in batches:
-                parts = [texts.slice(a, BATCH).to_pylist() for a in range(0, len(texts), BATCH)]
+                parts = (texts.slice(a, BATCH).to_pylist() for a in range(0, len(texts), BATCH))  # few texts are Python objects at a time
                 raw = [g[0] for part in parts for g in index.vote(vocabulary.count(part), len(part), k)]
                 yield pa.array(calibrated(np.array(raw), curve), pa.float64())
             release_memory()

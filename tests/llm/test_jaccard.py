@@ -1,8 +1,12 @@
 import random
 import re
+import subprocess
+import sys
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_fixtures import edge_docs, make_docs, no_docs  # noqa: F401
@@ -170,3 +174,22 @@ def test_free_memory_goes_back_after_a_task():
     some, before = held[::100], used()
     del held
     assert list(slices(iter([]))) == [] and len(some) == 80 and before - used() > 100  # MB
+
+
+def test_workers_need_no_pandas():
+    # A reused worker would keep it through all later stages.
+    code = "import sys, fleetlens.llm.jaccard, fleetlens.llm.toxicity, fleetlens.llm.secret_scan; assert 'pandas' not in sys.modules"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).parents[2])
+
+
+def test_slices_give_back_what_the_last_task_left(monkeypatch):
+    from fleetlens.llm import common
+
+    done = []
+    monkeypatch.setattr(common, "release_memory", lambda: done.append(1))
+    batch = pa.RecordBatch.from_pydict({"x": list(range(5))})
+    rows = []
+    for part in common.slices(iter([batch]), 2):
+        assert done == [1]
+        rows.append(part.num_rows)
+    assert rows == [2, 2, 1] and done == [1, 1]

@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -176,3 +177,25 @@ def test_postings_alike_share_a_weight():
     asked = np.array([0, 0]), np.array([0, 1]), np.array([1, 1])
     (places, got), want = index.nearest(asked, 1, 3)[0], plain_cosines([(i, 0, 1.0, term[text == i], times[text == i]) for i in range(3)], weight, (asked[1], asked[2]))
     assert np.allclose(got, sorted(want, reverse=True)) and sorted(index.ids[places].tolist()) == [0, 1, 2]
+
+
+def test_making_the_index_and_voting_are_lean():
+    """What the index is made from is not copied several times over, and few texts'
+    lists are looked up together."""
+    rng = np.random.default_rng(3)
+    examples, terms, each = 600, 20_000, 500
+    text = np.repeat(np.arange(examples), each).astype(np.int32)
+    term = np.sort(rng.integers(0, terms, (examples, each)), axis=1).astype(np.int32).ravel()
+    keep = np.append(True, (np.diff(term) != 0) | (np.diff(text) != 0))
+    text, term = text[keep], term[keep]
+    times = rng.integers(1, 9, len(term)).astype(np.int32)
+    tracemalloc.start()
+    index = BlockMaxIndex((np.arange(examples), np.arange(examples) % 2, np.ones(examples)), (text, term, times), np.ones(terms))
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.reset_peak()
+    first = text < 128
+    got = index.vote((text[first].astype(np.int64), term[first].astype(np.int64), times[first]), 128, 5)
+    most = tracemalloc.get_traced_memory()[1] - held
+    tracemalloc.stop()
+    assert [int(index.ids[g[1][0]]) for g in got] == list(range(128))
+    assert peak < 15e6 and most < 15e6  # bytes; 16 and 28 million before
