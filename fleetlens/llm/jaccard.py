@@ -27,6 +27,7 @@ from fleetlens.runtime import materialize
 
 FILTER_BITS = 1 << 24
 PIVOTS = 8
+SMALL = 96  # shingles of a set, at most, for it to be compared under the order of small sets
 CHUNK = 2048  # columns multiplied at a time
 STRIP = 256  # rows of a product that are looked at together
 
@@ -60,16 +61,38 @@ def prefix_size(n: int, percent: int) -> int:
 
 
 def first_hashes(percent: int) -> int:
-    """Shingles whose hashes are below this come first in the order, rare before
-    frequent: five thirds of the share of a set that a prefix takes, at most half."""
+    """Shingles whose hashes are below this come first in the order of the largest
+    sets, rare before frequent: five thirds of the share of a set that a prefix
+    takes, at most half."""
     return min(1 << 63, (1 << 64) * (100 - percent) * 5 // 300)
 
 
+def first_of_band(band: int, percent: int) -> int:
+    """As ``first_hashes``; in the order of small sets (band 0) all come first. Of
+    a small set few shingles have such hashes by chance, and where they hardly
+    fill its prefix, what many sets share would get into that, too."""
+    return first_hashes(percent) if band else 1 << 64
+
+
+def bands(n: int, percent: int) -> list[int]:
+    """The bands, each with an order of its own, that a set of n is in: its own, and
+    the one above if that has a set which it may link with."""
+    return [band for band, is_in in enumerate((n <= SMALL, 100 * n >= percent * (SMALL + 1))) if is_in]
+
+
+def front_of(s: np.ndarray, band: int, percent: int) -> np.ndarray:
+    """The shingles of a set that come first in a band's order, or its whole prefix
+    where these are fewer, as keys: hashes whose last bit is the band."""
+    first = first_of_band(band, percent)
+    early = len(s) if first >> 64 else int(np.searchsorted(s, np.uint64(first)))
+    return (s[: max(early, prefix_size(len(s), percent))] & ~np.uint64(1)) | np.uint64(band)
+
+
 def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(doc_id, n, print, front) of each row: its set's size, a 128-bit
-    fingerprint of the set (null if empty), and its shingles that come first, or
-    more where these are fewer than the prefix, by rising hash."""
-    first = np.uint64(first_hashes(percent))
+    fingerprint of the set (null if empty), and of each of its bands the keys of
+    its shingles that come first, or more where these are fewer than the prefix,
+    by rising hash."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     ddl = f"doc_id {kind}, n long, print binary, front array<long>"
     schema = arrow_schema(ddl)
@@ -82,7 +105,8 @@ def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 s = shingle_set(text, size, hashes)
                 n.append(len(s))
                 prints.append(fingerprint(s))
-                fronts.append(s[: max(int(np.searchsorted(s, first)), prefix_size(len(s), percent) if len(s) else 0)].view(np.int64))
+                keys = [front_of(s, band, percent) for band in bands(len(s), percent)] if len(s) else [s]
+                fronts.append(np.concatenate(keys).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(fronts, pa.list_(pa.int64()))], schema=schema)
 
     return docs.select("doc_id", "text").mapInArrow(run, ddl)
@@ -106,9 +130,10 @@ def hashed_bit(column: str) -> Column:
 
 
 def shared_prefixes(signed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(node, shingle): of each class's prefix, the shingles that other classes hold too.
+    """(node, shingle): the keys of each class's prefixes, one of each of its bands,
+    that other classes hold too.
 
-    The order is: those of ``first_hashes`` by the number of classes that hold
+    The order is: those of ``first_of_band`` by the number of classes that hold
     them, then the others by hash. Shingles of one class only need not be known one
     by one, so just the repeated ones, found by a count over all classes, go
     back to their rows. A bitmap of these keeps most others out of that join,
@@ -126,25 +151,32 @@ def shared_prefixes(signed: DataFrame, classes: DataFrame, percent: int) -> Data
     fronts = signed.filter("n > 0").select(hashed_bit("row").alias("bit"), "front").mapInArrow(own_shingles, "shingle long")
     held = fronts.groupBy("shingle").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
     held = materialize(held, "jaccard-columns").df
-    table = spark.sparkContext.broadcast(bitmap(held.select(F.col("shingle").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("bit"))))
-    ddl = "row long, unshared long, front array<long>"
+    table = spark.sparkContext.broadcast(bitmap(held.select(F.shiftright("shingle", 1).bitwiseAND(F.lit(FILTER_BITS - 1)).alias("bit"))))
+    first = [first_of_band(band, percent) for band in (0, 1)]
+    ddl = "row long, unshared long, early int, front array<long>"
     schema = arrow_schema(ddl)
 
     def run(batches):
         for batch in slices(batches):
-            fronts = [np.asarray(x, np.int64) for x in batch.column(2).to_pylist()]
-            keep = [x[has_bit(table.value, x & (FILTER_BITS - 1))] for x in fronts]
+            n, keys = batch.column(1).to_numpy(), batch.column(2).flatten().to_numpy()
+            of, band = np.repeat(np.arange(batch.num_rows), batch.column(2).value_lengths().to_numpy()), keys & 1
+            member, at, size = np.unique(of * 2 + band, return_inverse=True, return_counts=True)  # a row in a band
+            keep = has_bit(table.value, keys >> 1 & (FILTER_BITS - 1))
+            early = np.zeros(len(keys), bool)
+            for b, end in enumerate(first):
+                early |= (band == b) & (True if end >> 64 else keys.view(np.uint64) < np.uint64(end))
+            kept = np.bincount(at[keep], minlength=len(member))
+            some = np.flatnonzero(kept)
             # how many of the prefix are left for shared ones, if no other is shared
-            room = [prefix_size(n, percent) - len(x) for n, x in zip(batch.column(1).to_pylist(), fronts)]
-            some = [i for i, x in enumerate(keep) if len(x)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some, pa.int64())), pa.array([room[i] for i in some], pa.int64()), pa.array([keep[i] for i in some], pa.list_(pa.int64()))], schema=schema)
+            room = prefix_size(n[member >> 1], percent) - size
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(kept[some])]), pa.int32()), pa.array(keys[keep]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(member[some] >> 1)), pa.array(room[some]), pa.array(np.bincount(at[keep & early], minlength=len(member))[some], pa.int32()), lists], schema=schema)
 
     likely = signed.filter("n > 0").select("row", "n", "front").mapInArrow(run, ddl)
-    likely = likely.join(classes.select("node").hint("merge"), F.col("row") == F.col("node")).select("node", F.col("unshared").alias("room"), F.explode("front").alias("shingle"))
-    known = likely.join(held.hint("merge"), "shingle")
-    late = (F.col("shingle") < 0) | (F.col("shingle") > F.lit(first_hashes(percent) - 1))  # hashes as signed numbers
-    order = F.struct(late.alias("late"), F.when(late, 0).otherwise(F.col("classes")).alias("classes"), "shingle")
-    rows = known.groupBy("node").agg(F.first("room").alias("room"), F.sort_array(F.collect_list(order)).alias("all"))
+    likely = likely.join(classes.select("node").hint("merge"), F.col("row") == F.col("node")).select("node", F.col("unshared").alias("room"), "early", F.posexplode("front").alias("nth", "shingle"))
+    known = likely.select("node", "room", (F.col("nth") >= F.col("early")).alias("late"), "shingle").join(held.hint("merge"), "shingle")
+    order = F.struct("late", F.when(F.col("late"), 0).otherwise(F.col("classes")).alias("classes"), "shingle")
+    rows = known.groupBy("node", F.expr("shingle & 1").alias("band")).agg(F.first("room").alias("room"), F.sort_array(F.collect_list(order)).alias("all"))
     rows = rows.withColumn("take", F.col("room") + F.size("all")).filter("take > 0")
     return rows.select("node", F.explode(F.slice("all", F.lit(1), F.col("take").cast("int"))).alias("s")).select("node", F.col("s.shingle").alias("shingle"))
 
@@ -153,13 +185,15 @@ def bound_pairs(entries: DataFrame, parted: DataFrame, percent: int) -> DataFram
     """(u, v): pairs within a block, u of them open, that share prefix shingles and
     may link by their sizes (n) and by how many of these they share: what two
     sets share beyond the prefix of the one whose prefix ends first is at most the
-    rest of that one. ``parted`` has (node, block, n, open), ``entries`` (node, shingle)."""
+    rest of that one. Only prefixes of the larger set's band count. ``parted`` has
+    (node, block, n, open), ``entries`` (node, shingle)."""
     rest = f"ceil({percent} * n / 100) - 1"  # of n, those beyond the prefix
     held = entries.join(parted.select("node", "block", "n", "open", F.expr(rest).alias("rest")), "node")
     u = held.filter("open").select("block", "shingle", F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("rest").alias("rest_u"))
     v = held.select("block", "shingle", F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("rest").alias("rest_v"), F.col("open").alias("open_v"))
     fits = f"u <> v AND (NOT open_v OR u < v) AND 100 * least(n_u, n_v) >= {percent} * greatest(n_u, n_v)"
-    shared = u.join(v.hint("merge"), ["block", "shingle"]).filter(fits).groupBy("u", "v", "n_u", "n_v", "rest_u", "rest_v").agg(F.count(F.lit(1)).alias("shared"))
+    same_band = F.expr(f"shingle & 1 = CAST(greatest(n_u, n_v) > {SMALL} AS INT)")
+    shared = u.join(v.hint("merge"), ["block", "shingle"]).filter(fits).filter(same_band).groupBy("u", "v", "n_u", "n_v", "rest_u", "rest_v").agg(F.count(F.lit(1)).alias("shared"))
     return shared.filter(f"{100 + percent} * (shared + greatest(rest_u, rest_v)) >= {percent} * (n_u + n_v)").select("u", "v")
 
 

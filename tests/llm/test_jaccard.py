@@ -147,6 +147,26 @@ def test_blocks_of_chance_compare_only_pairs_that_can_link(make_docs, monkeypatc
     assert compared and compared <= sharing and len(compared) < len(sharing) / 20
 
 
+def test_a_common_passage_does_not_tie_short_texts(make_docs, monkeypatch):
+    """Short texts of own words beside a passage that all hold: only near copies share a block, also
+    those on either side of the size where the order changes."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    passage, rows = [word() for _ in range(13)], []
+    for i in range(300):
+        rows.append((i, " ".join(passage + [word() for _ in range(rng.choice([16, 25, 80]))])))
+    for i in range(0, 20, 2):
+        rows.append((1000 + i, rows[i][1] + " " + word()))
+    for i in range(6):  # of 92 to 99 shingles, each a near copy of the next
+        rows.append((2000 + i, " ".join(f"x{j}" for j in range(95 + i + i % 2))))
+    blocks = []
+    real = jaccard.candidate_texts
+    monkeypatch.setattr(jaccard, "candidate_texts", lambda docs, candidates, size: blocks.extend(r["count"] for r in candidates.groupBy("block").count().collect()) or real(docs, candidates, size))
+    got = jaccard_components(make_docs(rows))
+    assert sorted(str(tuple(r)) for r in got.collect()) == plain(rows)
+    assert len(blocks) >= 11 and max(blocks) <= 12
+
+
 def test_a_product_keeps_few_bytes_a_pair():
     import tracemalloc
 
