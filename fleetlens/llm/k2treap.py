@@ -19,11 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetlens.llm.common import arrow_schema, pick, slices
+from fleetlens.llm.common import arrow_schema, pick, release_memory, slices
+from fleetlens.llm.jaccard import FILTER_BITS, bitmap, has_bit
 from fleetlens.runtime import broadcast_limit, materialize
 
 # Bytes of UTF-8 that belong to terms: 0-9, A-Z, a-z and all of other characters.
@@ -31,12 +33,17 @@ from fleetlens.runtime import broadcast_limit, materialize
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 BLOCK_POSTINGS, BLOCK_DOCS, CHUNK_ITEMS = 1 << 20, 1 << 16, 1024
 NO_ID = -1 - (1 << 62)  # stands for a null id: such a row is counted, but no answer
-BLOCK_SCHEMA = "n_docs long, n_words long, ids binary, lengths binary, terms array<binary>, dfs array<int>, cols binary, tfs binary"
+PIECE = 1 << 17  # postings that arithmetic is done on at a time
+BLOCK_SCHEMA = "n_docs long, n_words long, ids binary, lengths binary, terms binary, dfs binary, cols binary, tfs binary"
 HIT_SCHEMA = "item_id long, doc_id long, score long"
 # How many of the quarters before q a cell has, by 4 * mask + q; -1 where quarter q is empty.
 RANK = np.array([bin(m & ((1 << q) - 1)).count("1") if m >> q & 1 else -1 for m in range(16) for q in range(4)], np.int32)
 
 
+def term_bit(term: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(term) & (FILTER_BITS - 1)
+
+
 def terms_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(FOLD).split() if text else []
 
@@ -78,15 +85,16 @@ class BlockBuilder:
         cols = np.repeat(column, distinct)
         order = np.lexsort((cols, rows))
         terms = list(self.row)
+        tfs = np.minimum(tfs[order], (1 << 32) - 1)
         return {
             "n_docs": len(ids),
             "n_words": int(lengths.sum()),
             "ids": ids[docs].tobytes(),
             "lengths": lengths[docs].tobytes(),
-            "terms": [terms[i] for i in by_df.tolist()],
-            "dfs": df[by_df].tolist(),
+            "terms": b" ".join([terms[i] for i in by_df.tolist()]),
+            "dfs": df[by_df].astype(np.int32).tobytes(),
             "cols": cols[order].astype(np.uint16).tobytes(),
-            "tfs": np.minimum(tfs[order], (1 << 32) - 1).astype(np.uint32).tobytes(),
+            "tfs": tfs.astype(np.min_scalar_type(int(tfs.max()))).tobytes(),
         }
 
 
@@ -128,9 +136,12 @@ class Treap:
 
     def __init__(self, rows: np.ndarray, cols: np.ndarray, impacts: np.ndarray):
         self.height = max(int(rows.max(initial=0)), int(cols.max(initial=0)), 1).bit_length()
-        code = spread(rows) << np.uint64(1) | spread(cols)
+        code = np.empty(len(rows), np.uint64)
+        for a in range(0, len(rows), PIECE):
+            code[a : a + PIECE] = spread(rows[a : a + PIECE]) << np.uint64(1) | spread(cols[a : a + PIECE])
         order = np.argsort(code, kind="stable")
         code, most = code[order], impacts[order].astype(np.int32)
+        del order
         masks, mosts = [np.zeros(len(code), np.uint8)], [most]
         for _ in range(self.height):
             above = code >> np.uint64(2)
@@ -139,10 +150,14 @@ class Treap:
             most = np.maximum.reduceat(most, starts)
             mosts.append(most)
             code = above[starts]
-        self.mask = np.concatenate([*masks[::-1], [0]]).astype(np.uint8)
-        self.most = np.concatenate([*mosts[::-1], [0]]).astype(np.int32)
-        follow = np.bitwise_count(self.mask).astype(np.int32)
-        self.first = 1 + np.cumsum(follow, dtype=np.int32) - follow
+        self.mask = np.concatenate([*masks[::-1], np.zeros(1, np.uint8)])
+        del masks
+        self.most = np.concatenate([*mosts[::-1], np.zeros(1, np.int32)])
+        del mosts
+        follow = np.bitwise_count(self.mask)
+        self.first = np.cumsum(follow, dtype=np.int32)
+        self.first -= follow
+        self.first += 1
 
     def best(self, rows: np.ndarray, weights: np.ndarray, k: int, least: int, step: int = 256) -> tuple[np.ndarray, np.ndarray]:
         """(columns, scores) of the columns with the ``k`` greatest weighted sums
@@ -187,16 +202,24 @@ class Treap:
 
 
 class TreapBlock:
-    """One block of the index with its impacts, ready for items."""
+    """One block of the index with its impacts; ``ask`` makes it ready for items
+    that ask for no other terms."""
 
     def __init__(self, row: dict, n_docs: int, n_words: int):
         self.ids = np.frombuffer(row["ids"], np.int64)
         lengths = np.frombuffer(row["lengths"], np.int64)
         m = 100 - 25 + (25 * lengths * n_docs) // n_words
-        cols, tfs = np.frombuffer(row["cols"], np.uint16).astype(np.int64), np.frombuffer(row["tfs"], np.uint32).astype(np.int64)
-        rows = np.repeat(np.arange(len(row["dfs"])), row["dfs"])
-        self.treap = Treap(rows, cols, (1_000_000_000 * tfs) // (1000 * tfs + 12 * m[cols]))
-        self.row = {t: i for i, t in enumerate(row["terms"])}
+        cols, dfs = np.frombuffer(row["cols"], np.uint16), np.frombuffer(row["dfs"], np.int32)
+        tfs = np.frombuffer(row["tfs"], f"u{len(row['tfs']) // len(cols)}")
+        impacts = np.empty(len(cols), np.int32)
+        for a in range(0, len(cols), PIECE):
+            tf = tfs[a : a + PIECE].astype(np.int64)
+            impacts[a : a + PIECE] = (1_000_000_000 * tf) // (1000 * tf + 12 * m[cols[a : a + PIECE]])
+        self.treap = Treap(np.repeat(np.arange(len(dfs), dtype=np.int32), dfs), cols, impacts)
+        self.terms = row["terms"]
+
+    def ask(self, asked: set[bytes]) -> None:
+        self.row = {t: i for i, t in enumerate(bytes(self.terms).split(b" ")) if t in asked}
 
     def best(self, terms: list[bytes], weights: list[int], k: int, least: int) -> list[tuple[int, int]]:
         """(score, id) of the block's best documents for an item: those that can
@@ -214,16 +237,33 @@ class TreapBlock:
 
 
 def item_terms(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(``item_id``, ``term``, ``n``): each item's terms with their repeats."""
-    schema = arrow_schema("item_id long, term binary, n long")
+    """(``item_id``, ``term``, ``n``, ``bit``): each item's terms with their repeats
+    and ``term_bit``."""
+    ddl = "item_id long, term binary, n long, bit long"
+    schema = arrow_schema(ddl)
     one = pick(items, id=id_col, text=text_col).filter("id IS NOT NULL").groupBy("id").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
-            rows = [(i, t, n) for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for t, n in Counter(terms_of(text)).items()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows) if rows else ((), (), ()), schema)], schema=schema)
+            rows = [(i, t, n, term_bit(t)) for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for t, n in Counter(terms_of(text)).items()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows) if rows else ((), (), (), ()), schema)], schema=schema)
+
+    return one.mapInArrow(run, ddl)
+
+
+def document_frequencies(blocks: DataFrame, asked: DataFrame) -> DataFrame:
+    """(``term``, ``df``) of each block, of its terms that may be among the asked
+    ones: a bitmap keeps most others out of what follows."""
+    table = blocks.sparkSession.sparkContext.broadcast(bitmap(asked.select("bit")))
+    schema = arrow_schema("term binary, df long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1):  # a row at a time: each holds a block's terms
+            terms, dfs = batch.column(0)[0].as_py().split(b" "), np.frombuffer(batch.column(1)[0].as_buffer(), np.int32)
+            some = np.flatnonzero(has_bit(table.value, np.fromiter(map(term_bit, terms), np.int64, len(terms))))
+            yield pa.RecordBatch.from_arrays([pa.array([terms[i] for i in some.tolist()], pa.binary()), pa.array(dfs[some], pa.int64())], schema=schema)
 
-    return one.mapInArrow(run, "item_id long, term binary, n long")
+    return blocks.select("terms", "dfs").mapInArrow(run, "term binary, df long")
 
 
 def ranked_search(
@@ -251,7 +291,7 @@ def ranked_search(
     """
     spark = documents.sparkSession
     table = materialize(
-        build_blocks(documents, id_col, text_col).withColumn("part", F.spark_partition_id()),
+        build_blocks(documents, id_col, text_col).withColumns({"part": F.spark_partition_id(), "block": F.monotonically_increasing_id()}),
         "treap-blocks",
         {"n_docs": F.sum("n_docs"), "n_words": F.sum("n_words"), "parts": F.max("part")},
     )
@@ -263,7 +303,7 @@ def ranked_search(
     asked_bytes = 64 * asked.rows + int(asked.metrics["term_bytes"] or 0)  # in memory, at most
     vocabulary = asked.df.select("term").distinct()
     small = asked_bytes <= broadcast_limit(spark)
-    counted = blocks.select(F.explode(F.arrays_zip("terms", "dfs")).alias("t")).select(F.col("t.terms").alias("term"), F.col("t.dfs").alias("df"))
+    counted = document_frequencies(blocks, asked.df)
     df = counted.join(F.broadcast(vocabulary) if small else vocabulary.hint("merge"), "term", "left_semi").groupBy("term").agg(F.sum("df").alias("df"))
     weight = F.floor(F.lit(1000.0) * F.log(F.lit(2.0 * n_docs + 2.0) / (2.0 * F.col("df") + 1.0)))
     weighted = asked.df.join(df.hint("merge"), "term").select("item_id", "term", (weight * F.col("n")).alias("w")).filter("w > 0")
@@ -283,18 +323,23 @@ def ranked_search(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top: dict[int, list[tuple[int, int]]] = {}
         held, block = None, None
+        release_memory()
         for batch in batches:
             at = {name: i for i, name in enumerate(batch.schema.names)}
             for i in range(batch.num_rows):  # a row at a time: each holds a block
-                ids = batch.column(at["ids"])[i].as_py()
-                if ids != held:
-                    row = {x: batch.column(at[x])[i].as_py() for x in ("lengths", "terms", "dfs", "cols", "tfs")}
-                    held, block = ids, TreapBlock(row | {"ids": ids}, n_docs, n_words)
-                for item in batch.column(at["items"])[i].as_py():
+                if (name := batch.column(at["block"])[i].as_py()) != held:
+                    block = None  # before there is another
+                    held, block = name, TreapBlock({x: batch.column(at[x])[i].as_buffer() for x in ("ids", "lengths", "terms", "dfs", "cols", "tfs")}, n_docs, n_words)
+                    release_memory()
+                items = batch.column(at["items"])[i].as_py()
+                block.ask({t for item in items for t in item["terms"]})
+                for item in items:
                     so_far = top.get(item["item_id"], [])
                     least = so_far[-1][0] if len(so_far) == k else 1
                     new = block.best(item["terms"], item["weights"], k, least)
                     top[item["item_id"]] = sorted(so_far + new, key=lambda x: (-x[0], x[1]))[:k]
+        block = None
+        release_memory()
         rows = [(item, doc, score) for item, best in top.items() for score, doc in best]
         for a in range(0, len(rows), 8192):
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows[a : a + 8192]), schema)], schema=schema)

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -99,3 +100,36 @@ def test_many_blocks_and_ties(spark, monkeypatch, limit):
         assert got(ranked_search(df, asked)) == plain(docs, items)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_blocks_of_equal_ids_are_told_apart(spark):
+    """Two blocks, in one task, of documents that have the same id."""
+    docs, items = [(5, "one two"), (5, "two three")], [(1, "one"), (2, "three"), (3, "two")]
+    df = spark.createDataFrame(docs[:1], "doc_id long, text string").coalesce(1).union(spark.createDataFrame(docs[1:], "doc_id long, text string").coalesce(1))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert got(ranked_search(df, spark.createDataFrame(items, "item_id long, text string"))) == plain(docs, items)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_treap_is_made_in_little_memory():
+    """Beside what it keeps, under 40 bytes a posting at a time."""
+    rng = np.random.default_rng(3)
+    code = np.unique(rng.integers(0, 1 << 28, 1 << 18))
+    rows, cols, impacts = (code >> 12).astype(np.int32), (code & 4095).astype(np.uint16), rng.integers(1, 1000, len(code)).astype(np.int32)
+    tracemalloc.start()
+    try:
+        treap = Treap(rows, cols, impacts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak - sum(x.nbytes for x in (treap.mask, treap.most, treap.first)) < 40 * len(code)
+
+
+def test_only_terms_that_may_be_asked_for_are_counted(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(200)) + " one") for i in range(20)], "doc_id long, text string").repartition(2)
+    asked = k2treap.item_terms(spark.createDataFrame([(1, "one w3x7 none")], "item_id long, text string"), "item_id", "text")
+    counted = k2treap.document_frequencies(k2treap.build_blocks(docs), asked).collect()
+    assert len(counted) < 10 and sum(r["df"] for r in counted if r["term"] == b"one") == 20 and [r["df"] for r in counted if r["term"] == b"w3x7"] == [1]
