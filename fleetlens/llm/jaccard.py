@@ -67,11 +67,12 @@ def first_hashes(percent: int) -> int:
     return min(1 << 63, (1 << 64) * (100 - percent) * 5 // 300)
 
 
-def first_of_band(band: int, percent: int) -> int:
+def first_of_band(band: int, percent: int, whole: bool = False) -> int:
     """As ``first_hashes``; in the order of small sets (band 0) all come first. Of
     a small set few shingles have such hashes by chance, and where they hardly
-    fill its prefix, what many sets share would get into that, too."""
-    return first_hashes(percent) if band else 1 << 64
+    fill its prefix, what many sets share would get into that, too. ``whole``: all
+    come first in the other order, too."""
+    return first_hashes(percent) if band and not whole else 1 << 64
 
 
 def bands(n: int, percent: int) -> list[int]:
@@ -80,15 +81,15 @@ def bands(n: int, percent: int) -> list[int]:
     return [band for band, is_in in enumerate((n <= SMALL, 100 * n >= percent * (SMALL + 1))) if is_in]
 
 
-def front_of(s: np.ndarray, band: int, percent: int) -> np.ndarray:
+def front_of(s: np.ndarray, band: int, percent: int, whole: bool) -> np.ndarray:
     """The shingles of a set that come first in a band's order, or its whole prefix
     where these are fewer, as keys: hashes whose last bit is the band."""
-    first = first_of_band(band, percent)
+    first = first_of_band(band, percent, whole)
     early = len(s) if first >> 64 else int(np.searchsorted(s, np.uint64(first)))
     return (s[: max(early, prefix_size(len(s), percent))] & ~np.uint64(1)) | np.uint64(band)
 
 
-def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
+def signatures(docs: DataFrame, size: int, percent: int, whole: bool = False) -> DataFrame:
     """(doc_id, n, print, front) of each row: its set's size, a 128-bit
     fingerprint of the set (null if empty), and of each of its bands the keys of
     its shingles that come first, or more where these are fewer than the prefix,
@@ -105,7 +106,7 @@ def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 s = shingle_set(text, size, hashes)
                 n.append(len(s))
                 prints.append(fingerprint(s))
-                keys = [front_of(s, band, percent) for band in bands(len(s), percent)] if len(s) else [s]
+                keys = [front_of(s, band, percent, whole) for band in bands(len(s), percent)] if len(s) else [s]
                 fronts.append(np.concatenate(keys).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(fronts, pa.list_(pa.int64()))], schema=schema)
 
@@ -129,7 +130,7 @@ def hashed_bit(column: str) -> Column:
     return F.pmod(F.xxhash64(F.col(f"`{column}`")), F.lit(FILTER_BITS))
 
 
-def shared_prefixes(signed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def shared_prefixes(signed: DataFrame, classes: DataFrame, percent: int, whole: bool = False) -> DataFrame:
     """(node, shingle): the keys of each class's prefixes, one of each of its bands,
     that other classes hold too.
 
@@ -152,7 +153,7 @@ def shared_prefixes(signed: DataFrame, classes: DataFrame, percent: int) -> Data
     held = fronts.groupBy("shingle").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
     held = materialize(held, "jaccard-columns").df
     table = spark.sparkContext.broadcast(bitmap(held.select(F.shiftright("shingle", 1).bitwiseAND(F.lit(FILTER_BITS - 1)).alias("bit"))))
-    first = [first_of_band(band, percent) for band in (0, 1)]
+    first = [first_of_band(band, percent, whole) for band in (0, 1)]
     ddl = "row long, unshared long, early int, front array<long>"
     schema = arrow_schema(ddl)
 
@@ -181,6 +182,14 @@ def shared_prefixes(signed: DataFrame, classes: DataFrame, percent: int) -> Data
     return rows.select("node", F.explode(F.slice("all", F.lit(1), F.col("take").cast("int"))).alias("s")).select("node", F.col("s.shingle").alias("shingle"))
 
 
+def prefix_blocks(entries: DataFrame) -> DataFrame:
+    """(node, block): nodes that share a key are in one block, and so are chains of these."""
+    pivots = entries.groupBy("shingle").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("shingle", "first")
+    pivots = materialize(pivots, "jaccard-pivots").df
+    near = entries.join(pivots.hint("merge"), "shingle").filter("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v")).distinct()
+    return connected_components(near).select("node", F.col("root").alias("block"))
+
+
 def bound_pairs(entries: DataFrame, parted: DataFrame, percent: int) -> DataFrame:
     """(u, v): pairs within a block, u of them open, that share prefix shingles and
     may link by their sizes (n) and by how many of these they share: what two
@@ -351,11 +360,24 @@ def pivot_links(members: DataFrame, size: int, percent: int) -> DataFrame:
     return members.join(pivots, "block").select("node", "block", "text", "pivots").mapInArrow(run, ddl)
 
 
+def split_blocks(members: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(node, block, n, text) and (node, shingle): blocks as ``prefix_blocks`` makes
+    them of the members of some blocks under orders that count all of their
+    shingles. Members without a shared shingle in their prefixes link with none."""
+    signed = signatures(members.select(F.col("node").alias("doc_id"), "text"), size, percent, True).withColumnRenamed("doc_id", "row")
+    signed = materialize(signed, "jaccard-split-sets").df
+    entries = materialize(shared_prefixes(signed, members.select("node"), percent, True), "jaccard-split-prefixes").df
+    parted = members.select("node", "n", "text").join(prefix_blocks(entries).hint("merge"), "node").select("node", "block", "n", "text")
+    return materialize(parted, "jaccard-split").df, entries
+
+
 def block_links(members: DataFrame, entries: DataFrame, size: int, percent: int, block_rows: int, block_chars: int) -> DataFrame:
     """Edges (u, v) that join all linked members of each block (node, block, n, text).
 
     A block of up to ``block_rows`` rows and ``block_chars`` characters is
-    multiplied in one step. In a larger one, members that link with one pivot
+    multiplied in one step. A larger one whose members share many prefix shingles
+    is split first, by prefixes that are made of all shingles of its members
+    (``split_blocks``). In one that is still larger, members that link with one pivot
     are joined already, so no pair of them is looked at again; the others, the
     open ones, must meet the members that they can link with. Where they share few
     prefix shingles (``entries``: node, shingle), as in blocks that only chains of
@@ -364,11 +386,24 @@ def block_links(members: DataFrame, entries: DataFrame, size: int, percent: int,
     copies, the open members meet all, in steps of two parts of about that size.
     """
     parts = lambda rows, chars: F.ceil(F.greatest(rows / block_rows, chars / block_chars)).cast("int")
-    sizes = members.groupBy("block").agg(parts(F.count(F.lit(1)), F.sum(F.length("text"))).alias("size"))
-    sizes = materialize(sizes, "jaccard-sizes").df
-    sized = members.join(sizes, "block")
-    whole = sized.filter(F.col("size") <= 1).select("node", "block", "text", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
-    large = sized.filter(F.col("size") > 1).drop("size")
+
+    def by_size(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        sizes = rows.groupBy("block").agg(parts(F.count(F.lit(1)), F.sum(F.length("text"))).alias("size"))
+        sized = rows.join(materialize(sizes, "jaccard-sizes").df, "block")
+        one_step = sized.filter(F.col("size") <= 1).select("node", "block", "text", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
+        return one_step, sized.filter(F.col("size") > 1).select("node", "block", "n", "text")
+
+    whole, large = by_size(members)
+    sharing = entries.join(large.select("node", "block"), "node").groupBy("block", "shingle").agg(F.count(F.lit(1)).cast("double").alias("all"))
+    sharing = sharing.groupBy("block").agg(F.sum(F.col("all") * F.col("all")).alias("listed"))
+    rows = large.groupBy("block").agg(F.count(F.lit(1)).cast("double").alias("rows"))
+    dense = materialize(sharing.join(rows, "block").filter("4 * listed > rows * rows").select("block"), "jaccard-dense")
+    if dense.rows:
+        dealt, all_counted = split_blocks(large.join(dense.df, "block", "left_semi"), size, percent)
+        one_step, still_large = by_size(dealt)
+        rest = large.join(dense.df, "block", "left_anti")
+        entries = entries.join(rest.select("node"), "node", "left_semi").union(all_counted)
+        whole, large = whole.unionByName(one_step), rest.unionByName(still_large)
     met = materialize(pivot_links(large, size, percent).join(large.select("node", "n").hint("merge"), "node"), "jaccard-large").df
     edges = met.select(F.col("node").alias("u"), F.explode("links").alias("v"))
     best = edges.join(met.select("node", "block"), F.col("u") == F.col("node")).groupBy("block", "v").agg(F.count(F.lit(1)).alias("n"))
@@ -432,10 +467,7 @@ def jaccard_components(docs: DataFrame, shingle_words: int = 4, percent: int = 8
     classes = signed.filter("n > 0").groupBy("print").agg(F.min("row").alias("node"), F.min("doc_id").alias("doc_id"), F.min_by("doc_id", "row").alias("node_id"), F.min("n").alias("n"))
     classes = materialize(classes, "jaccard-classes").df
     entries = materialize(shared_prefixes(signed, classes, percent), "jaccard-prefixes").df
-    pivots = entries.groupBy("shingle").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("shingle", "first")
-    pivots = materialize(pivots, "jaccard-pivots").df
-    near = entries.join(pivots.hint("merge"), "shingle").filter("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v")).distinct()
-    blocks = connected_components(near).select("node", F.col("root").alias("block"))
+    blocks = prefix_blocks(entries)
     candidates = materialize(classes.select("node", F.col("node_id").alias("doc_id"), "print", "n").join(blocks.hint("merge"), "node"), "jaccard-candidates").df
     members = materialize(candidate_texts(src, candidates, shingle_words), "jaccard-members").df
     links = materialize(block_links(members, entries, shingle_words, percent, block_rows, block_chars), "jaccard-links").df
